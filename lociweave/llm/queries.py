@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave.llm import sql
+from lociweave.llm.decontamination import find_benchmark
 from lociweave.llm.exact_dedup import exact_dedup
 from lociweave.llm.line_dedup import dedup_lines
 from lociweave.llm.sharding import shard_documents
@@ -27,14 +28,30 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_benchmark(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_line_dedup, op4_exact_dedup, op10_sharding]
+    made = [op1_line_dedup, op4_exact_dedup, op9_decontamination, op10_sharding]
     return {f.__name__: f for f in made}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": sql.LINE_DEDUP, "op4_exact_dedup": sql.EXACT_DEDUP}
+    return {
+        "op1_line_dedup": sql.LINE_DEDUP,
+        "op4_exact_dedup": sql.EXACT_DEDUP,
+        "op9_decontamination": sql.DECONTAMINATION,
+    }
