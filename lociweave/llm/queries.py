@@ -11,6 +11,7 @@ from lociweave.llm import sql
 from lociweave.llm.decontamination import find_benchmark
 from lociweave.llm.exact_dedup import exact_dedup
 from lociweave.llm.line_dedup import dedup_lines
+from lociweave.llm.quality import score_documents
 from lociweave.llm.sharding import shard_documents
 from lociweave.storage import read_table
 
@@ -24,6 +25,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", _sha("text").alias("kept_sha256"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -45,7 +50,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_line_dedup, op4_exact_dedup, op9_decontamination, op10_sharding]
+    made = [op1_line_dedup, op2_quality_classifier, op4_exact_dedup, op9_decontamination, op10_sharding]
     return {f.__name__: f for f in made}
 
 
