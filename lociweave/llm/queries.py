@@ -13,6 +13,7 @@ from lociweave.llm.exact_dedup import exact_dedup
 from lociweave.llm.line_dedup import dedup_lines
 from lociweave.llm.quality import score_documents
 from lociweave.llm.sharding import shard_documents
+from lociweave.llm.warc import archive_pages
 from lociweave.storage import read_table
 
 
@@ -33,6 +34,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_benchmark(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -50,7 +55,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_line_dedup, op2_quality_classifier, op4_exact_dedup, op9_decontamination, op10_sharding]
+    made = [op1_line_dedup, op2_quality_classifier, op4_exact_dedup, op6_warc, op9_decontamination, op10_sharding]
     return {f.__name__: f for f in made}
 
 
@@ -58,5 +63,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": sql.LINE_DEDUP,
         "op4_exact_dedup": sql.EXACT_DEDUP,
+        "op6_warc": sql.WARC,
         "op9_decontamination": sql.DECONTAMINATION,
     }
