@@ -132,7 +132,7 @@ def shingles(words: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray
 def whole(words: np.ndarray) -> np.uint64:
     """Hash of a text of too few words for one shingle; its length keeps it apart from all shingles."""
     steps = np.arange(3, 2 * len(words) + 3, 2, dtype=np.uint64) * np.uint64(_BASE) | np.uint64(1)
-    return mix((words * steps).sum(keepdims=True) + np.uint64(len(words)) * np.uint64(0xD6E8FEB86659FD93))[0]
+    return mix((words * steps).sum(keepdims=True) + np.uint64(len(words) * 0xD6E8FEB86659FD93 % 2**64))[0]
 
 
 def shingle_sets(column: pa.Array, size: int, separators: np.ndarray = WHITE) -> Iterator[np.ndarray]:

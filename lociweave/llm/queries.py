@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lociweave.llm import sql
 from lociweave.llm.decontamination import find_benchmark
 from lociweave.llm.exact_dedup import exact_dedup
+from lociweave.llm.jaccard_join import near_duplicate_components
 from lociweave.llm.line_dedup import dedup_lines
 from lociweave.llm.quality import score_documents
 from lociweave.llm.sharding import shard_documents
@@ -38,6 +39,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_components(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_benchmark(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -55,7 +60,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_line_dedup, op2_quality_classifier, op4_exact_dedup, op6_warc, op9_decontamination, op10_sharding]
+    made = [op1_line_dedup, op2_quality_classifier, op4_exact_dedup, op6_warc, op7_ngram_jaccard_join, op9_decontamination, op10_sharding]
     return {f.__name__: f for f in made}
 
 
