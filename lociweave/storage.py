@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Used only where the session names no spark.checkpoint.dir (tests, a laptop).
 LOCAL_CHECKPOINTS = "file:///tmp/checkpoints"
+#: The shuffle files of a table that has been written are of no more use, and go when its job ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -20,9 +22,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: later jobs neither recompute nor lose it."""
-    path = shared_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_width(spark: SparkSession) -> int:
