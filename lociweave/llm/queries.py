@@ -12,8 +12,10 @@ from lociweave.llm.decontamination import find_benchmark
 from lociweave.llm.exact_dedup import exact_dedup
 from lociweave.llm.jaccard_join import near_duplicate_components
 from lociweave.llm.line_dedup import dedup_lines
+from lociweave.llm.mixing import mix_sources
 from lociweave.llm.quality import score_documents
 from lociweave.llm.sharding import shard_documents
+from lociweave.llm.token_shards import write_shards
 from lociweave.llm.warc import archive_pages
 from lociweave.storage import read_table
 
@@ -35,6 +37,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_shards(read_table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(read_table(spark, sf_dir, "pages"))
 
@@ -43,6 +49,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_components(read_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_benchmark(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -60,7 +70,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_line_dedup, op2_quality_classifier, op4_exact_dedup, op6_warc, op7_ngram_jaccard_join, op9_decontamination, op10_sharding]
+    made = [op1_line_dedup, op2_quality_classifier, op4_exact_dedup, op5_token_shards, op6_warc, op7_ngram_jaccard_join, op8_source_mixing, op9_decontamination, op10_sharding]
     return {f.__name__: f for f in made}
 
 

@@ -14,17 +14,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lociweave.llm.files import Publish, open_file
 from lociweave.storage import shared_path, shuffle_width, written
 
 CHUNK = 1 << 20
@@ -43,10 +42,6 @@ _INDEX = pa.schema(
 )
 
 
-def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri)
-
-
 def _urn(page_id: int | None) -> str:
     return f"<urn:page:{'' if page_id is None else page_id}>"
 
@@ -117,26 +112,6 @@ def inflated(stream) -> Iterator[bytes]:
     yield engine.flush()
 
 
-class _Publish:
-    """An output stream that gets its name when it is closed without an error."""
-
-    def __init__(self, uri: str):
-        self.fs, self.path = _open(uri)
-        self.draft = f"{self.path}.{uuid.uuid4().hex}.draft"
-
-    def __enter__(self):
-        self.fs.create_dir(self.path.rpartition("/")[0], recursive=True)
-        self.stream = self.fs.open_output_stream(self.draft, compression=None)
-        return self.stream
-
-    def __exit__(self, kind, *_):
-        self.stream.close()
-        if kind is None:
-            self.fs.move(self.draft, self.path)
-        else:
-            self.fs.delete_file(self.draft)
-
-
 def write_archives(pages: DataFrame, out: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Write every row as a response record into one monolithic .warc.gz a task; returns the records written.
 
@@ -153,7 +128,7 @@ def write_archives(pages: DataFrame, out: str, page_id: str = "page_id", url: st
             return
         name = f"{out}/raw-{TaskContext.get().partitionId():06d}.warc.gz"
         done: list[tuple] = []
-        with _Publish(name) as stream:
+        with Publish(name) as stream:
             engine = zlib.compressobj(1, zlib.DEFLATED, 31)
             batch = first
             while batch is not None:
@@ -201,9 +176,9 @@ def normalise(files: DataFrame, out: str, again: DataFrame | None = None) -> Dat
             for name, listed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 known = {x["ordinal"]: x["refers_to"] for x in listed or ()}
                 target = f"{out}/{name.rpartition('/')[2].replace('raw-', 'part-')}"
-                source, path = _open(name)
+                source, path = open_file(name)
                 rows, at = [], 0
-                with source.open_input_stream(path, compression=None) as stream, _Publish(target) as put:
+                with source.open_input_stream(path, compression=None) as stream, Publish(target) as put:
                     for k, raw in enumerate(records(inflated(stream))):
                         headers, payload = parse(raw)
                         number = _page(headers["warc-record-id"])
@@ -220,7 +195,7 @@ def normalise(files: DataFrame, out: str, again: DataFrame | None = None) -> Dat
                     [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _INDEX, strict=True)] if rows else [pa.array([], f.type) for f in _INDEX],
                     schema=_INDEX,
                 )
-                with _Publish(f"{target}.index.parquet") as put:
+                with Publish(f"{target}.index.parquet") as put:
                     pq.write_table(pa.Table.from_batches([index]), put)
                 yield index
 
@@ -244,7 +219,7 @@ def read_records(index: DataFrame, payloads: bool = False) -> DataFrame:
                 if file != name:
                     if opened is not None:
                         opened.close()
-                    source, path = _open(file)
+                    source, path = open_file(file)
                     opened, name = source.open_input_file(path), file
                 headers, payload = parse(zlib.decompress(opened.read_at(length, offset), 31))
                 kind = headers["warc-type"]
