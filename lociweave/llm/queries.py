@@ -11,6 +11,7 @@ from lociweave.llm import sql
 from lociweave.llm.decontamination import find_benchmark
 from lociweave.llm.exact_dedup import exact_dedup
 from lociweave.llm.jaccard_join import near_duplicate_components
+from lociweave.llm.licences import scan_documents
 from lociweave.llm.line_dedup import dedup_lines
 from lociweave.llm.mixing import mix_sources
 from lociweave.llm.quality import score_documents
@@ -33,6 +34,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -70,7 +75,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    made = [op1_line_dedup, op2_quality_classifier, op4_exact_dedup, op5_token_shards, op6_warc, op7_ngram_jaccard_join, op8_source_mixing, op9_decontamination, op10_sharding]
+    made = [op1_line_dedup, op2_quality_classifier, op3_license_scan, op4_exact_dedup, op5_token_shards, op6_warc, op7_ngram_jaccard_join, op8_source_mixing, op9_decontamination, op10_sharding]
     return {f.__name__: f for f in made}
 
 
