@@ -7,8 +7,9 @@ Documents of equal sets are one from here on.
 Where to look.  Two sets that are similar enough share a shingle among the first n - ceil(percent * n / 100) + 1 of
 either, so only sets that share such a prefix shingle need meet.  They meet at the shingle's pivot, the smallest set that
 has it: the sets of one pivot, over all its shingles, make a cell.  Near copies of one text have few pivots between
-them, and a cell whose sets all meet in one other cell is left out, as is a set that no set of its cell has the length
-for; so the work grows with the sets and not with the pairs.
+them, and a cell whose sets all meet in one other cell is left out; so the work grows with the sets and not with the
+pairs.  Within a cell, the shared prefix shingles of two sets plus what can follow the earlier of their prefixes bound
+their overlap, and only sets that this leaves a partner are read whole.
 
 How to look.  The sets of a cell, as sequences in the global order, make a prefix tree whose equal beginnings are walked
 once for all sets that share them: every node adds its overlap with the probe to its parent's, and a subtree goes when
@@ -35,7 +36,7 @@ from lociweave.storage import shuffle_width, written
 CELL = 2048
 HUBS = 32
 SLOT_BLOCK = 4096
-SLOTS_PER_ROW, LEAST_SLOTS, MOST_SLOTS = 4, 1 << 16, 1 << 26
+SLOTS_PER_ROW, LEAST_SLOTS, MOST_SLOTS = 16, 1 << 16, 1 << 24
 MOST_WORDS = 1 << 21
 
 
@@ -247,7 +248,7 @@ def _maybe(rows: DataFrame, h, hashes: DataFrame, n: int) -> DataFrame:
 
 
 def prefix_postings(docs: DataFrame, text: str, words: int, percent: int, order, n_docs: int) -> DataFrame:
-    """(token, set_id, n) for the prefix shingles that at least two different sets may have."""
+    """(token, set_id, n, last) for the prefix shingles that two different sets may have; last: the prefix's last."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,27 +267,87 @@ def prefix_postings(docs: DataFrame, text: str, words: int, percent: int, order,
 
     rows = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(read, "set_id binary, n long, tokens array<long>")
     prefixes = written(rows.dropDuplicates(["set_id"]), "prefixes")
-    each = prefixes.select(F.explode("tokens").alias("token"), "set_id", "n")
+    each = prefixes.select(F.explode("tokens").alias("token"), "set_id", "n", F.element_at("tokens", -1).alias("last"))
     twice = written(each.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select(F.col("token").alias("h")), "twice")
     return written(_maybe(each, F.col("token"), twice, twice.count()), "postings")
 
 
-def cells_of(postings: DataFrame, percent: int) -> DataFrame:
-    """(cell, set_id, n): sets that must meet, each cell named by its pivot."""
+def cells_of(postings: DataFrame) -> DataFrame:
+    """(cell, set_id, n, last, tokens, size): sets that must meet, each cell named by its pivot; tokens: shared ones."""
     pivots = written(postings.groupBy("token").agg(F.min("set_id").alias("cell"), F.count("*").alias("c")).where("c > 1").drop("c"), "pivots")
-    members = written(postings.join(pivots, "token").select("cell", "set_id", "n").distinct(), "members")
+    shared = written(postings.join(pivots, "token"), "shared")
+    members = written(shared.select("cell", "set_id").distinct(), "members")
     first = members.groupBy("set_id").agg(F.min("cell").alias("first"))
     led = members.join(first, "set_id")
     kept = led.groupBy("cell").agg(F.min("first").alias("a"), F.max("first").alias("b"), F.count("*").alias("size"))
     kept = written(kept.where("size > 1 AND NOT (a = b AND a <> cell)").select("cell", "size"), "cells")
-    held = members.join(kept, "cell")
-    # length classes one bound apart: sets whose lengths can match are in the same or in neighbouring classes
-    step = float(np.log(100 / percent))
-    classed = held.withColumn("k", F.floor(F.log("n") / F.lit(step)).cast("int"))
-    counts = classed.groupBy("cell", "k").agg(F.count("*").alias("c"))
-    near = counts.select("cell", F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)).alias("k"), "c")
-    partners = written(near.groupBy("cell", "k").agg(F.sum("c").alias("c")).where("c > 1").select("cell", "k"), "partners")
-    return written(classed.join(partners, ["cell", "k"]).select("cell", "set_id", "n", "size"), "cells")
+    stored = shared.groupBy("set_id").agg(F.first("n").alias("n"), F.first("last").alias("last"), F.collect_list("token").alias("tokens"))
+    return written(members.join(kept, "cell").join(stored, "set_id"), "cells")
+
+
+def candidate_groups(tokens: list[np.ndarray], sizes: np.ndarray, lasts: np.ndarray, classes: np.ndarray, percent: int) -> list[list[int]]:
+    """Places of the sets of one cell, in groups that candidate pairs join; sets without a candidate are left out.
+
+    tokens: the prefix shingles of each set that other sets have too.  What two sets share lies in both prefixes or
+    behind the end of the prefix that ends first, where that set has `rest` shingles.
+    """
+    lasts = lasts.view(np.uint64)
+    end = np.empty(len(sizes), np.int64)
+    order = np.lexsort((lasts, classes[(lasts & np.uint64(len(classes) - 1)).astype(np.int64)]))
+    end[order] = np.cumsum(np.r_[True, lasts[order][1:] != lasts[order][:-1]])
+    rest = sizes - np.array([prefix_length(int(n), percent) for n in sizes])
+    _, codes = np.unique(np.concatenate(tokens), return_inverse=True)
+    owner = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+    by_code = np.argsort(codes, kind="stable")
+    begins = np.searchsorted(codes[by_code], np.arange(codes.max() + 2))
+    holders = owner[by_code]
+    ends = np.cumsum([len(t) for t in tokens])
+    group = np.arange(len(tokens))
+    for x in range(len(tokens)):
+        own = codes[ends[x] - len(tokens[x]) : ends[x]]
+        overlap = np.bincount(np.concatenate([holders[begins[c] : begins[c + 1]] for c in own]), minlength=len(tokens))
+        bound = overlap + np.where(end[x] <= end, rest[x], rest)
+        fits = (overlap > 0) & ((100 + percent) * bound >= percent * (sizes[x] + sizes)) & (group != group[x])
+        fits &= (100 * sizes >= percent * sizes[x]) & (100 * sizes[x] >= percent * sizes)
+        joined = np.unique(group[np.flatnonzero(fits)])
+        if len(joined):
+            group[np.isin(group, joined)] = group[x]
+    return [np.flatnonzero(group == g).tolist() for g, n in zip(*np.unique(group, return_counts=True), strict=True) if n > 1]
+
+
+def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+    """Column lists of each run of rows that are equal in the first column."""
+    held: dict[str, list] = {}
+    for batch in batches:
+        names = batch.schema.names
+        columns = [c.to_pylist() if not pa.types.is_list(c.type) else c for c in batch.columns]
+        for k, name in enumerate(columns[0]):
+            if held and held[names[0]][0] != name:
+                yield held
+                held = {}
+            for n, c in zip(names, columns, strict=True):
+                held.setdefault(n, []).append(c[k].values.to_numpy() if isinstance(c, pa.Array) else c[k])
+    if held:
+        yield held
+
+
+def refined(cells: DataFrame, order, percent: int) -> DataFrame:
+    """(group, set_id): the candidate groups of the cells, each once, named by the sets in them."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _by_group(batches):
+            ids = cell["set_id"]
+            groups = candidate_groups(cell["tokens"], np.array(cell["n"]), np.array(cell["last"]), order.value, percent)
+            names, members = [], []
+            for own in groups:
+                name = hashlib.blake2b(b"".join(sorted(ids[i] for i in own)), digest_size=16).hexdigest()
+                names += [name] * len(own)
+                members += [ids[i] for i in own]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(members, pa.binary())], names=["group", "set_id"])
+
+    rows = cells.select("cell", "set_id", "n", "last", "tokens")
+    dealt = rows.repartition(shuffle_width(cells.sparkSession), "cell").sortWithinPartitions("cell")
+    return written(dealt.mapInArrow(split, "group string, set_id binary").distinct(), "groups")
 
 
 def _cell_links(groups: DataFrame, sets: DataFrame, order, percent: int) -> DataFrame:
@@ -294,29 +355,17 @@ def _cell_links(groups: DataFrame, sets: DataFrame, order, percent: int) -> Data
     met = groups.join(sets, "set_id").select("group", "set_id", "probe", "tokens")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, tuple] = {}
-        name = None
-
-        def done() -> pa.RecordBatch:
-            ids = list(held)
-            probes = None if not ids or held[ids[0]][0] is None else np.array([held[i][0] for i in ids], bool)
-            pairs = spanning_links([held[i][1] for i in ids], order.value, percent, probes)
-            return pa.RecordBatch.from_arrays(
+        for cell in _by_group(batches):
+            sets = {}
+            for set_id, probe, tokens in zip(cell["set_id"], cell["probe"], cell["tokens"], strict=True):
+                sets[set_id] = (probe or sets.get(set_id, (None,))[0], tokens.view(np.uint64).copy())
+            ids = list(sets)
+            probes = None if cell["probe"][0] is None else np.array([bool(sets[i][0]) for i in ids])
+            pairs = spanning_links([sets[i][1] for i in ids], order.value, percent, probes)
+            yield pa.RecordBatch.from_arrays(
                 [pa.array([ids[x] for x, _ in pairs], pa.binary()), pa.array([ids[y] for _, y in pairs], pa.binary())], names=["a", "b"]
             )
 
-        for batch in batches:
-            tokens = batch.column(3)
-            for k, (group, set_id, probe) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)):
-                if group != name:
-                    if held:
-                        yield done()
-                    held, name = {}, group
-                own = tokens[k].values.to_numpy().view(np.uint64).copy()
-                held[set_id] = (max(probe, held[set_id][0]) if set_id in held and probe is not None else probe, own)
-        if held:
-            yield done()
-
     dealt = met.repartition(shuffle_width(groups.sparkSession), "group").sortWithinPartitions("group")
     return dealt.mapInArrow(linked, "a binary, b binary")
 
@@ -326,8 +375,10 @@ def similar_sets(docs: DataFrame, table: DataFrame, doc_id: str, text: str, word
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(classes)
     rows = table.count()
-    members = cells_of(prefix_postings(docs, text, words, percent, order, rows), percent)
-    wanted = members.select("set_id").distinct()
+    members = cells_of(prefix_postings(docs, text, words, percent, order, rows))
+    groups = refined(members.where(F.col("size") <= cell), order, percent)
+    large = members.where(F.col("size") > cell).select("cell", "set_id", "size")
+    wanted = groups.select("set_id").unionByName(large.select("set_id")).distinct()
     ids = table.join(wanted, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("d")).select(F.xxhash64("d").alias("h"))
     ids = written(ids, "readers")
 
@@ -341,17 +392,16 @@ def similar_sets(docs: DataFrame, table: DataFrame, doc_id: str, text: str, word
             )
 
     chosen = _maybe(docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("text")), F.xxhash64("d"), ids, ids.count())
-    sets = chosen.select("text").mapInArrow(read, "set_id binary, tokens array<long>")
+    sets = written(chosen.select("text").mapInArrow(read, "set_id binary, tokens array<long>"), "whole")
     blocks = F.ceil(F.col("size") / cell)
     code, other = F.xxhash64("set_id"), F.xxhash64(F.lit(1), F.col("set_id"))
     own = F.pmod(code, blocks)
-    hub = (blocks > 1) & (F.pmod(other, F.col("size")) < HUBS)
+    hub = F.pmod(other, F.col("size")) < HUBS
     places = F.when(hub, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(own))
     group = lambda *c: F.concat_ws("/", F.hex("cell"), *[x.cast("string") for x in c])
-    dealt = members.select("cell", "set_id", F.explode(places).alias("block"))
-    dealt = dealt.select(group(F.col("block")).alias("group"), "set_id", F.lit(None).cast("boolean").alias("probe"))
+    dealt = large.select("cell", "set_id", F.explode(places).alias("block")).select(group(F.col("block")).alias("group"), "set_id")
+    dealt = groups.unionByName(dealt).withColumn("probe", F.lit(None).cast("boolean"))
     links = written(_cell_links(dealt, sets, order, percent), "links")
-    large = members.where(blocks > 1)
     if not large.isEmpty():
         # sets outside the main component of a large cell are walked through all its blocks
         found = connected_components(links, "a", "b")
