@@ -25,12 +25,12 @@ def lenient_long(text: Column, default: int = 0) -> Column:
 
 def attributes(text: Column) -> Column:
     """GFF3 `k=v;` or GTF `k "v";` attributes as a map; the later of two equal keys wins."""
-    pairs = F.filter(F.transform(F.split(text, ";"), F.trim), lambda p: p != "")
+    pairs = F.filter(F.transform(F.split(text, ";"), lambda p: F.trim(p)), lambda p: p != "")
     cut = F.transform(
         pairs,
         lambda p: F.struct(
             F.trim(F.when(p.contains("="), F.substring_index(p, "=", 1)).otherwise(F.substring_index(p, " ", 1))).alias("key"),
-            F.trim(F.regexp_replace(F.trim(F.when(p.contains("="), F.regexp_replace(p, "^[^=]*=", "")).otherwise(F.regexp_replace(p, "^\\S*\\s*", ""))), '^"+|"+$', "")).alias("value"),
+            F.btrim(F.trim(F.when(p.contains("="), p.substr(F.position(F.lit("="), p) + 1, F.length(p))).otherwise(p.substr(F.length(F.substring_index(p, " ", 1)) + 2, F.length(p)))), F.lit('"')).alias("value"),
         ),
     )
     last = F.filter(cut, lambda x, i: ~F.exists(F.slice(cut, i + 2, F.size(cut)), lambda y: y["key"] == x["key"]))

@@ -16,7 +16,8 @@ def gapless_index(df: DataFrame, groups: list[str], order: list[str], name: str
     Rows are dealt by range over (groups, order), so a group of any size spreads over as many tasks as it fills; only
     row counts of (task, group) meet, and these are summed by a window over at most tasks + groups rows.  The numbered
     rows are written once, so that a retried task cannot number them anew.  Rows equal in groups and order get
-    consecutive numbers in any order.  Pass narrow rows: they are shuffled and written.
+    consecutive numbers in any order.  Pass narrow rows: they are shuffled and written.  The sums, one row for each task
+    and each group in it, are broadcast: groups are meant to be thousands at most, of any size each.
     """
     ranged = (
         df.repartitionByRange(shuffle_width(df.sparkSession), *groups, *order)
@@ -32,5 +33,5 @@ def gapless_index(df: DataFrame, groups: list[str], order: list[str], name: str
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
     same = [table[g].eqNullSafe(base[f"_g{i}"]) for i, g in enumerate(groups)]
-    joined = table.join(base, reduce(lambda a, b: a & b, same, table["_task"] == base["_t"]))
+    joined = table.join(F.broadcast(base), reduce(lambda a, b: a & b, same, table["_task"] == base["_t"]))
     return joined.select(*df.columns, (F.col("_at") + F.col("_shift")).alias(name))

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 512
+BROADCAST_MERS = 200_000
 
 
 def shared_kmers(queries: DataFrame, query_id: str, targets: DataFrame, target_id: str, text: str, k: int, step: int = 1) -> DataFrame:
     """(query_id, query_at, target_id, target_at): equal stretches of k characters; queries are read every `step`.
 
-    Stretches travel as 64-bit hashes and are compared as text only where the hashes meet.  The targets, the large side,
-    are probed where they stand as long as Spark judges the query side small enough to broadcast.
+    Stretches meet by their 64-bit hashes and are then compared as text.  Up to BROADCAST_MERS query stretches are
+    broadcast, so that the targets, the large side, are probed where they stand; beyond that both sides are shuffled.
     """
 
     def mers(df: DataFrame, name: str, stride: int, at: str, mer: str) -> DataFrame:
@@ -27,4 +28,6 @@ def shared_kmers(queries: DataFrame, query_id: str, targets: DataFrame, target_i
 
     own = mers(queries, query_id, step, "query_at", "q_mer").dropDuplicates([query_id, "q_mer"]).withColumn("code", F.xxhash64("q_mer"))
     other = mers(targets, target_id, 1, "target_at", "t_mer").withColumn("code", F.xxhash64("t_mer"))
-    return own.join(other, "code").where("q_mer = t_mer").select(query_id, "query_at", target_id, "target_at")
+    if own.limit(BROADCAST_MERS + 1).count() <= BROADCAST_MERS:
+        own = F.broadcast(own)
+    return other.join(own, "code").where("q_mer = t_mer").select(query_id, "query_at", target_id, "target_at")
