@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lociweave.functions.scalars import window_padding
+from lociweave.operators.intervals import merged
+from lociweave.plans.calls import _map_rows
+
 CHUNK = 512
 BROADCAST_MERS = 200_000
 
@@ -31,3 +36,106 @@ def shared_kmers(queries: DataFrame, query_id: str, targets: DataFrame, target_i
     if own.limit(BROADCAST_MERS + 1).count() <= BROADCAST_MERS:
         own = F.broadcast(own)
     return other.join(own, "code").where("q_mer = t_mer").select(query_id, "query_at", target_id, "target_at")
+
+
+def seed_windows(seeds: DataFrame, genes: DataFrame, query_genes: DataFrame) -> DataFrame:
+    """(gene, contig, window_start, window_end): seeds padded by 1.5 gene spans on both sides, clipped and merged.
+
+    seeds: query, contig, contig_length, start, end; query_genes: (query, gene); genes: (gene, span).  A query may serve
+    several genes; padded windows that touch are one.
+    """
+    met = seeds.join(query_genes, "query").join(genes, "gene")
+    pad = window_padding(F.col("span"))
+    padded = met.select("gene", "contig", F.greatest(F.lit(0), F.col("start") - pad).alias("window_start"), F.least("contig_length", F.col("end") + pad).alias("window_end"))
+    return merged(padded, ["gene", "contig"], "window_start", "window_end", touching=True).drop("island")
+
+
+def window_sequences(windows: DataFrame, genome: DataFrame) -> DataFrame:
+    """windows with their sequence; genome: (name, seq).  A window outside its contig is an error."""
+    met = windows.join(genome.select(F.col("name").alias("contig"), "seq"), "contig")
+    length = F.col("window_end") - F.col("window_start")
+    cut = F.col("seq").substr((F.col("window_start") + 1).cast("int"), length.cast("int"))
+    whole = F.when(F.length(cut) == length, cut).otherwise(F.raise_error(F.lit("a window reaches outside its contig")))
+    return met.withColumn("sequence", whole).drop("seq")
+
+
+_CODES = {"A": 1, "C": 2, "G": 4, "T": 8, "U": 8, "R": 5, "Y": 10, "S": 6, "W": 9, "K": 12, "M": 3, "B": 14, "D": 13, "H": 11, "V": 7, "N": 15}
+_MASK = np.full(256, 15, np.uint8)
+for _letter, _mask in _CODES.items():
+    _MASK[ord(_letter)] = _mask
+
+PROJECTED = (
+    "exon_start long, exon_end long, target_start long, target_end long, bases long, identity double, identical long, AS double, NM long, cigar string, blast_score double"
+)
+
+
+def runs_of(query: np.ndarray, target: np.ndarray) -> str:
+    """CIGAR of two aligned rows of bytes ('-' for gaps): = X I D runs; a gap in the query is an I of the target."""
+    kind = np.where(query == 45, 73, np.where(target == 45, 68, np.where(query == target, 61, 88)))
+    edge = np.flatnonzero(np.r_[True, kind[1:] != kind[:-1]])
+    return "".join(f"{n}{chr(kind[at])}" for at, n in zip(edge, np.diff(np.r_[edge, len(kind)]), strict=True))
+
+
+def project(hsp: dict, start: int, end: int) -> dict | None:
+    """The part of a gapped alignment that covers query positions [start, end), on the target; None if no target base does.
+
+    Scores: 1 a match, -1 where ambiguity codes meet, -2 a mismatch, -2.5 a gap base, summed and rounded down.
+    """
+    q = np.frombuffer(hsp["qseq"].upper().encode(), np.uint8)
+    t = np.frombuffer(hsp["sseq"].upper().encode(), np.uint8)
+    low, high = min(hsp["qstart"], hsp["qend"]) - 1, max(hsp["qstart"], hsp["qend"])
+    inside, bases = q != 45, t != 45
+    if len(q) != len(t) or not len(q) or inside.sum() != high - low or bases.sum() != abs(hsp["send"] - hsp["sstart"]) + 1:
+        raise ValueError("coordinates disagree with the aligned strings")
+    a, b = max(start, low), min(end, high)
+    if a >= b:
+        return None
+    columns = np.flatnonzero(inside)
+    forward = hsp["qend"] >= hsp["qstart"]
+    ends = (columns[a - low], columns[b - 1 - low]) if forward else (columns[high - b], columns[high - 1 - a])
+    first, last = int(ends[0]), int(ends[1]) + 1
+    before, within = int(bases[:first].sum()), int(bases[first:last].sum())
+    if not within:
+        return None
+    if hsp["send"] >= hsp["sstart"]:
+        at = (hsp["sstart"] - 1 + before, hsp["sstart"] - 1 + before + within)
+    else:
+        at = (hsp["sstart"] - before - within, hsp["sstart"] - before)
+    x, y = q[first:last], t[first:last]
+    gap = (x == 45) | (y == 45)
+    same = ~gap & (x == y)
+    plain = same & np.isin(x, np.frombuffer(b"ACGT", np.uint8))
+    twice = np.where(gap, -5, np.where(plain, 2, np.where(_MASK[x] & _MASK[y], -2, -4)))
+    identical, nm = int(same.sum()), int(last - first - same.sum())
+    return {
+        "exon_start": a - start, "exon_end": b - start, "target_start": at[0], "target_end": at[1], "bases": b - a, "identity": 100.0 * identical / (last - first),
+        "identical": identical, "AS": float(identical - 3 * nm), "NM": nm, "cigar": runs_of(x, y), "blast_score": float(int(twice.sum()) // 2),
+    }
+
+
+def projected(hsps: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Alignments of every exon of the queries that were found: hsps (17 tabular columns) joined with aliases
+    (query_id, exon_id, core_start, core_end, anchor_start, anchor_end, ...) and cut to each exon.
+
+    selection_score: the alignment's own score where it lies within the exon's anchors, else the score of the part within
+    them.  Rows equal in place, exon and cigar are returned once, the first by `ord`.
+    """
+    met = hsps.join(aliases.withColumnRenamed("query_id", "qseqid"), "qseqid")
+
+    def one(row: dict) -> list[dict]:
+        made = project(row, row["core_start"], row["core_end"])
+        if made is None:
+            return []
+        inside = min(row["qstart"], row["qend"]) - 1 >= row["anchor_start"] and max(row["qstart"], row["qend"]) <= row["anchor_end"]
+        wide = None if inside else project(row, row["anchor_start"], row["anchor_end"])
+        score = row["score"] if inside or wide is None else wide["blast_score"]
+        length = row["core_end"] - row["core_start"]
+        strand = "+" if (row["qend"] >= row["qstart"]) == (row["send"] >= row["sstart"]) else "-"
+        return [made | {"ord": row["ord"], "query_id": row["sseqid"], "exon_id": row["exon_id"], "strand": strand, "exon_length": length,
+                        "coverage": 100.0 * made["bases"] / length, "selection_score": float(score), "evalue": row["evalue"]}]
+
+    ord_type = hsps.schema["ord"].dataType.simpleString()
+    schema = f"ord {ord_type}, query_id string, exon_id string, strand string, exon_length long, coverage double, selection_score double, evalue double, {PROJECTED}"
+    rows = _map_rows(met, one, schema)
+    key = ["query_id", "target_start", "target_end", "strand", "exon_id", "exon_start", "exon_end", "cigar"]
+    return rows.groupBy(*key).agg(F.min_by(F.struct(*[c for c in rows.columns if c not in key]), "ord").alias("r")).select(*key, "r.*")
