@@ -1,6 +1,7 @@
 import sys
 from pathlib import Path
 
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -24,7 +25,7 @@ def spark(tmp_path_factory):
 def rows_of(frame):
     """Rows of a pandas frame as sorted tuples of text, columns by name."""
     frame = frame[sorted(frame.columns)].astype(object)
-    cell = lambda v: "" if v is None or v != v else str(int(v)) if isinstance(v, float) and v.is_integer() else str(v)
+    cell = lambda v: "" if pd.isna(v) else str(int(v)) if isinstance(v, float) and v.is_integer() else str(v)
     return sorted(tuple(cell(v) for v in row) for row in frame.itertuples(index=False))
 
 
