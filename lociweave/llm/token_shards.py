@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociweave.llm.files import Publish, open_file
-from lociweave.storage import shared_path, shuffle_width, written
+from lociweave.storage import shared_path, written
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END_OF_TEXT = 50256
@@ -165,7 +165,7 @@ def write_shards(
     stride = 2 * seq_len
     with Publish(f"{out}/manifest.json") as put:
         put.write(json.dumps({"sequences": n, "seq_len": seq_len, "per_shard": per_shard, "dtype": "<u2", "key": key}).encode())
-    base = spark.createDataFrame(bases, "part int, base long")
+    base = F.broadcast(spark.createDataFrame(bases, "part int, base long"))  # one row a task
     permutation = Feistel(n, key)
     ordinal = table.join(base, "part").withColumn("slot", _slot_of(permutation, F.col("base") + F.col("at")))
     placed = ordinal.select("slot", F.expr(f"cast(slot div {per_shard} AS int)").alias("shard"), "doc_ids", "n_tokens", "ids")
@@ -200,7 +200,7 @@ def write_shards(
     for wave in range(waves):
         low, high = wave * shards // waves, (wave + 1) * shards // waves
         own = placed.where(f"shard >= {low} AND shard < {high}")
-        ranged = own.repartition(max(1, min(shuffle_width(spark), high - low)), "shard").sortWithinPartitions("slot")
+        ranged = own.repartition(max(1, high - low), "shard").sortWithinPartitions("slot")
         rows = written(ranged.mapInArrow(write, schema), "shards")
         made = rows if made is None else made.unionByName(rows)
     return made

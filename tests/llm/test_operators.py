@@ -15,7 +15,12 @@ from lociweave.llm import decontamination, exact_dedup, jaccard_join, licences,
 
 WORDS = re.compile("[^\x20\x09-\x0d]+")
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-CLASHING = {c: F.lit(1) for c in ("key", "h", "n", "token", "set_id", "block", "slot", "size", "shard", "word", "bits", "text_sha256", "score", "row", "_found", "_rank", "item_ids", "component")}
+CLASHING = ("key", "h", "n", "token", "set_id", "block", "slot", "size", "shard", "word", "bits", "text_sha256", "score", "row", "_found", "_rank", "item_ids", "component")
+
+
+def clashing(df, *but):
+    return df.withColumns({c: F.lit(1) for c in CLASHING if c not in but})
+
 
 rng = random.Random(7)
 LONG = " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(30_000))
@@ -29,7 +34,7 @@ ODD = [
 @pytest.fixture(scope="module")
 def odd(spark):
     frame = spark.createDataFrame([(i, t, "en", None if i == 2 else "s", len(t or "")) for i, t in ODD], "doc_id long, text string, lang string, source string, n_chars long")
-    return frame.repartition(3).withColumns(CLASHING)
+    return clashing(frame.repartition(3))
 
 
 @pytest.fixture(scope="module")
@@ -152,7 +157,7 @@ def test_licences_are_found_and_inherited(spark):
         ("a/LICENSE", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"),
         ("a/b/c/x.py", "print(1)"), ("a/b/y.py", "# Licensed under the Apache License, Version 2.0."), ("a/b/c/d/z.py", None), ("e/f.py", ""), ("g.py", "the licence of the street"), (None, "x"),
     ]
-    files = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string").withColumns({k: v for k, v in CLASHING.items() if k != "score"})
+    files = clashing(spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string"))
     got = {r.key: (r.licence, r.basis, r.from_path) for r in licences.scan_licences(files, "doc_id", "path", "text").collect()}
     assert got == {
         0: ("MIT", "own", "a/LICENSE"), 1: ("Apache-2.0", "inherited", "a/b/y.py"), 2: ("Apache-2.0", "own", "a/b/y.py"), 3: ("Apache-2.0", "inherited", "a/b/y.py"),
