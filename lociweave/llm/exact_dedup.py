@@ -65,7 +65,8 @@ def exact_dedup(
     )
     again = tested.where("again").select("doc_id", "points", "text_sha256")
     first = F.struct((-F.col("points")).alias("less"), F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"))
-    groups = again.groupBy(F.col("text_sha256").alias("key")).agg(F.min(first).alias("best"), F.count("*").alias("group_size"))
+    # written, so that the join below has two plain exchanges and Spark can split the rows of a hot hash
+    groups = written(again.groupBy(F.col("text_sha256").alias("key")).agg(F.min(first).alias("best"), F.count("*").alias("group_size")), "groups")
     met = again.join(groups, again["text_sha256"] == groups["key"]).select(
         "doc_id",
         F.col("best.id").alias("keep_id"),

@@ -12,8 +12,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
-BLOCK_BYTES = 1 << 20
+SLICE_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 #: Separator bytes of the two word rules: white space, and everything ASCII but digits and letters.
 WHITE = np.zeros(256, bool)

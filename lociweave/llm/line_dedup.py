@@ -167,7 +167,8 @@ class LineDedup:
         salted = lines.select("*", _shard(self.shards), salt)
         filters = self.filters.select("*", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt"))
         maybe = salted.groupBy("shard", "salt").cogroup(filters.groupBy("shard", "salt")).applyInPandas(_probe, LINES)
-        exact = reference_counts(self.postings()).where(F.col("n_docs") >= self.min_docs)
+        # written, so that the join below has two plain exchanges and Spark can split the lines of a hot key
+        exact = written(reference_counts(self.postings()).where(F.col("n_docs") >= self.min_docs), "counts")
         return maybe.join(exact, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("last_doc"))).select(lines.columns)
 
 

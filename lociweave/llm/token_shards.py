@@ -32,6 +32,7 @@ END_OF_TEXT = 50256
 SEQ_LEN = 1024
 PER_SHARD = 4096
 WAVES = 4
+ROWS_AT_ONCE = 64
 ROUNDS = 6
 #: The public pre-tokenisation pattern of this vocabulary (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -130,8 +131,9 @@ def sequences(docs: DataFrame, doc_id: str, text: str, vocabulary: str, seq_len:
             owners = [(d, e - used) for d, e in owners if e > used]
             return batch
 
-        for batch in batches:
-            for number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        pieces = (batch.slice(k, ROWS_AT_ONCE) for batch in batches for k in range(0, batch.num_rows, ROWS_AT_ONCE))
+        for piece in pieces:
+            for number, body in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
                 if body:
                     held.append(np.array([*encoding.encode_ordinary(body), end], np.uint16))
                     total += len(held[-1])

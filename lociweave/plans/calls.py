@@ -169,3 +169,18 @@ def routed(calls: DataFrame, two_stage: bool) -> DataFrame:
     order = Window.orderBy(F.desc("s"), F.desc("q"), "a", "b", F.desc("parent"))
     numbered = groups.select("parent", "is_fragment", F.row_number().over(order).cast("long").alias("gene_number"))
     return marked.join(numbered, "parent")
+
+
+def decisions(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("query_id", "strand")) -> DataFrame:
+    """What happened to each call, in order: (query_id, strand, step, event, tid, weighted, n_hits); events are trim,
+    isoform_tiebreak and select."""
+    gathered = calls.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("tid", F.col("hits").getField("start").alias("at"), F.struct(*calls.columns).alias("call")))).alias("c"))
+
+    def log(row: dict) -> list[dict]:
+        events: list[dict] = []
+        resolve(row["calls"], prefer_mane, events)
+        facts = lambda c: {"query_id": c["query_id"], "strand": c["strand"], "tid": c["tid"], "weighted": c["weighted"], "n_hits": len(c["hits"])}
+        return [{"step": k, "event": e["event"], **facts(e["call"])} for k, e in enumerate(events)]
+
+    schema = "query_id string, strand string, step int, event string, tid string, weighted double, n_hits int"
+    return _map_rows(gathered.select(F.col("c.call").alias("calls")), log, schema)

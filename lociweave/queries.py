@@ -11,7 +11,7 @@ from lociweave.functions import scalars as S
 from lociweave.operators.graph import connected_components
 from lociweave.operators.intervals import equal_copy_counts, islands, merged, overlap_length, range_join
 from lociweave.plans.derived import HITS, SPANS, hits, spans
-from lociweave.plans.evidence import block_scores, expected_exons, hits_of, with_blocks
+from lociweave.plans.evidence import block_scores, expected_exons, hits_of, non_overlapping, with_blocks
 from lociweave.storage import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -479,3 +479,59 @@ def session_islands(spark, sf_dir):
 def sample_partition_rollup(spark, sf_dir):
     rows = hits(spark, sf_dir).withColumn("sample", F.col("query_id") % 10)
     return rows.groupBy("sample", "strand").agg(F.count("*").alias("n_rows"), F.countDistinct("gene").alias("n_genes"), F.sum("ident").alias("bases"))
+
+
+# ---------------------------------------------------------------- chains and resolution (not expressible in SQL)
+
+
+def _chains(spark, sf_dir):
+    """Transcript chains over the derived hits: types of a brand as transcripts, MANE if one of its parts is."""
+    from lociweave.plans import calls as C
+
+    found = with_blocks(hits(spark, sf_dir), "qs", "qe")
+    best = block_scores(found, "gene", "exon_len", "ident", ["exon_id", "qs", "qe", "ok", "ln"])
+    rows = found.join(best.select(*KEYS, "block_id", "gene", "score", "supplier_length", "supplier_exon_id"), [*KEYS, "block_id", "gene"])
+    exon = F.col("exon_id").cast("string")
+    hit = F.struct(
+        F.col("exon_number").cast("int").alias("number"), exon.alias("exon_id"), F.col("qs").alias("start"), F.col("qe").alias("end"), "block_start", "block_end", "score",
+        F.col("exon_len").alias("length"), S.exon_score(F.col("exon_len"), F.col("ident")).alias("exon_score"), F.col("ident").alias("bases"),
+        (100.0 * F.col("ident") / F.col("exon_len")).alias("identity"), F.lit(100.0).alias("coverage"), F.col("ident").cast("double").alias("alignment_score"),
+        F.lit(0).cast("long").alias("exon_start"), F.col("exon_len").alias("exon_end"), F.col("gene").alias("ref_chrom"), F.lit(0).cast("long").alias("ref_start"),
+        F.col("exon_len").alias("ref_end"), F.col("supplier_exon_id").cast("string").alias("supplier_exon_id"), "supplier_length",
+    )
+    part = read_table(spark, sf_dir, "part").groupBy(F.concat_ws(":", "p_brand", "p_type").alias("tid")).agg(
+        F.array_sort(F.collect_set(F.col("p_size").cast("int"))).alias("expected_numbers"), F.bool_or(F.col("p_partkey") % 5 == 0).alias("mane")
+    )
+    order = F.struct("qs", "qe", "ok", "ln", hit.alias("hit"))
+    groups = rows.groupBy(F.col("query_id").cast("string").alias("query_id"), "strand", "tid", "gene").agg(F.array_sort(F.collect_list(order)).alias("h")).join(part, "tid")
+    length = F.aggregate("h.hit", F.lit(0).cast("long"), lambda a, x: a + x["length"])
+    text = lambda v: F.lit(v)
+    facts = groups.select(
+        "query_id", "strand", "tid", F.col("tid").alias("transcript_id_full"), "gene", F.col("gene").alias("gene_id"), F.col("gene").alias("gene_id_full"), F.col("gene").alias("gene_name"),
+        text("protein_coding").alias("transcript_type"), text("transcript").alias("model_type"), "mane", F.lit(True).alias("coding"), length.alias("exon_length"),
+        F.size("expected_numbers").alias("expected"), "expected_numbers", F.lit(None).cast("long").alias("max_gap"), F.col("h.hit").alias("hits"),
+    )
+    return C.chains(facts, 10.0, C.Options())
+
+
+@query()
+def chain_best(spark, sf_dir):
+    """Every extracted chain: its found numbers and scores."""
+    return _chains(spark, sf_dir).select("query_id", "strand", "tid", F.size("hits").alias("n_hits"), F.size("found").alias("n_found"), F.round("raw", 6).alias("raw"), F.round("weighted", 6).alias("weighted"))
+
+
+@query()
+def resolved_calls(spark, sf_dir):
+    """The chains that stay after competition for blocks, with their tie groups."""
+    from lociweave.plans import calls as C
+
+    kept = C.resolved(_chains(spark, sf_dir), True)
+    return kept.select("query_id", "strand", "tid", "gene", F.size("hits").alias("n_hits"), F.round("weighted", 6).alias("weighted"), "tie_group_id", "tie_count")
+
+
+@query()
+def same_exon_dedup(spark, sf_dir):
+    """Of overlapping hits of one exon on one query and strand, the best and those that fit beside it."""
+    rows = hits(spark, sf_dir).withColumn("score", S.exon_score(F.col("exon_len"), F.col("ident")))
+    kept = non_overlapping(rows, [*KEYS, "exon_id"], "qs", "qe", [-F.col("score"), -F.col("ident"), F.col("ok"), F.col("ln")])
+    return kept.select("ok", "ln", "exon_id", "qs", "qe")
