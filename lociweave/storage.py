@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 LOCAL_CHECKPOINTS = "file:///tmp/checkpoints"
 #: The shuffle files of a table that has been written are of no more use, and go when its job ends.
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Batches that go to Python are cut by bytes, as rows may be of any length; the default cuts at 10,000 rows.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+WHILE_WRITING = {FREE_SHUFFLES: "true", BATCH_BYTES: str(4 << 20)}
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -24,12 +27,14 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: later jobs neither recompute nor lose it."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    before = spark.conf.get(FREE_SHUFFLES, "false")
-    spark.conf.set(FREE_SHUFFLES, "true")
+    before = {key: spark.conf.get(key) for key in WHILE_WRITING}
+    for key, value in WHILE_WRITING.items():
+        spark.conf.set(key, value)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(FREE_SHUFFLES, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
