@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociweave.llm.kernels import shingle_sets
+from lociweave.llm.kernels import give_back, shingle_sets
 from lociweave.operators.graph import connected_components
 from lociweave.storage import shuffle_width, written
 
@@ -327,8 +327,10 @@ def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
                 held = {}
             for n, c in zip(names, columns, strict=True):
                 held.setdefault(n, []).append(c[k].values.to_numpy() if isinstance(c, pa.Array) else c[k])
+        give_back()
     if held:
         yield held
+    give_back()
 
 
 def refined(cells: DataFrame, order, percent: int) -> DataFrame:

@@ -1,18 +1,19 @@
 """Vectorised numpy helpers shared by the text operators; they run on one Arrow batch inside a task.
 
 Words and shingles are found on UTF-8 bytes: every word rule used here is a set of ASCII bytes that separate, so
-multi-byte characters never need decoding.  All functions take whole texts and cut batches into slices of a few
-megabytes, so memory follows the longest single text and not the batch.
+multi-byte characters never need decoding.  All functions take whole texts and cut batches into slices of
+SLICE_BYTES, so memory follows the longest single text and not the batch.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 BLOCK_BYTES = 1 << 18
 
 #: Separator bytes of the two word rules: white space, and everything ASCII but digits and letters.
@@ -53,6 +54,13 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker that waits for its next task should not hold its largest batch."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets of rows in those bytes); null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -69,6 +77,7 @@ def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.nd
         end = min(end, len(column))
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
+    give_back()
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, code: np.ndarray = _BYTE_CODE) -> np.ndarray:
