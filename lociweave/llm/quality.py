@@ -104,7 +104,9 @@ class Model:
         return {"x": x, "z": z, "t": t, "g": g, "a": a, "bag": bag, "begins": begins, "pooled": pooled, "logit": pooled @ w["score"] + w["score0"]}
 
     def score(self, x: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.forward(x, counts)["logit"] + self.shift, -30, 30)))
+        """Scores to six places, from double sums: a task that runs again gives the same ones, however its batches fall."""
+        logit = self.forward(x.astype(np.float64), counts)["logit"]
+        return np.round(1 / (1 + np.exp(-np.clip(logit + self.shift, -30, 30))), 6)
 
     def gradient(self, x: np.ndarray, counts: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         w, f = self.weights, self.forward(x, counts)
