@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from lociweave.llm.kernels import NON_ALNUM, Words, shingles, slices, whole
 
-BLOCK_BYTES = 16 << 20
+#: An index takes many times the memory of the item text it is made of, in the driver and in each task.
+BLOCK_BYTES = 2 << 20
 SHINGLE_WORDS = 5
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOUND = "struct<n_words: long, spans: array<struct<start: long, stop: long>>, items: array<int>>"
