@@ -7,8 +7,9 @@ always be had back.  Each shard (a slice of the key space) also has a cuckoo fil
 the exact table, which decides.  A change of documents inserts keys that reach the threshold into the filters and
 deletes those that fall below it.
 
-Keys are 128-bit hashes; a key of at least `min_chars` code points counts.  Lines of a hot key are salted by document
-over several tasks of their shard, and reference counts are combined before they are shuffled.
+Keys are 128-bit hashes; a key of at least `min_chars` code points counts.  There are more shards the more lines there
+are, and the lines of a shard are salted by document over as many groups as keep each group to a fair share of all lines
+and to about GROUP_LINES, whatever one key holds.  Reference counts are combined before they are shuffled.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 from lociweave.llm.kernels import WHITE, LineKeys, mix, slices
 from lociweave.storage import shared_path, written
 
-SHARDS = 64
-SALTS = 4
+SHARDS, MOST_SHARDS, SHARD_LINES = 64, 1 << 16, 1 << 21
+#: A shard is cut into groups of at most GROUP_LINES lines, and of one GROUPS-th of an even shard.
+GROUPS, GROUP_LINES = 4, 1 << 19
 LINES = "doc_id long, text_hash long, line int, h1 long, h2 long"
 
 
@@ -121,7 +123,7 @@ class LineDedup:
     """Incremental state over documents; every change gives a new state and leaves the old one usable."""
 
     def __init__(self, spark: SparkSession, min_docs: int = 3, min_chars: int = 20, shards: int = SHARDS):
-        self.spark, self.min_docs, self.min_chars, self.shards = spark, min_docs, min_chars, shards
+        self.spark, self.min_docs, self.min_chars, self.shards = spark, min_docs, min_chars, min(shards, MOST_SHARDS)
         self.batches: list[str] = []
         self.filters = spark.createDataFrame([], "shard int, buckets int, cells binary")
 
@@ -163,10 +165,16 @@ class LineDedup:
 
     def dropped(self, lines: DataFrame) -> DataFrame:
         """Rows of `lines` that this state drops: keys in min_docs documents, but for the largest document's."""
-        salt = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int").alias("salt")
-        salted = lines.select("*", _shard(self.shards), salt)
-        filters = self.filters.select("*", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt"))
-        maybe = salted.groupBy("shard", "salt").cogroup(filters.groupBy("shard", "salt")).applyInPandas(_probe, LINES)
+        counted = lines.select(_shard(self.shards)).groupBy("shard").agg(F.count("*").alias("n"))
+        fair = max(1, min(GROUP_LINES, lines.count() // (GROUPS * self.shards)))
+        # one row a shard, MOST_SHARDS at most
+        salts = F.broadcast(written(counted.select("shard", F.ceil(F.col("n") / fair).alias("salts")), "salts"))
+        salted = lines.select("*", _shard(self.shards)).join(salts, "shard")
+        salted = salted.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash", "line"), "salts"))
+        filters = self.filters.join(salts, "shard").select(
+            "shard", "buckets", "cells", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
+        )
+        maybe = salted.drop("salts").groupBy("shard", "salt").cogroup(filters.groupBy("shard", "salt")).applyInPandas(_probe, LINES)
         # written, so that the join below has two plain exchanges and Spark can split the lines of a hot key
         exact = written(reference_counts(self.postings()).where(F.col("n_docs") >= self.min_docs), "counts")
         return maybe.join(exact, ["h1", "h2"]).where(~F.col("doc_id").eqNullSafe(F.col("last_doc"))).select(lines.columns)
@@ -207,7 +215,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     """
     spark = docs.sparkSession
     lines = written(line_keys(docs, doc_id, text, min_chars), "lines")
-    state = LineDedup(spark, min_docs, min_chars).changed(lines, 1)
+    state = LineDedup(spark, min_docs, min_chars, max(SHARDS, lines.count() // SHARD_LINES)).changed(lines, 1)
     drops = state.dropped(lines).groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).agg(F.collect_set("line").alias("_drop"))
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("_text_hash"))
