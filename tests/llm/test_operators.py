@@ -11,6 +11,7 @@ import pytest
 from conftest import SF, rows_of
 from pyspark.sql import functions as F
 
+from lociweave import storage
 from lociweave.llm import decontamination, exact_dedup, jaccard_join, licences, line_dedup, mixing, quality, queries, sharding, token_shards, warc
 
 WORDS = re.compile("[^\x20\x09-\x0d]+")
@@ -100,6 +101,15 @@ def test_cuckoo_filter_holds_and_forgets():
     assert held.test(keys[1500:]).all() and held.test(keys[:1500]).mean() < 0.01
 
 
+def test_a_line_of_a_third_of_all_rows_is_dealt_over_groups(spark):
+    docs = spark.createDataFrame([(i, "the same line in very many documents\n" + f"a line of its own, number {i}") for i in range(6000)], "doc_id long, text string")
+    lines = storage.written(line_dedup.line_keys(docs, "doc_id", "text", 20))
+    state = line_dedup.LineDedup(spark, shards=4).changed(lines, 1)
+    gone = state.dropped(lines)
+    assert gone.count() == 5999 and gone.agg(F.max("doc_id")).first()[0] == 5998
+    assert line_dedup.dedup_lines(docs).agg(F.sum("n_dropped")).first()[0] == 5999
+
+
 # ---------------------------------------------------------------- 2 quality
 
 
@@ -165,6 +175,14 @@ def test_licences_are_found_and_inherited(spark):
     }
 
 
+def test_licences_that_most_texts_state_are_found(spark):
+    notice = "Licensed under CC BY 4.0."
+    rows = [(i, f"p{i}/f.txt", f"text {i}\n{notice}" if i % 4 else f"text {i} by the sea, under 4 trees") for i in range(200)]
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.key: (r.licence, r.basis) for r in licences.scan_licences(files, "doc_id", "path", "text").collect()}
+    assert got == {i: ("CC-BY-4.0", "own") if i % 4 else (None, "none") for i in range(200)}
+
+
 def test_licences_of_odd_tables(odd, empty):
     assert licences.scan_documents(odd).count() >= len({i for i, _ in ODD})
     assert licences.scan_documents(empty).count() == 0
