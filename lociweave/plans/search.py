@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociweave.functions.scalars import window_padding
@@ -139,3 +139,62 @@ def projected(hsps: DataFrame, aliases: DataFrame) -> DataFrame:
     rows = _map_rows(met, one, schema)
     key = ["query_id", "target_start", "target_end", "strand", "exon_id", "exon_start", "exon_end", "cigar"]
     return rows.groupBy(*key).agg(F.min_by(F.struct(*[c for c in rows.columns if c not in key]), "ord").alias("r")).select(*key, "r.*")
+
+
+def with_aliases(alignments: DataFrame, exons: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Alignments of representative exons, given to every exon that a representative stands for.
+
+    alignments: exon_id, strand, exon_start, exon_end, bases, identical and any other columns; exons: the representatives
+    (exon_id, chrom, start, end, strand); aliases: representative_id, exon_id, chrom, start, end, strand, length,
+    merge_reason.  Where alias and representative overlap on one contig, the aligned part is cut to the alias and turned
+    to its strand; elsewhere exon positions carry over as far as the alias is long.  An alignment without aliases or
+    representative, or whose aliases all lie outside the aligned part, stays as it is.  Adds exon_length and coverage
+    (null for rows that stay).  Aliases of one representative travel as one array, so each side is shuffled once.
+    """
+    fields = ["exon_id", "chrom", "start", "end", "strand", "length", "merge_reason"]
+    listed = aliases.groupBy(F.col("representative_id").alias("_by")).agg(F.collect_list(F.struct(*fields)).alias("_aliases"))
+    place = exons.select(F.col("exon_id").alias("_of"), F.struct("chrom", "start", "end", "strand").alias("_rep"))
+    met = alignments.join(listed, F.col("exon_id") == F.col("_by"), "left").join(place, F.col("exon_id") == F.col("_of"), "left")
+    rep, zero = F.col("_rep"), F.lit(0).cast("long")
+
+    def part(a: Column) -> Column:
+        same = F.coalesce((rep["chrom"] == a["chrom"]) & (F.least(rep["end"], a["end"]) > F.greatest(rep["start"], a["start"])), F.lit(False))
+        back = rep["strand"] == "-"
+        low = F.greatest(F.when(back, rep["end"] - F.col("exon_end")).otherwise(rep["start"] + F.col("exon_start")), a["start"])
+        high = F.least(F.when(back, rep["end"] - F.col("exon_start")).otherwise(rep["start"] + F.col("exon_end")), a["end"])
+        here = F.when(a["strand"] == "-", a["end"] - high).otherwise(low - a["start"])
+        first, last = F.least("exon_start", a["length"]), F.least("exon_end", a["length"])
+        apart = last > first
+        bases = F.when(same, F.greatest(zero, high - low)).when(apart, last - first).otherwise(F.least("bases", a["length"]))
+        start = F.when(same, here).when(apart, first).otherwise(zero)
+        share = F.when(F.col("bases") > 0, F.bround(F.col("identical") * bases / F.col("bases"), 0).cast("long")).otherwise(zero)
+        turned = same & (rep["strand"] != a["strand"]) & (a["merge_reason"] != "exact_sequence")
+        strand = F.when(F.coalesce(turned, F.lit(False)), F.when(F.col("strand") == "+", "-").otherwise("+")).otherwise(F.col("strand"))
+        coverage = F.when(a["length"] > 0, 100.0 * bases / a["length"]).otherwise(0.0)
+        return F.struct(
+            a["exon_id"].alias("exon_id"), strand.alias("strand"), start.cast("long").alias("exon_start"), (start + bases).cast("long").alias("exon_end"),
+            bases.cast("long").alias("bases"), share.alias("identical"), a["length"].cast("long").alias("exon_length"), coverage.alias("coverage"),
+            (same & (bases == 0)).alias("outside"),
+        )
+
+    made = F.filter(F.transform("_aliases", part), lambda x: ~x["outside"])
+    changed = ["exon_id", "strand", "exon_start", "exon_end", "bases", "identical"]
+    own = F.struct(
+        *[F.col(c).cast("string" if c in ("exon_id", "strand") else "long").alias(c) for c in changed],
+        F.lit(None).cast("long").alias("exon_length"), F.lit(None).cast("double").alias("coverage"), F.lit(False).alias("outside"),
+    )
+    found = F.when(F.coalesce(rep.isNotNull() & (F.size(made) > 0), F.lit(False)), made).otherwise(F.array(own))
+    rest = [c for c in alignments.columns if c not in [*changed, "exon_length", "coverage"]]
+    each = met.select(*rest, F.explode(found).alias("_x"))
+    return each.select(*rest, *[F.col(f"_x.{c}").alias(c) for c in [*changed, "exon_length", "coverage"]])
+
+
+def capped_targets(rows: DataFrame, query: str, target: str, score: str, most: int) -> DataFrame:
+    """Rows of the `most` best targets of each query, a target being as good as its best row (ties: the smaller name).
+
+    Rows meet as one row a (query, target) before any is ranked.
+    """
+    best = rows.groupBy(query, target).agg(F.max(score).alias("_best"))
+    rank = F.row_number().over(Window.partitionBy(query).orderBy(F.desc("_best"), target))
+    kept = best.withColumn("_rank", rank).where(F.col("_rank") <= most).select(query, target)
+    return rows.join(kept, [query, target], "left_semi")

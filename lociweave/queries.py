@@ -481,6 +481,18 @@ def sample_partition_rollup(spark, sf_dir):
     return rows.groupBy("sample", "strand").agg(F.count("*").alias("n_rows"), F.countDistinct("gene").alias("n_genes"), F.sum("ident").alias("bases"))
 
 
+@query(
+    f"""WITH {HITS}, b AS (SELECT query_id, gene, max(ident) AS best FROM hits GROUP BY 1, 2),
+r AS (SELECT query_id, gene, row_number() OVER (PARTITION BY query_id ORDER BY best DESC, gene) AS k FROM b)
+SELECT ok, ln, h.query_id, h.gene FROM hits h JOIN r ON h.query_id = r.query_id AND h.gene = r.gene WHERE k <= 5"""
+)
+def target_cap(spark, sf_dir):
+    """The rows of each query's five best targets: the cap is the operator."""
+    from lociweave.plans.search import capped_targets
+
+    return capped_targets(hits(spark, sf_dir).select("ok", "ln", "query_id", "gene", "ident"), "query_id", "gene", "ident", 5).select("ok", "ln", "query_id", "gene")
+
+
 # ---------------------------------------------------------------- chains and resolution (not expressible in SQL)
 
 

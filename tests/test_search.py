@@ -114,3 +114,21 @@ def test_session_stream(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert [r.n_events for r in spark.table("sessions").collect()] == [4]
+
+
+def test_alignments_are_given_to_aliases(spark):
+    from lociweave.plans.search import with_aliases
+
+    exons = spark.createDataFrame([("r", "c1", 100, 200, "+"), ("m", "c1", 100, 200, "-")], "exon_id string, chrom string, start long, end long, strand string")
+    aliases = spark.createDataFrame(
+        [("r", "inside", "c1", 120, 140, "+", 20, "overlap"), ("r", "turned", "c1", 120, 140, "-", 20, "overlap"), ("r", "away", "c2", 5, 55, "-", 50, "exact_sequence"),
+         ("r", "outside", "c1", 190, 200, "+", 10, "overlap"), ("m", "far", "c1", 100, 105, "-", 5, "overlap"), ("lost", "x", "c1", 0, 9, "+", 9, "overlap")],
+        "representative_id string, exon_id string, chrom string, start long, end long, strand string, length long, merge_reason string",
+    )
+    rows = spark.createDataFrame([(1, "r", "+", 10, 60, 50, 45), (2, "m", "-", 0, 50, 50, 50), (3, "lost", "+", 0, 9, 9, 9), (4, "none", "+", 1, 2, 1, 1)],
+                                 "ord long, exon_id string, strand string, exon_start long, exon_end long, bases long, identical long")
+    got = {tuple(r) for r in with_aliases(rows, exons, aliases).drop("coverage").collect()}
+    assert got == {
+        (1, "inside", "+", 0, 20, 20, 18, 20), (1, "turned", "-", 0, 20, 20, 18, 20), (1, "away", "+", 10, 50, 40, 36, 50),
+        (2, "m", "-", 0, 50, 50, 50, None), (3, "lost", "+", 0, 9, 9, 9, None), (4, "none", "+", 1, 2, 1, 1, None),
+    }
