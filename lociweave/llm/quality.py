@@ -64,6 +64,7 @@ def passage_features(texts: pa.Array):
             here = data[place]
             counts = np.bincount(owner * CLASSES + _CLASS[here], minlength=len(begins) * CLASSES).reshape(-1, CLASSES)
             after = np.r_[here[1:], np.uint8(0x20)]
+            after[np.cumsum(byte_end - byte_begin) - 1] = 0x20  # never the next passage, which may be of another row
             pair = (here.astype(np.uint32) * np.uint32(0x9E3B) + after.astype(np.uint32) * np.uint32(0x85EB)) >> np.uint32(5) & np.uint32(PAIRS - 1)
             pairs = np.bincount(owner * PAIRS + pair, minlength=len(begins) * PAIRS).reshape(-1, PAIRS)
             hashed = found.hashes()

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF, rows_of
 from pyspark.sql import functions as F
@@ -129,6 +130,12 @@ def test_quality_learns_on_one_fold_and_holds_on_the_other(spark):
     assert np.allclose(got.sort_values("doc_id").score, again.sort_values("doc_id").score)
 
 
+def test_features_do_not_depend_on_neighbours():
+    texts = ["one small text", "", "Another one, with 3 marks!", "w " * 100]
+    alone = np.concatenate([x for t in texts for _, x in quality.passage_features(pa.array([t]))])
+    assert (alone == np.concatenate([x for _, x in quality.passage_features(pa.array(texts))])).all()
+
+
 def test_quality_of_odd_tables(spark, odd, empty):
     labels = spark.createDataFrame([(3, 1), (5, None), (None, 0)], "doc_id long, quality int")
     got = quality.score_documents(odd, labels).collect()
