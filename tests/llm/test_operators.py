@@ -353,6 +353,42 @@ def test_mixing_deviates_by_less_than_a_block(spark, odd, empty):
     assert mixing.mixed(odd).columns == odd.columns
 
 
+def shares(got, weights):
+    """Largest deviation, in blocks, of each source after any number of slots."""
+    slots = got.drop_duplicates("slot").sort_values("slot")
+    n = np.arange(1, len(slots) + 1)
+    return max(np.abs((slots.source == s).to_numpy().cumsum() - w * n).max() for s, w in weights.items())
+
+
+def test_mixing_keeps_the_weights_of_many_small_sources(spark):
+    small = [f"s{k}" for k in range(1000)]
+    names = ["hot"] * 5000 + small * 10
+    docs = spark.createDataFrame(list(enumerate(names)), "doc_id long, source string")
+    weights = {"hot": 5000 / 15000} | {s: 10 / 15000 for s in small}
+    got = mixing.mix_sources(docs, {"hot": 5000} | {s: 10 for s in small}, block_rows=4).toPandas()
+    assert set(got.doc_id) == set(range(len(names))) and sorted(got.position) == list(range(len(got)))
+    assert shares(got, {s: weights[s] for s in ["hot", *small[:20]]}) < 1
+    assert abs((got.source == "hot").mean() - 1 / 3) < 0.001 and len(got) < 1.3 * len(names)
+
+
+def test_mixing_keeps_weights_that_are_no_thousandths(spark):
+    docs = spark.createDataFrame([(i, "a" if i % 3 else "b") for i in range(9000)], "doc_id long, source string")
+    for weights in ({"a": 2 / 3, "b": 1 / 3}, {"a": 0.99951, "b": 0.00049}):
+        docs_of = docs if weights["b"] > 0.1 else docs.where("source = 'a' OR doc_id < 15")
+        got = mixing.mix_sources(docs_of, weights, block_rows=1).toPandas()
+        assert shares(got, weights) < 1 and sorted(got.position) == list(range(len(got)))
+
+
+def test_mixing_goes_on_with_the_next_epoch_inside_a_block(spark):
+    docs = spark.createDataFrame([(i, "a" if i < 100 else "b") for i in range(105)], "doc_id long, source string")
+    got = mixing.mix_sources(docs, {"a": 0.5, "b": 0.5}, block_rows=8).toPandas()
+    assert sorted(got.position) == list(range(len(got))) and set(got.doc_id) == set(range(105))
+    assert abs((got.source == "a").sum() - (got.source == "b").sum()) <= 8
+    assert set(got[got.source == "b"].groupby("doc_id").size()) <= {len(got[got.source == "b"]) // 5, len(got[got.source == "b"]) // 5 + 1}
+    alone = mixing.mix_sources(docs.where("source = 'a'"), block_rows=64).toPandas()
+    assert sorted(alone.doc_id) == list(range(100)) and (alone.epoch == 0).all()
+
+
 def test_hyperperiod_meets_every_window():
     for parts in ({"a": 1}, {"a": 3, "b": 3, "c": 1}, {"a": 500, "b": 499, "c": 1}, {k: p for k, p in zip("abcdefg", (7, 1, 13, 2, 2, 40, 35), strict=True)}):
         period = sum(parts.values())
