@@ -1,8 +1,8 @@
 """License scans: TF-IDF cosine of licence statements to templates, and nearest-ancestor inheritance by path joins.
 
 DataFrame functions only.  A text is read line by line (a licence file also as one piece); pieces and templates are
-sparse vectors over lower-cased words.  A word's weight is 1 + ln((1 + N) / (1 + df)), with df counted over all N texts
-for the words of the templates; every other word has df 0, so it lengthens a piece without matching.
+sparse vectors over lower-cased words.  A word's weight is 1 + ln((1 + N) / (1 + df)), with df counted over all N texts,
+for the words of the templates and for every other word of a piece alike.
 
 A piece's cosine is at most the length of the template's part that the piece has, over the template's length.  So the
 commonest words of a template, up to a part shorter than the threshold, cannot make a match by themselves, and a piece
@@ -79,10 +79,10 @@ def own_licences(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     terms = template_table(spark, templates)
     listed = terms.collect()
     vocabulary = sorted({r["word"] for r in listed})
-    words = F.array(*[F.lit(w) for w in vocabulary])
-    held = files.select(F.array_intersect(_words(F.col("text")), words).alias("held"))
     n = files.count()
-    counted = {r["word"]: r["count"] for r in held.select(F.explode("held").alias("word")).groupBy("word").count().collect()}
+    frequencies = files.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+    frequencies = written(frequencies, "frequencies")
+    counted = {r["word"]: r["df"] for r in frequencies.where(F.col("word").isin(vocabulary)).collect()}
     weights = spark.createDataFrame([(w, counted.get(w, 0)) for w in vocabulary], "word string, df long")
     weights = weights.select("word", _weight(n, F.col("df")).alias("w"))
     anchors = F.array(*[F.lit(w) for w in anchor_words(listed, counted, n, threshold)])
@@ -92,7 +92,7 @@ def own_licences(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     piece = likely.select("key", F.posexplode(pieces).alias("piece", "body")).withColumn("words", _words(F.col("body")))
     piece = piece.where(F.arrays_overlap("words", anchors)).select("key", "piece", F.explode("words").alias("word"))
     tf = piece.groupBy("key", "piece", "word").agg(F.count("*").alias("tf"))
-    weighed = tf.join(F.broadcast(weights), "word", "left").withColumn("x", F.col("tf") * F.coalesce("w", _weight(n, F.lit(0.0))))
+    weighed = tf.join(frequencies, "word").withColumn("x", F.col("tf") * _weight(n, F.col("df")))
     weighed = written(weighed.select("key", "piece", "word", "x"), "pieces")
     norm = weighed.groupBy("key", "piece").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     template = terms.join(weights, "word").select("template", "licence", "word", (F.col("tf") * F.col("w")).alias("y"))

@@ -190,6 +190,20 @@ def test_licences_that_most_texts_state_are_found(spark):
     assert got == {i: ("CC-BY-4.0", "own") if i % 4 else (None, "none") for i in range(200)}
 
 
+def test_common_words_beside_a_notice_have_their_own_frequency(spark):
+    texts = ["this and that for the use in her is it are of a work"] * 3000 + ["Licensed under CC BY 4.0 for that and the her.", "This work and that in the are licensed under CC BY 4.0."]
+    files = spark.createDataFrame([(i, "f.txt", t) for i, t in enumerate(texts)], "key long, name string, text string")
+    got = {r.key: (r.licence, r.score) for r in licences.own_licences(files).collect()}
+    df = Counter(w for t in texts for w in set(re.findall("[a-z0-9]+", t.lower())))
+    weight = lambda text: {w: n * (1 + np.log((1 + len(texts)) / (1 + df[w]))) for w, n in Counter(re.findall("[a-z0-9]+", text.lower())).items()}
+    template = weight("Licensed under CC BY 4.0.")
+    assert set(got) == {3000, 3001}
+    for i in got:
+        piece = weight(texts[i])
+        cosine = sum(x * template.get(w, 0) for w, x in piece.items()) / np.sqrt(sum(x * x for x in piece.values()) * sum(y * y for y in template.values()))
+        assert got[i][0] == "CC-BY-4.0" and abs(got[i][1] - cosine) < 1e-5
+
+
 def test_licences_of_odd_tables(odd, empty):
     assert licences.scan_documents(odd).count() >= len({i for i, _ in ODD})
     assert licences.scan_documents(empty).count() == 0
