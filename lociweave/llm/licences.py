@@ -1,7 +1,10 @@
 """License scans: TF-IDF cosine of licence statements to templates, and nearest-ancestor inheritance by path joins.
 
-DataFrame functions only.  A text is read line by line (a licence file also as one piece); pieces and templates are
-sparse vectors over lower-cased words.  A word's weight is 1 + ln((1 + N) / (1 + df)), with df counted over all N texts,
+DataFrame functions only.  A text is read line by line (a licence file also as one piece), and in windows of as many words
+as a template has, across lines and inside them, that begin where one of the template's anchor words would stand in its
+place; a window is compared with its template alone.  An SPDX-License-Identifier tag with the name of a template's licence
+(-only, -or-later or + behind it or not) states that licence, with score 1; of an expression the first name counts.
+Pieces and templates are sparse vectors over lower-cased words.  A word's weight is 1 + ln((1 + N) / (1 + df)), with df counted over all N texts,
 for the words of the templates and for every other word of a piece alike.
 
 A piece's cosine is at most the length of the template's part that the piece has, over the template's length.  So the
@@ -50,20 +53,66 @@ def _weight(n: int, df: Column) -> Column:
     return 1 + F.log((1 + F.lit(float(n))) / (1 + df))
 
 
-def anchor_words(terms: list[Row], df: dict[str, int], n: int, threshold: float) -> list[str]:
-    """Words of which a piece must have one to reach the threshold for some template.  terms: rows of template_table."""
+def template_squares(terms: list[Row], df: dict[str, int], n: int) -> dict[int, dict[str, float]]:
+    """Squared weight of each word of each template.  terms: rows of template_table."""
     of: dict[int, dict[str, float]] = {}
     for r in terms:
         of.setdefault(r["template"], {})[r["word"]] = (r["tf"] * (1 + log((1 + n) / (1 + df.get(r["word"], 0))))) ** 2
+    return of
+
+
+def least_square(squares: dict[str, float], threshold: float) -> float:
+    """Squared length of a template's part that a piece must have to reach the threshold."""
+    return max(0.0, threshold - 1e-6) ** 2 * sum(squares.values())  # scores are rounded to six places
+
+
+def anchors_of(squares: dict[str, float], df: dict[str, int], threshold: float) -> set[str]:
+    """Words of which a piece must have one to reach the threshold for this template."""
     anchors: set[str] = set()
-    for squares in of.values():
-        room = max(0.0, threshold - 1e-6) ** 2 * sum(squares.values())  # scores are rounded to six places
-        for word in sorted(squares, key=lambda w: (-df.get(w, 0), w)):
-            if squares[word] < room:
-                room -= squares[word]
-            else:
-                anchors.add(word)
-    return sorted(anchors)
+    room = least_square(squares, threshold)
+    for word in sorted(squares, key=lambda w: (-df.get(w, 0), w)):
+        if squares[word] < room:
+            room -= squares[word]
+        else:
+            anchors.add(word)
+    return anchors
+
+
+def anchor_words(terms: list[Row], df: dict[str, int], n: int, threshold: float) -> list[str]:
+    """Words of which a piece must have one to reach the threshold for some template."""
+    return sorted(set().union(*(anchors_of(s, df, threshold) for s in template_squares(terms, df, n).values())))
+
+
+def windows(
+    texts: DataFrame, templates: list[tuple[str, str]], squares: dict[int, dict[str, float]], df: dict[str, int], threshold: float
+) -> DataFrame:
+    """(key, of, piece, words): windows of texts (key, text) that have enough of template `of` for the threshold."""
+    spark = texts.sparkSession
+    bodies = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(templates)], "of int, body string")
+    placed = []  # a row for each place of an anchor in a template
+    for r in bodies.select("of", _words(F.col("body")).alias("words")).collect():
+        own = squares[r["of"]]
+        anchors, least = anchors_of(own, df, threshold), least_square(own, threshold)
+        placed += [(w, r["of"], i, len(r["words"]), list(own.items()), least) for i, w in enumerate(r["words"]) if w in anchors]
+    places = spark.createDataFrame(placed, "word string, of int, place int, size int, squares array<struct<word: string, square: double>>, least double")
+    anchors = sorted({row[0] for row in placed})
+    at = texts.select("key", _words(F.col("text")).alias("all")).select("key", "all", F.posexplode("all").alias("at", "word"))
+    met = at.where(F.col("word").isin(anchors)).join(F.broadcast(places), "word")
+    begin = F.greatest(F.col("at") - F.col("place"), F.lit(0))
+    cut = met.select("key", "of", F.slice("all", begin + 1, F.col("size")).alias("words"), "squares", "least")
+    held = F.aggregate("squares", F.lit(0.0), lambda a, e: a + F.when(F.array_contains("words", e["word"]), e["square"]).otherwise(0.0))
+    found = cut.where(held >= F.col("least")).select("key", "of", F.xxhash64("words").alias("piece"), "words")
+    return found.dropDuplicates(["key", "of", "piece"])
+
+
+def tagged(files: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
+    """(key, licence, score) of the SPDX tags in files (key, text) that name a template's licence."""
+    names = sorted({name for name, _ in templates})
+    known = F.broadcast(files.sparkSession.createDataFrame([(n.lower(), n) for n in names], "name string, licence string"))
+    tags = F.regexp_extract_all("text", F.lit(r"(?i)SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9.+-]+)"), F.lit(1))
+    each = files.where(F.lower("text").contains("spdx-license-identifier")).select("key", F.explode(tags).alias("tag"))
+    plain = F.regexp_replace(F.lower("tag"), r"(-only|-or-later|\+)$", "")
+    return each.select("key", plain.alias("name")).join(known, "name").select("key", "licence", F.lit(1.0).alias("score"))
 
 
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
@@ -90,17 +139,21 @@ def own_licences(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     lines = F.split(F.col("text"), "\n")
     pieces = F.when(F.col("name").rlike(LICENCE_FILE), F.concat(lines, F.array("text"))).otherwise(lines)
     piece = likely.select("key", F.posexplode(pieces).alias("piece", "body")).withColumn("words", _words(F.col("body")))
-    piece = piece.where(F.arrays_overlap("words", anchors)).select("key", "piece", F.explode("words").alias("word"))
-    tf = piece.groupBy("key", "piece", "word").agg(F.count("*").alias("tf"))
+    piece = piece.where(F.arrays_overlap("words", anchors))
+    piece = piece.select("key", F.lit(-1).alias("of"), F.col("piece").cast("long").alias("piece"), "words")  # of every template
+    piece = piece.unionByName(windows(likely.select("key", "text"), templates, template_squares(listed, counted, n), counted, threshold))
+    tf = piece.select("key", "of", "piece", F.explode("words").alias("word")).groupBy("key", "of", "piece", "word").agg(F.count("*").alias("tf"))
     weighed = tf.join(frequencies, "word").withColumn("x", F.col("tf") * _weight(n, F.col("df")))
-    weighed = written(weighed.select("key", "piece", "word", "x"), "pieces")
-    norm = weighed.groupBy("key", "piece").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    weighed = written(weighed.select("key", "of", "piece", "word", "x"), "pieces")
+    norm = weighed.groupBy("key", "of", "piece").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     template = terms.join(weights, "word").select("template", "licence", "word", (F.col("tf") * F.col("w")).alias("y"))
     length = template.groupBy("template").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("length"))
     template = F.broadcast(template.join(length, "template").select("template", "licence", "word", (F.col("y") / F.col("length")).alias("y")))
-    dot = weighed.join(template, "word").groupBy("key", "piece", "template", "licence").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
+    met = weighed.join(template, "word").where("of = -1 OR of = template")
+    dot = met.groupBy("key", "of", "piece", "template", "licence").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
     score = F.round(F.col("dot") / F.col("norm"), 6).alias("score")
-    scored = dot.join(norm, ["key", "piece"]).select("key", "licence", score).where(F.col("score") >= threshold)
+    scored = dot.join(norm, ["key", "of", "piece"]).select("key", "licence", score).where(F.col("score") >= threshold)
+    scored = scored.unionByName(tagged(files, templates))
     best = scored.groupBy("key").agg(F.max(F.struct("score", "licence")).alias("best"))
     return best.select("key", F.col("best.licence").alias("licence"), F.col("best.score").alias("score"))
 

@@ -191,7 +191,7 @@ def test_licences_that_most_texts_state_are_found(spark):
 
 
 def test_common_words_beside_a_notice_have_their_own_frequency(spark):
-    texts = ["this and that for the use in her is it are of a work"] * 3000 + ["Licensed under CC BY 4.0 for that and the her.", "This work and that in the are licensed under CC BY 4.0."]
+    texts = ["this and that for the use in her is it are of a work"] * 3000 + ["Licensed for under that CC and BY the 4.0 her.", "This licensed and under that CC in BY the 4.0 are."]
     files = spark.createDataFrame([(i, "f.txt", t) for i, t in enumerate(texts)], "key long, name string, text string")
     got = {r.key: (r.licence, r.score) for r in licences.own_licences(files).collect()}
     df = Counter(w for t in texts for w in set(re.findall("[a-z0-9]+", t.lower())))
@@ -204,6 +204,28 @@ def test_common_words_beside_a_notice_have_their_own_frequency(spark):
         assert got[i][0] == "CC-BY-4.0" and abs(got[i][1] - cosine) < 1e-5
 
 
+def test_notices_inside_lines_and_over_lines_are_found(spark):
+    def wrapped(text):
+        return re.sub(r"(.{1,38})(?: |$)", r"# \1\n", text)
+
+    long = "This work is licensed under the GNU General Public License, version 3."
+    prose = "Here we say at some length what the program does, whom it serves and why it was written by the two of us."
+    rows = [
+        ("# Copyright 2024 Jane Smith. Released under the MIT License.", "MIT"),
+        ("Copyright 2021 Acme Inc. Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+        (f"{prose} Released under the MIT License. {prose}", "MIT"),
+        (wrapped(f"{prose} {long} {prose}"), "GPL-3.0"),
+        (wrapped("Copyright 2020 Some Holder. " + licences.TEMPLATES[3][1]), "Apache-2.0"),
+        (f"{prose} Licensed under\nCC BY-NC\n4.0. {prose}", "CC-BY-NC-4.0"),
+        ("// SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: GPL-3.0-or-later */ x = 1", "GPL-3.0"),
+        ("// SPDX-License-Identifier: Unheard-Of-1.0", None), (prose, None), (f"{prose} the licence of the street and the work of the author", None),
+    ]
+    rows += [(f"{prose} page {i}", None) for i in range(100)]
+    files = spark.createDataFrame([(i, f"d{i}/x.txt", t) for i, (t, _) in enumerate(rows)], "doc_id long, path string, text string")
+    got = {r.key: r.licence for r in licences.scan_licences(files, "doc_id", "path", "text").collect()}
+    assert got == {i: want for i, (_, want) in enumerate(rows)}
+
+
 def test_licences_of_odd_tables(odd, empty):
     assert licences.scan_documents(odd).count() >= len({i for i, _ in ODD})
     assert licences.scan_documents(empty).count() == 0
