@@ -228,6 +228,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the classifier does not reject, with all their columns."""
+    """The rows of docs that the classifier does not reject, with all their columns.
+
+    Where no model can be fitted, as one of the classes has no document, nothing is rejected and all rows stay.
+    """
     model = train(docs, labels)
+    if not isinstance(model, Model):
+        return docs
     return docs.where(quality_score(docs, model) >= THRESHOLD)
