@@ -5,7 +5,8 @@ deleting it appends the same postings with -1, so the count of documents that ho
 always be had back.  Each shard (a slice of the key space) also has a cuckoo filter of the keys held by at least
 `min_docs` documents.  A line is looked up in the filter of its shard first; only lines that the filter may hold go on to
 the exact table, which decides.  A change of documents inserts keys that reach the threshold into the filters and
-deletes those that fall below it.
+deletes those that fall below it.  A filter that is full is built anew, with twice the buckets, from the exact table; so
+are all, over more shards, once a state holds more than twice SHARD_LINES lines a shard.
 
 Keys are 128-bit hashes; a key of at least `min_chars` code points counts.  There are more shards the more lines there
 are, and the lines of a shard are salted by document over as many groups as keep each group to a fair share of all lines
@@ -42,8 +43,8 @@ class CuckooFilter:
         self.table = np.zeros((buckets, 4), np.uint16) if table is None else table
 
     @classmethod
-    def of(cls, hashes: np.ndarray) -> CuckooFilter:
-        buckets = 1 << max(2, int(len(hashes) // 3).bit_length())
+    def of(cls, hashes: np.ndarray, least_buckets: int = 4) -> CuckooFilter:
+        buckets = max(least_buckets, 1 << max(2, int(len(hashes) // 3).bit_length()))
         while True:
             made = cls(buckets)
             if all(made.add(int(f), int(a)) for f, a in zip(*made.places(hashes)[:2], strict=True)):
@@ -125,6 +126,7 @@ class LineDedup:
     def __init__(self, spark: SparkSession, min_docs: int = 3, min_chars: int = 20, shards: int = SHARDS):
         self.spark, self.min_docs, self.min_chars, self.shards = spark, min_docs, min_chars, min(shards, MOST_SHARDS)
         self.batches: list[str] = []
+        self.held = 0  # postings added less those deleted
         self.filters = spark.createDataFrame([], "shard int, buckets int, cells binary")
 
     def postings(self) -> DataFrame:
@@ -140,6 +142,11 @@ class LineDedup:
         once.distinct().write.parquet(path)
         after = LineDedup(self.spark, self.min_docs, self.min_chars, self.shards)
         after.batches = [*self.batches, path]
+        after.held = self.held + sign * self.spark.read.parquet(path).count()
+        if after.held > 2 * self.shards * SHARD_LINES and self.shards < MOST_SHARDS:
+            after.shards = min(MOST_SHARDS, after.held // SHARD_LINES)
+            after.filters = written(after.built(), "filters")
+            return after
         over = F.col("n_docs") >= self.min_docs
         new = reference_counts(after.postings())
         if self.batches:
@@ -154,8 +161,20 @@ class LineDedup:
         after.filters = written(
             self.filters.groupBy("shard").cogroup(steps.groupBy("shard")).applyInPandas(_refilter, self.filters.schema), "filters"
         )
+        full = after.filters.where("cells IS NULL").select("shard", F.col("buckets").alias("least"))
+        if not full.isEmpty():
+            after.filters = written(after.filters.where("cells IS NOT NULL").unionByName(after.built(full)), "filters")
         return after
 
+    def built(self, full: DataFrame | None = None) -> DataFrame:
+        """Filters made of the exact table: of the shards of full (shard, least buckets), or of all."""
+        postings = self.postings().select("*", _shard(self.shards))
+        if full is not None:
+            postings = postings.join(F.broadcast(full), "shard", "left_semi")
+        keys = reference_counts(postings).where(F.col("n_docs") >= self.min_docs).select(_shard(self.shards), "h1")
+        keys = keys.withColumn("least", F.lit(4)) if full is None else keys.join(F.broadcast(full), "shard")
+        return keys.groupBy("shard").applyInPandas(_build, self.filters.schema)
+
     def add(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LineDedup:
         return self.changed(line_keys(docs, doc_id, text, self.min_chars), 1)
 
@@ -181,7 +200,7 @@ class LineDedup:
 
 
 def _refilter(old: pd.DataFrame, steps: pd.DataFrame) -> pd.DataFrame:
-    """The filter of one shard after its keys came (step 1) and went (step -1)."""
+    """The filter of one shard after its keys came (step 1) and went (step -1); if full, null cells and twice the buckets."""
     shard = int((old if len(old) else steps)["shard"].iloc[0])
     came = steps.loc[steps["step"] == 1, "h1"].to_numpy().view(np.uint64)
     if not len(old):
@@ -193,10 +212,15 @@ def _refilter(old: pd.DataFrame, steps: pd.DataFrame) -> pd.DataFrame:
             made.remove(int(f), int(a), int(b))
         for f, a in zip(*made.places(came)[:2], strict=True):
             if not made.add(int(f), int(a)):
-                raise ValueError("a shard's filter is full; build the state anew with more shards")
+                return pd.DataFrame({"shard": [shard], "buckets": [2 * buckets], "cells": [None]})
     return pd.DataFrame({"shard": [shard], "buckets": [made.buckets], "cells": [made.table.tobytes()]})
 
 
+def _build(keys: pd.DataFrame) -> pd.DataFrame:
+    made = CuckooFilter.of(keys["h1"].to_numpy().view(np.uint64), int(keys["least"].iloc[0]))
+    return pd.DataFrame({"shard": [int(keys["shard"].iloc[0])], "buckets": [made.buckets], "cells": [made.table.tobytes()]})
+
+
 def _probe(lines: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
     columns = ["doc_id", "text_hash", "line", "h1", "h2"]
     if not len(lines) or not len(filters):
