@@ -8,13 +8,13 @@ SLICE_BYTES, so memory follows the longest single text and not the batch.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 18
-BLOCK_BYTES = 1 << 18
 
 #: Separator bytes of the two word rules: white space, and everything ASCII but digits and letters.
 WHITE = np.zeros(256, bool)
@@ -24,11 +24,12 @@ NON_ALNUM[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BYTE_CODE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-_OTHER_CODE = np.random.Generator(np.random.PCG64(77003)).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(33))
-_powers: list[np.ndarray] = []
+#: Bytes of an 8-byte piece that belong to a span of which 0, 1, ... 8 bytes are left.
+_PART = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Longer spans are digested one by one.
+LONG_SPAN = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -41,19 +42,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES * 2)
-        inverse = pow(_BASE, -1, 1 << 64)
-        tables = []
-        for base in (_BASE, inverse):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            tables.append(np.multiply.accumulate(steps))
-        _powers[:] = tables
-    return _powers[0], _powers[1]
-
-
 def give_back() -> None:
     """Return freed memory to the system: a worker that waits for its next task should not hold its largest batch."""
     pa.default_memory_pool().release_unused()
@@ -80,20 +68,24 @@ def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.nd
     give_back()
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, code: np.ndarray = _BYTE_CODE) -> np.ndarray:
-    """64-bit hash of data[start:end] for ascending spans, from running sums of byte codes times powers of one base."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(out):
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + BLOCK_BYTES)))
-        first = starts[i]
-        block = code[data[first : ends[j - 1]]]
-        up, down = _power_tables(len(block) + 1)
-        total = np.zeros(len(block) + 1, np.uint64)
-        np.cumsum(block * up[: len(block)], out=total[1:])
-        a, b = starts[i:j] - first, ends[i:j] - first
-        out[i:j] = mix((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
-        i = j
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of data[start:end] of non-empty spans.
+
+    Pieces of 8 bytes are chained, each mixed before the next one comes, so that no sum of pieces cancels another; spans of
+    at most 8 bytes and one length have different hashes for certain.  Spans of over LONG_SPAN bytes take blake2b.
+    """
+    lengths = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    pieces = np.ndarray((len(data) + 1,), np.uint64, padded, strides=(1,))
+    out = mix(lengths.astype(np.uint64) * _ODD)
+    out = mix(out ^ (pieces[starts] & _PART[np.minimum(lengths, 8)]))
+    done, go = 8, np.flatnonzero((lengths > 8) & (lengths <= LONG_SPAN))
+    while len(go):
+        left = lengths[go] - done
+        out[go] = mix(out[go] ^ (pieces[starts[go] + done] & _PART[np.minimum(left, 8)]))
+        done, go = done + 8, go[left > 8]
+    for k in np.flatnonzero(lengths > LONG_SPAN):
+        out[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]], digest_size=8).digest(), "little")
     return out
 
 
@@ -120,14 +112,24 @@ class Words:
         return span_hashes(self.data, self.starts, self.ends)
 
 
+def _chained(words: np.ndarray, n: int, size: int) -> np.ndarray:
+    """Hashes of the n runs of `size` word hashes; the order of words counts, as every step mixes before it adds."""
+    total = words[:n].copy()
+    for k in range(1, size):
+        total ^= total >> np.uint64(32)
+        total *= _ODD
+        total += words[k : k + n]
+    return mix(total)
+
+
 def shingles(words: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(word position, hash) of every full shingle; rows are word offsets of the texts."""
+    """(word position, 64-bit hash) of every full shingle; rows are word offsets of the texts.
+
+    Two different shingles of two texts of n and m words have one hash with a chance of about n * m / 2^64.
+    """
     n = len(words) - size + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    for k in range(size):
-        total += words[k : k + n] * np.uint64((2 * k + 3) * 0x9E3779B97F4A7C15 % 2**64 | 1)
     valid = np.ones(n, bool)
     ends = rows[1:][rows[1:] > rows[:-1]]
     begins = rows[:-1][rows[1:] > rows[:-1]]
@@ -135,13 +137,12 @@ def shingles(words: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray
         at = ends - back
         valid[at[(at >= begins) & (at < n)]] = False
     at = np.flatnonzero(valid)
-    return at, mix(total[at])
+    return at, _chained(words, n, size)[at]
 
 
 def whole(words: np.ndarray) -> np.uint64:
     """Hash of a text of too few words for one shingle; its length keeps it apart from all shingles."""
-    steps = np.arange(3, 2 * len(words) + 3, 2, dtype=np.uint64) * np.uint64(_BASE) | np.uint64(1)
-    return mix((words * steps).sum(keepdims=True) + np.uint64(len(words) * 0xD6E8FEB86659FD93 % 2**64))[0]
+    return mix(_chained(words, 1, len(words)) ^ np.uint64(len(words)))[0]
 
 
 def shingle_sets(column: pa.Array, size: int, separators: np.ndarray = WHITE) -> Iterator[np.ndarray]:
@@ -186,10 +187,11 @@ class LineKeys:
         self.end = np.where(some, solid[np.maximum(hi - 1, 0)] + 1 if len(solid) else 0, self.begin)
 
     def long_lines(self, min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(row, line number, two hashes) of the lines of at least min_chars code points."""
+        """(row, line number, both halves of a 128-bit digest) of the lines of at least min_chars code points."""
         points = np.zeros(len(self.data) + 1, np.int64)
         np.cumsum((self.data & 0xC0) != 0x80, out=points[1:])
         long = np.flatnonzero(points[self.end] - points[self.begin] >= min_chars)
-        begin, end = self.begin[long], self.end[long]
-        h1, h2 = (span_hashes(self.data, begin, end, code) for code in (_BYTE_CODE, _OTHER_CODE))
-        return self.row[long], self.line[long], h1, h2
+        text = memoryview(self.data)
+        digests = [hashlib.blake2b(text[a:b], digest_size=16).digest() for a, b in zip(self.begin[long].tolist(), self.end[long].tolist(), strict=True)]
+        halves = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+        return self.row[long], self.line[long], halves[:, 0].copy(), halves[:, 1].copy()

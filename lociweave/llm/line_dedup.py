@@ -8,7 +8,7 @@ the exact table, which decides.  A change of documents inserts keys that reach t
 deletes those that fall below it.  A filter that is full is built anew, with twice the buckets, from the exact table; so
 are all, over more shards, once a state holds more than twice SHARD_LINES lines a shard.
 
-Keys are 128-bit hashes; a key of at least `min_chars` code points counts.  There are more shards the more lines there
+Keys are 128-bit blake2b digests; a key of at least `min_chars` code points counts.  There are more shards the more lines there
 are, and the lines of a shard are salted by document over as many groups as keep each group to a fair share of all lines
 and to about GROUP_LINES, whatever one key holds.  Reference counts are combined before they are shuffled.
 """
