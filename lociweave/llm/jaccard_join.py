@@ -26,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociweave.llm.kernels import give_back, shingle_sets
+from lociweave.llm.row_keys import rows_but
 from lociweave.operators.graph import connected_components
 from lociweave.storage import shuffle_width, written
 
@@ -47,12 +48,13 @@ def _digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def document_sets(docs: DataFrame, doc_id: str, text: str, words: int, slots: int) -> DataFrame:
-    """One pass: rows (row_id, doc_id, n, set_id) of documents, and rows (block, counts) of slot counts of a task."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+def document_sets(docs: DataFrame, doc_id: str, text: str, words: int, slots: int, key: Column | None = None) -> DataFrame:
+    """One pass: rows (doc_id, n, set_id, key) of documents, and rows (block, counts) of slot counts of a task."""
+    key = F.lit(None).cast("binary") if key is None else key
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), key.alias("key"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n", "set_id", "block", "counts"]
+        names = ["doc_id", "n", "set_id", "block", "counts", "key"]
         count = np.zeros(slots, np.uint32)
         for batch in batches:
             n, ids = [], []
@@ -62,16 +64,17 @@ def document_sets(docs: DataFrame, doc_id: str, text: str, words: int, slots: in
                 count[(s & np.uint64(slots - 1)).astype(np.int64)] += 1
             nothing = [None] * len(n)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(nothing, pa.int32()), pa.array(nothing, pa.binary())], names=names
-            )
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(nothing, pa.int32()), pa.array(nothing, pa.binary()),
+                 batch.column(2)], names=names
+            )
         used = [b for b in range(-(-slots // SLOT_BLOCK)) if count[b * SLOT_BLOCK : (b + 1) * SLOT_BLOCK].any()]
         nothing = [None] * len(used)
         yield pa.RecordBatch.from_arrays(
             [pa.array(nothing, pa.int64()), pa.array(nothing, pa.int64()), pa.array(nothing, pa.binary()), pa.array(used, pa.int32()),
-             pa.array([count[b * SLOT_BLOCK : (b + 1) * SLOT_BLOCK].tobytes() for b in used], pa.binary())], names=names
+             pa.array([count[b * SLOT_BLOCK : (b + 1) * SLOT_BLOCK].tobytes() for b in used], pa.binary()), pa.array(nothing, pa.binary())], names=names
         )
 
-    return written(rows.mapInArrow(read, "doc_id long, n long, set_id binary, block int, counts binary"), "sets")
+    return written(rows.mapInArrow(read, "doc_id long, n long, set_id binary, block int, counts binary, key binary"), "sets")
 
 
 def slot_classes(counts: DataFrame, slots: int) -> np.ndarray:
@@ -247,7 +250,7 @@ def _maybe(rows: DataFrame, h, hashes: DataFrame, n: int) -> DataFrame:
     return met.where("getbit(bits, cast(shiftright(_h, 40) & 63 AS int)) = 1").select(rows.columns)
 
 
-def prefix_postings(docs: DataFrame, text: str, words: int, percent: int, order, n_docs: int) -> DataFrame:
+def prefix_postings(docs: DataFrame, text: str, words: int, percent: int, order) -> DataFrame:
     """(token, set_id, n, last) for the prefix shingles that two different sets may have; last: the prefix's last."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,17 +375,15 @@ def _cell_links(groups: DataFrame, sets: DataFrame, order, percent: int) -> Data
     return dealt.mapInArrow(linked, "a binary, b binary")
 
 
-def similar_sets(docs: DataFrame, table: DataFrame, doc_id: str, text: str, words: int, percent: int, classes: np.ndarray, cell: int = CELL) -> DataFrame:
-    """(node, component) of the sets that have a link."""
+def similar_sets(docs: DataFrame, own: DataFrame, doc_id: str, text: str, words: int, percent: int, classes: np.ndarray, cell: int = CELL) -> DataFrame:
+    """(node, component) of the sets that have a link.  own: (set_id, d, c), a document of each set."""
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(classes)
-    rows = table.count()
-    members = cells_of(prefix_postings(docs, text, words, percent, order, rows))
+    members = cells_of(prefix_postings(docs, text, words, percent, order))
     groups = refined(members.where(F.col("size") <= cell), order, percent)
     large = members.where(F.col("size") > cell).select("cell", "set_id", "size")
     wanted = groups.select("set_id").unionByName(large.select("set_id")).distinct()
-    ids = table.join(wanted, "set_id").groupBy("set_id").agg(F.min("doc_id").alias("d")).select(F.xxhash64("d").alias("h"))
-    ids = written(ids, "readers")
+    ids = written(own.join(wanted, "set_id").select(F.xxhash64("d").alias("h")), "readers")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -422,6 +423,29 @@ def similar_sets(docs: DataFrame, table: DataFrame, doc_id: str, text: str, word
     return connected_components(links, "a", "b")
 
 
+def labelled(
+    docs: DataFrame, doc_id: str, text: str, words: int, percent: int, cell: int = CELL, key: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n, set_id, key) of docs, and (_set, component_id, group) of the sets that are in a group of rows.
+
+    group names a component, whatever the ids in it.
+    """
+    rows = docs.count()
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (SLOTS_PER_ROW * rows).bit_length()))
+    both = document_sets(docs, doc_id, text, words, slots, key)
+    classes = slot_classes(both.where("block IS NOT NULL").select("block", "counts"), slots)
+    table = both.where("set_id IS NOT NULL").select("doc_id", "n", "set_id", "key")
+    own = table.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("d"), F.count("*").alias("c"))
+    own = written(own, "own")
+    components = written(similar_sets(docs, own, doc_id, text, words, percent, classes, cell), "components")
+    named = own.join(components, own["set_id"] == components["node"], "left").select("set_id", "d", "c", "component")
+    named = written(named.where("c > 1 OR component IS NOT NULL"), "named")
+    roots = named.where("component IS NOT NULL").groupBy("component").agg(F.min("d").alias("root"))
+    label = named.join(roots, "component", "left")
+    label = label.select(F.col("set_id").alias("_set"), F.coalesce("root", "d").alias("component_id"), F.coalesce("component", "set_id").alias("group"))
+    return table, written(label, "label")
+
+
 def near_duplicate_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80, cell: int = CELL
 ) -> DataFrame:
@@ -432,25 +456,24 @@ def near_duplicate_components(
     100 * intersection >= percent * union; empty sets link with nothing.  Repeated rows are rows of one set; a null doc_id
     counts as no id (a component of such rows alone has a null component_id).  An empty table gives no rows.
     """
-    rows = docs.count()
-    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (SLOTS_PER_ROW * rows).bit_length()))
-    both = document_sets(docs, doc_id, text, words, slots)
-    classes = slot_classes(both.where("block IS NOT NULL").select("block", "counts"), slots)
-    table = both.where("set_id IS NOT NULL").select("doc_id", "n", "set_id")
-    components = written(similar_sets(docs, table, doc_id, text, words, percent, classes, cell), "components")
-    own = table.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("d"), F.count("*").alias("c"))
-    named = own.join(components, own["set_id"] == components["node"], "left").select("set_id", "d", "c", "component")
-    named = written(named.where("c > 1 OR component IS NOT NULL"), "named")
-    roots = named.where("component IS NOT NULL").groupBy("component").agg(F.min("d").alias("root"))
-    label = named.join(roots, "component", "left").select(F.col("set_id").alias("_set"), F.coalesce("root", "d").alias("component_id"))
-    label = written(label, "label")
+    table, label = labelled(docs, doc_id, text, words, percent, cell)
     met = table.join(label, table["set_id"] == label["_set"], "left")
     alone = F.when(F.col("_set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return met.select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs that lead their component (smallest doc_id), with all their columns; rows without an id stay."""
-    found = near_duplicate_components(docs, words=words, percent=percent)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """One row of docs of each component, with all its columns; rows without words all stay.
+
+    Rows are told apart by doc_id and text, so rows of one id may have different fates.  The row of the smallest doc_id
+    stays (a null doc_id last), of several rows of that id the one whose text has the smallest SHA-256.  Of rows that
+    repeat both id and text one stays, whichever has the smaller hash of all its columns.
+    """
+    key = F.unhex(F.sha2(F.col("text").cast("string").cast("binary"), 256))
+    table, label = labelled(docs, "doc_id", "text", words, percent, key=key)
+    members = table.join(label, table["set_id"] == label["_set"]).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "group")
+    members = members.groupBy("group", "_id", "_key").agg(F.count("*").alias("c"))
+    members = written(members, "members")
+    lead = members.groupBy("group").agg(F.min(F.struct(F.col("_id").isNull().alias("unnamed"), "_id", "_key")).alias("lead"))
+    judged = members.join(lead, "group").withColumn("leads", F.col("_id").eqNullSafe(F.col("lead._id")) & (F.col("_key") == F.col("lead._key")))
+    return rows_but(docs, key, judged.where("NOT leads").select("_id", "_key"), judged.where("leads AND c > 1").select("_id", "_key"))
