@@ -6,8 +6,8 @@ sequences, gives every sequence its own global slot.  Slots are cut into ranges;
 so sequence `slot` stands in file slot // per_shard at byte (slot % per_shard) * stride, and a reader that stopped after
 any number of sequences goes on from there.
 
-The sequences are tokenised once into the shared folder.  They are then shuffled to their slot ranges in waves, so local
-disks hold one wave at a time.  A shard is written under a draft name and renamed when whole.
+The sequences are tokenised once into the shared folder and then dealt by slot range, one shuffle whose partitions are
+runs of whole shards; a task writes its shards in order.  A shard is written under a draft name and renamed when whole.
 """
 
 from __future__ import annotations
@@ -30,8 +30,10 @@ from lociweave.storage import shared_path, written
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END_OF_TEXT = 50256
 SEQ_LEN = 1024
-PER_SHARD = 4096
-WAVES = 4
+#: Sequences a shard: at most PER_SHARD, and fewer where that would leave less than LEAST_SHARDS shards.
+PER_SHARD, LEAST_PER_SHARD, LEAST_SHARDS = 4096, 64, 64
+#: Tasks that write; beyond as many shards a task writes several.
+MOST_TASKS = 20_000
 ROWS_AT_ONCE = 64
 ROUNDS = 6
 #: The public pre-tokenisation pattern of this vocabulary (fixed value).
@@ -148,13 +150,14 @@ def sequences(docs: DataFrame, doc_id: str, text: str, vocabulary: str, seq_len:
 
 def write_shards(
     docs: DataFrame, out: str | None = None, key: int = 20240229, doc_id: str = "doc_id", text: str = "text",
-    vocabulary: str = VOCABULARY, end: int = END_OF_TEXT, seq_len: int = SEQ_LEN, per_shard: int = PER_SHARD, waves: int = WAVES,
+    vocabulary: str = VOCABULARY, end: int = END_OF_TEXT, seq_len: int = SEQ_LEN, per_shard: int | None = None,
 ) -> DataFrame:
     """Write the shards and their manifest under `out`; returns slot, shard, offset, n_tokens, doc_ids, ids_sha256.
 
     doc_ids: documents with ids in the sequence, in order (a document longer than a sequence is in several; a null doc_id
     is listed as null).  Null and empty texts have no ids; repeated rows are tokenised again; an empty table writes the
-    manifest alone.  ids_sha256: of the sequence's bytes as they stand in the file.
+    manifest alone.  ids_sha256: of the sequence's bytes as they stand in the file.  per_shard: by default a power of two
+    that follows from the number of sequences.
     """
     spark = docs.sparkSession
     out = out or shared_path(spark, "tokens")
@@ -165,6 +168,7 @@ def write_shards(
         bases.append((part, n))
         n += count
     stride = 2 * seq_len
+    per_shard = per_shard or min(PER_SHARD, max(LEAST_PER_SHARD, 1 << max(0, (n // LEAST_SHARDS).bit_length() - 1)))
     with Publish(f"{out}/manifest.json") as put:
         put.write(json.dumps({"sequences": n, "seq_len": seq_len, "per_shard": per_shard, "dtype": "<u2", "key": key}).encode())
     base = F.broadcast(spark.createDataFrame(bases, "part int, base long"))  # one row a task
@@ -196,16 +200,11 @@ def write_shards(
             put.__exit__(None)
 
     shards = -(-n // per_shard)
-    waves = max(1, min(waves, shards))
+    tasks = max(1, min(MOST_TASKS, shards))
     schema = "slot long, shard int, offset long, n_tokens int, doc_ids array<long>, ids_sha256 string"
-    made = None
-    for wave in range(waves):
-        low, high = wave * shards // waves, (wave + 1) * shards // waves
-        own = placed.where(f"shard >= {low} AND shard < {high}")
-        ranged = own.repartition(max(1, high - low), "shard").sortWithinPartitions("slot")
-        rows = written(ranged.mapInArrow(write, schema), "shards")
-        made = rows if made is None else made.unionByName(rows)
-    return made
+    own = F.expr(f"cast(cast(shard AS long) * {tasks} div {max(1, shards)} AS int)")
+    ranged = placed.withColumn("task", own).repartitionById(tasks, F.col("task")).sortWithinPartitions("slot").drop("task")
+    return written(ranged.mapInArrow(write, schema), "shards")
 
 
 def read_slots(out: str, first: int = 0, count: int | None = None) -> Iterator[np.ndarray]:

@@ -275,7 +275,7 @@ def test_feistel_is_a_bijection_of_any_range():
 
 def test_token_shards_round_trip(spark, odd, empty, tmp_path):
     out = (tmp_path / "tokens").as_uri()
-    rows = token_shards.write_shards(odd, out, seq_len=64, per_shard=100, waves=3).collect()
+    rows = token_shards.write_shards(odd, out, seq_len=64, per_shard=100).collect()
     assert sorted(r.slot for r in rows) == list(range(len(rows)))
     read = list(token_shards.read_slots(out))
     by_slot = {r.slot: r for r in rows}
