@@ -1,6 +1,7 @@
 """License scans: TF-IDF cosine of licence statements to templates, and nearest-ancestor inheritance by path joins.
 
-DataFrame functions only.  A text is read line by line (a licence file also as one piece), and in windows of as many words
+DataFrame functions only.  A text is read line by line, its leading comment block and a licence file's whole text also as
+one piece, and in windows of as many words
 as a template has, across lines and inside them, that begin where one of the template's anchor words would stand in its
 place; a window is compared with its template alone.  An SPDX-License-Identifier tag with the name of a template's licence
 (-only, -or-later or + behind it or not) states that licence, with score 1; of an expression the first name counts.
@@ -11,8 +12,9 @@ A piece's cosine is at most the length of the template's part that the piece has
 commonest words of a template, up to a part shorter than the threshold, cannot make a match by themselves, and a piece
 is compared only if it has one of the other words (the anchors).  That leaves no match out, however common a notice is.
 
-A file takes the licence of its best piece from THRESHOLD up.  A directory has the licence of its first licensed file
-(licence files by name come before others); a file without one inherits from the nearest directory above it that has one.
+A file takes the licence of its best piece from THRESHOLD up.  A header speaks for its file alone; a directory has the
+licence of its licence files (by name, the first by path that states one), and a file without a licence of its own inherits
+from the nearest directory at or above its place that has one.
 """
 
 from __future__ import annotations
@@ -25,7 +27,9 @@ from pyspark.sql import functions as F
 from lociweave.storage import written
 
 THRESHOLD = 0.6
-LICENCE_FILE = "(?i)^(licen[cs]e|copying|notice|unlicense)([.-].*)?$"
+LICENCE_FILE = "(?i)^(licen[cs]es?|copying|notice|unlicense)([.-].*)?$"
+#: How a line of a comment begins.
+COMMENT = r"^[ \t]*(#|//|/\*|\*|--|;|<!--|%|\(\*|\")"
 
 #: Licence statements by SPDX name (fixed values): the usual one-line notices and the openings of the full texts.
 TEMPLATES = [
@@ -41,6 +45,10 @@ TEMPLATES = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work (CC0 1.0)."),
 ]
 
@@ -115,6 +123,15 @@ def tagged(files: DataFrame, templates: list[tuple[str, str]]) -> DataFrame:
     return each.select("key", plain.alias("name")).join(known, "name").select("key", "licence", F.lit(1.0).alias("score"))
 
 
+def pieces_of(name: Column, text: Column) -> Column:
+    """Lines of a text, its leading comment block if that has several lines, and all of it if it is a licence file."""
+    lines = F.split(text, "\n")
+    other = F.array_position(F.transform(lines, lambda line: ~line.rlike(COMMENT)), True)
+    header = F.when(other == 0, F.size(lines)).otherwise(other - 1).cast("int")
+    block = F.when(header > 1, F.array(F.array_join(F.slice(lines, 1, header), "\n"))).otherwise(F.array())
+    return F.concat(lines, block, F.when(name.rlike(LICENCE_FILE), F.array(text)).otherwise(F.array()))
+
+
 def template_table(spark: SparkSession, templates: list[tuple[str, str]]) -> DataFrame:
     """(template, licence, word, tf): a few hundred rows, fixed with the templates."""
     named = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(templates)], "template int, licence string, body string")
@@ -136,9 +153,7 @@ def own_licences(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     weights = weights.select("word", _weight(n, F.col("df")).alias("w"))
     anchors = F.array(*[F.lit(w) for w in anchor_words(listed, counted, n, threshold)])
     likely = files.where(F.arrays_overlap(_words(F.col("text")), anchors))
-    lines = F.split(F.col("text"), "\n")
-    pieces = F.when(F.col("name").rlike(LICENCE_FILE), F.concat(lines, F.array("text"))).otherwise(lines)
-    piece = likely.select("key", F.posexplode(pieces).alias("piece", "body")).withColumn("words", _words(F.col("body")))
+    piece = likely.select("key", F.posexplode(pieces_of(F.col("name"), F.col("text"))).alias("piece", "body")).withColumn("words", _words(F.col("body")))
     piece = piece.where(F.arrays_overlap("words", anchors))
     piece = piece.select("key", F.lit(-1).alias("of"), F.col("piece").cast("long").alias("piece"), "words")  # of every template
     piece = piece.unionByName(windows(likely.select("key", "text"), templates, template_squares(listed, counted, n), counted, threshold))
@@ -166,12 +181,12 @@ def directory_of(path: Column) -> Column:
 def inherited(files: DataFrame, own: DataFrame) -> DataFrame:
     """files (key, path, name) with licence, score, basis (own, inherited, none) and from_path.
 
-    The nearest ancestor is found once for every directory, not for every file.
+    Licence files alone give their licence to a directory and what is below it.  The nearest ancestor is found once for every directory, not for every file.
     """
     rows = files.join(own, "key", "left").withColumn("dir", directory_of(F.col("path")))
     rows = written(rows, "licensed")
-    rank = F.struct((~F.col("name").rlike(LICENCE_FILE)).alias("other"), "path", "licence")
-    leads = written(rows.where("licence IS NOT NULL").groupBy("dir").agg(F.min(rank).alias("lead")), "leads")
+    rank = F.struct("path", "licence")
+    leads = written(rows.where(F.col("licence").isNotNull() & F.col("name").rlike(LICENCE_FILE)).groupBy("dir").agg(F.min(rank).alias("lead")), "leads")
     leads = leads.select(F.col("dir").alias("above"), F.col("lead.licence").alias("given"), F.col("lead.path").alias("given_by"))
     steps = F.split("dir", "/")
     ancestors = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda i: F.array_join(F.slice(steps, 1, i), "/"))
@@ -204,9 +219,14 @@ def scan_licences(files: DataFrame, key: str, path: str, text: str, **options) -
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
-    """The scan over a documents table, whose rows get the path source/lang/digit/.../digit of their doc_id."""
-    digits = F.array_join(F.split(F.col("doc_id").cast("string"), ""), "/")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), digits)
-    rows = docs.select("doc_id", path.alias("path"), "text")
+    """The scan over a documents table, which has no paths: the digits of doc_id are directories below source/lang.
+
+    A document whose last digit is 0 is the file LICENSE of its directory, another one the file of its last digit: 120 is
+    source/lang/1/2/LICENSE and licenses 12, 123 and 1205, which state nothing themselves.
+    """
+    digits = F.split(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "")
+    name = F.when(F.col("doc_id") % 10 == 0, F.lit("LICENSE")).otherwise(F.element_at(digits, -1))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.array_join(F.slice(digits, 1, F.size(digits) - 1), "/"), name)
+    rows = docs.select("doc_id", F.regexp_replace(path, "/+", "/").alias("path"), "text")
     found = scan_licences(rows, "doc_id", "path", "text")
     return found.withColumnRenamed("key", "doc_id")

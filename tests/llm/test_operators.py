@@ -173,12 +173,14 @@ def test_licences_are_found_and_inherited(spark):
     rows = [
         ("a/LICENSE", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"),
         ("a/b/c/x.py", "print(1)"), ("a/b/y.py", "# Licensed under the Apache License, Version 2.0."), ("a/b/c/d/z.py", None), ("e/f.py", ""), ("g.py", "the licence of the street"), (None, "x"),
+        ("c/one.py", "Released under the MIT License."), ("c/sub/two.py", "x = 2"), ("a/b/COPYING", "Licensed under CC BY 4.0."), ("a/b/c/d/LICENSE.md", "all ours"),
     ]
     files = clashing(spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(rows)], "doc_id long, path string, text string"))
     got = {r.key: (r.licence, r.basis, r.from_path) for r in licences.scan_licences(files, "doc_id", "path", "text").collect()}
     assert got == {
-        0: ("MIT", "own", "a/LICENSE"), 1: ("Apache-2.0", "inherited", "a/b/y.py"), 2: ("Apache-2.0", "own", "a/b/y.py"), 3: ("Apache-2.0", "inherited", "a/b/y.py"),
-        4: (None, "none", None), 5: (None, "none", None), 6: (None, "none", None),
+        0: ("MIT", "own", "a/LICENSE"), 1: ("CC-BY-4.0", "inherited", "a/b/COPYING"), 2: ("Apache-2.0", "own", "a/b/y.py"),
+        3: ("CC-BY-4.0", "inherited", "a/b/COPYING"), 4: (None, "none", None), 5: (None, "none", None), 6: (None, "none", None), 7: ("MIT", "own", "c/one.py"),
+        8: (None, "none", None), 9: ("CC-BY-4.0", "own", "a/b/COPYING"), 10: ("CC-BY-4.0", "inherited", "a/b/COPYING"),
     }
 
 
@@ -239,8 +241,49 @@ def test_licence_statements_of_the_documents(spark):
     assert len(got) == len(text) and {i for i, r in got.items() if r.basis == "own"} == stated
     for r in got.values():
         if r.basis == "inherited":
-            above = [p.rpartition("/")[0] for p in (r.from_path,)][0]
-            assert r.path.startswith(above + "/") and got[r.doc_id].licence
+            above = r.from_path.rpartition("/")[0]
+            assert r.path.startswith(above + "/") and r.from_path.endswith("/LICENSE") and r.licence
+
+
+def test_scan_equals_plain_tf_idf(spark):
+    """Every line, header block, licence file and every window at an anchor, by plain dictionaries."""
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    docs = [(i, f"d/{'LICENSE' if i % 9 == 0 else i}", t) for i, t in enumerate(mixed_notices())]
+    files = spark.createDataFrame(docs, "key long, path string, text string").withColumn("name", F.regexp_extract("path", "([^/]*)$", 1))
+    n, df = len(docs), Counter(w for *_, t in docs for w in set(words(t)))
+    idf = lambda w: 1 + np.log((1 + n) / (1 + df[w]))
+    vector = lambda ws: {w: c * idf(w) for w, c in Counter(ws).items()}
+    length = lambda v: np.sqrt(sum(x * x for x in v.values()))
+    want = {}
+    for key, path, text in docs:
+        lines = text.split("\n")
+        header = next((k for k, x in enumerate(lines) if not re.match(licences.COMMENT, x)), len(lines))
+        whole = [words(x) for x in lines] + [words("\n".join(lines[:header]))] * (header > 1) + [words(text)] * path.endswith("LICENSE")
+        for number, (name, body) in enumerate(licences.TEMPLATES):
+            template, own = vector(words(body)), words(body)
+            squares = {w: x * x for w, x in template.items()}
+            anchors, all_ = licences.anchors_of(squares, df, licences.THRESHOLD), words(text)
+            cut = [all_[max(0, at - place) :][: len(own)] for at, w in enumerate(all_) for place, v in enumerate(own) if v == w and w in anchors]
+            for piece in whole + cut:
+                v = vector(piece)
+                score = sum(x * template.get(w, 0) for w, x in v.items()) / (length(v) * length(template)) if v else 0
+                if round(score, 6) >= licences.THRESHOLD:
+                    want[key] = max(want.get(key, (0, "")), (round(score, 6), name))
+    got = {r.key: (r.score, r.licence) for r in licences.own_licences(files.select("key", "name", "text")).collect()}
+    assert set(got) == set(want) and len(want) > 20
+    assert all(got[k][1] == want[k][1] and abs(got[k][0] - want[k][0]) < 2e-6 for k in want)
+
+
+def mixed_notices():
+    r = random.Random(5)
+    prose = lambda k: " ".join(r.choice("the of and a work code is in by to for river stone under law terms version use free license".split()) for _ in range(k))
+    for _ in range(120):
+        own = words = r.choice(licences.TEMPLATES)[1].split()
+        if r.random() < 0.5:
+            own = [w if r.random() < 0.8 else prose(1) for w in words]
+        text = " ".join([prose(r.randint(0, 30)), *(own if r.random() < 0.6 else []), prose(r.randint(0, 30))]).split()
+        lines = [" ".join(text[k : k + 9]) for k in range(0, len(text), 9)]
+        yield "\n".join(("# " if r.random() < 0.5 else "") + x for x in lines)
 
 
 # ---------------------------------------------------------------- 4 exact dedup
