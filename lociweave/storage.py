@@ -6,12 +6,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no spark.checkpoint.dir (tests, a laptop).
+#: Used only where the session names no spark.checkpoint.dir and runs in one process (tests, a laptop).
 LOCAL_CHECKPOINTS = "file:///tmp/checkpoints"
 #: The shuffle files of a table that has been written are of no more use, and go when its job ends.
 FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Batches that go to Python are cut by bytes, as rows may be of any length; the default cuts at 10,000 rows.
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_paths: list[str] = []
 WHILE_WRITING = {FREE_SHUFFLES: "true", BATCH_BYTES: str(4 << 20)}
 
 
@@ -19,8 +20,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under spark.checkpoint.dir, which driver and executors share."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = LOCAL_CHECKPOINTS
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _paths.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all that this process wrote to the shared folder; frames read from it are of no more use."""
+    for path in _paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _paths.clear()
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:
