@@ -6,13 +6,15 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from lociweave.functions.scalars import exon_score, gap_limit
 from lociweave.operators.chains import chains_of, resolve, scored
+from lociweave.operators.intervals import islands
+from lociweave.operators.ranking import gapless_index
 from lociweave.plans.annotation import Annotation, with_full_genes
 from lociweave.plans.evidence import block_scores, expected_exons, hits_of, known_exons, non_overlapping, with_blocks
 from lociweave.storage import shuffle_width, written
@@ -31,6 +33,10 @@ CALLS = f"{FACTS}, parent string, coding_x double, complete_x double, mane_x dou
 SELECTED = f"{CALLS}, tie_group_id string, tie_count int"
 
 
+#: Bases of a query whose hits are put into blocks by one task.
+BIN = 1_000_000
+
+
 @dataclass(frozen=True)
 class Options:
     two_stage: bool = True
@@ -64,7 +70,7 @@ def scored_hits(alignments: DataFrame, a: Annotation, eligible: DataFrame | None
     expected = expected_exons(assoc, eligible, region)
     gene = F.when(F.col("gene_id") != "", F.col("gene_id")).when(F.col("gene_name") != "", F.col("gene_name")).otherwise(F.concat(F.lit("transcript:"), "tid"))
     rows = hits_of(kept, assoc, expected).join(a.transcripts.select("tid", gene.alias("gene")), "tid")
-    placed = written(with_blocks(rows, "query_start", "query_end"), "hits")
+    placed = written(with_blocks(rows, "query_start", "query_end", bin_size=BIN), "hits")
     best = block_scores(placed, "gene", "exon_length", "identical_bases", ["exon_id", "query_start", "query_end"])
     best = best.select("query_id", "strand", "block_id", "gene", "score", "supplier_length", "supplier_exon_id")
     return placed.join(best, ["query_id", "strand", "block_id", "gene"])
@@ -90,19 +96,60 @@ def chain_groups(hits: DataFrame, a: Annotation, expected: DataFrame, extra: lis
 
 
 def chains(groups: DataFrame, coding_bonus: float, o: Options) -> DataFrame:
-    """All chains of every group, scored."""
+    """All chains of every group, scored.  A lone hit is its group's one chain and stays in the plan."""
 
     def one(row: dict) -> list[dict]:
         base = {"parent": None, **row, "coding_x": coding_bonus, "complete_x": o.complete_bonus, "mane_x": o.mane_bonus}
         return [scored(base, own) for own in chains_of(row["hits"], row["strand"], row["model_type"], row["max_gap"], o.max_chains)]
 
-    return _map_rows(groups.repartition(shuffle_width(groups.sparkSession)), one, CALLS)
+    groups = written(groups, "groups")
+    several = _map_rows(groups.where("size(hits) > 1").repartition(shuffle_width(groups.sparkSession)), one, CALLS)
+    parent = F.col("parent") if "parent" in groups.columns else F.lit(None).cast("string")
+    raw = F.col("hits")[0]["score"]
+    weighted = raw
+    for flag, times in ((F.col("coding"), coding_bonus), (F.col("expected") == 1, o.complete_bonus), (F.col("mane"), o.mane_bonus)):
+        weighted = F.when(flag, weighted * times).otherwise(weighted)
+    alone = groups.where("size(hits) = 1").withColumns({
+        "parent": parent, "coding_x": F.lit(coding_bonus), "complete_x": F.lit(o.complete_bonus), "mane_x": F.lit(o.mane_bonus),
+        "hits": F.transform("hits", lambda h: h.withField("inserted", F.lit(False))), "raw": raw, "weighted": weighted,
+        "found": F.transform("hits", lambda h: h["number"]), "runs": F.array().cast("array<int>"),
+    })
+    return several.unionByName(alone.select(several.columns).to(several.schema))
 
 
-def resolved(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("query_id", "strand")) -> DataFrame:
-    """Selected calls of each query and strand (and parent), with tie_group_id and tie_count."""
-    gathered = calls.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("tid", F.col("hits").getField("start").alias("at"), F.struct(*calls.columns).alias("call")))).alias("c"))
-    return _map_rows(gathered.select(F.col("c.call").alias("calls")), lambda row: resolve(row["calls"], prefer_mane), SELECTED)
+#: What resolution reads of a hit, and what it gives back for a call.
+_LEAN = ("number", "exon_id", "start", "end", "block_start", "block_end", "score", "inserted")
+_KEPT = "_id long, _left array<int>, raw double, weighted double, found array<int>, runs array<int>, tie_group_id string, tie_count int"
+
+
+def resolved(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("query_id", "strand"), bin_size: int = 1_000_000) -> DataFrame:
+    """Selected calls of each query and strand (and parent), with tie_group_id and tie_count.
+
+    A call none of whose blocks is in another call is selected as it is and stays in the plan.  The others compete within
+    islands of overlapping calls, since calls that share a block overlap; only what competition needs travels there.
+    """
+    calls = written(calls.withColumn("_id", F.monotonically_increasing_id()), "candidates")
+    blocks = calls.select("_id", *keys, F.explode(F.array_distinct(F.transform("hits", lambda h: F.struct(h["block_start"].alias("s"), h["block_end"].alias("e"))))).alias("b"))
+    shared = blocks.groupBy(*keys, "b").agg(F.count("*").alias("n"), F.min("_id").alias("_one")).where("n > 1")
+    same = [blocks[k].eqNullSafe(shared[k]) for k in keys]
+    contested = blocks.join(shared, [*same, blocks["b"] == shared["b"]], "left_semi").select("_id").distinct()
+    contested = written(contested, "contested")
+    alone = calls.join(contested, "_id", "left_anti").where("size(hits) > 0")
+    alone = alone.withColumns({"tie_group_id": F.lit(""), "tie_count": F.lit(1)})
+    hits = F.transform("hits", lambda h, i: F.struct(*[h[n].alias(n) for n in _LEAN], i.alias("at")))
+    facts = ("tid", "transcript_id_full", "gene", "gene_id_full", "mane", "coding", "exon_length", "expected", "coding_x", "complete_x", "mane_x", "raw", "weighted", "found", "runs")
+    lean = calls.join(contested, "_id").select("_id", *keys, *facts, hits.alias("hits"), F.array_min("hits.block_start").alias("_from"), F.array_max("hits.block_end").alias("_until"))
+    placed = islands(lean, list(keys), "_from", "_until", name="_island", bin_size=bin_size)
+    call = F.struct("tid", F.col("hits.start").alias("starts"), "_id", F.struct("_id", "query_id", "strand", *facts, "hits").alias("call"))
+    gathered = placed.groupBy(*keys, "_island").agg(F.array_sort(F.collect_list(call)).alias("c"))
+
+    def one(row: dict) -> list[dict]:
+        return [{**c, "_left": [h["at"] for h in c["hits"]]} for c in resolve(row["calls"], prefer_mane)]
+
+    dealt = gathered.select(F.col("c.call").alias("calls"))
+    kept = _map_rows(dealt, one, _KEPT)
+    won = calls.drop("raw", "weighted", "found", "runs").join(kept, "_id").withColumn("hits", F.transform("_left", lambda i: F.get("hits", i)))
+    return won.select(*alone.columns).unionByName(alone).drop("_id")
 
 
 def hierarchical_calls(hits: DataFrame, a: Annotation, expected: DataFrame, o: Options) -> DataFrame:
@@ -166,9 +213,8 @@ def routed(calls: DataFrame, two_stage: bool) -> DataFrame:
     )
     if not two_stage:
         groups = groups.withColumn("is_fragment", F.lit(False))
-    order = Window.orderBy(F.desc("s"), F.desc("q"), "a", "b", F.desc("parent"))
-    numbered = groups.select("parent", "is_fragment", F.row_number().over(order).cast("long").alias("gene_number"))
-    return marked.join(numbered, "parent")
+    numbered = gapless_index(groups, [], [F.desc("s"), F.desc("q"), "a", "b", F.desc("parent")], "_number")
+    return marked.join(numbered.select("parent", "is_fragment", (F.col("_number") + 1).alias("gene_number")), "parent")
 
 
 def decisions(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("query_id", "strand")) -> DataFrame:

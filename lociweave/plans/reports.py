@@ -124,12 +124,12 @@ def call_table(calls: DataFrame, suffixed_names: bool = False) -> DataFrame:
 
 
 def write_call_tables(table: DataFrame, main: str, fragments: str) -> None:
-    """Two tab-separated tables with headers, in row order; the paths must differ."""
+    """Two tab-separated tables, in row order over and within their part files, each with a header; the paths must differ."""
     if main == fragments:
         raise ValueError("main and fragment tables need different paths")
     for path, which in ((main, ~F.col("is_fragment")), (fragments, F.col("is_fragment"))):
         rows = table.where(which).orderBy("row_order").select(*COLUMNS)
-        rows.coalesce(1).write.csv(path, sep="\t", header=True, quote="", emptyValue="", mode="overwrite")
+        rows.write.csv(path, sep="\t", header=True, quote="", emptyValue="", mode="overwrite")
 
 
 def legacy_table(table: DataFrame) -> DataFrame:

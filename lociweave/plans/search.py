@@ -2,40 +2,103 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from lociweave.functions.scalars import window_padding
 from lociweave.operators.intervals import merged
+from lociweave.operators.ranking import running_total
 from lociweave.plans.calls import _map_rows
+from lociweave.storage import written
+
+#: Bits of the filter through which targets are read: 16 a query stretch, at most 64 MB.
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 29
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
 
-CHUNK = 512
-BROADCAST_MERS = 200_000
+
+def stretch_codes(text: str, k: int) -> np.ndarray:
+    """64-bit hashes of all stretches of k characters, by doubling: a stretch of 2m is made of two of m."""
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    n = len(points) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    power, size, out, done = _mixed(points * _MULTIPLIER), 1, None, 0
+    join = lambda a, b: _mixed(a * _MULTIPLIER + b)
+    while True:
+        if k & size:
+            own = power[done : done + n]
+            out, done = own if out is None else join(out, own), done + size
+        if 2 * size > k:
+            return out
+        power, size = join(power[: len(power) - size], power[size:]), 2 * size
 
 
 def shared_kmers(queries: DataFrame, query_id: str, targets: DataFrame, target_id: str, text: str, k: int, step: int = 1) -> DataFrame:
-    """(query_id, query_at, target_id, target_at): equal stretches of k characters; queries are read every `step`.
+    """(query_id, query_at, target_id, target_at): all pairs of equal stretches of k characters; queries are read every `step`.
 
-    Stretches meet by their 64-bit hashes and are then compared as text.  Up to BROADCAST_MERS query stretches are
-    broadcast, so that the targets, the large side, are probed where they stand; beyond that both sides are shuffled.
+    Targets are read once where they stand, through a bit filter of the query stretches' hashes whose size is bounded; only
+    stretches that pass are made into rows, met by hash and compared as text.  Texts shorter than k have none.
     """
-
-    def mers(df: DataFrame, name: str, stride: int, at: str, mer: str) -> DataFrame:
-        # long texts are cut into overlapping chunks first: a character's place in UTF-8 is found by walking to it
-        long = df.where(F.length(text) >= k)
-        size = stride * max(1, CHUNK // stride)
-        first = long.select(name, text, F.explode(F.sequence(F.lit(0), F.length(text) - k, F.lit(size))).alias("_first"))
-        chunk = first.select(name, "_first", F.substring(F.col(text), F.col("_first") + 1, F.lit(size + k - 1)).alias("_chunk"))
-        last = F.least(F.length("_chunk") - k, F.lit(size - 1))
-        each = chunk.select(name, "_first", "_chunk", F.explode(F.sequence(F.lit(0), last, F.lit(stride))).alias("_at"))
-        return each.select(name, (F.col("_first") + F.col("_at")).alias(at), F.substring(F.col("_chunk"), F.col("_at") + 1, F.lit(k)).alias(mer))
-
-    own = mers(queries, query_id, step, "query_at", "q_mer").dropDuplicates([query_id, "q_mer"]).withColumn("code", F.xxhash64("q_mer"))
-    other = mers(targets, target_id, 1, "target_at", "t_mer").withColumn("code", F.xxhash64("t_mer"))
-    if own.limit(BROADCAST_MERS + 1).count() <= BROADCAST_MERS:
-        own = F.broadcast(own)
-    return other.join(own, "code").where("q_mer = t_mer").select(query_id, "query_at", target_id, "target_at")
+    spark = targets.sparkSession
+
+    def stretches(df: DataFrame, name: str, stride: int, bits) -> DataFrame:
+        rows = df.where(F.length(text) >= k).select(F.col(name).alias("id"), F.col(text).alias("text"))
+        schema = f"id {rows.schema['id'].dataType.simpleString()}, at long, code long, mer string"
+        arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+        def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = np.frombuffer(bits.value, np.uint64) if bits is not None else None
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    body = batch.column(1)[row].as_py()
+                    codes = stretch_codes(body, k)[::stride]
+                    at = np.arange(len(codes))
+                    if held is not None:
+                        word, bit = (codes >> np.uint64(6)) % np.uint64(len(held)), codes & np.uint64(63)
+                        at = np.flatnonzero(held[word.astype(np.int64)] >> bit & np.uint64(1))
+                    places = (at * stride).tolist()
+                    for first in range(0, len(places), 1 << 14):
+                        part = places[first : first + (1 << 14)]
+                        ids = pa.array([batch.column(0)[row].as_py()] * len(part), arrow.field("id").type)
+                        own = codes[at[first : first + (1 << 14)]].view(np.int64)
+                        yield pa.RecordBatch.from_arrays([ids, pa.array(part, pa.int64()), pa.array(own), pa.array([body[p : p + k] for p in part])], schema=arrow)
+
+        return rows.mapInArrow(read, schema)
+
+    own = written(stretches(queries, query_id, step, None), "stretches")
+    codes = own.select("code").distinct()
+    words = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * codes.count()).bit_length())) // 64
+    marked = codes.select(F.pmod(F.shiftrightunsigned("code", 6), F.lit(words)).alias("word"), F.col("code").bitwiseAND(63).cast("int").alias("bit"))
+    bits = np.zeros(words, np.int64)
+    for row in marked.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toLocalIterator():
+        bits[row["word"]] = row["bits"]
+    found = stretches(targets, target_id, 1, spark.sparkContext.broadcast(bits.tobytes()))
+    one = own.select(F.col("id").alias(query_id), F.col("at").alias("query_at"), "code", F.col("mer").alias("q_mer"))
+    other = found.select(F.col("id").alias(target_id), F.col("at").alias("target_at"), "code", F.col("mer").alias("t_mer"))
+    return other.join(one, "code").where("q_mer = t_mer").select(query_id, "query_at", target_id, "target_at")
+
+
+def query_batches(rows: DataFrame, groups: list[str], order: list[str], size: str, most: int, refuse: bool = False) -> DataFrame:
+    """rows with `batch`: which stretch of `most` bytes of its group a row begins in, rows in the order of `order`.
+
+    refuse: a row of more than `most` bytes, for which no batch is large enough, is an error.
+    """
+    placed = running_total(rows, groups, order, size, "_before")
+    batch = F.floor(F.col("_before") / most)
+    if refuse:
+        batch = F.when(F.col(size) > most, F.raise_error(F.lit("a record is larger than a batch"))).otherwise(batch)
+    return placed.withColumn("batch", batch).drop("_before")
 
 
 def seed_windows(seeds: DataFrame, genes: DataFrame, query_genes: DataFrame) -> DataFrame:

@@ -427,17 +427,33 @@ def kmer_seeds(spark, sf_dir):
     from lociweave.plans.search import shared_kmers
 
     seeds = shared_kmers(read_table(spark, sf_dir, "benchmark"), "item_id", read_table(spark, sf_dir, "documents"), "doc_id", "text", 60, 20)
+    seeds = seeds.select("doc_id", "item_id", "target_at").distinct()  # a stretch that an item repeats is one
     return seeds.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_seeds"))
 
 
+@query(
+    """WITH k AS (SELECT item_id, i AS query_at, substr(text, 1 + i, 60) AS mer FROM (SELECT item_id, text, unnest(range(0, greatest(0, length(text) - 59), 20)) AS i FROM benchmark)),
+d AS (SELECT doc_id, i AS target_at, substr(text, 1 + i, 60) AS mer FROM (SELECT doc_id, text, unnest(range(0, greatest(0, length(text) - 59))) AS i FROM documents))
+SELECT d.doc_id, k.item_id, count(*) AS n_pairs, CAST(sum(query_at) AS BIGINT) AS query_sum, CAST(sum(target_at) AS BIGINT) AS target_sum FROM k JOIN d ON k.mer = d.mer GROUP BY 1, 2"""
+)
+def kmer_pairs(spark, sf_dir):
+    """All pairs of places with equal stretches, repeated ones too."""
+    from lociweave.plans.search import shared_kmers
+
+    seeds = shared_kmers(read_table(spark, sf_dir, "benchmark"), "item_id", read_table(spark, sf_dir, "documents"), "doc_id", "text", 60, 20)
+    sums = F.sum("query_at").alias("query_sum"), F.sum("target_at").alias("target_sum")
+    return seeds.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_pairs"), *sums)
+
+
 @query(
     """WITH c AS (SELECT doc_id, source, sum(strlen(text)) OVER (PARTITION BY source ORDER BY doc_id) - strlen(text) AS before, strlen(text) AS n FROM documents)
 SELECT doc_id, source, CAST(before // 100000 AS BIGINT) AS batch FROM c"""
 )
 def query_batches(spark, sf_dir):
+    from lociweave.plans.search import query_batches as batches
+
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", F.octet_length("text").cast("long").alias("n"))
-    before = Window.partitionBy("source").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    return docs.select("doc_id", "source", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / 100000).alias("batch"))
+    return batches(docs, ["source"], ["doc_id"], "n", 100_000).select("doc_id", "source", "batch")
 
 
 @query("""SELECT p_partkey, regexp_replace('ENSE' || p_partkey || '.' || p_size, '\\.[0-9]+$', '') AS stripped FROM part""")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociweave.functions import scalars as S
+from lociweave.operators.ranking import gapless_index
 
 ALIGNMENT = [
     ("query_id", "string"), ("percent_identity", "double"), ("query_start", "long"), ("query_end", "long"), ("strand", "string"),
@@ -176,7 +177,7 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     rows = lines(spark, path).where("NOT startswith(value, '@') AND trim(value) <> ''").select(F.split("value", "\t").alias("c"))
     rows = rows.where("size(c) >= 11").select(
         _cell(0).alias("query"), _cell(1).try_cast("int").alias("flag"), _cell(2).alias("target"), (_cell(3).try_cast("long") - 1).alias("start"),
-        _cell(5).alias("cigar"), F.slice("c", 12, 100).alias("tags"),
+        _cell(5).alias("cigar"), F.slice("c", 12, F.size("c")).alias("tags"),
     ).where("flag & 4 = 0 AND target <> '*' AND cigar <> '*'")
     tag = lambda n: F.regexp_replace(F.get(F.filter("tags", lambda t: t.startswith(f"{n}:")), F.lit(0)), "^[^:]*:[^:]*:", "")
     lead = F.coalesce(F.regexp_extract("cigar", "^([0-9]+)[SH]", 1).try_cast("long"), F.lit(0))
@@ -193,10 +194,8 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
 
 def ordinals(spark: SparkSession, path: str) -> DataFrame:
     """(ordinal, name) of a one-name-a-line list."""
-    from pyspark.sql import Window
-
     rows = lines(spark, path).select(F.trim("value").alias("name"), "ord")
-    return rows.select((F.row_number().over(Window.orderBy("ord")) - 1).cast("long").alias("ordinal"), "name")
+    return gapless_index(rows, [], ["ord"], "ordinal").select("ordinal", "name")
 
 
 def ordinal_of(subject: Column) -> Column:
