@@ -31,11 +31,17 @@ def query(sql: str | None = None):
     return add
 
 
+def _all() -> None:
+    import lociweave.library_queries  # noqa: F401  registers its own
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _all()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(SQL)
 
 
