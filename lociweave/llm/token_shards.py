@@ -6,8 +6,9 @@ sequences, gives every sequence its own global slot.  Slots are cut into ranges;
 so sequence `slot` stands in file slot // per_shard at byte (slot % per_shard) * stride, and a reader that stopped after
 any number of sequences goes on from there.
 
-The sequences are tokenised once into the shared folder and then dealt by slot range, one shuffle whose partitions are
-runs of whole shards; a task writes its shards in order.  A shard is written under a draft name and renamed when whole.
+The sequences are tokenised once into the shared folder and then dealt by slot range, in two waves of which each is a
+shuffle whose partitions are runs of whole shards, so that local disks hold half of them at a time; a task writes its
+shards in order.  A shard is written under a draft name and renamed when whole.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ SEQ_LEN = 1024
 PER_SHARD, LEAST_PER_SHARD, LEAST_SHARDS = 4096, 64, 64
 #: Tasks that write; beyond as many shards a task writes several.
 MOST_TASKS = 20_000
+WAVES = 2
 ROWS_AT_ONCE = 64
 ROUNDS = 6
 #: The public pre-tokenisation pattern of this vocabulary (fixed value).
@@ -200,11 +202,19 @@ def write_shards(
             put.__exit__(None)
 
     shards = -(-n // per_shard)
-    tasks = max(1, min(MOST_TASKS, shards))
     schema = "slot long, shard int, offset long, n_tokens int, doc_ids array<long>, ids_sha256 string"
-    own = F.expr(f"cast(cast(shard AS long) * {tasks} div {max(1, shards)} AS int)")
-    ranged = placed.withColumn("task", own).repartitionById(tasks, F.col("task")).sortWithinPartitions("slot").drop("task")
-    return written(ranged.mapInArrow(write, schema), "shards")
+    made = None
+    for wave in range(WAVES):
+        low, high = wave * shards // WAVES, (wave + 1) * shards // WAVES
+        if low == high and made is not None:
+            continue
+        tasks = max(1, min(MOST_TASKS, high - low))
+        task = F.expr(f"cast((cast(shard AS long) - {low}) * {tasks} div {max(1, high - low)} AS int)")
+        own = placed.where(f"shard >= {low} AND shard < {high}").withColumn("task", task)
+        ranged = own.repartitionById(tasks, F.col("task")).sortWithinPartitions("slot").drop("task")
+        rows = written(ranged.mapInArrow(write, schema), "shards")
+        made = rows if made is None else made.unionByName(rows)
+    return made
 
 
 def read_slots(out: str, first: int = 0, count: int | None = None) -> Iterator[np.ndarray]:
