@@ -3,151 +3,181 @@
 An item's windows are its runs of `window` words (all its words where it has fewer).  A window occurs in a document only
 if each of its shingles does, so one shingle is the necessary prefix, and the rarest makes the fewest candidates:
 
-1. document frequencies of all benchmark shingles are counted over all documents, and the shingles of each window are
-   ordered by rarity;
+1. document frequencies of the benchmark's shingles are counted over all documents, and the shingles of each window are
+   ordered by rarity; a window with a shingle that no document has is left out;
 2. documents are joined with the windows on that rarest shingle; the place of the shingle in the window fixes where the
    window must start, candidates that do not fit between the ends of the text are dropped, and the rest are compared word
    for word.
 
-Documents stay where they are: the benchmark is what is broadcast, in blocks of at most BLOCK_BYTES of item text, so the
-size of what is sent is bounded; a larger benchmark takes one pass over the documents for each block.
+Documents stay where they are.  They are read through bit filters of the shingles that matter, of BITS bits a shingle and
+MOST_BITS at most, so that what is sent is bounded whatever the benchmark's size, and only what passes becomes rows: a
+shingle, or a place with the words around it.  Those rows and the windows are joined as tables, by broadcast or by a
+shuffle as their sizes tell Spark.
 """
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict
+import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lociweave.llm.kernels import NON_ALNUM, Words, shingles, slices, whole
+from lociweave.llm.kernels import NON_ALNUM, Words, shingles, slices
+from lociweave.storage import written
 
-#: An index takes many times the memory of the item text it is made of, in the driver and in each task.
-BLOCK_BYTES = 2 << 20
 SHINGLE_WORDS = 5
-_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-FOUND = "struct<n_words: long, spans: array<struct<start: long, stop: long>>, items: array<int>>"
-
-
-class WindowIndex:
-    """The distinct windows of a block of items, and the shingles by which they are found."""
-
-    def __init__(self, texts: list[str | None], window: int):
-        owners: dict[tuple[bytes, ...], set[int]] = defaultdict(set)
-        for item, text in enumerate(texts):
-            data = np.frombuffer((text or "").encode(), np.uint8)
-            found = Words(data, np.array([0, len(data)]), NON_ALNUM)
-            words = [found.data[a:b].tobytes() for a, b in zip(found.starts, found.ends, strict=True)]
-            for at in range(max(1, len(words) - window + 1) if words else 0):
-                owners[tuple(words[at : at + window])].add(item)
-        self.words = list(owners)
-        self.items = [sorted(x) for x in owners.values()]
-        self.lengths = np.array([len(w) for w in self.words], np.int64)
-        #: (size, code) of a shingle -> [(window, word of the window at which it starts)]
-        self.places: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        for k, words in enumerate(self.words):
-            size = min(SHINGLE_WORDS, len(words))
-            data = np.frombuffer(b" ".join(words), np.uint8)
-            hashed = Words(data, np.array([0, len(data)]), NON_ALNUM).hashes()
-            for at in range(len(words) - size + 1):
-                self.places[size, int(_codes(hashed[at : at + size], np.array([0, size]), size)[1][0])].append((k, at))
-        self.sizes = sorted({s for s, _ in self.places})
-
-    def keep_rarest(self, counts: dict[tuple[int, int], int]) -> None:
-        """Leave each window its rarest shingle (ties: the smaller code, the earlier place)."""
-        best: dict[int, tuple] = {}
-        for (size, code), at in self.places.items():
-            for k, place in at:
-                best[k] = min(best.get(k, (float("inf"),)), (counts.get((size, code), 0), code, place, size))
-        self.places = defaultdict(list)
-        for k, (_, code, place, size) in best.items():
-            self.places[size, code].append((k, place))
-
-    def ready(self) -> WindowIndex:
-        """Sorted arrays for vectorised lookups."""
-        self.sorted: dict[int, tuple[np.ndarray, ...]] = {}
-        for size in self.sizes:
-            own = sorted((code, at) for (s, code), at in self.places.items() if s == size)
-            if own:
-                flat = [x for _, at in own for x in at]
-                self.sorted[size] = (
-                    np.array([c for c, _ in own], np.uint64),
-                    np.cumsum([0, *[len(at) for _, at in own]]),
-                    np.array([k for k, _ in flat], np.int64),
-                    np.array([p for _, p in flat], np.int64),
-                )
-        return self
+BITS, LEAST_BITS, MOST_BITS = 16, 1 << 16, 1 << 29
+SPANS = "array<struct<start: long, stop: long>>"
 
 
 def _codes(words: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    if size == SHINGLE_WORDS:
-        return shingles(words, rows, size)
+    """(word position, hash) of the runs of `size` words; runs of other sizes than SHINGLE_WORDS are kept apart."""
     at, codes = shingles(words, rows, size)
-    return at, codes ^ np.uint64(size)
-
-
-def _matches(index: WindowIndex, hashed: np.ndarray, rows: np.ndarray):
-    """(size, word positions, places in the sorted codes) of the shingles that the index holds."""
-    for size, (codes, *_rest) in index.sorted.items():
-        at, found = _codes(hashed, rows, size)
-        place = np.minimum(np.searchsorted(codes, found), len(codes) - 1)
-        hit = codes[place] == found
-        yield size, at[hit], place[hit]
-
-
-def _counter(shared) -> Column:
-    @F.arrow_udf("array<struct<size: int, code: long>>")
-    def held(texts: pa.Array) -> pa.Array:
-        index, out = shared.value.ready(), []
-        for first, last, data, offsets in slices(texts):
-            found = Words(data, offsets, NON_ALNUM)
-            own: list[list] = [[] for _ in range(last - first)]
-            for size, at, place in _matches(index, found.hashes(), found.rows):
-                row = np.searchsorted(found.rows, at, "right") - 1
-                codes = index.sorted[size][0].view(np.int64)
-                for r, p in np.unique(np.stack([row, place], 1), axis=0):
-                    own[r].append({"size": size, "code": int(codes[p])})
-            out += own
-        return pa.array(out, pa.list_(pa.struct([("size", pa.int32()), ("code", pa.int64())])))
-
-    return held
-
-
-def _finder(shared) -> Column:
-    @F.arrow_udf(FOUND)
-    def found_in(texts: pa.Array) -> pa.Array:
-        index, out = shared.value.ready(), []
-        equal: dict[tuple[int, bytes], bool] = {}
-        for first, last, data, offsets in slices(texts):
-            found = Words(data, offsets, NON_ALNUM)
-            spans: list[list] = [[] for _ in range(last - first)]
-            items: list[set] = [set() for _ in range(last - first)]
-            for size, at, place in _matches(index, found.hashes(), found.rows):
-                _, until, windows, offset = index.sorted[size]
-                many = until[place + 1] - until[place]
-                which = np.repeat(until[place], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                start, window = np.repeat(at, many) - offset[which], windows[which]
-                row = np.searchsorted(found.rows, np.repeat(at, many), "right") - 1
-                fits = (start >= found.rows[row]) & (start + index.lengths[window] <= found.rows[row + 1])
-                for s, k, r in zip(start[fits], window[fits], row[fits], strict=True):
-                    raw = found.data[found.starts[s] : found.ends[s + index.lengths[k] - 1]].tobytes()
-                    if (same := equal.get((k, raw))) is None:
-                        if len(equal) > 50_000:
-                            equal.clear()
-                        same = equal[k, raw] = tuple(_WORD.findall(raw)) == index.words[k]
-                    if same:
-                        begin = int(s - found.rows[r])
-                        spans[r].append((begin, begin + int(index.lengths[k])))
-                        items[r].update(index.items[k])
-            for r in range(last - first):
-                n = int(found.rows[r + 1] - found.rows[r])
-                out.append({"n_words": n, "spans": [{"start": a, "stop": b} for a, b in sorted(set(spans[r]))], "items": sorted(items[r])})
-        return pa.array(out, pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("items", pa.list_(pa.int32()))]))
-
-    return found_in
+    return at, codes if size == SHINGLE_WORDS else codes ^ np.uint64(size)
+
+
+def item_windows(benchmark: DataFrame, window: int, item_id: str, item_text: str) -> DataFrame:
+    """(item, id, n, text, grams): every window of every item; text: its words joined by spaces, grams: (code, size, place)."""
+    rows = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("text"))
+    schema = "item string, id binary, n int, text string, grams array<struct<code: long, size: int, place: int>>"
+    gram = pa.struct([("code", pa.int64()), ("size", pa.int32()), ("place", pa.int32())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = 0
+            for first, last, data, offsets in slices(batch.column(1)):
+                found = Words(data, offsets, NON_ALNUM)
+                hashed, out = found.hashes(), []
+                for r in range(last - first):
+                    lo, hi = int(found.rows[r]), int(found.rows[r + 1])
+                    words = [found.data[a:b].tobytes() for a, b in zip(found.starts[lo:hi], found.ends[lo:hi], strict=True)]
+                    n = min(window, len(words))
+                    size = min(SHINGLE_WORDS, n)
+                    codes = _codes(hashed[lo:hi], np.array([0, hi - lo]), size)[1].view(np.int64).tolist() if n else []
+                    item = batch.column(0)[row + r].as_py()
+                    for at in range(len(words) - n + 1 if n else 0):
+                        text = b" ".join(words[at : at + n])
+                        grams = [{"code": codes[at + p], "size": size, "place": p} for p in range(n - size + 1)]
+                        out.append((item, hashlib.blake2b(text, digest_size=16).digest(), n, text.decode(), grams))
+                row += last - first
+                columns = list(zip(*out, strict=True)) or [()] * 5
+                types = (pa.string(), pa.binary(), pa.int32(), pa.string(), pa.list_(gram))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["item", "id", "n", "text", "grams"])
+
+    return rows.where("item IS NOT NULL AND text IS NOT NULL").mapInArrow(read, schema)
+
+
+class BitFilter:
+    """Bits of 64-bit codes, and the sizes of their shingles; what is broadcast holds MOST_BITS bits at most."""
+
+    def __init__(self, codes: DataFrame):
+        """codes: distinct (size, code)."""
+        self.sizes = sorted(r["size"] for r in codes.select("size").distinct().collect())  # SHINGLE_WORDS rows at most
+        words = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS * codes.count()).bit_length())) // 64
+        self.bits = np.zeros(words, np.int64)
+        marked = codes.select(F.pmod(F.shiftrightunsigned("code", 6), F.lit(words)).alias("word"), F.col("code").bitwiseAND(63).cast("int").alias("bit"))
+        for row in marked.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toLocalIterator():
+            self.bits[row["word"]] = row["bits"]
+
+    def passing(self, hashed: np.ndarray, rows: np.ndarray):
+        """(size, word positions, codes) of the shingles that may be among the codes."""
+        held = self.bits.view(np.uint64)
+        for size in self.sizes:
+            at, codes = _codes(hashed, rows, size)
+            word = ((codes >> np.uint64(6)) % np.uint64(len(held))).astype(np.int64)
+            hit = (held[word] >> (codes & np.uint64(63)) & np.uint64(1)).astype(bool)
+            yield size, at[hit], codes[hit]
+
+
+def frequencies(texts: DataFrame, grams: DataFrame) -> DataFrame:
+    """(code, size, df): in how many of texts (text) each of grams (code, size) occurs; none is left out."""
+    shared = texts.sparkSession.sparkContext.broadcast(BitFilter(grams))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for *_, data, offsets in slices(batch.column(0)):
+                found = Words(data, offsets, NON_ALNUM)
+                for size, at, codes in shared.value.passing(found.hashes(), found.rows):
+                    row = np.searchsorted(found.rows, at, "right") - 1
+                    order = np.lexsort((codes, row))
+                    row, codes = row[order], codes[order]
+                    once = np.ones(len(row), bool)
+                    once[1:] = (row[1:] != row[:-1]) | (codes[1:] != codes[:-1])
+                    own = codes[once].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), size, np.int32))], names=["code", "size"])
+
+    counted = texts.select("text").mapInArrow(read, "code long, size int").groupBy("code", "size").agg(F.count("*").alias("df"))
+    return grams.join(counted, ["code", "size"])
+
+
+def candidates(texts: DataFrame, prefixes: DataFrame, window: int) -> DataFrame:
+    """(key, code, size, base, at, words): places in texts (key, text) of shingles that may be among prefixes (code, size).
+
+    words: the words within reach of a window around the place, joined by spaces; base: number of the first of them in
+    the text, at: where in them the shingle starts.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(BitFilter(prefixes))
+    schema = "key binary, code long, size int, base long, at int, words string"
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "code", "size", "base", "at", "words"]
+        for batch in batches:
+            keys = batch.column(0)
+            for first, _, data, offsets in slices(batch.column(1)):
+                found = Words(data, offsets, NON_ALNUM)
+                raw = found.data.tobytes()
+                for size, at, codes in shared.value.passing(found.hashes(), found.rows):
+                    row = np.searchsorted(found.rows, at, "right") - 1
+                    low = np.maximum(found.rows[row], at - (window - size))
+                    high = np.minimum(found.rows[row + 1], at + window)
+                    starts, ends = found.starts.tolist(), found.ends.tolist()
+                    words = [b" ".join([raw[starts[w] : ends[w]] for w in range(a, b)]).decode() for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [keys.take(pa.array(row + first)), pa.array(codes.view(np.int64)), pa.array(np.full(len(row), size, np.int32)), pa.array(low - found.rows[row]),
+                         pa.array((at - low).astype(np.int32)), pa.array(words, pa.string())], names=names
+                    )
+
+    return texts.select("key", "text").mapInArrow(read, schema)
+
+
+def _key(text: Column) -> Column:
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def text_hits(docs: DataFrame, benchmark: DataFrame, window: int, text: str, item_id: str, item_text: str) -> DataFrame:
+    """(_key, spans, items): what the texts of docs have of the benchmark; texts without a hit are left out."""
+    texts = docs.select(F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
+    every = written(item_windows(benchmark, window, item_id, item_text), "windows")
+    windows = every.groupBy("id").agg(F.first("n").alias("n"), F.first("text").alias("window"), F.first("grams").alias("grams"))
+    grams = windows.select("id", F.explode("grams").alias("g")).select("id", "g.*")
+    counted = frequencies(texts, written(grams.select("code", "size").distinct(), "grams"))
+    # rarest first; a window with a shingle of no document has a row less than shingles
+    order = F.struct("df", "code", "place", "size")
+    rarest = grams.join(counted, ["code", "size"]).groupBy("id").agg(F.min(order).alias("r"), F.count("*").alias("known"))
+    prefixes = windows.join(rarest, "id").where("known = size(grams)").select("id", "n", F.split("window", " ").alias("window"), "r.code", "r.size", "r.place")
+    prefixes = written(prefixes, "prefixes")
+    places = candidates(texts.select(_key(F.col("text")).alias("key"), "text"), prefixes.select("code", "size").distinct(), window)
+    begin = F.col("at") - F.col("place")
+    words = F.split("words", " ")
+    met = places.join(prefixes, ["code", "size"]).where((begin >= 0) & (begin + F.col("n") <= F.size(words)))
+    same = met.where(F.slice(words, begin + 1, F.col("n")) == F.col("window"))
+    start = F.col("base") + begin
+    found = written(same.select("key", "id", start.alias("start"), (start + F.col("n")).alias("stop")).distinct(), "occurrences")
+    spans = found.groupBy("key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    items = found.select("key", "id").distinct().join(every.select("id", "item").distinct(), "id").groupBy("key").agg(F.collect_set("item").alias("items"))
+    return written(spans.join(items, "key").withColumnRenamed("key", "_key"), "hits")
+
+
+def _word_count(text: Column) -> Column:
+    @F.arrow_udf("long")
+    def count(texts: pa.Array) -> pa.Array:
+        counts = [np.diff(Words(data, offsets, NON_ALNUM).rows) for *_, data, offsets in slices(texts)]
+        return pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64))
+
+    return count(text)
 
 
 def _covered(spans: Column) -> Column:
@@ -170,49 +200,21 @@ def find_benchmark(
 
     Words are runs of digits, ASCII letters (A-Z lower-cased) and non-ASCII characters.  Null texts have no words, items
     without words no windows; items without an id are ignored, and items of one id are one item.  All rows and columns
-    of docs come back (a column of the names above is replaced); an empty benchmark hits nothing.
+    of docs come back (a column of the names above is replaced); an empty benchmark hits nothing.  Rows of one text have
+    the same hits: texts are told apart by their SHA-256.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("string").alias("text"))
-    items = items.where("item IS NOT NULL AND text IS NOT NULL")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // BLOCK_BYTES) or 1
-    texts = F.col(text).cast("string")
-    parts = []
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).collect()
-        index = WindowIndex([r["text"] for r in own], window)
-        every = spark.sparkContext.broadcast(index)
-        counted = docs.select(F.explode(_counter(every)(texts)).alias("s")).groupBy("s.size", "s.code").count()
-        index.keep_rarest({(r["size"], r["code"] % 2**64): r["count"] for r in counted.collect()})
-        rarest = spark.sparkContext.broadcast(index)
-        names = F.array(*[F.lit(r["item"]) for r in own]) if len(own) <= 1000 else F.lit([r["item"] for r in own])
-        parts.append((_finder(rarest)(texts), names))
-    named = lambda found, names: F.transform(found["items"], lambda i: F.element_at(names, i + 1))
-    if blocks == 1:
-        met = docs.withColumn("_found", parts[0][0])
-        items_of, spans = named(F.col("_found"), parts[0][1]), F.col("_found.spans")
-    else:
-        key = F.xxhash64(texts)
-        hits = None
-        for find, names in parts:
-            one = docs.select(key.alias("_key"), find.alias("_f")).where(F.size("_f.spans") > 0).dropDuplicates(["_key"])
-            one = one.select("_key", F.col("_f.spans").alias("_s"), named(F.col("_f"), names).alias("_i"))
-            hits = one if hits is None else hits.unionByName(one)
-        merged = hits.groupBy("_key").agg(F.flatten(F.collect_list("_s")).alias("_spans"), F.flatten(F.collect_list("_i")).alias("_items"))
-        count = _finder(spark.sparkContext.broadcast(WindowIndex([], window)))
-        met = docs.withColumn("_key", key).join(merged, "_key", "left").drop("_key").withColumn("_found", count(texts))
-        items_of, spans = F.coalesce("_items", F.array()), F.coalesce("_spans", F.array().cast("array<struct<start: long, stop: long>>"))
-    return (
-        met.withColumn("n_words", F.col("_found.n_words"))
-        .withColumn("hit_spans", spans)
-        .withColumn("n_hit", _covered(F.col("hit_spans")))
-        .withColumn("item_ids", F.array_sort(F.array_distinct(items_of)))
-        .drop("_found", "_spans", "_items")
-    )
+    hits = text_hits(docs, benchmark, window, text, item_id, item_text)
+    body = F.col(text).cast("string")
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"_row{i}") for i, c in enumerate(docs.columns)], _word_count(body).alias("_n"), _key(body).alias("_own"))
+    met = rows.join(hits, rows["_own"] == hits["_key"], "left")
+    spans = F.array_sort(F.coalesce("spans", F.array().cast(SPANS)))
+    made = {"n_words": F.col("_n"), "hit_spans": spans, "n_hit": _covered(spans), "item_ids": F.array_sort(F.coalesce("items", F.array().cast("array<string>")))}
+    kept = [F.col(f"_row{i}").alias(c) for i, c in enumerate(docs.columns) if c not in made]
+    return met.select(*kept, *[c.alias(n) for n, c in made.items()])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of docs in which no benchmark window occurs, with their own columns alone."""
-    found = find_benchmark(docs.select(F.struct("*").alias("_row"), F.col("text")), benchmark, window)
-    return found.where("n_hit = 0").select("_row.*")
+    hits = text_hits(docs, benchmark, window, "text", "item_id", "text").select("_key")
+    rows = docs.select(F.struct("*").alias("_row"), _key(F.col("text").cast("string")).alias("_own"))
+    return rows.join(hits, rows["_own"] == hits["_key"], "left_anti").select("_row.*")
