@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociweave.llm.kernels import NON_ALNUM, Words, shingles, slices
+from lociweave.llm.row_keys import without
 from lociweave.storage import written
 
 SHINGLE_WORDS = 5
@@ -217,4 +218,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     """The rows of docs in which no benchmark window occurs, with their own columns alone."""
     hits = text_hits(docs, benchmark, window, "text", "item_id", "text").select("_key")
     rows = docs.select(F.struct("*").alias("_row"), _key(F.col("text").cast("string")).alias("_own"))
-    return rows.join(hits, rows["_own"] == hits["_key"], "left_anti").select("_row.*")
+    return without(rows, hits, [("_own", "_key")]).select("_row.*")

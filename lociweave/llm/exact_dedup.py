@@ -17,12 +17,11 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lociweave.llm.row_keys import rows_but
+from lociweave.llm.row_keys import PACKED, packed_words, rows_but
 from lociweave.storage import shared_path, shuffle_width, written
 
 FILTER_WORDS = 1 << 23
 ROWS_PER_WORD = 4
-PACKED = 16
 WHITE_SPACE = "[\\x20\\x09-\\x0D]"
 
 
@@ -59,8 +58,7 @@ def repeated_filter(keys: DataFrame) -> DataFrame:
         lambda a: a["twice"],
     )
     words = held.select("word", merged.alias("bits")).where("bits <> 0")
-    each = [F.bit_or(F.when(F.col("word") % PACKED == k, F.col("bits")).otherwise(0)) for k in range(PACKED)]
-    return words.groupBy(F.expr(f"word div {PACKED}").alias("block")).agg(F.array(*each).alias("packed"))
+    return packed_words(words)
 
 
 def _judged(docs: DataFrame, doc_id: str, text: str, filter_words: int) -> DataFrame:
