@@ -88,8 +88,8 @@ def window_padding(span: Column) -> Column:
 
 
 def gene_key(names: Column, ids: Column) -> Column:
-    """Sorted distinct names, or ids where there are no names."""
-    tidy = lambda a: F.array_sort(F.array_distinct(F.filter(a, lambda x: x.isNotNull() & (x != ""))))
+    """Sorted distinct names, or ids where there are no names; blank ones and '.' are none."""
+    tidy = lambda a: F.array_sort(F.array_distinct(F.filter(F.transform(a, lambda x: F.trim(x)), lambda x: x.isNotNull() & ~x.isin("", "."))))
     return F.when(F.size(tidy(names)) > 0, tidy(names)).otherwise(tidy(ids))
 
 

@@ -67,7 +67,7 @@ def missing_attributes(exons: DataFrame) -> DataFrame:
 
 
 def shared_exon_units(exons: DataFrame, threshold: int = SHARED_BASES, bin_size: int = 100_000) -> DataFrame:
-    """(gene_id, chrom, strand, unit_id, unit_name, shared): genes of one strand joined by more than `threshold` shared
+    """(gene_id, chrom, strand, unit_id, unit_name, shared, member_gene_ids, member_gene_names): genes of one strand joined by more than `threshold` shared
     exonic bases, directly or through others; members in the order of (name, id), joined by '&'."""
     named = exons.where("gene_id <> ''")
     keys = ["chrom", "strand", "gene_id"]
@@ -85,17 +85,29 @@ def shared_exon_units(exons: DataFrame, threshold: int = SHARED_BASES, bin_size:
     most = edges.join(found, edges["x"] == found["node"]).groupBy("component").agg(F.max("shared").alias("shared"))
     member = F.array_sort(F.collect_list(F.struct("gene_name", "gene_id", "gene_id_full"))).alias("m")
     units = rows.groupBy("component").agg(member).join(most, "component")
-    name = F.array_join(F.transform("m", lambda x: F.when(x["gene_name"] != "", x["gene_name"]).otherwise(x["gene_id"])), "&")
-    units = units.select("component", F.array_join("m.gene_id", "&").alias("unit_id"), name.alias("unit_name"), "shared")
-    return rows.join(units, "component").select(*keys, "unit_id", "unit_name", "shared")
+    shown = F.transform("m", lambda x: F.when(x["gene_name"] != "", x["gene_name"]).otherwise(x["gene_id"]))
+    units = units.select(
+        "component", F.array_join("m.gene_id", "&").alias("unit_id"), F.array_join(shown, "&").alias("unit_name"), "shared",
+        F.array_join("m.gene_id", ";").alias("member_gene_ids"), F.array_join(shown, ";").alias("member_gene_names"),
+    )
+    return rows.join(units, "component").select(*keys, "unit_id", "unit_name", "shared", "member_gene_ids", "member_gene_names")
+
+
+def shared_report(units: DataFrame) -> DataFrame:
+    """Seven columns, one row a unit: merged id and name, contig, strand, members, most bases that two of them share."""
+    return units.select(
+        F.col("unit_id").alias("merged_gene_id"), F.col("unit_name").alias("merged_gene_name"), F.col("chrom").alias("reference_contig"), "strand",
+        "member_gene_ids", "member_gene_names", F.col("shared").alias("max_pair_shared_exonic_bp"),
+    ).distinct().orderBy("reference_contig", "strand", "merged_gene_id")
 
 
 def with_gene_units(a: Annotation, units: DataFrame) -> Annotation:
     """Genes relabelled to their units, at the units' own loci only; source_gene_id keeps what they were."""
-    exons = a.exons.join(units.drop("shared"), ["gene_id", "chrom", "strand"], "left").withColumns(
+    units = units.select("gene_id", "chrom", "strand", "unit_id", "unit_name")
+    exons = a.exons.join(units, ["gene_id", "chrom", "strand"], "left").withColumns(
         {"gene_id": F.coalesce("unit_id", "gene_id"), "gene_id_full": F.coalesce("unit_id", "gene_id_full"), "gene_name": F.coalesce("unit_name", "gene_name")}
     ).drop("unit_id", "unit_name")
-    of = a.exons.join(units.drop("shared"), ["gene_id", "chrom", "strand"]).groupBy("tid").agg(F.min("unit_id").alias("unit_id"), F.min("unit_name").alias("unit_name"))
+    of = a.exons.join(units, ["gene_id", "chrom", "strand"]).groupBy("tid").agg(F.min("unit_id").alias("unit_id"), F.min("unit_name").alias("unit_name"))
     transcripts = a.transcripts.join(of, "tid", "left").withColumns(
         {"gene_id": F.coalesce("unit_id", "gene_id"), "gene_id_full": F.coalesce("unit_id", "gene_id_full"), "gene_name": F.coalesce("unit_name", "gene_name")}
     ).drop("unit_id", "unit_name")

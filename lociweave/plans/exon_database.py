@@ -12,12 +12,15 @@ from lociweave.operators.intervals import islands
 def collapse_exons(exons: DataFrame) -> DataFrame:
     """One row for each exon id and place: transcripts, numbers and genes in file order, distinct; MANE if any is."""
     keys = ["exon_id_full", "exon_id", "chrom", "start0", "end0", "strand"]
-    rows = F.array_sort(F.collect_list(F.struct("ord", "tid", "exon_number", "gene_id", "gene_name", "transcript_type")))
+    full = lambda name, bare: F.col(name if name in exons.columns else bare).alias(name)
+    cells = F.struct("ord", "tid", full("transcript_id_full", "tid"), "exon_number", "gene_id", full("gene_id_full", "gene_id"), "gene_name", "transcript_type")
+    rows = F.array_sort(F.collect_list(cells))
     made = exons.groupBy(*keys).agg(rows.alias("r"), F.bool_or("own_mane").alias("any_mane"))
-    pairs = F.array_distinct(F.transform("r", lambda x: F.struct(x["tid"].alias("tid"), x["exon_number"].alias("n"))))
+    pairs = F.array_distinct(F.transform("r", lambda x: F.struct(x["transcript_id_full"].alias("tid"), x["exon_number"].alias("n"))))
     return made.select(
         *keys, F.array_distinct("r.tid").alias("transcript_ids"), F.transform(pairs, lambda p: p["n"]).alias("transcript_indices"), F.array_distinct("r.gene_id").alias("gene_ids"),
         F.array_distinct("r.gene_name").alias("gene_names"), F.array_contains("r.transcript_type", "protein_coding").alias("coding"), "any_mane",
+        F.array_distinct("r.transcript_id_full").alias("transcript_ids_full"), F.array_distinct("r.gene_id_full").alias("gene_ids_full"), pairs.alias("transcript_numbers"),
     )
 
 
@@ -89,7 +92,8 @@ def identical_paralogs(exons: DataFrame, mane: DataFrame, genome: DataFrame) ->
 
     mane: (gene_id, tid).  A transcript counts if its exons lie on one contig and strand in the order of their numbers
     1, 2, ... and its sequence is ACGT only; a gene with a MANE transcript that does not count is in no set.
-    Columns: representative_gene_id (first of the set in file order), merged_gene_name, gene_ids, gene_names, n_transcripts.
+    Columns: the eight of the report (genes in file order and ';'-joined, the first as representative; transcripts of a gene
+    by id and ','-joined, with length and SHA-256 of their sequence), and n_transcripts, the number of different sequences.
     """
     rows = exons.join(mane.select("tid"), "tid", "left_semi").dropDuplicates(["tid", "exon_number", "chrom", "start0", "end0"])
     met = rows.join(genome.select(F.col("name").alias("chrom"), "seq"), "chrom")
@@ -101,15 +105,20 @@ def identical_paralogs(exons: DataFrame, mane: DataFrame, genome: DataFrame) ->
     )
     whole = F.array_join("p.s", "")
     straight = (F.transform("p", lambda x: x["exon_number"]) == F.sequence(F.lit(1), F.size("p"))) & (F.array_sort("p.at") == F.col("p.at"))
-    spliced = made.select("tid", F.when((F.col("places") == 1) & straight & whole.rlike("^[ACGT]+$"), whole).alias("spliced"))
-    sets = mane.join(spliced, "tid", "left").groupBy("gene_id").agg(F.array_sort(F.collect_set("spliced")).alias("set"), F.count_if(F.col("spliced").isNull()).alias("bad"))
+    good = (F.col("places") == 1) & straight & whole.rlike("^[ACGT]+$")
+    spliced = made.select("tid", F.when(good, F.sha2(whole, 256)).alias("digest"), F.length(whole).alias("length"))
+    sets = mane.join(spliced, "tid", "left").groupBy("gene_id").agg(
+        F.array_sort(F.collect_set("digest")).alias("set"), F.count_if(F.col("digest").isNull()).alias("bad"), F.array_sort(F.collect_set(F.struct("tid", "length", "digest"))).alias("t")
+    )
     facts = exons.groupBy("gene_id").agg(F.min("ord").alias("ord"), F.min_by("gene_name", "ord").alias("gene_name"))
     good = sets.where("bad = 0 AND size(set) > 0").join(facts, "gene_id")
-    members = F.array_sort(F.collect_list(F.struct("ord", "gene_id", "gene_name"))).alias("m")
+    members = F.array_sort(F.collect_list(F.struct("ord", "gene_id", "gene_name", "t"))).alias("m")
     groups = good.groupBy("set").agg(members).where("size(m) > 1")
+    listed = lambda c: F.array_join(F.transform("m", lambda g: F.array_join(g["t"][c].cast("array<string>"), ",")), ";")
     return groups.select(
-        F.col("m")[0]["gene_id"].alias("representative_gene_id"), F.concat(F.col("m")[0]["gene_name"], F.lit("merged")).alias("merged_gene_name"),
-        F.array_join("m.gene_id", ";").alias("gene_ids"), F.array_join("m.gene_name", ";").alias("gene_names"), F.size("set").alias("n_transcripts"),
+        F.col("m")[0]["gene_id"].alias("representative_gene_id"), F.col("m")[0]["gene_name"].alias("representative_gene_name"), F.concat(F.col("m")[0]["gene_name"], F.lit("merged")).alias("merged_gene_name"),
+        F.array_join("m.gene_id", ";").alias("gene_ids"), F.array_join("m.gene_name", ";").alias("gene_names"),
+        listed("tid").alias("mane_transcript_ids"), listed("length").alias("mane_sequence_lengths"), listed("digest").alias("mane_sequence_sha256"), F.size("set").alias("n_transcripts"),
     )
 
 

@@ -9,6 +9,7 @@ from lociweave.functions import scalars as S
 from lociweave.operators.chains import insertion_runs
 from lociweave.operators.intervals import range_join
 from lociweave.plans.calls import _map_rows
+from lociweave.plans.exon_tables import six_places
 
 VERSION = "3"
 #: Columns of the call table, in order (fixed values).
@@ -132,14 +133,25 @@ def write_call_tables(table: DataFrame, main: str, fragments: str) -> None:
         rows.write.csv(path, sep="\t", header=True, quote="", emptyValue="", mode="overwrite")
 
 
-def legacy_table(table: DataFrame) -> DataFrame:
-    """Sixteen columns without ties or hierarchy; a tied row or a gene model is an error."""
+def legacy_table(table: DataFrame, truncated: DataFrame | None = None) -> DataFrame:
+    """Sixteen columns without ties or hierarchy; a tied row or a gene model is an error.
+
+    truncated: (transcript_id, low, high) of models that were cut to the exon numbers low to high, which then stand behind the id.
+    """
     bad = (F.col("tie_count") != "1") | (F.col("model_type") == "full_gene")
     checked = F.when(bad, F.raise_error(F.lit("the legacy table holds neither ties nor gene models"))).otherwise(F.col("transcript_id"))
-    similarity = F.round(F.col("raw_exon_score").cast("double") / F.greatest(F.lit(1), F.col("expected_exons").cast("int")), 6)
+    if truncated is None:
+        name = checked
+    else:
+        table = table.join(truncated, "transcript_id", "left")
+        name = F.when(F.col("low").isNull(), checked).otherwise(F.concat(checked, F.lit("(:"), F.col("low").cast("string"), F.lit("-"), F.col("high").cast("string"), F.lit(")")))
+    similarity = F.when(F.col("expected_exons").cast("int") > 0, F.col("raw_exon_score").cast("double") / F.col("expected_exons").cast("int")).otherwise(0.0)
+    places = F.filter(F.split("exon_query_coordinates", ","), lambda x: x != "")
+    side = lambda i: F.array_join(F.transform(places, lambda x: F.split(x, "-")[i]), ",")
     return table.select(
-        checked.alias("transcript_id"), "gene_id", "gene_name", "transcript_type", "ifmane_transcript", "weighted_score", similarity.cast("string").alias("similarity"),
-        "expected_exons", "found_exons", "found_exon_numbers", "query_contig", "query_start", "query_end", "strand", "exon_query_coordinates", "call_status",
+        name.alias("transcript_id"), "gene_id", "gene_name", "transcript_type", "total_aligned_bases", six_places(similarity).alias("similarity"), "expected_exons", "missing_exons",
+        "found_exon_numbers", "query_contig", "query_start", "query_end", side(0).alias("exon_starts"), side(1).alias("exon_ends"),
+        F.array_join(F.transform(places, lambda x: F.col("strand")), ",").alias("exon_strands"), "exon_ids",
     )
 
 
@@ -193,3 +205,30 @@ def bed(table: DataFrame, haplotype: str = "") -> DataFrame:
         F.size("b").alias("blockCount"), listed(lambda x: x["e"] - x["s"]).alias("blockSizes"), listed(lambda x: x["s"] - start).alias("blockStarts"), F.lit(haplotype).alias("haplotype"),
     ]
     return rows.select(*core, *BED_EXTRA[1:]).orderBy("chrom", "chromStart", "chromEnd", "name")
+
+
+def write_by_sample(table: DataFrame, samples: DataFrame, sample: str, path: str) -> None:
+    """One folder of tab-separated files a sample under `path`, in row order; a row of no known sample is an error.
+
+    samples: (name), unique; `sample` names the table's column.  Samples are dealt by ranges of (sample, row order), so that
+    one of any size is written by several tasks.
+    """
+    stray = table.join(samples, table[sample] == samples["name"], "left_anti").select(sample).distinct().limit(5).collect()
+    if stray:
+        raise ValueError(f"rows of unknown samples: {[r[0] for r in stray]}")
+    rows = table.withColumn("sample", F.col(sample))
+    order = ["sample", *[c for c in ("row_order",) if c in table.columns]]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("row_order").write.partitionBy("sample").csv(path, sep="\t", header=True, quote="", emptyValue="", mode="overwrite")
+
+
+def valid_call_table(table: DataFrame) -> bool:
+    """Whether a table that was read again is one of this version: its columns, none of older layouts, its first row."""
+    old = {"transcript_id_full", "gene_id_full", "alternatives_json"}
+    needed = {
+        "query_contig", "transcript_id", "call_status", "tie_group_id", "tie_count", "assignment_status", "pipeline_version", "model_type", "GENE_index",
+        "inserted_exons", "insertion_penalty", "insertion_run_unique_exons",
+    }
+    if not needed <= set(table.columns) or old & set(table.columns):
+        return False
+    first = table.select("pipeline_version").first()
+    return first is None or first[0] == VERSION

@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from lociweave.functions.scalars import window_padding
-from lociweave.operators.intervals import merged
+from lociweave.operators.intervals import equal_copy_counts, merged, range_join
 from lociweave.operators.ranking import running_total
 from lociweave.plans.calls import _map_rows
 from lociweave.storage import written
@@ -113,6 +113,32 @@ def seed_windows(seeds: DataFrame, genes: DataFrame, query_genes: DataFrame) ->
     return merged(padded, ["gene", "contig"], "window_start", "window_end", touching=True).drop("island")
 
 
+def window_balance(windows: DataFrame, hits: DataFrame, expected: DataFrame, bin_size: int = 100_000) -> DataFrame:
+    """windows with `balanced`: every expected exon of the gene has the same number of copies, at least one, in the window.
+
+    hits: gene, contig, exon, strand, start, end, of expected exons, counted where they lie wholly in the window; hits of an
+    exon and strand that overlap are one copy.  expected: (gene, exon), unique.  A gene with no expected exon is not balanced.
+    """
+    place = ["gene", "contig", "window_start", "window_end"]
+    met = range_join(hits, windows.select(*place), ["gene", "contig"], bin_size, ("start", "end"), ("window_start", "window_end"), contained=True)
+    inside = met.join(expected, ["gene", "exon"], "left_semi")
+    equal = equal_copy_counts(inside, place, windows.select(*place).join(expected, "gene"), "exon", "strand", "start", "end")
+    return windows.join(equal, place, "left").withColumn("balanced", F.coalesce("balanced", F.lit(False)))
+
+
+def search_counters(seeds: DataFrame, genes: DataFrame, query_genes: DataFrame, balance: DataFrame) -> DataFrame:
+    """One row: n_seeds, n_genes, n_seeded (genes with a seed), n_windows, n_balanced."""
+    seeded = seeds.select("query").distinct().join(query_genes, "query").join(genes.select("gene"), "gene").select("gene").distinct()
+    one = lambda df, *aggs: df.agg(*aggs).withColumn("_k", F.lit(1))
+    rows = one(seeds, F.count("*").alias("n_seeds"))
+    for df, aggs in (
+        (genes, [F.count("*").alias("n_genes")]), (seeded, [F.count("*").alias("n_seeded")]),
+        (balance, [F.count("*").alias("n_windows"), F.count_if("balanced").alias("n_balanced")]),
+    ):
+        rows = rows.join(one(df, *aggs), "_k")
+    return rows.drop("_k")
+
+
 def window_sequences(windows: DataFrame, genome: DataFrame) -> DataFrame:
     """windows with their sequence; genome: (name, seq).  A window outside its contig is an error."""
     met = windows.join(genome.select(F.col("name").alias("contig"), "seq"), "contig")

@@ -45,17 +45,20 @@ def _attr(*keys: str) -> Column:
     return F.coalesce(*[F.when(F.try_element_at(F.col("attrs"), F.lit(k)) != "", F.try_element_at(F.col("attrs"), F.lit(k))) for k in keys], F.lit(""))
 
 
-def annotation_exons(features: DataFrame) -> DataFrame:
+def annotation_exons(features: DataFrame, numbered: bool = True) -> DataFrame:
     """Exon rows of gff3(): ids with and without version, number, gene, biotype, place, own MANE mark.
 
-    Rows without exon_id, transcript id or exon number, with a number that is none, or without a strand are left out.
+    Rows without exon_id, transcript id or exon number, with a number that is none, or without a strand are left out;
+    those without a number stay where not `numbered`, as building a database asks for.
     """
     rows = features.where("type = 'exon' AND strand IN ('+', '-')").select(
         "ord", "chrom", "start0", "end0", "strand", _attr("exon_id").alias("exon_id_full"), _attr("transcript_id", "Parent").alias("transcript_id_full"),
         _attr("gene_id").alias("gene_id_full"), _attr("exon_number").try_cast("int").alias("exon_number"), _attr("gene_name").alias("gene_name"),
         _attr("transcript_type", "gene_type").alias("transcript_type"), S.is_mane(F.col("attrs")).alias("own_mane"),
     )
-    good = rows.where("exon_id_full <> '' AND transcript_id_full <> '' AND exon_number IS NOT NULL AND start0 IS NOT NULL AND end0 IS NOT NULL")
+    good = rows.where("exon_id_full <> '' AND transcript_id_full <> '' AND start0 IS NOT NULL AND end0 IS NOT NULL")
+    if numbered:
+        good = good.where("exon_number IS NOT NULL")
     bare = {n: S.strip_version(F.col(f"{n}_full")) for n in ("exon_id", "gene_id")}
     return good.withColumns(bare | {"tid": S.strip_version(F.col("transcript_id_full"))})
 
@@ -173,7 +176,10 @@ def hsps(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sam(spark: SparkSession, path: str) -> DataFrame:
-    """Mapped SAM rows: query, target, strand, target interval, cigar, AS, NM, and the query interval on its own strand."""
+    """Mapped SAM rows: query, target, strand, target interval, cigar, AS, NM, and the query interval on its own strand.
+
+    percent_identity is null where there is no PI tag.
+    """
     rows = lines(spark, path).where("NOT startswith(value, '@') AND trim(value) <> ''").select(F.split("value", "\t").alias("c"))
     rows = rows.where("size(c) >= 11").select(
         _cell(0).alias("query"), _cell(1).try_cast("int").alias("flag"), _cell(2).alias("target"), (_cell(3).try_cast("long") - 1).alias("start"),
@@ -188,7 +194,7 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(
         "query", "target", F.when(minus, "-").otherwise("+").alias("strand"), "start", (F.col("start") + S.cigar_length(F.col("cigar"), "MDN=X")).alias("end"), "cigar",
         skipped.alias("query_start"), (skipped + used).alias("query_end"), S.lenient_double(tag("AS")).alias("AS"), S.lenient_long(tag("NM")).alias("NM"),
-        S.lenient_double(tag("EV")).alias("evalue"), S.lenient_double(tag("PI")).alias("percent_identity"),
+        S.lenient_double(tag("EV")).alias("evalue"), tag("PI").try_cast("double").alias("percent_identity"),
     )
 
 
