@@ -149,7 +149,7 @@ def legacy_table(table: DataFrame, truncated: DataFrame | None = None) -> DataFr
     places = F.filter(F.split("exon_query_coordinates", ","), lambda x: x != "")
     side = lambda i: F.array_join(F.transform(places, lambda x: F.split(x, "-")[i]), ",")
     return table.select(
-        name.alias("transcript_id"), "gene_id", "gene_name", "transcript_type", "total_aligned_bases", six_places(similarity).alias("similarity"), "expected_exons", "missing_exons",
+        name.alias("transcript_id"), "gene_id", "gene_name", "transcript_type", "total_aligned_bases", F.round(similarity, 6).cast("string").alias("similarity"), "expected_exons", "missing_exons",
         "found_exon_numbers", "query_contig", "query_start", "query_end", side(0).alias("exon_starts"), side(1).alias("exon_ends"),
         F.array_join(F.transform(places, lambda x: F.col("strand")), ",").alias("exon_strands"), "exon_ids",
     )
@@ -207,6 +207,12 @@ def bed(table: DataFrame, haplotype: str = "") -> DataFrame:
     return rows.select(*core, *BED_EXTRA[1:]).orderBy("chrom", "chromStart", "chromEnd", "name")
 
 
+def write_legacy_table(legacy: DataFrame, path: str) -> None:
+    """legacy_table() rows as tab-separated files without header, similarity with six places."""
+    rows = legacy.withColumn("similarity", six_places(F.col("similarity").cast("double")))
+    rows.write.csv(path, sep="\t", quote="", emptyValue="", mode="overwrite")
+
+
 def write_by_sample(table: DataFrame, samples: DataFrame, sample: str, path: str) -> None:
     """One folder of tab-separated files a sample under `path`, in row order; a row of no known sample is an error.
 

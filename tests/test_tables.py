@@ -3,6 +3,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from test_search import EXONS, exon
 
 from lociweave.plans import annotation as A
 from lociweave.plans import exon_database as D
@@ -10,7 +11,6 @@ from lociweave.plans import exon_tables as T
 from lociweave.plans import reports as R
 from lociweave.plans import search as S
 from lociweave.sources import readers, tables
-from tests.test_search import EXONS, exon
 
 FLIP = str.maketrans("ACGT", "TGCA")
 
@@ -145,7 +145,7 @@ def test_tables_by_sample_and_their_validity(spark, tmp_path):
     assert not R.valid_call_table(whole.withColumn("gene_id_full", F.lit(""))) and not R.valid_call_table(whole.withColumn("pipeline_version", F.lit("2")))
 
 
-def test_legacy_rows(spark):
+def test_legacy_rows(spark, tmp_path):
     cells = {c: "" for c in R.COLUMNS} | {
         "transcript_id": "T", "tie_count": "1", "model_type": "transcript", "raw_exon_score": "100.000000", "expected_exons": "3", "strand": "-",
         "exon_query_coordinates": "5-9,20-30", "exon_ids": "A,B",
@@ -154,6 +154,9 @@ def test_legacy_rows(spark):
     row = R.legacy_table(table, spark.createDataFrame([("T", 2, 4)], "transcript_id string, low int, high int")).first()
     assert len(row) == 16 and (row.transcript_id, row.similarity, row.exon_starts, row.exon_ends, row.exon_strands) == ("T(:2-4)", "33.333333", "5,20", "9,30", "-,-")
     assert R.legacy_table(table).first().transcript_id == "T"
+    R.write_legacy_table(R.legacy_table(table.withColumn("expected_exons", F.lit("4"))), str(tmp_path / "old"))
+    cells = spark.read.text(str(tmp_path / "old")).first()[0].split("\t")
+    assert len(cells) == 16 and cells[5] == "25.000000" and cells[15] == "A,B"
     with pytest.raises(Exception, match="legacy"):
         R.legacy_table(table.withColumn("tie_count", F.lit("2"))).collect()
 
