@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lociweave.functions import scalars as S
 from lociweave.operators.intervals import islands
+from lociweave.operators.stretches import with_length, with_stretch
 
 
 def collapse_exons(exons: DataFrame) -> DataFrame:
@@ -29,17 +30,17 @@ def anchored(collapsed: DataFrame, genome: DataFrame, target: int = 150, least_u
 
     Exons outside their contig, empty ones and those with fewer than least_unmasked upper-case ACGT are left out.
     """
-    met = collapsed.join(genome.select(F.col("name").alias("chrom"), "seq"), "chrom").withColumn("contig_length", F.length("seq").cast("long"))
-    met = met.where("start0 >= 0 AND end0 <= contig_length AND start0 < end0")
+    met = with_length(collapsed, genome, "chrom").where("start0 >= 0 AND end0 <= contig_length AND start0 < end0")
     low, high = S.anchor_lengths(F.col("start0"), F.col("end0"), F.col("contig_length"), target)
     placed = met.withColumn("_low", low.cast("long")).withColumn("_high", high.cast("long"))
-    raw = F.col("seq").substr((F.col("start0") - F.col("_low") + 1).cast("int"), (F.col("end0") - F.col("start0") + F.col("_low") + F.col("_high")).cast("int"))
+    placed = placed.withColumn("_from", F.col("start0") - F.col("_low")).withColumn("_until", F.col("end0") + F.col("_high"))
+    placed, raw = with_stretch(placed, genome, "chrom", "_from", "_until", "_raw"), F.col("_raw")
     minus = F.col("strand") == "-"
     rows = placed.withColumns({
         "sequence": F.when(minus, S.reverse_complement(raw)).otherwise(raw), "left_anchor": F.when(minus, F.col("_high")).otherwise(F.col("_low")),
         "right_anchor": F.when(minus, F.col("_low")).otherwise(F.col("_high")),
     })
-    return rows.withColumn("unmasked", S.unmasked_bases(F.col("sequence"))).where(F.col("unmasked") >= least_unmasked).drop("seq", "_low", "_high", "contig_length")
+    return rows.withColumn("unmasked", S.unmasked_bases(F.col("sequence"))).where(F.col("unmasked") >= least_unmasked).drop("_raw", "_from", "_until", "_low", "_high", "contig_length")
 
 
 def sequence_groups(exons: DataFrame) -> DataFrame:
@@ -82,8 +83,8 @@ def union_queries(exons: DataFrame) -> DataFrame:
 def query_sequences(aliases: DataFrame, genome: DataFrame) -> DataFrame:
     """(query_id, sequence): the reference stretch of every query along its strand."""
     queries = aliases.select("query_id", "chrom", "strand", "query_start0", "query_end0").distinct()
-    met = queries.join(genome.select(F.col("name").alias("chrom"), "seq"), "chrom")
-    raw = F.col("seq").substr((F.col("query_start0") + 1).cast("int"), (F.col("query_end0") - F.col("query_start0")).cast("int"))
+    met = with_stretch(with_length(queries, genome, "chrom"), genome, "chrom", "query_start0", "query_end0", "_raw")
+    raw = F.col("_raw")
     return met.select("query_id", F.when(F.col("strand") == "-", S.reverse_complement(raw)).otherwise(raw).alias("sequence"))
 
 
@@ -96,8 +97,8 @@ def identical_paralogs(exons: DataFrame, mane: DataFrame, genome: DataFrame) ->
     by id and ','-joined, with length and SHA-256 of their sequence), and n_transcripts, the number of different sequences.
     """
     rows = exons.join(mane.select("tid"), "tid", "left_semi").dropDuplicates(["tid", "exon_number", "chrom", "start0", "end0"])
-    met = rows.join(genome.select(F.col("name").alias("chrom"), "seq"), "chrom")
-    raw = F.col("seq").substr((F.col("start0") + 1).cast("int"), (F.col("end0") - F.col("start0")).cast("int"))
+    met = with_stretch(with_length(rows, genome, "chrom"), genome, "chrom", "start0", "end0", "_raw")
+    raw = F.col("_raw")
     piece = F.upper(F.when(F.col("strand") == "-", S.reverse_complement(raw)).otherwise(raw))
     made = met.groupBy("tid").agg(
         F.array_sort(F.collect_list(F.struct("exon_number", F.when(F.col("strand") == "-", -F.col("end0")).otherwise(F.col("start0")).alias("at"), piece.alias("s")))).alias("p"),

@@ -14,6 +14,7 @@ from pyspark.sql.types import _parse_datatype_string
 from lociweave.functions.scalars import window_padding
 from lociweave.operators.intervals import equal_copy_counts, merged, range_join
 from lociweave.operators.ranking import running_total
+from lociweave.operators.stretches import with_length, with_stretch
 from lociweave.plans.calls import _map_rows
 from lociweave.storage import written
 
@@ -141,11 +142,10 @@ def search_counters(seeds: DataFrame, genes: DataFrame, query_genes: DataFrame,
 
 def window_sequences(windows: DataFrame, genome: DataFrame) -> DataFrame:
     """windows with their sequence; genome: (name, seq).  A window outside its contig is an error."""
-    met = windows.join(genome.select(F.col("name").alias("contig"), "seq"), "contig")
-    length = F.col("window_end") - F.col("window_start")
-    cut = F.col("seq").substr((F.col("window_start") + 1).cast("int"), length.cast("int"))
-    whole = F.when(F.length(cut) == length, cut).otherwise(F.raise_error(F.lit("a window reaches outside its contig")))
-    return met.withColumn("sequence", whole).drop("seq")
+    within = F.expr("window_start >= 0 AND window_start <= window_end AND window_end <= contig_length")
+    end = F.when(within, F.col("window_end")).otherwise(F.raise_error(F.lit("a window reaches outside its contig")))
+    met = with_length(windows, genome, "contig").withColumn("window_end", end)
+    return with_stretch(met, genome, "contig", "window_start", "window_end", "sequence").drop("contig_length")
 
 
 _CODES = {"A": 1, "C": 2, "G": 4, "T": 8, "U": 8, "R": 5, "Y": 10, "S": 6, "W": 9, "K": 12, "M": 3, "B": 14, "D": 13, "H": 11, "V": 7, "N": 15}
