@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import lociweave.library_queries  # noqa: F401  whose SQL is used below
+from lociweave.functions.scalars import exon_score
 from lociweave.plans import annotation as A
+from lociweave.plans import audit, search
 from lociweave.plans import exon_tables as T
-from lociweave.plans import search
 from lociweave.plans.derived import HITS, hits, spans
-from lociweave.queries import SQL, query
+from lociweave.plans.evidence import with_blocks
+from lociweave.queries import _BLOCKS, _SCORE, SQL, query
 from lociweave.sources.readers import ALIGNMENT
+from lociweave.storage import read_table, written
 
 
 @query(
@@ -77,3 +80,38 @@ def window_balance(spark, sf_dir):
     found = rows.select("gene", F.col("query_id").alias("contig"), (F.col("exon_id") % 2).cast("long").alias("exon"), "strand", F.col("qs").alias("start"), F.col("qe").alias("end"))
     expected = rows.select("gene").distinct().select("gene", F.explode(F.array(F.lit(0), F.lit(1)).cast("array<bigint>")).alias("exon"))
     return search.window_balance(windows, found, expected, 5000)
+
+
+_SUPPLIED = f"""{_BLOCKS}, d AS (SELECT DISTINCT query_id, strand, block_id, gene, CAST(exon_id AS VARCHAR) AS exon, qs, qe, exon_len, ident, {_SCORE} AS score FROM n),
+h AS (SELECT query_id, strand, block_id, min(qs) AS block_start, max(qe) AS block_end FROM n GROUP BY ALL),
+m AS (SELECT *, printf('%s.B%02d', CASE WHEN strand = '-' THEN 'minus' ELSE 'plus' END, row_number() OVER (PARTITION BY query_id, strand ORDER BY block_start, block_end)) AS block FROM h),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id, strand, block_id, gene ORDER BY exon_len DESC, score DESC, exon, qs, qe) AS k,
+  max(score) OVER (PARTITION BY query_id, strand, block_id, gene) AS best, count(*) OVER (PARTITION BY query_id, strand, block_id, gene) AS alignments FROM d),
+l AS (SELECT query_id, strand, block_id, gene, array_to_string(list_sort(list(DISTINCT exon)), ',') AS exon_ids FROM d GROUP BY ALL)"""
+
+
+@query(
+    f"""{_SUPPLIED} SELECT query_id, strand, block_start, block_end, gene, exon AS supplier_exon, exon_len AS supplier_length, ident AS supplier_identical_bases,
+round(score, 6) AS supplier_score, round(best, 6) AS best_score, CAST(alignments AS BIGINT) AS alignments, exon_ids, block
+FROM r JOIN m USING (query_id, strand, block_id) JOIN l USING (query_id, strand, block_id, gene) WHERE k = 1"""
+)
+def audited_blocks(spark, sf_dir):
+    """Every block and gene with the exon that scores it, its best score and all exons found there."""
+    rows = hits(spark, sf_dir).select(
+        "query_id", "strand", "gene", F.col("exon_id").cast("string").alias("exon_id"), F.col("qs").alias("query_start"), F.col("qe").alias("query_end"),
+        F.col("exon_len").alias("exon_length"), F.col("ident").alias("identical_bases"), exon_score(F.col("exon_len"), F.col("ident")).alias("_score"),
+    )
+    placed = written(with_blocks(rows.distinct(), "query_start", "query_end", bin_size=2000), "placed")
+    made = audit.block_report(placed, audit.block_names(placed))
+    return made.withColumns({"supplier_score": F.round("supplier_score", 6), "best_score": F.round("best_score", 6)})
+
+
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS contig, length(text) // 3 AS window_start, length(text) // 3 + length(text) // 2 AS window_end,
+substr(text, CAST(length(text) // 3 + 1 AS BIGINT), CAST(length(text) // 2 AS BIGINT)) AS sequence FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL"""
+)
+def window_stretches(spark, sf_dir):
+    """The middle of every text, cut from it by chunks as a window is from its contig."""
+    genome = read_table(spark, sf_dir, "documents").where("text IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").cast("string").alias("name"), F.col("text").alias("seq"))
+    windows = genome.select(F.col("name").alias("contig"), F.expr("CAST(length(seq) AS BIGINT) div 3").alias("window_start"), F.expr("CAST(length(seq) AS BIGINT) div 3 + CAST(length(seq) AS BIGINT) div 2").alias("window_end"))
+    return search.window_sequences(windows, genome).select("contig", "window_start", "window_end", "sequence")
