@@ -36,6 +36,14 @@ def clear(spark: SparkSession) -> None:
     _paths.clear()
 
 
+def drop(table: DataFrame) -> None:
+    """Delete the files of a table that `written` gave and that nothing reads any more."""
+    spark = table.sparkSession
+    for path in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: later jobs neither recompute nor lose it."""
     spark = df.sparkSession
