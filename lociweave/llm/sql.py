@@ -73,3 +73,41 @@ SELECT page_id, payload_bytes, sha1(body) AS payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> last_id THEN last_id END AS refers_to
 FROM kinds
 """
+
+
+def _codebooks(rounds: int) -> str:
+    """CTEs near1, book1, ... near{rounds + 1}: (row, p, e, d) of the nearest entries of a round and the entries (p, e, j, c) after it."""
+    out = []
+    for k in range(rounds + 1):
+        out.append(f"""near{k} AS MATERIALIZED (
+  SELECT row, p, CAST(min(d * 16 + e) % 16 AS BIGINT) AS e, min(d) AS d
+  FROM (SELECT x.row, x.p, b.e, CAST(sum((x.x - b.c) * (x.x - b.c)) AS BIGINT) AS d
+        FROM parts x JOIN book{k} b ON x.p = b.p AND x.j = b.j GROUP BY x.row, x.p, b.e)
+  GROUP BY row, p
+)""")
+        if k < rounds:
+            out.append(f"""mean{k} AS MATERIALIZED (
+  SELECT p, e, j, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM parts JOIN near{k} USING (row, p) GROUP BY p, e, j
+), book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, b.j, CASE WHEN m.n IS NULL THEN b.c ELSE (m.s - ((m.s % m.n) + m.n) % m.n) // m.n END AS c
+  FROM book{k} b LEFT JOIN mean{k} m ON b.p = m.p AND b.e = m.e AND b.j = m.j
+)""")
+    return ", ".join(out)
+
+
+VECTOR_CODES = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) - 1 AS row, vec_id, label, embedding AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS MATERIALIZED (
+  SELECT row, (i - 1) // (n // 8) AS p, (i - 1) % (n // 8) AS j, CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT row, len(v) AS n, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept)
+), book0 AS MATERIALIZED (
+  SELECT p, row AS e, j, x AS c FROM parts WHERE row < 16
+), {_codebooks(6)}, coded AS (
+  SELECT row, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near6 GROUP BY row
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) FROM book6) AS codebooks_sha256
+FROM coded JOIN kept USING (row)
+"""
