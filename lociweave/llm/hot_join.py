@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 SHARE = 1024
 
 
-def join_counted(rows: DataFrame, kinds: DataFrame, keys: list[str], total: int, n: str = "_n") -> DataFrame:
+def join_counted(rows: DataFrame, kinds: DataFrame, keys: list[str], n: str = "_n") -> DataFrame:
     """Each of rows with the row of kinds of its keys; rows without one are left out, a null key being a key.
 
-    kinds holds a row a key and, in `n`, of how many rows that key is.  Hot kinds (n * SHARE >= total, so SHARE rows at most)
-    are broadcast and their rows stay where they are; the others are shuffled, where no key holds more than total / SHARE rows.
+    kinds holds a row a key and, in `n`, of how many rows that key is.  Hot kinds (n * SHARE is at least the sum of n, so SHARE rows at
+    most) are broadcast and their rows stay where they are; the others are shuffled, where no key holds more than one in SHARE rows.
+    Pass a written table as kinds: it is read for the sum and for each of the two joins.
     """
+    total = kinds.agg(F.sum(n)).first()[0] or 0
     named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     others = [c for c in kinds.columns if c not in keys and c != n]
     hot = F.col(n) * SHARE >= total

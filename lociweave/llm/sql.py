@@ -74,6 +74,27 @@ SELECT page_id, payload_bytes, sha1(body) AS payload_digest,
 FROM kinds
 """
 
+SUBSTRING_DEDUP = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS MATERIALIZED (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS v
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM texts)
+), firsts AS (
+  SELECT v, min(doc_id) AS first_doc FROM windows GROUP BY v HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT doc_id, k FROM (
+    SELECT doc_id, unnest(range(i, i + 50)) AS k FROM windows JOIN firsts USING (v) WHERE first_doc < doc_id)
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM texts
+), kept AS (
+  SELECT w.doc_id, count(g.k) AS n_removed, string_agg(w.word, ' ' ORDER BY w.k) FILTER (WHERE g.k IS NULL) AS body
+  FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.k = g.k GROUP BY w.doc_id
+)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept USING (doc_id)
+"""
+
 
 def _codebooks(rounds: int) -> str:
     """CTEs near1, book1, ... near{rounds + 1}: (row, p, e, d) of the nearest entries of a round and the entries (p, e, j, c) after it."""

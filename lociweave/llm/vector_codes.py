@@ -308,6 +308,6 @@ def encode_vectors(vectors: DataFrame, parts: int = 8, entries: int = 16, rounds
     drop(fitted.state)
     most = F.lit((1 << 63) - 1)
     total = F.least(F.sum(F.col("error").cast("decimal(38,0)")), most.cast("decimal(38,0)")).cast("long")
-    sums = coded.groupBy("label").agg(total.alias("label_error"), F.count("*").alias("_n"))
-    met = join_counted(coded, sums, ["label"], fitted.n)
+    sums = written(coded.groupBy("label").agg(total.alias("label_error"), F.count("*").alias("_n")), "labels")
+    met = join_counted(coded, sums, ["label"])
     return met.select("vec_id", "code", "error", "label_error", F.lit(fitted.digest()).alias("codebooks_sha256"))
