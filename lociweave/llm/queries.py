@@ -18,6 +18,7 @@ from lociweave.llm.quality import score_documents
 from lociweave.llm.sharding import shard_documents
 from lociweave.llm.substring_dedup import remove_repeats
 from lociweave.llm.token_shards import write_shards
+from lociweave.llm.tokenizer_alignment import align_documents
 from lociweave.llm.vector_codes import encode_vectors
 from lociweave.llm.warc import archive_pages
 from lociweave.storage import read_table
@@ -76,6 +77,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(read_table(spark, sf_dir, "documents"), window=50)
     return cut.select("doc_id", "n_words", "n_removed", _sha("kept_text").alias("kept_sha256"))
@@ -87,7 +92,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = [op1_line_dedup, op2_quality_classifier, op3_license_scan, op4_exact_dedup, op5_token_shards, op6_warc, op7_ngram_jaccard_join, op8_source_mixing, op9_decontamination, op10_sharding]
-    made += [op12_substring_dedup, op13_vector_codes]
+    made += [op11_tokenizer_alignment, op12_substring_dedup, op13_vector_codes]
     return {f.__name__: f for f in made}
 
 
