@@ -22,6 +22,25 @@ def chunks(genome: DataFrame, size: int = CHUNK) -> DataFrame:
     return rows.select("contig", F.expr(f"_from div {size}").alias("chunk"), "piece")
 
 
+def overlapping(genome: DataFrame, before: int, after: int, size: int = CHUNK) -> DataFrame:
+    """(contig, length, start, own, until, piece): genome (name, seq) in parts of `size` with up to so many bases before and after them.
+
+    start: where piece begins; own, until: the part itself.  Parts of a contig do not overlap, pieces do; rows without a
+    sequence or with an empty one have none.  As in chunks(), long contigs are cut in steps.
+    """
+    rows = genome.where(F.length("seq") > 0).select(
+        F.col("name").alias("contig"), F.length("seq").cast("long").alias("length"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("own"),
+        F.length("seq").cast("long").alias("_until"), F.col("seq").alias("piece"),
+    )
+    for step in [*[s for s in STEPS if s > size and s % size == 0], size]:
+        parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_until") - F.col("own") - 1) / step).cast("long"))
+        each = rows.withColumn("_k", F.explode(parts)).withColumn("_own", F.col("own") + F.col("_k") * step).withColumn("_end", F.least(F.col("_until"), F.col("_own") + step))
+        low = F.greatest(F.col("start"), F.col("_own") - before)
+        piece = F.col("piece").substr((low - F.col("start") + 1).cast("int"), (F.col("_end") + after - low).cast("int"))
+        rows = each.select("contig", "length", low.alias("start"), F.col("_own").alias("own"), F.col("_end").alias("_until"), piece.alias("piece"))
+    return rows.select("contig", "length", "start", "own", F.col("_until").alias("until"), "piece")
+
+
 def with_length(rows: DataFrame, genome: DataFrame, contig: str) -> DataFrame:
     """rows with contig_length; rows of a contig that is not in the genome are left out."""
     lengths = genome.select(F.col("name").alias(contig), F.length("seq").cast("long").alias("contig_length"))

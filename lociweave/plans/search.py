@@ -12,14 +12,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from lociweave.functions.scalars import window_padding
+from lociweave.operators.bit_filter import code_bits, passing
 from lociweave.operators.intervals import equal_copy_counts, merged, range_join
 from lociweave.operators.ranking import running_total
 from lociweave.operators.stretches import with_length, with_stretch
 from lociweave.plans.calls import _map_rows
 from lociweave.storage import written
 
-#: Bits of the filter through which targets are read: 16 a query stretch, at most 64 MB.
-LEAST_BITS, MOST_BITS = 1 << 16, 1 << 29
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -59,15 +58,13 @@ def shared_kmers(queries: DataFrame, query_id: str, targets: DataFrame, target_i
         arrow = to_arrow_schema(_parse_datatype_string(schema))
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = np.frombuffer(bits.value, np.uint64) if bits is not None else None
             for batch in batches:
                 for row in range(batch.num_rows):
                     body = batch.column(1)[row].as_py()
                     codes = stretch_codes(body, k)[::stride]
                     at = np.arange(len(codes))
-                    if held is not None:
-                        word, bit = (codes >> np.uint64(6)) % np.uint64(len(held)), codes & np.uint64(63)
-                        at = np.flatnonzero(held[word.astype(np.int64)] >> bit & np.uint64(1))
+                    if bits is not None:
+                        at = passing(bits.value, codes)
                     places = (at * stride).tolist()
                     for first in range(0, len(places), 1 << 14):
                         part = places[first : first + (1 << 14)]
@@ -78,13 +75,8 @@ def shared_kmers(queries: DataFrame, query_id: str, targets: DataFrame, target_i
         return rows.mapInArrow(read, schema)
 
     own = written(stretches(queries, query_id, step, None), "stretches")
-    codes = own.select("code").distinct()
-    words = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * codes.count()).bit_length())) // 64
-    marked = codes.select(F.pmod(F.shiftrightunsigned("code", 6), F.lit(words)).alias("word"), F.col("code").bitwiseAND(63).cast("int").alias("bit"))
-    bits = np.zeros(words, np.int64)
-    for row in marked.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toLocalIterator():
-        bits[row["word"]] = row["bits"]
-    found = stretches(targets, target_id, 1, spark.sparkContext.broadcast(bits.tobytes()))
+    bits = code_bits(own.select("code").distinct())
+    found = stretches(targets, target_id, 1, spark.sparkContext.broadcast(bits))
     one = own.select(F.col("id").alias(query_id), F.col("at").alias("query_at"), "code", F.col("mer").alias("q_mer"))
     other = found.select(F.col("id").alias(target_id), F.col("at").alias("target_at"), "code", F.col("mer").alias("t_mer"))
     return other.join(one, "code").where("q_mer = t_mer").select(query_id, "query_at", target_id, "target_at")

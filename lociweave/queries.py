@@ -33,6 +33,7 @@ def query(sql: str | None = None):
 
 def _all() -> None:
     import lociweave.library_queries  # noqa: F401  registers its own
+    import lociweave.seed_queries  # noqa: F401
     import lociweave.table_queries  # noqa: F401
 
 
