@@ -22,7 +22,7 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -38,7 +38,9 @@ TOKENIZER_A, TOKENIZER_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers
 #: So many pairs are broadcast at most, of 17 bytes each.
 HOT = 1 << 18
 #: Units that a worker keeps, and texts that it takes at once.
-MOST_BYTES, TEXT_BYTES = 1 << 23, 1 << 21
+MOST_BYTES, TEXT_BYTES = 1 << 26, 1 << 21
+#: Groups with more links than this have their pairs counted by distinct ids.
+MOST_LINKS = 1 << 12
 #: Before these a text may be cut at a space: no white space, whatever the Unicode version, is among them.
 _CUT = re.compile("(?<=[^ ]) (?=[!-~À-ᙿぁ-﫿])")
 _SPACE = "▁"
@@ -57,6 +59,18 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in prints} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+def aligned(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tokens of A, tokens of B, end) of each group, from the bytes at which the tokens of each end; the last bytes are the same."""
+    if not len(a_ends):
+        return (np.zeros(0, np.int64),) * 3
+    marks = np.zeros(int(a_ends[-1]), np.uint8)
+    marks[a_ends - 1] += 1
+    marks[b_ends - 1] += 2
+    spans = _GROUP.findall(_LABELS[marks].tobytes())
+    counted = [np.fromiter((s.count(label) for s in spans), np.int64, len(spans)) + 1 for label in (b"a", b"b")]
+    return *counted, np.cumsum(np.fromiter(map(len, spans), np.int64, len(spans)))
+
+
 class Aligner:
     """Two tokenizers and the units that they have aligned."""
 
@@ -75,6 +89,9 @@ class Aligner:
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace(_SPACE, " ").encode() for k, p in enumerate(pieces)]
         self.n_b = len(pieces)
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in spelling], np.int64) for spelling in (self.a_bytes, self.b_bytes))
+        #: Each id as text with what may follow it: "," or "|" behind one of A, "," or ";" behind one of B.
+        self.marked = [f"{k}{mark}".encode() for n, marks in ((len(self.a_bytes), ",|"), (self.n_b, ",;")) for k in range(n) for mark in marks]
         made = json.loads(a)
         split = made["pre_tokenizer"] or {}
         words = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not made["normalizer"]
@@ -90,47 +107,71 @@ class Aligner:
         self.begins, self.pairs, self.links = array("q", [0]), array("q"), array("q")
 
     def learn(self, units: set[str]) -> None:
+        """Encode and align the units that are new, all at once: every unit ends with a byte where both end, so that labels can follow each other."""
         new = [u for u in units if u not in self.index]
         if not new:
             return
-        encoded = self.a.encode_batch([" " + u for u in new], add_special_tokens=False)
-        for unit, a, b in zip(new, encoded, self.b.encode(new, num_threads=1), strict=True):
-            self._add(unit, a.ids, b)
-
-    def _add(self, unit: str, a: list[int], b: list[int]) -> None:
-        text = f" {unit}".encode()
-        a_bytes, b_bytes = [self.a_bytes[k] for k in a], [self.b_bytes[k] for k in b]
-        spelled = b"".join(a_bytes) == text and b"".join(b_bytes) == text
-        groups = self.aligned(a, b, a_bytes, b_bytes, len(text)) if spelled else []
-        linked: Counter[int] = Counter()
-        for x, y in groups:
-            if len(x) == len(y) == 1:
-                linked[x[0] * self.n_b + y[0]] += 1
-            else:
-                ys = Counter(y).items()
-                for p, n in Counter(x).items():
-                    for q, m in ys:
-                        linked[p * self.n_b + q] += n * m
-        self.index[unit] = len(self.index)
-        self.size += len(text) + 64 + 16 * len(linked) + 10 * len(a)
-        self.counts.extend((len(a), len(b), len(groups), sum(linked.values()), spelled))
-        self.groups.append(";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups]).encode())
-        self.pairs.extend(linked.keys())
-        self.links.extend(linked.values())
-        self.begins.append(len(self.pairs))
+        texts = [f" {u}".encode() for u in new]
+        ids = [e.ids for e in self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False)], self.b.encode(new, num_threads=1)
+        spelled = self._spelled(texts, ids[0], self.a_bytes) & self._spelled(texts, ids[1], self.b_bytes)
+        good = np.flatnonzero(spelled)
+        n_a, n_b = (np.fromiter(map(len, own), np.int64, len(new)) for own in ids)
+        a, b = (np.fromiter(chain.from_iterable(own[k] for k in good), np.int64) for own in ids)
+        until = np.cumsum(np.fromiter((len(texts[k]) for k in good), np.int64, len(good)))
+        ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        in_a, in_b, stops = aligned(*ends)
+        unit = np.searchsorted(until, stops)  # of each group, among the good ones
+        pair, links, owner = self._linked(a, b, in_a, in_b, unit)
+        width, n_links = np.bincount(owner, minlength=len(good)), np.bincount(owner, links, len(good)).astype(np.int64)
+        facts = np.zeros((len(new), 5), np.int64)
+        facts[:, 0], facts[:, 1], facts[:, 4] = n_a, n_b, spelled
+        facts[good, 2], facts[good, 3] = np.bincount(unit, minlength=len(good)), n_links
+        every = np.zeros(len(new), np.int64)
+        every[good] = width
+        shown = iter(self._shown(a, b, in_a, in_b, unit, len(good)))
+        self.groups.extend(next(shown) if ok else b"" for ok in spelled.tolist())
+        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+        self.counts.frombytes(facts.tobytes())
+        self.begins.frombytes((np.cumsum(every) + len(self.pairs)).tobytes())
+        self.pairs.frombytes(pair.tobytes())
+        self.links.frombytes(links.tobytes())
+        self.size += sum(map(len, texts)) + 128 * len(new) + 16 * len(pair) + 10 * len(a)
 
     @staticmethod
-    def aligned(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes], size: int) -> list[tuple[list[int], list[int]]]:
-        """The groups: ids of A and of B up to each byte where both end."""
-        marks = np.zeros(size, np.uint8)
-        marks[np.fromiter(accumulate(map(len, a_bytes)), np.int64, len(a)) - 1] += 1
-        marks[np.fromiter(accumulate(map(len, b_bytes)), np.int64, len(b)) - 1] += 2
-        out, i, j = [], 0, 0
-        for span in _GROUP.findall(_LABELS[marks].tobytes()):
-            m, n = i + span.count(b"a") + 1, j + span.count(b"b") + 1
-            out.append((a[i:m], b[j:n]))
-            i, j = m, n
-        return out
+    def _spelled(texts: list[bytes], ids: list[list[int]], spelling: list[bytes]) -> np.ndarray:
+        return np.fromiter((b"".join([spelling[k] for k in own]) == text for own, text in zip(ids, texts, strict=True)), bool, len(texts))
+
+    def _linked(self, a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pair, links, unit): the distinct linked pairs of each unit, units in their order; in_a, in_b: how many tokens a group has."""
+        from_a, from_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
+        some = np.flatnonzero(in_a * in_b <= MOST_LINKS)
+        n = (in_a * in_b)[some]
+        each = np.repeat(some, n)
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        owner, pair = [unit[each]], [a[from_a[each] + k // in_b[each]] * self.n_b + b[from_b[each] + k % in_b[each]]]
+        times = [np.ones(len(each), np.int64)]
+        for g in np.flatnonzero(in_a * in_b > MOST_LINKS).tolist():  # a long group's pairs are counted by distinct ids
+            xs, ys = Counter(a[from_a[g] :][: in_a[g]].tolist()), Counter(b[from_b[g] :][: in_b[g]].tolist())
+            found = [(p * self.n_b + q, m * n) for p, m in xs.items() for q, n in ys.items()]
+            pair.append(np.array([p for p, _ in found]))
+            times.append(np.array([m for _, m in found]))
+            owner.append(np.full(len(found), unit[g]))
+        owner, pair, times = map(np.concatenate, (owner, pair, times))
+        span = len(self.a_bytes) * self.n_b
+        key, back = np.unique(owner * span + pair, return_inverse=True)
+        return key % span, np.bincount(back, times, len(key)).astype(np.int64), key // span
+
+    def _shown(self, a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, unit: np.ndarray, n: int) -> list[bytes]:
+        """The groups of each of n units as text: tokens in group order, each with the mark that follows it."""
+        last_a, last_b = np.cumsum(in_a) - 1, np.cumsum(in_b) - 1
+        codes = np.empty(len(a) + len(b), np.int64)
+        own_a, own_b = np.repeat(np.arange(len(in_a)), in_a), np.repeat(np.arange(len(in_b)), in_b)
+        codes[np.arange(len(a)) + (last_b - in_b + 1)[own_a]] = 2 * a + (np.arange(len(a)) == last_a[own_a])
+        codes[np.arange(len(b)) + (last_a + 1)[own_b]] = 2 * (len(self.a_bytes) + b) + (np.arange(len(b)) == last_b[own_b])
+        parts = [self.marked[k] for k in codes.tolist()]
+        tokens = np.bincount(unit, in_a + in_b, n).astype(np.int64)
+        ends = np.cumsum(tokens)
+        return [b"".join(parts[e - k : e])[:-1] for e, k in zip(ends.tolist(), tokens.tolist(), strict=True)]
 
     def rows(self, ids: list, texts: list[str]) -> pa.RecordBatch:
         """A row (FIELDS) for each text."""

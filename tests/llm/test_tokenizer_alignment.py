@@ -7,6 +7,7 @@ from collections import Counter
 from itertools import accumulate
 from pathlib import Path
 
+import numpy as np
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 
 from lociweave.llm import tokenizer_alignment
 from lociweave.llm.queries import op11_tokenizer_alignment
-from lociweave.llm.tokenizer_alignment import TOKENIZER_A, TOKENIZER_B, Aligner, align_documents
+from lociweave.llm.tokenizer_alignment import TOKENIZER_A, TOKENIZER_B, Aligner, align_documents, aligned
 
 A = Tokenizer.from_file(TOKENIZER_A)
 A.encode_special_tokens = True
@@ -113,5 +114,17 @@ def test_workers_forget_units(spark, monkeypatch):
 
 
 def test_labels_cut_groups_where_both_end():
-    a_bytes, b_bytes = [b" ab", b"c", b"de"], [b" a", b"bc", b"d", b"e"]
-    assert Aligner.aligned([1, 2, 3], [4, 5, 6, 7], a_bytes, b_bytes, 6) == [([1, 2], [4, 5]), ([3], [6, 7])]
+    made = aligned(np.array([3, 4, 6]), np.array([2, 4, 5, 6]))
+    assert [x.tolist() for x in made] == [[2, 1], [2, 2], [4, 6]]
+    assert [x.tolist() for x in aligned(*[np.zeros(0, np.int64)] * 2)] == [[], [], []]
+
+
+def test_long_groups_are_counted_by_ids(spark, monkeypatch):
+    rows = [(1, "été 的中 \U0001f600 naïve antidisestablishment"), (2, "的" * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(tokenizer_alignment, "MOST_LINKS", 1)
+    made = Aligner(Path(TOKENIZER_A).read_bytes(), Path(TOKENIZER_B).read_bytes()).rows([1, 2], [t for _, t in rows]).to_pylist()
+    for row, (_, text) in zip(made, rows, strict=True):
+        want = Counter(x * B.get_piece_size() + y for a, b in groups_of(text) for x in a for y in b)
+        assert dict(zip(row["pairs"], row["links"], strict=True)) == want
+    assert got(df) == plain(rows)
