@@ -157,41 +157,62 @@ def runs_of(query: np.ndarray, target: np.ndarray) -> str:
     return "".join(f"{n}{chr(kind[at])}" for at, n in zip(edge, np.diff(np.r_[edge, len(kind)]), strict=True))
 
 
+def _score_table() -> np.ndarray:
+    """Twice the score of every two bytes: 2 for one base, -2 where ambiguity codes meet, -4 for a mismatch, -5 beside a gap."""
+    meet = (_MASK[:, None] & _MASK[None, :]) > 0
+    table = np.where(meet, -2, -4).astype(np.int8)
+    bases = np.frombuffer(b"ACGT", np.uint8)
+    table[bases, bases] = 2
+    table[ord("-"), :] = table[:, ord("-")] = -5
+    return table
+
+
+_TWICE = _score_table()
+
+
+class Columns:
+    """A gapped alignment as a table of its columns: letters of both rows, the place of each (gaps share none), and whether they are equal."""
+
+    def __init__(self, hsp: dict):
+        self.letters = [np.frombuffer(hsp[c].upper().encode(), np.uint8) for c in ("qseq", "sseq")]
+        self.places = [self._along(row, hsp[a], hsp[b]) for row, a, b in zip(self.letters, ("qstart", "sstart"), ("qend", "send"), strict=True)]
+        if len(self.letters[0]) != len(self.letters[1]) or not len(self.letters[0]):
+            raise ValueError("coordinates disagree with the aligned strings")
+        self.same = (self.letters[0] == self.letters[1]) & (self.places[0] >= 0) & (self.places[1] >= 0)
+
+    @staticmethod
+    def _along(row: np.ndarray, first: int, last: int) -> np.ndarray:
+        """0-based place of each letter, from 1-based bounds that run down on the reverse strand; -1 for gaps."""
+        step = 1 if last >= first else -1
+        out = np.full(len(row), -1, np.int64)
+        held = np.flatnonzero(row != ord("-"))
+        if len(held) != abs(last - first) + 1:
+            raise ValueError("coordinates disagree with the aligned strings")
+        out[held] = np.arange(first - 1, last - 1 + step, step)
+        return out
+
+    def cut(self, start: int, end: int) -> slice:
+        """The columns from the first to the last whose query place is in [start, end)."""
+        held = np.flatnonzero((self.places[0] >= max(start, 0)) & (self.places[0] < end))
+        return slice(int(held[0]), int(held[-1]) + 1) if len(held) else slice(0, 0)
+
+
 def project(hsp: dict, start: int, end: int) -> dict | None:
     """The part of a gapped alignment that covers query positions [start, end), on the target; None if no target base does.
 
     Scores: 1 a match, -1 where ambiguity codes meet, -2 a mismatch, -2.5 a gap base, summed and rounded down.
     """
-    q = np.frombuffer(hsp["qseq"].upper().encode(), np.uint8)
-    t = np.frombuffer(hsp["sseq"].upper().encode(), np.uint8)
-    low, high = min(hsp["qstart"], hsp["qend"]) - 1, max(hsp["qstart"], hsp["qend"])
-    inside, bases = q != 45, t != 45
-    if len(q) != len(t) or not len(q) or inside.sum() != high - low or bases.sum() != abs(hsp["send"] - hsp["sstart"]) + 1:
-        raise ValueError("coordinates disagree with the aligned strings")
-    a, b = max(start, low), min(end, high)
-    if a >= b:
-        return None
-    columns = np.flatnonzero(inside)
-    forward = hsp["qend"] >= hsp["qstart"]
-    ends = (columns[a - low], columns[b - 1 - low]) if forward else (columns[high - b], columns[high - 1 - a])
-    first, last = int(ends[0]), int(ends[1]) + 1
-    before, within = int(bases[:first].sum()), int(bases[first:last].sum())
-    if not within:
+    table = Columns(hsp)
+    part = table.cut(start, end)
+    (q, t), (at_q, at_t) = [[x[part] for x in pair] for pair in (table.letters, table.places)]
+    on_target, on_query = at_t[at_t >= 0], at_q[at_q >= 0]
+    if not len(on_target):
         return None
-    if hsp["send"] >= hsp["sstart"]:
-        at = (hsp["sstart"] - 1 + before, hsp["sstart"] - 1 + before + within)
-    else:
-        at = (hsp["sstart"] - before - within, hsp["sstart"] - before)
-    x, y = q[first:last], t[first:last]
-    gap = (x == 45) | (y == 45)
-    same = ~gap & (x == y)
-    plain = same & np.isin(x, np.frombuffer(b"ACGT", np.uint8))
-    twice = np.where(gap, -5, np.where(plain, 2, np.where(_MASK[x] & _MASK[y], -2, -4)))
-    identical, nm = int(same.sum()), int(last - first - same.sum())
-    return {
-        "exon_start": a - start, "exon_end": b - start, "target_start": at[0], "target_end": at[1], "bases": b - a, "identity": 100.0 * identical / (last - first),
-        "identical": identical, "AS": float(identical - 3 * nm), "NM": nm, "cigar": runs_of(x, y), "blast_score": float(int(twice.sum()) // 2),
-    }
+    bounds = {"exon_start": on_query.min() - start, "exon_end": on_query.max() + 1 - start, "target_start": on_target.min(), "target_end": on_target.max() + 1}
+    made = {name: int(x) for name, x in bounds.items()}
+    n, identical = len(q), int(table.same[part].sum())
+    made |= {"identical": identical, "NM": n - identical, "bases": len(on_query), "identity": 100.0 * identical / n}
+    return made | {"AS": float(4 * identical - 3 * n), "blast_score": float(int(_TWICE[q, t].sum()) // 2), "cigar": runs_of(q, t)}
 
 
 def projected(hsps: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -237,25 +258,29 @@ def with_aliases(alignments: DataFrame, exons: DataFrame, aliases: DataFrame) ->
     place = exons.select(F.col("exon_id").alias("_of"), F.struct("chrom", "start", "end", "strand").alias("_rep"))
     met = alignments.join(listed, F.col("exon_id") == F.col("_by"), "left").join(place, F.col("exon_id") == F.col("_of"), "left")
     rep, zero = F.col("_rep"), F.lit(0).cast("long")
+    span = lambda low, high: F.struct(low.cast("long").alias("low"), high.cast("long").alias("high"))
+    both = lambda x, y: span(F.greatest(x["low"], y["low"]), F.least(x["high"], y["high"]))
+    # a stretch of an exon turned into one of the genome or back: from its left end, or from its right end on the reverse strand
+    turn = lambda x, exon: F.when(exon["strand"] == "-", span(exon["end"] - x["high"], exon["end"] - x["low"]))
+    onto = lambda x, exon: turn(x, exon).otherwise(span(exon["start"] + x["low"], exon["start"] + x["high"]))
+    within = lambda x, exon: turn(x, exon).otherwise(span(x["low"] - exon["start"], x["high"] - exon["start"]))
+    read = span(F.col("exon_start"), F.col("exon_end"))
 
     def part(a: Column) -> Column:
-        same = F.coalesce((rep["chrom"] == a["chrom"]) & (F.least(rep["end"], a["end"]) > F.greatest(rep["start"], a["start"])), F.lit(False))
-        back = rep["strand"] == "-"
-        low = F.greatest(F.when(back, rep["end"] - F.col("exon_end")).otherwise(rep["start"] + F.col("exon_start")), a["start"])
-        high = F.least(F.when(back, rep["end"] - F.col("exon_start")).otherwise(rep["start"] + F.col("exon_end")), a["end"])
-        here = F.when(a["strand"] == "-", a["end"] - high).otherwise(low - a["start"])
-        first, last = F.least("exon_start", a["length"]), F.least("exon_end", a["length"])
-        apart = last > first
-        bases = F.when(same, F.greatest(zero, high - low)).when(apart, last - first).otherwise(F.least("bases", a["length"]))
-        start = F.when(same, here).when(apart, first).otherwise(zero)
-        share = F.when(F.col("bases") > 0, F.bround(F.col("identical") * bases / F.col("bases"), 0).cast("long")).otherwise(zero)
-        turned = same & (rep["strand"] != a["strand"]) & (a["merge_reason"] != "exact_sequence")
-        strand = F.when(F.coalesce(turned, F.lit(False)), F.when(F.col("strand") == "+", "-").otherwise("+")).otherwise(F.col("strand"))
-        coverage = F.when(a["length"] > 0, 100.0 * bases / a["length"]).otherwise(0.0)
+        hull = both(span(rep["start"], rep["end"]), span(a["start"], a["end"]))
+        shared = F.coalesce((rep["chrom"] == a["chrom"]) & (hull["low"] < hull["high"]), F.lit(False))
+        here = both(onto(read, rep), span(a["start"], a["end"]))
+        gone = shared & (here["low"] >= here["high"])
+        # on another contig the exons are equal base by base, as far as the alias is long
+        copied = both(read, span(zero, a["length"]))
+        copied = F.when(copied["low"] < copied["high"], copied).otherwise(span(zero, F.least("bases", a["length"])))
+        own = F.when(gone, span(zero, zero)).when(shared, within(here, a)).otherwise(copied)
+        bases = own["high"] - own["low"]
+        flip = F.coalesce(shared & (rep["strand"] != a["strand"]) & (a["merge_reason"] != "exact_sequence"), F.lit(False))
         return F.struct(
-            a["exon_id"].alias("exon_id"), strand.alias("strand"), start.cast("long").alias("exon_start"), (start + bases).cast("long").alias("exon_end"),
-            bases.cast("long").alias("bases"), share.alias("identical"), a["length"].cast("long").alias("exon_length"), coverage.alias("coverage"),
-            (same & (bases == 0)).alias("outside"),
+            a["exon_id"].alias("exon_id"), F.when(flip, F.translate("strand", "+-", "-+")).otherwise(F.col("strand")).alias("strand"), own["low"].alias("exon_start"), own["high"].alias("exon_end"),
+            bases.alias("bases"), F.when(F.col("bases") > 0, F.bround(F.col("identical") * bases / F.col("bases"), 0).cast("long")).otherwise(zero).alias("identical"),
+            a["length"].cast("long").alias("exon_length"), F.when(a["length"] > 0, 100.0 * bases / a["length"]).otherwise(0.0).alias("coverage"), gone.alias("outside"),
         )
 
     made = F.filter(F.transform("_aliases", part), lambda x: ~x["outside"])
