@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociweave.functions import scalars as S
-from lociweave.operators.chains import barriers, insertion_runs, scored
+from lociweave.operators.barriers import insertion_run_sets, with_barriers
+from lociweave.operators.chains import scored
 from lociweave.plans import annotation as A
 from lociweave.plans import calls as C
 from lociweave.plans import exon_database as D
@@ -167,19 +168,10 @@ _ORIENTED = f"WITH {{recursive}}{HITS}, o AS (SELECT *, CASE WHEN strand = '-' T
   (SELECT max(b.s) FROM o b WHERE b.query_id = a.query_id AND b.strand = a.strand AND b.tid = a.tid AND b.exon_number = a.exon_number AND b.e <= a.s) AS earlier_start FROM o a"""
 )
 def exon_walls(spark, sf_dir):
-    """The copy barriers that the transcript chain uses, as its kernel gives them."""
-    finite = lambda x: int(x) if abs(x) != float("inf") else None
-
-    def one(row: dict) -> list[dict]:
-        walls = barriers(row["hits"], row["strand"])
-        own = {k: row[k] for k in ("query_id", "strand", "tid")}
-        return [
-            {**own, "number": h["number"], "qs": h["start"], "qe": h["end"], "exon_id": int(h["exon_id"]), "later_end": finite(walls[i][0]), "earlier_start": finite(walls[i][1])}
-            for i, h in enumerate(row["hits"])
-        ]
-
-    schema = "query_id string, strand string, tid string, number long, qs long, qe long, exon_id long, later_end long, earlier_start long"
-    return C._map_rows(_groups(spark, sf_dir), one, schema)
+    """The copy barriers that the transcript chain uses."""
+    start, end = S.oriented(F.col("strand"), F.col("qs"), F.col("qe"))
+    rows = hits(spark, sf_dir).select(F.col("query_id").cast("string").alias("query_id"), "strand", "tid", F.col("exon_number").alias("number"), "qs", "qe", "exon_id", start.alias("s"), end.alias("e"))
+    return with_barriers(rows, [*KEYS, "tid"], "number", "s", "e").drop("s", "e")
 
 
 @query(
@@ -223,15 +215,13 @@ r AS (SELECT query_id, strand, gene, run, min(s) AS s, min((s, e, exon_number, o
 SELECT CAST(query_id AS VARCHAR) AS query_id, strand, gene, string_agg(labels, ';' ORDER BY pos) AS runs FROM r GROUP BY 1, 2, 3"""
 )
 def insertion_run_labels(spark, sf_dir):
-    """Labels of the runs of inserted hits, as the kernel gives them; hits of MANE parts count as inserted."""
-    hit = F.struct("qs", "qe", "ok", "ln", F.struct(F.col("exon_number").alias("number"), F.col("qs").alias("start"), F.col("qe").alias("end"), F.col("mane").alias("inserted")).alias("hit"))
-    rows = hits(spark, sf_dir).withColumn("query_id", F.col("query_id").cast("string")).groupBy(*KEYS, "gene").agg(F.array_sort(F.collect_list(hit)).alias("h"))
-
-    def one(row: dict) -> list[dict]:
-        runs = [",".join(sorted(map(str, r))) for r in insertion_runs(row["hits"], row["strand"])]
-        return [{**{k: row[k] for k in ("query_id", "strand", "gene")}, "runs": ";".join(runs)}] if runs else []
-
-    return C._map_rows(rows.select(*KEYS, "gene", F.col("h.hit").alias("hits")), one, "query_id string, strand string, gene string, runs string")
+    """Labels of the runs of inserted hits; hits of MANE parts count as inserted."""
+    start, end = S.oriented(F.col("strand"), F.col("qs"), F.col("qe"))
+    rows = hits(spark, sf_dir).withColumns({"query_id": F.col("query_id").cast("string"), "s": start, "e": end})
+    runs = insertion_run_sets(rows, [*KEYS, "gene"], ["s", "e", "exon_number", "qs", "qe", "ok", "ln"], "mane", "exon_number")
+    labels = F.array_join(F.array_sort(F.transform("numbers", lambda n: n.cast("string"))), ",")
+    listed = runs.groupBy(*KEYS, "gene").agg(F.array_sort(F.collect_list(F.struct("run", labels.alias("labels")))).alias("r"))
+    return listed.select(*KEYS, "gene", F.array_join("r.labels", ";").alias("runs"))
 
 
 # ---------------------------------------------------------------- annotation and database

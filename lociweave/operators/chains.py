@@ -11,6 +11,10 @@ import hashlib
 import heapq
 import json
 import math
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
+
+import numpy as np
 
 MAX_CHAINS = 10
 INSERTION_COST = 50.0
@@ -32,36 +36,102 @@ def supplier_key(hit: dict) -> tuple:
 
 def barriers(hits: list[dict], strand: str) -> dict[int, tuple[float, float]]:
     """For each hit, by position in the list: where the nearest later copy of its exon number ends, and where the
-    nearest earlier one starts, along the strand; copies must lie wholly behind or before it."""
+    nearest earlier one starts, along the strand; copies must lie wholly behind or before it.
+
+    One sweep an exon number: the smallest end of all copies that start further on, the largest start of all that end before.
+    lociweave.operators.barriers says the same of a table.
+    """
     copies: dict[int, list[tuple[int, int]]] = {}
     for hit in hits:
         copies.setdefault(hit["number"], []).append(_place(hit, strand))
+    later, earlier = {}, {}
+    for number, own in copies.items():
+        by_start, by_end = sorted(own), sorted((e, s) for s, e in own)
+        least = list(accumulate((e for _, e in reversed(by_start)), min))[::-1]
+        most = list(accumulate((s for _, s in by_end), max))
+        later[number] = [s for s, _ in by_start], [*least, math.inf]
+        earlier[number] = [e for e, _ in by_end], [-math.inf, *most]
     out = {}
     for i, hit in enumerate(hits):
         s, e = _place(hit, strand)
-        own = copies[hit["number"]]
-        out[i] = (min((b for a, b in own if a >= e), default=math.inf), max((a for a, b in own if b <= s), default=-math.inf))
+        (starts, least), (ends, most) = later[hit["number"]], earlier[hit["number"]]
+        out[i] = least[bisect_left(starts, e)], most[bisect_right(ends, s)]
     return out
 
 
+class OpenEnds:
+    """Chain ends that a later hit may follow: those behind which no further copy of their own exon number lies as yet.
+
+    Ends are kept by exon number; the copies of one number that are open at a time overlap each other, so there are few (one, where
+    copies of a number never overlap), and looking for the best end goes through numbers, not through all hits before.
+    """
+
+    def __init__(self, size: int):
+        self.n = 0
+        self.slot: dict[int, int] = {}
+        self.held = np.zeros((5, max(16, size)))  # exon number, end, score, hits, place in the order
+
+    def add(self, number: int, end: float, start: float, score: float, count: int, at: int) -> None:
+        """A hit that ends here: it closes the open ends of its number that lie before its start."""
+        h = self.held
+        closed = np.flatnonzero((h[0, : self.n] == number) & (h[1, : self.n] <= start))
+        for k in closed[::-1].tolist():
+            self.n -= 1
+            h[:, k] = h[:, self.n]
+        if self.n == h.shape[1]:
+            self.held = h = np.concatenate([h, np.zeros_like(h)], 1)
+        h[:, self.n] = number, end, score, count, at
+        self.n += 1
+
+    def candidates(self, number: int, after: float) -> np.ndarray:
+        """Columns of the ends of smaller numbers that lie behind `after`."""
+        h = self.held[:, : self.n]
+        return h[:, (h[0] < number) & (h[1] > after)]
+
+
+def _best_of(found: np.ndarray, gains: np.ndarray, score: float) -> tuple[float, int, int | None]:
+    """(score, hits, place) of a hit of that score by itself, or behind the best of the ends: the highest score, then most hits, then the first."""
+    if not found.shape[1]:
+        return score, 1, None
+    total = found[2] + gains
+    top = max(score, float(total.max()))
+    near = np.flatnonzero(np.abs(total - top) <= 1e-9 * np.maximum(np.abs(total), abs(top)))
+    if not len(near):
+        return score, 1, None
+    k = near[np.lexsort((found[4, near], -found[3, near]))[0]]
+    return float(total[k]), int(found[3, k]) + 1, int(found[4, k])
+
+
 def transcript_chain(hits: list[dict], free: list[int], strand: str, walls: dict[int, tuple[float, float]]) -> list[int]:
     """Best chain among the hits numbered in `free`: rising exon numbers, no overlap, and no other copy of either exon
-    wholly within a gap.  A block counts once; ties go to more hits, then to more bases in the last hit."""
+    wholly within a gap.  A block counts once; ties go to more hits, then to more bases in the last hit.
+
+    A sweep along the strand: hits that have ended are chain ends (OpenEnds) until a further copy of their exon has ended too.
+    """
     order = sorted(free, key=lambda i: (*_place(hits[i], strand), hits[i]["number"]))
     best: dict[int, tuple[float, int, int | None]] = {}
+    ends: list[tuple] = []
+    # copies that are no longer free close ends as well
+    for i in set(range(len(hits))) - set(free):
+        s, e = _place(hits[i], strand)
+        ends.append((e, s, -1, i))
+    heapq.heapify(ends)
+    opened, blocks = OpenEnds(len({h["number"] for h in hits})), {}
     for at, h in enumerate(order):
-        start, number = _place(hits[h], strand)[0], hits[h]["number"]
-        top: tuple[float, int, int | None] = (hits[h]["score"], 1, None)
-        for p in order[:at]:
-            end = _place(hits[p], strand)[1]
-            if hits[p]["number"] >= number or end > start or walls[p][0] <= start or walls[h][1] >= end:
-                continue
-            gain = 0.0 if _block(hits[p]) == _block(hits[h]) else hits[h]["score"]
-            score, count = best[p][0] + gain, best[p][1] + 1
-            near = math.isclose(score, top[0])
-            if (near and count > top[1]) or (not near and score > top[0]):
-                top = (score, count, p)
-        best[h] = top
+        (start, end), number, score = _place(hits[h], strand), hits[h]["number"], hits[h]["score"]
+        while ends and ends[0][0] <= start:
+            e, s, k, i = heapq.heappop(ends)
+            if k < 0:
+                opened.add(hits[i]["number"], -math.inf, s, -math.inf, 0, -1)
+            else:
+                opened.add(hits[i]["number"], e, s, best[i][0], best[i][1], k)
+        found = opened.candidates(number, walls[h][1])
+        block = _block(hits[h])
+        gains = np.where(np.isin(found[4], blocks.get(block, ())), 0.0, score)
+        top = _best_of(found, gains, score)
+        best[h] = (top[0], top[1], None if top[2] is None else order[top[2]])
+        heapq.heappush(ends, (end, start, at, h))
+        blocks.setdefault(block, []).append(at)
     last: int | None = max(order, key=lambda i: (best[i][0], best[i][1], hits[i]["bases"]))
     chain = []
     while last is not None:
@@ -70,11 +140,28 @@ def transcript_chain(hits: list[dict], free: list[int], strand: str, walls: dict
     return chain[::-1]
 
 
+class BlockEnds:
+    """The chain ends of one block by exon number, each with the best of all smaller numbers."""
+
+    def __init__(self, ends: list[tuple]):
+        """ends: (number, key, hit), larger keys being better."""
+        ends = sorted(ends, key=lambda x: x[0])
+        self.numbers = [number for number, *_ in ends]
+        self.best = list(accumulate(((key, hit) for _, key, hit in ends), max))
+
+    def below(self, number: int) -> tuple | None:
+        """(key, hit) of the best end of a smaller number."""
+        k = bisect_left(self.numbers, number)
+        return self.best[k - 1] if k else None
+
+
 def gene_chain(hits: list[dict], free: list[int], strand: str, max_gap: int | None) -> list[tuple[int, bool]]:
     """Best gene chain as (hit, inserted): block scores less INSERTION_COST for every distinct label in a skipped run.
 
     A block's label is the number of its leading hit.  Runs of more than MAX_RUN labels, gaps of more than max_gap and
     blocks that are no longer free cannot be crossed.  Skipped blocks come back as inserted hits.
+
+    Blocks are gone through in order; a hit looks at the blocks within reach and, in each, at the best end of a smaller number (BlockEnds).
     """
     blocks = sorted({_block(h) for h in hits}, reverse=strand == "-")
     rank = {b: i for i, b in enumerate(blocks)}
@@ -91,40 +178,38 @@ def gene_chain(hits: list[dict], free: list[int], strand: str, max_gap: int | No
         if not apart and max_gap is not None:
             apart = max(blocks[before][0], blocks[b][0]) - min(blocks[before][1], blocks[b][1]) > max_gap
         segment[b] = b if apart else segment[before]
-    best: dict[int, tuple[float, int, int, int | None]] = {}
+    members: dict[int, list[int]] = {}
     for at, h in enumerate(order):
-        block, start = rank[_block(hits[h])], _place(hits[h], strand)[0]
-        top: tuple[float, int, int, int | None] = (hits[h]["score"], 1, 0, None)
-        # labels between a block and this one, nearest first
-        cost, labels = {block - 1: 0}, set()
-        for b in range(block - 1, segment[block], -1):
+        members.setdefault(rank[_block(hits[h])], []).append(at)
+    best: dict[int, tuple[float, int, int, int | None]] = {}
+    ended: dict[int, BlockEnds] = {}
+    for block in present:
+        # (block, distinct labels between it and this one) of the blocks within reach, nearest first
+        reach, labels = [], set()
+        for b in range(block - 1, segment[block] - 1, -1):
+            reach.append((b, len(labels)))
             labels.add(hits[leader[b]]["number"])
             if len(labels) > MAX_RUN:
                 break
-            cost[b - 1] = len(labels)
-        pick: dict[int, tuple] = {}
-        for k, p in enumerate(order[:at]):
-            own = rank[_block(hits[p])]
-            if hits[p]["number"] >= hits[h]["number"]:
-                continue
-            if own == block:
-                if _place(hits[p], strand)[1] > start:
-                    continue
-                cls = -1
-            elif segment[block] <= own and own in cost:
-                cls = cost[own]
-            else:
-                continue
-            key = (best[p][0], best[p][1], -best[p][2], -k)
-            if cls not in pick or key > pick[cls][0]:
-                pick[cls] = (key, p)
-        for cls in sorted(pick, key=lambda c: (c < 0, c)):
-            p = pick[cls][1]
-            extra = max(cls, 0)
-            score = best[p][0] + (0.0 if cls < 0 else hits[h]["score"]) - INSERTION_COST * extra
-            if (score, best[p][1] + 1, -(best[p][2] + extra)) > (top[0], top[1], -top[2]):
-                top = (score, best[p][1] + 1, best[p][2] + extra, p)
-        best[h] = top
+        own: list[tuple] = []
+        for at in members[block]:
+            h = order[at]
+            number, start, score = hits[h]["number"], _place(hits[h], strand)[0], hits[h]["score"]
+            pick: dict[int, tuple] = {}
+            for b, cost in reach:
+                end = ended[b].below(number)
+                if end and (cost not in pick or end > pick[cost]):
+                    pick[cost] = end
+            inside = [(key, p) for n, key, p in own if n < number and _place(hits[p], strand)[1] <= start]
+            top: tuple[float, int, int, int | None] = (score, 1, 0, None)
+            for cost, (key, p) in [*sorted(pick.items()), *([(0, max(inside))] if inside else [])]:
+                gain = 0.0 if _block(hits[p]) == _block(hits[h]) else score
+                made = (best[p][0] + gain - INSERTION_COST * cost, best[p][1] + 1, best[p][2] + cost)
+                if (made[0], made[1], -made[2]) > (top[0], top[1], -top[2]):
+                    top = (*made, p)
+            best[h] = top
+            own.append((number, (top[0], top[1], -top[2], -at), h))
+        ended[block] = BlockEnds(own)
     last: int | None = max(order, key=lambda i: (best[i][0], best[i][1], -best[i][2], hits[i]["bases"]))
     chain = []
     while last is not None:

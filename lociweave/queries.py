@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lociweave.functions import scalars as S
+from lociweave.operators.barriers import may_follow, with_barriers
 from lociweave.operators.graph import connected_components
 from lociweave.operators.intervals import equal_copy_counts, islands, merged, overlap_length, range_join
 from lociweave.plans.derived import HITS, SPANS, hits, spans
 from lociweave.plans.evidence import block_scores, expected_exons, hits_of, non_overlapping, with_blocks
-from lociweave.storage import read_table
+from lociweave.storage import read_table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -284,13 +285,11 @@ def chain_links(spark, sf_dir):
     """Which hit may follow which in a chain: rising numbers, no overlap, no other copy of either exon in the gap."""
     s, e = S.oriented(F.col("strand"), F.col("qs"), F.col("qe"))
     o = hits(spark, sf_dir).select(*KEYS, "tid", "exon_number", "ok", "ln", s.alias("s"), e.alias("e"))
-    side = lambda x: o.select(*KEYS, "tid", *[F.col(c).alias(f"{x}_{c}") for c in ("exon_number", "ok", "ln", "s", "e")])
-    pairs = side("p").join(side("h"), [*KEYS, "tid"]).where("p_exon_number < h_exon_number AND p_e <= h_s")
-    others = side("x")
-    inside = "x_exon_number IN (p_exon_number, h_exon_number) AND x_s >= p_e AND x_e <= h_s AND NOT (x_ok = p_ok AND x_ln = p_ln) AND NOT (x_ok = h_ok AND x_ln = h_ln)"
-    same = " AND ".join(f"pairs.{k} = others.{k}" for k in [*KEYS, "tid"])
-    clear = pairs.alias("pairs").join(others.alias("others"), F.expr(f"{same} AND {inside}"), "left_anti")
-    return clear.select("p_ok", "p_ln", "h_ok", "h_ln")
+    walled = written(with_barriers(o, [*KEYS, "tid"], "exon_number", "s", "e"), "walls")
+    facts = ("exon_number", "s", "e", "later_end", "earlier_start")
+    side = lambda x: walled.select(*KEYS, "tid", *[F.col(c).alias(f"{x}_{c}") for c in (*facts, "ok", "ln")])
+    met = side("p").join(side("h"), [*KEYS, "tid"])
+    return met.where(may_follow(*[[F.col(f"{x}_{c}") for c in facts] for x in "ph"])).select("p_ok", "p_ln", "h_ok", "h_ln")
 
 
 # ---------------------------------------------------------------- call metrics and rows

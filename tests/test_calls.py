@@ -191,3 +191,69 @@ def test_fasta_paf_sam(spark, tmp_path):
     (tmp_path / "a.sam").write_text("@HD\nq\t16\tc\t11\t60\t3S10M2I5M1S\t*\t0\t0\t*\t*\tAS:i:12\tNM:i:2\nu\t4\t*\t0\t0\t*\t*\t0\t0\t*\t*\n")
     row = R.sam(spark, str(tmp_path / "a.sam")).first()
     assert (row.strand, row.start, row.end, row.query_start, row.query_end, row.AS, row.NM) == ("-", 10, 25, 1, 18, 12.0, 2)
+
+
+def test_barriers_of_a_table_equal_the_kernel(spark):
+    from pyspark.sql import functions as F
+
+    from lociweave.operators.barriers import may_follow, with_barriers
+
+    rng = random.Random(21)
+    rows = [(g, rng.randint(1, 4), *sorted((rng.randrange(60), rng.randrange(60)))) for g in (1, 2, None) for _ in range(40)]
+    df = spark.createDataFrame(rows, "g long, number int, s long, e long")
+    got = {(r["g"], r["number"], r["s"], r["e"]): (r["later_end"], r["earlier_start"]) for r in with_barriers(df, ["g"], "number", "s", "e").collect()}
+    assert with_barriers(df, ["g"], "number", "s", "e").count() == len(rows)
+    for g in (1, 2, None):
+        own = [{"number": n, "start": s, "end": e} for k, n, s, e in rows if k == g]
+        for i, (later, earlier) in chains.barriers(own, "+").items():
+            finite = lambda x: None if x in (float("inf"), -float("inf")) else x
+            assert got[g, own[i]["number"], own[i]["start"], own[i]["end"]] == (finite(later), finite(earlier))
+    one, other = [[F.lit(v).cast("long") for v in x] for x in ((1, 0, 5, 9, None), (2, 9, 12, None, 4))]
+    assert not spark.range(1).select(may_follow(one, other)).first()[0]
+
+
+def plain_walls(hits, strand):
+    place = lambda h: (h["start"], h["end"]) if strand == "+" else (-h["end"], -h["start"])
+    out = {}
+    for i, h in enumerate(hits):
+        own = [place(x) for x in hits if x["number"] == h["number"]]
+        out[i] = min((e for s, e in own if s >= place(h)[1]), default=float("inf")), max((s for s, e in own if e <= place(h)[0]), default=-float("inf"))
+    return out
+
+
+@pytest.mark.parametrize("strand", ["+", "-"])
+def test_indexed_chains_equal_a_scan_of_all_hits(strand):
+    """The best score and number of hits over every hit before, with later copies that are no longer free in the way."""
+    rng = random.Random(22)
+    place = lambda h: (h["start"], h["end"]) if strand == "+" else (-h["end"], -h["start"])
+    for _ in range(300):
+        blocks = [(30 * k, 30 * k + rng.randint(5, 30)) for k in range(8)]
+        hits = []
+        for _ in range(rng.randint(1, 25)):
+            b = rng.choice(blocks)
+            s = rng.randint(b[0], b[1] - 1)
+            hits.append({"number": rng.randint(1, 6), "exon_id": "E", "start": s, "end": rng.randint(s + 1, b[1]), "block_start": b[0], "block_end": b[1], "score": 10.0 + b[0], "length": 1, "exon_score": 1.0, "bases": 1})
+        walls = chains.barriers(hits, strand)
+        assert walls == plain_walls(hits, strand)
+        free = sorted(rng.sample(range(len(hits)), rng.randint(1, len(hits))))
+        best = {}
+        for h in sorted(free, key=lambda i: (*place(hits[i]), hits[i]["number"])):
+            s = place(hits[h])[0]
+            before = [p for p in best if hits[p]["number"] < hits[h]["number"] and place(hits[p])[1] <= s and walls[p][0] > s and walls[h][1] < place(hits[p])[1]]
+            gain = lambda p, h=h: 0.0 if hits[p]["block_start"] == hits[h]["block_start"] else hits[h]["score"]
+            best[h] = max([(hits[h]["score"], 1), *((best[p][0] + gain(p), best[p][1] + 1) for p in before)])
+        found = chains.transcript_chain(hits, free, strand, walls)
+        assert (sum({hits[i]["block_start"]: hits[i]["score"] for i in found}.values()), len(found)) == max(best.values())
+
+
+def test_a_hundred_thousand_hits_chain_in_seconds():
+    import time
+
+    rng, at, hits = random.Random(23), 0, []
+    for k in range(100_000):
+        at += rng.randint(5, 60)
+        hits.append({"number": k % 40 + 1, "exon_id": "E", "start": at, "end": at + 4, "block_start": at, "block_end": at + 4, "score": 50.0, "length": 4, "exon_score": 1.0, "bases": 4})
+    for model in ("transcript", "full_gene"):
+        began = time.time()
+        (found,) = chains.chains_of(hits, "+", model, 1000, most=1)
+        assert len({h["number"] for h in found}) == 40 and time.time() - began < 60
