@@ -14,8 +14,6 @@ import math
 from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
-import numpy as np
-
 MAX_CHAINS = 10
 INSERTION_COST = 50.0
 MAX_RUN = 20
@@ -66,40 +64,31 @@ class OpenEnds:
     copies of a number never overlap), and looking for the best end goes through numbers, not through all hits before.
     """
 
-    def __init__(self, size: int):
-        self.n = 0
-        self.slot: dict[int, int] = {}
-        self.held = np.zeros((5, max(16, size)))  # exon number, end, score, hits, place in the order
-
-    def add(self, number: int, end: float, start: float, score: float, count: int, at: int) -> None:
-        """A hit that ends here: it closes the open ends of its number that lie before its start."""
-        h = self.held
-        closed = np.flatnonzero((h[0, : self.n] == number) & (h[1, : self.n] <= start))
-        for k in closed[::-1].tolist():
-            self.n -= 1
-            h[:, k] = h[:, self.n]
-        if self.n == h.shape[1]:
-            self.held = h = np.concatenate([h, np.zeros_like(h)], 1)
-        h[:, self.n] = number, end, score, count, at
-        self.n += 1
-
-    def candidates(self, number: int, after: float) -> np.ndarray:
-        """Columns of the ends of smaller numbers that lie behind `after`."""
-        h = self.held[:, : self.n]
-        return h[:, (h[0] < number) & (h[1] > after)]
-
-
-def _best_of(found: np.ndarray, gains: np.ndarray, score: float) -> tuple[float, int, int | None]:
-    """(score, hits, place) of a hit of that score by itself, or behind the best of the ends: the highest score, then most hits, then the first."""
-    if not found.shape[1]:
-        return score, 1, None
-    total = found[2] + gains
-    top = max(score, float(total.max()))
-    near = np.flatnonzero(np.abs(total - top) <= 1e-9 * np.maximum(np.abs(total), abs(top)))
-    if not len(near):
-        return score, 1, None
-    k = near[np.lexsort((found[4, near], -found[3, near]))[0]]
-    return float(total[k]), int(found[3, k]) + 1, int(found[4, k])
+    def __init__(self):
+        self.held: dict[int, list[tuple[int, float, int, int, tuple[int, int]]]] = {}  # end, score, hits, place in the order, block
+
+    def add(self, number: int, start: int, end: tuple | None) -> None:
+        """A hit that ends here closes the open ends of its number that lie before its start; end: itself, where it is free."""
+        still = [x for x in self.held.get(number, ()) if x[0] > start]
+        self.held[number] = [*still, end] if end else still
+
+    def best(self, number: int, after: float, block: tuple[int, int], score: float) -> tuple[float, int, int | None]:
+        """(score, hits, place) of a hit of that score by itself, or behind the best end of a smaller number that lies behind `after`:
+        the highest score, then most hits, then the first.  A block counts once."""
+        top: tuple[float, int, int] = (score, 1, -1)
+        for n, ends in self.held.items():
+            if n >= number:
+                continue
+            for end, own, count, at, of in ends:
+                if end <= after:
+                    continue
+                made = (own if of == block else own + score, count + 1, at)
+                if math.isclose(made[0], top[0]):
+                    if (made[1], -made[2]) > (top[1], -top[2]):
+                        top = made
+                elif made[0] > top[0]:
+                    top = made
+        return top[0], top[1], None if top[2] < 0 else top[2]
 
 
 def transcript_chain(hits: list[dict], free: list[int], strand: str, walls: dict[int, tuple[float, float]]) -> list[int]:
@@ -110,28 +99,18 @@ def transcript_chain(hits: list[dict], free: list[int], strand: str, walls: dict
     """
     order = sorted(free, key=lambda i: (*_place(hits[i], strand), hits[i]["number"]))
     best: dict[int, tuple[float, int, int | None]] = {}
-    ends: list[tuple] = []
     # copies that are no longer free close ends as well
-    for i in set(range(len(hits))) - set(free):
-        s, e = _place(hits[i], strand)
-        ends.append((e, s, -1, i))
+    ends = [(*_place(hits[i], strand)[::-1], -1, i) for i in set(range(len(hits))) - set(free)]
     heapq.heapify(ends)
-    opened, blocks = OpenEnds(len({h["number"] for h in hits})), {}
+    opened = OpenEnds()
     for at, h in enumerate(order):
-        (start, end), number, score = _place(hits[h], strand), hits[h]["number"], hits[h]["score"]
+        start, end = _place(hits[h], strand)
         while ends and ends[0][0] <= start:
             e, s, k, i = heapq.heappop(ends)
-            if k < 0:
-                opened.add(hits[i]["number"], -math.inf, s, -math.inf, 0, -1)
-            else:
-                opened.add(hits[i]["number"], e, s, best[i][0], best[i][1], k)
-        found = opened.candidates(number, walls[h][1])
-        block = _block(hits[h])
-        gains = np.where(np.isin(found[4], blocks.get(block, ())), 0.0, score)
-        top = _best_of(found, gains, score)
-        best[h] = (top[0], top[1], None if top[2] is None else order[top[2]])
+            opened.add(hits[i]["number"], s, None if k < 0 else (e, best[i][0], best[i][1], k, _block(hits[i])))
+        score, count, before = opened.best(hits[h]["number"], walls[h][1], _block(hits[h]), hits[h]["score"])
+        best[h] = score, count, None if before is None else order[before]
         heapq.heappush(ends, (end, start, at, h))
-        blocks.setdefault(block, []).append(at)
     last: int | None = max(order, key=lambda i: (best[i][0], best[i][1], hits[i]["bases"]))
     chain = []
     while last is not None:
@@ -224,22 +203,27 @@ def gene_chain(hits: list[dict], free: list[int], strand: str, max_gap: int | No
     return out
 
 
-def chains_of(hits: list[dict], strand: str, model_type: str, max_gap: int | None, most: int = MAX_CHAINS) -> list[list[dict]]:
-    """Up to `most` chains of one model; each takes its blocks, inserted ones too, from those that follow."""
+def chain_places(hits: list[dict], strand: str, model_type: str, max_gap: int | None, most: int = MAX_CHAINS) -> list[list[tuple[int, bool]]]:
+    """Up to `most` chains of one model as (place in hits, inserted); each takes its blocks, inserted ones too, from those that follow."""
     free = list(range(len(hits)))
-    walls = barriers(hits, strand)
+    walls = barriers(hits, strand) if model_type != "full_gene" else {}
     out = []
     while free and len(out) < most:
         if model_type == "full_gene":
             found = gene_chain(hits, free, strand, max_gap)
         else:
             found = [(i, False) for i in transcript_chain(hits, free, strand, walls)]
-        out.append([{**hits[i], "inserted": inserted} for i, inserted in found])
+        out.append(found)
         used = {_block(hits[i]) for i, _ in found}
         free = [i for i in free if _block(hits[i]) not in used]
     return out
 
 
+def chains_of(hits: list[dict], strand: str, model_type: str, max_gap: int | None, most: int = MAX_CHAINS) -> list[list[dict]]:
+    """The chains as hits with `inserted`."""
+    return [[{**hits[i], "inserted": inserted} for i, inserted in found] for found in chain_places(hits, strand, model_type, max_gap, most)]
+
+
 def insertion_runs(hits: list[dict], strand: str) -> list[set[int]]:
     """Distinct exon numbers of every run of inserted hits, along the strand."""
     runs: list[set[int]] = []

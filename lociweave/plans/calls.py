@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from lociweave.functions.scalars import exon_score, gap_limit
-from lociweave.operators.chains import chains_of, resolve, scored
+from lociweave.operators.chains import chain_places, resolve, scored
 from lociweave.operators.intervals import islands
 from lociweave.operators.ranking import gapless_index
 from lociweave.plans.annotation import Annotation, with_full_genes
@@ -95,15 +95,53 @@ def chain_groups(hits: DataFrame, a: Annotation, expected: DataFrame, extra: lis
     )
 
 
+#: What chaining and its score read of a hit and of a group; all else passes as Arrow columns.
+_READ = ("number", "exon_id", "start", "end", "block_start", "block_end", "score", "length", "exon_score", "bases")
+_ASKED = ("strand", "model_type", "max_gap", "coding", "mane", "expected")
+
+
+def _chained(batch: pa.RecordBatch, facts: list[str], arrow: pa.Schema, coding_bonus: float, o: Options) -> pa.RecordBatch:
+    """The chains of a batch of groups: rows of facts and hits are taken by place, so that they never become Python objects."""
+    hits = batch.column("hits")
+    base, fields = hits.values, [f.name for f in hits.type.value_type]
+    starts = hits.offsets.to_pylist()
+    first = starts[0] if starts else 0
+    read = {n: base.field(n).slice(first, starts[-1] - first).to_pylist() for n in _READ}
+    asked = {n: batch.column(n).to_pylist() for n in _ASKED}
+    rows, places, inserted, ends, made = [], [], [], [0], []
+    for row in range(batch.num_rows):
+        a, b = starts[row] - first, starts[row + 1] - first
+        own = [dict(zip(_READ, values, strict=True)) for values in zip(*[read[n][a:b] for n in _READ], strict=True)]
+        call = {n: asked[n][row] for n in _ASKED} | {"coding_x": coding_bonus, "complete_x": o.complete_bonus, "mane_x": o.mane_bonus}
+        for found in chain_places(own, call["strand"], call["model_type"], call["max_gap"], o.max_chains):
+            score = scored(call, [{**own[i], "inserted": extra} for i, extra in found])
+            rows.append(row)
+            places += [starts[row] + i for i, _ in found]
+            inserted += [extra for _, extra in found]
+            ends.append(len(places))
+            made.append((coding_bonus, o.complete_bonus, o.mane_bonus, score["raw"], score["weighted"], score["found"], score["runs"]))
+    taken, kept = base.take(pa.array(places, pa.int64())), pa.array(rows, pa.int64())
+    types = arrow.field("hits").type.value_type
+    items = pa.StructArray.from_arrays([taken.field(n) for n in fields] + [pa.array(inserted, pa.bool_())], fields=list(types))
+    columns = {n: batch.column(n).take(kept) for n in facts} | {"hits": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)}
+    scores = list(zip(*made, strict=True)) or [()] * 7
+    columns |= {n: pa.array(c, arrow.field(n).type) for n, c in zip(("coding_x", "complete_x", "mane_x", "raw", "weighted", "found", "runs"), scores, strict=True)}
+    columns.setdefault("parent", pa.nulls(len(rows), pa.string()))
+    return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in arrow], schema=arrow)
+
+
 def chains(groups: DataFrame, coding_bonus: float, o: Options) -> DataFrame:
     """All chains of every group, scored.  A lone hit is its group's one chain and stays in the plan."""
 
-    def one(row: dict) -> list[dict]:
-        base = {"parent": None, **row, "coding_x": coding_bonus, "complete_x": o.complete_bonus, "mane_x": o.mane_bonus}
-        return [scored(base, own) for own in chains_of(row["hits"], row["strand"], row["model_type"], row["max_gap"], o.max_chains)]
-
+    arrow = to_arrow_schema(_parse_datatype_string(CALLS))
     groups = written(groups, "groups")
-    several = _map_rows(groups.where("size(hits) > 1").repartition(shuffle_width(groups.sparkSession)), one, CALLS)
+    facts = [f.name for f in arrow if f.name in groups.columns and f.name != "hits"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _chained(batch, facts, arrow, coding_bonus, o)
+
+    several = groups.where("size(hits) > 1").repartition(shuffle_width(groups.sparkSession)).mapInArrow(run, CALLS)
     parent = F.col("parent") if "parent" in groups.columns else F.lit(None).cast("string")
     raw = F.col("hits")[0]["score"]
     weighted = raw
