@@ -12,7 +12,7 @@ from lociweave.plans import annotation as A
 from lociweave.plans import calls as C
 from lociweave.plans import exon_database as D
 from lociweave.plans import reports as R
-from lociweave.plans import search
+from lociweave.plans import resolution, search
 from lociweave.plans.derived import HITS, SPANS, hits, spans
 from lociweave.plans.evidence import known_exons, select_alignments
 from lociweave.queries import KEYS, query
@@ -192,6 +192,24 @@ def first_chains(spark, sf_dir):
     return C.chains(groups, 10.0, C.Options(max_chains=1)).select(*KEYS, "tid", "raw", F.size("hits").alias("n_hits"))
 
 
+@query(
+    f"""WITH RECURSIVE {HITS}, c AS MATERIALIZED (SELECT query_id, strand, tid, query_id || strand || tid AS call, count(*) AS n FROM hits GROUP BY 1, 2, 3),
+b AS MATERIALIZED (SELECT DISTINCT c.query_id, c.strand, call, n, qs, qe FROM hits JOIN c USING (query_id, strand, tid)),
+e AS MATERIALIZED (SELECT DISTINCT x.call AS one, y.call AS other FROM b x JOIN b y ON x.query_id = y.query_id AND x.strand = y.strand AND x.n = y.n AND x.qs = y.qs AND x.qe = y.qe AND x.call <> y.call),
+r AS (SELECT call, call AS met FROM c UNION SELECT r.call, e.other FROM r JOIN e ON r.met = e.one),
+m AS (SELECT call, min(met) AS component FROM r GROUP BY call)
+SELECT CAST(query_id AS VARCHAR) AS query_id, strand, tid, n AS n_hits, component, count(*) OVER (PARTITION BY component) AS tie_count FROM c JOIN m USING (call)"""
+)
+def tie_components(spark, sf_dir):
+    """Transcripts of a query and strand with equally many hits that share a hit's place, directly or through others."""
+    rows = hits(spark, sf_dir).withColumn("query_id", F.col("query_id").cast("string"))
+    call = F.concat("query_id", "strand", "tid").alias("call")
+    calls = written(rows.groupBy(*KEYS, "tid").agg(F.count("*").alias("n_hits")).select(*KEYS, "tid", call, "n_hits", F.col("n_hits").cast("double").alias("score")), "calls")
+    blocks = rows.select(call, *KEYS, F.col("qs").alias("block_start"), F.col("qe").alias("block_end")).distinct()
+    found = resolution.tie_components(resolution.with_rank(calls, KEYS, F.lit(False), "score"), blocks, KEYS, "call")
+    return found.select(*KEYS, "tid", "n_hits", "component", "tie_count")
+
+
 @query()
 def gene_chain_best(spark, sf_dir):
     """Gene edit chains with insertions and a gap limit, brands as genes."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -12,11 +13,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from lociweave.functions.scalars import exon_score, gap_limit
-from lociweave.operators.chains import chain_places, resolve, scored
+from lociweave.operators.chains import chain_places, resolve, scored, tie_name
 from lociweave.operators.intervals import islands
 from lociweave.operators.ranking import gapless_index
 from lociweave.plans.annotation import Annotation, with_full_genes
 from lociweave.plans.evidence import block_scores, expected_exons, hits_of, known_exons, non_overlapping, with_blocks
+from lociweave.plans.resolution import resolved_in_rounds
 from lociweave.storage import shuffle_width, written
 
 HIT = (
@@ -160,11 +162,24 @@ _LEAN = ("number", "exon_id", "start", "end", "block_start", "block_end", "score
 _KEPT = "_id long, _left array<int>, raw double, weighted double, found array<int>, runs array<int>, tie_group_id string, tie_count int"
 
 
-def resolved(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("query_id", "strand"), bin_size: int = 1_000_000) -> DataFrame:
+def _from_rounds(calls: DataFrame, prefer_mane: bool, keys: list[str]) -> DataFrame:
+    """What resolution in rounds selects, as _KEPT rows; only calls that tie are put together for their group's name."""
+    made = written(resolved_in_rounds(calls, prefer_mane, keys), "selected")
+    ties = made.where("tie_count > 1").groupBy("component").agg(F.collect_list(F.struct("query_id", "strand", "gene_id_full", "transcript_id_full", "hits")).alias("calls"))
+    names = _map_rows(ties, lambda row: [{"component": row["component"], "tie_group_id": tie_name(row["calls"])}], "component long, tie_group_id string")
+    met = made.join(names, "component", "left")
+    return met.select(
+        "_id", F.transform("hits", lambda h: h["at"]).alias("_left"), "raw", "weighted", "found", F.array().cast("array<int>").alias("runs"),
+        F.coalesce("tie_group_id", F.lit("")).alias("tie_group_id"), F.col("tie_count").cast("int").alias("tie_count"),
+    )
+
+
+def resolved(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("query_id", "strand"), bin_size: int = 1_000_000, most_at_once: int = 5000) -> DataFrame:
     """Selected calls of each query and strand (and parent), with tie_group_id and tie_count.
 
     A call none of whose blocks is in another call is selected as it is and stays in the plan.  The others compete within
-    islands of overlapping calls, since calls that share a block overlap; only what competition needs travels there.
+    islands of overlapping calls, since calls that share a block overlap; only what competition needs travels there.  An island of more than
+    most_at_once calls is resolved in rounds of joins (plans.resolution), unless it has inserted hits or scores below zero, whose calls can rise.
     """
     calls = written(calls.withColumn("_id", F.monotonically_increasing_id()), "candidates")
     blocks = calls.select("_id", *keys, F.explode(F.array_distinct(F.transform("hits", lambda h: F.struct(h["block_start"].alias("s"), h["block_end"].alias("e"))))).alias("b"))
@@ -178,14 +193,22 @@ def resolved(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("quer
     facts = ("tid", "transcript_id_full", "gene", "gene_id_full", "mane", "coding", "exon_length", "expected", "coding_x", "complete_x", "mane_x", "raw", "weighted", "found", "runs")
     lean = calls.join(contested, "_id").select("_id", *keys, *facts, hits.alias("hits"), F.array_min("hits.block_start").alias("_from"), F.array_max("hits.block_end").alias("_until"))
     placed = islands(lean, list(keys), "_from", "_until", name="_island", bin_size=bin_size)
+    island = [*keys, "_island"]
+    placed = written(placed, "placed")
+    odd = F.exists("hits", lambda h: h["inserted"] | (h["score"] < 0))
+    crowds = written(placed.groupBy(*island).agg(F.count("*").alias("_n"), F.bool_or(odd).alias("_odd")).where((F.col("_n") > most_at_once) & ~F.col("_odd")).drop("_n", "_odd"), "crowds")
+    crowded = not crowds.isEmpty()
+    in_crowd = reduce(lambda x, y: x & y, [placed[k].eqNullSafe(crowds[k]) for k in island])
+    few = placed.join(crowds, in_crowd, "left_anti") if crowded else placed
     call = F.struct("tid", F.col("hits.start").alias("starts"), "_id", F.struct("_id", "query_id", "strand", *facts, "hits").alias("call"))
-    gathered = placed.groupBy(*keys, "_island").agg(F.array_sort(F.collect_list(call)).alias("c"))
+    gathered = few.groupBy(*island).agg(F.array_sort(F.collect_list(call)).alias("c"))
 
     def one(row: dict) -> list[dict]:
         return [{**c, "_left": [h["at"] for h in c["hits"]]} for c in resolve(row["calls"], prefer_mane)]
 
-    dealt = gathered.select(F.col("c.call").alias("calls"))
-    kept = _map_rows(dealt, one, _KEPT)
+    kept = _map_rows(gathered.select(F.col("c.call").alias("calls")), one, _KEPT)
+    if crowded:
+        kept = kept.unionByName(_from_rounds(placed.join(crowds, in_crowd, "left_semi").drop("_from", "_until"), prefer_mane, island))
     won = calls.drop("raw", "weighted", "found", "runs").join(kept, "_id").withColumn("hits", F.transform("_left", lambda i: F.get("hits", i)))
     return won.select(*alone.columns).unionByName(alone).drop("_id")
 
