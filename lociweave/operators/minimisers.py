@@ -66,11 +66,11 @@ def minimisers(rows: DataFrame, name: str, seq: str, k: int = 19, w: int = 5, ma
 
     Sequences are cut into overlapping parts, so that a contig spreads over tasks; a place is told by the part that it is in.  bits: a
     filter (bit_filter.code_bits); minimisers whose code it does not hold are left out before they become rows.
-    Sequences without k bases in a row have none; a null name is a name.
+    Sequences without k bases in a row have none; a null name is a name.  rows may be a table of chunks (contig, chunk, piece), with contig as name.
     """
     if not 1 <= k <= 31 or w < 1:
         raise ValueError("k must be 1 to 31, w at least 1")
-    genome = rows.select(F.col(name).alias("name"), F.col(seq).alias("seq"))
+    genome = rows if rows.columns == ["contig", "chunk", "piece"] else rows.select(F.col(name).alias("name"), F.col(seq).alias("seq"))
     parts = overlapping(genome, w - 1, w + k - 2)
     kind = rows.schema[name].dataType
     shared = rows.sparkSession.sparkContext.broadcast(bits) if bits is not None else None

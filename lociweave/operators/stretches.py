@@ -12,7 +12,12 @@ STEPS = (1 << 24, 1 << 19)
 
 
 def chunks(genome: DataFrame, size: int = CHUNK) -> DataFrame:
-    """(contig, chunk, piece): genome (name, seq) cut at multiples of size; an empty contig has one empty chunk."""
+    """(contig, chunk, piece): genome (name, seq) cut at multiples of size; an empty contig has one empty chunk.
+
+    A table that has these columns already, of chunks of that size, is given back.
+    """
+    if genome.columns == ["contig", "chunk", "piece"]:
+        return genome
     rows = genome.select(F.col("name").alias("contig"), F.lit(0).cast("long").alias("_from"), F.col("seq").alias("piece"))
     for step in [*[s for s in STEPS if s > size and s % size == 0], size]:
         last = F.floor(F.greatest(F.length("piece") - 1, F.lit(0)) / step).cast("long")
@@ -26,8 +31,11 @@ def overlapping(genome: DataFrame, before: int, after: int, size: int = CHUNK) -
     """(contig, length, start, own, until, piece): genome (name, seq) in parts of `size` with up to so many bases before and after them.
 
     start: where piece begins; own, until: the part itself.  Parts of a contig do not overlap, pieces do; rows without a
-    sequence or with an empty one have none.  As in chunks(), long contigs are cut in steps.
+    sequence or with an empty one have none.  As in chunks(), long contigs are cut in steps.  genome may be a table of chunks (contig,
+    chunk, piece) of that size; then only their ends travel, to the chunks beside them, which must be the longer ones.
     """
+    if "piece" in genome.columns:
+        return _overlapping_chunks(genome, before, after, size)
     rows = genome.where(F.length("seq") > 0).select(
         F.col("name").alias("contig"), F.length("seq").cast("long").alias("length"), F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("own"),
         F.length("seq").cast("long").alias("_until"), F.col("seq").alias("piece"),
@@ -41,9 +49,26 @@ def overlapping(genome: DataFrame, before: int, after: int, size: int = CHUNK) -
     return rows.select("contig", "length", "start", "own", F.col("_until").alias("until"), "piece")
 
 
+def _overlapping_chunks(pieces: DataFrame, before: int, after: int, size: int) -> DataFrame:
+    if max(before, after) > size:
+        raise ValueError("surroundings reach beyond the next chunk")
+    tails = pieces.select(F.col("contig").alias("_c"), (F.col("chunk") + 1).alias("_k"), F.expr(f"right(piece, {before})").alias("_tail"))
+    heads = pieces.where("chunk > 0").select(F.col("contig").alias("_d"), (F.col("chunk") - 1).alias("_l"), F.expr(f"left(piece, {after})").alias("_head"))
+    lengths = pieces.groupBy(F.col("contig").alias("_e")).agg(F.sum(F.length("piece")).cast("long").alias("length"))
+    met = pieces.join(tails, (F.col("contig") == F.col("_c")) & (F.col("chunk") == F.col("_k")), "left")
+    met = met.join(heads, (F.col("contig") == F.col("_d")) & (F.col("chunk") == F.col("_l")), "left").join(lengths, F.col("contig") == F.col("_e"))
+    tail, own = F.coalesce("_tail", F.lit("")), F.col("chunk") * size
+    return met.where("piece <> ''").select(
+        "contig", "length", (own - F.length(tail)).alias("start"), own.alias("own"), (own + F.length("piece")).alias("until"), F.concat(tail, "piece", F.coalesce("_head", F.lit(""))).alias("piece")
+    )
+
+
 def with_length(rows: DataFrame, genome: DataFrame, contig: str) -> DataFrame:
-    """rows with contig_length; rows of a contig that is not in the genome are left out."""
-    lengths = genome.select(F.col("name").alias(contig), F.length("seq").cast("long").alias("contig_length"))
+    """rows with contig_length; rows of a contig that is not in the genome, (name, seq) or chunks, are left out."""
+    if "piece" in genome.columns:
+        lengths = genome.groupBy(F.col("contig").alias(contig)).agg(F.sum(F.length("piece")).cast("long").alias("contig_length"))
+    else:
+        lengths = genome.select(F.col("name").alias(contig), F.length("seq").cast("long").alias("contig_length"))
     return rows.join(lengths, contig)
 
 

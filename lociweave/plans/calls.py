@@ -278,16 +278,20 @@ def routed(calls: DataFrame, two_stage: bool) -> DataFrame:
     return marked.join(numbered.select("parent", "is_fragment", (F.col("_number") + 1).alias("gene_number")), "parent")
 
 
-def decisions(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("query_id", "strand")) -> DataFrame:
-    """What happened to each call, in order: (query_id, strand, step, event, tid, weighted, n_hits); events are trim,
-    isoform_tiebreak and select."""
-    gathered = calls.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("tid", F.col("hits").getField("start").alias("at"), F.struct(*calls.columns).alias("call")))).alias("c"))
+def decisions(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("query_id", "strand"), bin_size: int = 1_000_000) -> DataFrame:
+    """What happened to each call, in order: (query_id, strand, island, step, event, tid, weighted, n_hits); events are trim,
+    isoform_tiebreak and select.  Calls of different islands of overlapping calls do not meet, so steps count within an island (1, 2, ... along
+    the query); calls without hits have no event."""
+    held = calls.where("size(hits) > 0").withColumns({"_from": F.array_min("hits.block_start"), "_until": F.array_max("hits.block_end")})
+    placed = islands(held, list(keys), "_from", "_until", name="_island", bin_size=bin_size)
+    call = F.struct("tid", F.col("hits").getField("start").alias("at"), F.struct(*calls.columns).alias("call"))
+    gathered = placed.groupBy(*keys, "_island").agg(F.array_sort(F.collect_list(call)).alias("c"))
 
     def log(row: dict) -> list[dict]:
         events: list[dict] = []
         resolve(row["calls"], prefer_mane, events)
-        facts = lambda c: {"query_id": c["query_id"], "strand": c["strand"], "tid": c["tid"], "weighted": c["weighted"], "n_hits": len(c["hits"])}
+        facts = lambda c: {"query_id": c["query_id"], "strand": c["strand"], "island": row["_island"], "tid": c["tid"], "weighted": c["weighted"], "n_hits": len(c["hits"])}
         return [{"step": k, "event": e["event"], **facts(e["call"])} for k, e in enumerate(events)]
 
-    schema = "query_id string, strand string, step int, event string, tid string, weighted double, n_hits int"
-    return _map_rows(gathered.select(F.col("c.call").alias("calls")), log, schema)
+    schema = "query_id string, strand string, island long, step int, event string, tid string, weighted double, n_hits int"
+    return _map_rows(gathered.select("_island", F.col("c.call").alias("calls")), log, schema)

@@ -20,9 +20,28 @@ from lociweave.storage import written
 BIN = 1_000_000
 
 
-def repeated_codes(index: DataFrame, most: int) -> DataFrame:
-    """(code, n): minimisers of an index (code) that occur more than `most` times, with their frequency."""
-    return index.groupBy("code").agg(F.count("*").alias("n")).where(F.col("n") > most)
+def store_index(targets: DataFrame, target_id: str, seq: str, table: str, k: int = 19, w: int = 5, masked: bool = False, buckets: int = 64) -> None:
+    """Write the minimisers of targets as a table of the catalogue, bucketed and sorted by code, for many searches (seeds_of_index)."""
+    minimisers(targets, target_id, seq, k, w, masked).write.bucketBy(buckets, "code").sortBy("code").mode("overwrite").saveAsTable(table)
+
+
+def seeds_of_index(queries: DataFrame, query_id: str, seq: str, index: DataFrame, target_id: str, k: int = 19, w: int = 5, most: int = 1000, masked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(seeds, repeats) as minimiser_seeds gives them, against a stored index (spark.table) of the same k, w and masking.
+
+    The index is neither read through a filter nor shuffled: counting its codes and meeting the queries' both go by its buckets, so a
+    search costs a shuffle of the queries' minimisers.
+    """
+    return _met(minimisers(queries, query_id, seq, k, w, masked), query_id, index, target_id, most)
+
+
+def _met(asked: DataFrame, query_id: str, found: DataFrame, target_id: str, most: int) -> tuple[DataFrame, DataFrame]:
+    asked = written(asked, "asked")
+    counted = found.join(asked.select("code").distinct(), "code", "left_semi").groupBy("code").agg(F.count("*").alias("n"))
+    repeats = written(counted.where(F.col("n") > most), "repeats")
+    one = asked.join(repeats, "code", "left_anti").select("code", query_id, F.col("length").alias("query_length"), F.col("at").alias("query_at"), F.col("reverse").alias("_q"))
+    other = found.select("code", target_id, F.col("length").alias("target_length"), F.col("at").alias("target_at"), F.col("reverse").alias("_t"))
+    met = other.join(one, "code")
+    return met.select(query_id, "query_length", "query_at", target_id, "target_length", "target_at", (F.col("_q") != F.col("_t")).alias("reverse")), repeats
 
 
 def minimiser_seeds(
@@ -38,12 +57,7 @@ def minimiser_seeds(
     """
     asked = written(minimisers(queries, query_id, seq, k, w, masked), "asked")
     found = written(minimisers(targets, target_id, seq, k, w, masked, code_bits(asked.select("code").distinct())), "found")
-    counted = found.groupBy("code").agg(F.count("*").alias("n")).join(asked.select("code").distinct(), "code", "left_semi")
-    repeats = written(counted.where(F.col("n") > most), "repeats")
-    one = asked.join(repeats, "code", "left_anti").select("code", query_id, F.col("length").alias("query_length"), F.col("at").alias("query_at"), F.col("reverse").alias("_q"))
-    other = found.join(repeats, "code", "left_anti").select("code", target_id, F.col("length").alias("target_length"), F.col("at").alias("target_at"), F.col("reverse").alias("_t"))
-    met = one.join(other, "code")
-    return met.select(query_id, "query_length", "query_at", target_id, "target_length", "target_at", (F.col("_q") != F.col("_t")).alias("reverse")), repeats
+    return _met(asked, query_id, found, target_id, most)
 
 
 def best_chain(q: np.ndarray, t: np.ndarray, k: int, max_gap: int, band: int) -> tuple[np.ndarray, int]:
