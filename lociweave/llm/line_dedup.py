@@ -130,16 +130,27 @@ class LineDedup:
         self.filters = spark.createDataFrame([], "shard int, buckets int, cells binary")
 
     def postings(self) -> DataFrame:
-        schema = "h1 long, h2 long, doc_id long, sign int"
+        schema = "h1 long, h2 long, doc_id long, text_hash long, sign long"
         if not self.batches:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*self.batches)
 
     def changed(self, lines: DataFrame, sign: int) -> LineDedup:
-        """The state after adding (sign 1) or deleting (sign -1) the documents of these line keys."""
+        """The state after adding (sign 1) or deleting (sign -1) the rows of these line keys.
+
+        A posting is how often a key is in the rows of one document and text.  A row has a key as often as any other row of its text, so
+        taking away what was asked, but no more than is held, takes away rows that are there and leaves out those that are not.
+        """
         path = shared_path(self.spark, "postings")
-        once = lines.select("h1", "h2", "doc_id", F.lit(sign).alias("sign"))
-        once.distinct().write.parquet(path)
+        place = ["h1", "h2", "doc_id", "text_hash"]
+        asked = lines.groupBy(*place).agg(F.count("*").alias("times"))
+        if sign > 0:
+            made = asked.select(*place, F.col("times").alias("sign"))
+        else:
+            held = self.postings().join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").groupBy(*place).agg(F.sum("sign").alias("held")).where("held > 0")
+            same = (asked["h1"] == held["h1"]) & (asked["h2"] == held["h2"]) & asked["doc_id"].eqNullSafe(held["doc_id"]) & (asked["text_hash"] == held["text_hash"])
+            made = held.join(asked, same).select(*[held[c] for c in place], (-F.least("times", "held")).alias("sign"))
+        made.write.parquet(path)
         after = LineDedup(self.spark, self.min_docs, self.min_chars, self.shards)
         after.batches = [*self.batches, path]
         after.held = self.held + sign * self.spark.read.parquet(path).count()
@@ -179,7 +190,10 @@ class LineDedup:
         return self.changed(line_keys(docs, doc_id, text, self.min_chars), 1)
 
     def delete(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LineDedup:
-        """Take documents out that were added with these very texts."""
+        """Take rows out that were added with this doc_id and this very text; a row that is not held, or no more, is ignored.
+
+        So a repeated delete changes nothing, and a row that was added twice goes once a delete.
+        """
         return self.changed(line_keys(docs, doc_id, text, self.min_chars), -1)
 
     def dropped(self, lines: DataFrame) -> DataFrame:
