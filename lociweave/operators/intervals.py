@@ -48,7 +48,9 @@ def islands(
     last = F.greatest(F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.col("_carry"))
     flagged = carried.withColumn("_new", fresh(last))
     based = with_bins(flagged, F.sum("_new"), lambda v: F.coalesce(F.sum(v).over(before_bins), F.lit(0)), "_base")
-    inside = F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    # the joins may have changed the order of equal intervals: the one that begins an island comes first
+    again = Window.partitionBy(*keys, "_bin").orderBy(start, end, F.desc("_new"))
+    inside = F.sum("_new").over(again.rowsBetween(Window.unboundedPreceding, 0))
     return based.withColumn(name, F.col("_base") + inside).drop("_bin", "_carry", "_new", "_base")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from lociweave.operators.stretches import with_stretch
 
 #: Half of the significance formula's constants for ungapped scores of +1 and -2 and even bases; the other follows from the scores.
 SEARCH_SIZE = 0.621
-ALIGNED = "score long, q_from long, q_to long, t_from long, t_to long, matches long, mismatches long, inserted long, deleted long, cigar string"
+ALIGNED = "score long, q_from long, q_to long, t_from long, t_to long, matches long, mismatches long, inserted long, deleted long, cigar string, qseq string, sseq string"
 
 
 def significance_rate(match: int, mismatch: int) -> float:
@@ -107,16 +108,27 @@ def seed_extensions(
     return rows.distinct()
 
 
+def gapped(query: str, target: str, q_from: int, t_from: int, cigar: str) -> tuple[str, str]:
+    """Both rows of an alignment, with '-' for gaps."""
+    rows, i, j = ([], []), q_from, t_from
+    for n, op in ((int(n), op) for n, op in re.findall(r"(\d+)([=XID])", cigar)):
+        rows[0].append("-" * n if op == "D" else query[i : i + n])
+        rows[1].append("-" * n if op == "I" else target[j : j + n])
+        i, j = i + n * (op != "D"), j + n * (op != "I")
+    return "".join(rows[0]), "".join(rows[1])
+
+
 def aligned(pairs: DataFrame, query: str, target: str, diagonal: str, band: int, costs: Costs = Costs()) -> Column:
     """A struct column (ALIGNED) of the best local alignment of two text columns within `band` of a diagonal (target less query place)."""
 
     @F.arrow_udf(f"struct<{ALIGNED.replace(' long', ': long').replace(' string', ': string')}>")
     def align(q: pa.Array, t: pa.Array, d: pa.Array) -> pa.Array:
         texts = [[(s or "").upper().encode("ascii", "replace") for s in x.to_pylist()] for x in (q, t)]
-        made = banded_alignments(*texts, d.to_pylist(), band, costs)
+        found = banded_alignments(*texts, d.to_pylist(), band, costs)
+        made = [(*x, *gapped(a.decode(), b.decode(), x[1], x[3], x[9])) for x, a, b in zip(found, *texts, strict=True)]
         names = [f.split()[0] for f in ALIGNED.split(", ")]
         columns = list(zip(*made, strict=True)) or [()] * len(names)
-        return pa.StructArray.from_arrays([pa.array(c, pa.string() if n == "cigar" else pa.int64()) for c, n in zip(columns, names, strict=True)], names=names)
+        return pa.StructArray.from_arrays([pa.array(c, pa.string() if n in ("cigar", "qseq", "sseq") else pa.int64()) for c, n in zip(columns, names, strict=True)], names=names)
 
     return align.asNondeterministic()(pairs[query], pairs[target], pairs[diagonal])
 
@@ -125,11 +137,12 @@ def realigned(
     chains: DataFrame, queries: DataFrame, query_id: str, targets: DataFrame, target_id: str, seq: str, band: int = 64, costs: Costs = Costs()
 ) -> DataFrame:
     """Gapped alignments of whole queries in the windows of chains: query_id, query_start, query_end, strand, target_id, target_start, target_end, score,
-    matches, mismatches, inserted, deleted, identity, cigar.
+    matches, mismatches, inserted, deleted, identity, cigar, qseq, sseq.
 
     chains: as seed_chains gives them.  A window is where the whole query lies if the chain's middle diagonal is carried on, and `band` more on both
     sides, clipped to the contig; the band is around that diagonal.  Places are mapped back to the contig by the window's start.  The CIGAR is along
-    the target (I: bases of the query that it lacks, D: its own that the query lacks).  Equal alignments are one row; chains without an
+    the target (I: bases of the query that it lacks, D: its own that the query lacks); qseq and sseq are both rows with gaps, the query as it runs along the
+    target.  targets may be a table of chunks (contig, chunk, piece), with contig as target_id.  Equal alignments are one row; chains without an
     alignment are left out.  Ids must be unique.
     """
     reverse = F.col("strand") == "-"
@@ -141,7 +154,7 @@ def realigned(
     low = F.greatest(zero, F.col("_diagonal") - band)
     high = F.greatest(low, F.least("contig_length", F.col("_diagonal") + F.col("query_length") + band))
     wanted = rows.withColumns({"_low": low, "_high": high})
-    genome = targets.select(F.col(target_id).alias("name"), F.col(seq).alias("seq"))
+    genome = targets if targets.columns == ["contig", "chunk", "piece"] else targets.select(F.col(target_id).alias("name"), F.col(seq).alias("seq"))
     cut = with_stretch(wanted, genome, target_id, "_low", "_high", "_window").join(_oriented(queries, query_id, seq), [query_id, "reverse"])
     cut = cut.withColumn("_shift", F.col("_diagonal") - F.col("_low"))
     made = cut.withColumn("_x", aligned(cut, "_query", "_window", "_shift", band, costs)).where("_x.score > 0")
@@ -151,5 +164,5 @@ def realigned(
     return made.select(
         query_id, F.when(F.col("reverse"), F.col("query_length") - b).otherwise(a).alias("query_start"), F.when(F.col("reverse"), F.col("query_length") - a).otherwise(b).alias("query_end"),
         "strand", target_id, (F.col("_low") + F.col("_x.t_from")).alias("target_start"), (F.col("_low") + F.col("_x.t_to")).alias("target_end"), *facts,
-        (100.0 * F.col("_x.matches") / columns).alias("identity"), F.col("_x.cigar").alias("cigar"),
+        (100.0 * F.col("_x.matches") / columns).alias("identity"), F.col("_x.cigar").alias("cigar"), F.col("_x.qseq").alias("qseq"), F.col("_x.sseq").alias("sseq"),
     ).distinct()

@@ -102,3 +102,26 @@ def test_scalars(spark):
     assert tuple(one.select(*S.query_location(F.lit("chr1_5_9"))).first()) == ("chr1", 5)
     assert one.select(S.cigar_length(F.lit("2=1I4=10S"), "=I")).first()[0] == 7
     assert one.select(S.bed_score(F.array(F.lit(0.0005), F.lit(0.0025)))).first()[0] == 2
+
+
+def test_binned_islands_of_equal_intervals_stay_together(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from lociweave.operators.intervals import islands
+
+    rng = random.Random(17)
+    places = [(g, s, s + rng.choice([0, 3, 7])) for g in "ab" for s in (rng.randrange(400) for _ in range(60))]
+    rows = [(i, *p) for i, p in enumerate(places * 9)]
+    df = spark.createDataFrame(rows, "i long, g string, s long, e long").repartition(7, "i")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for touching in (False, True):
+            real = df.where("e > s")
+            made = islands(real, ["g"], "s", "e", touching, bin_size=50).select("i", F.col("island").alias("b"))
+            met = islands(real, ["g"], "s", "e", touching).join(made, "i")
+            assert met.where("island <> b").count() == 0 and met.count() == sum(e > s for _, _, s, e in rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
