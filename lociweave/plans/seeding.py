@@ -60,6 +60,21 @@ def minimiser_seeds(
     return _met(asked, query_id, found, target_id, most)
 
 
+def seeds_in_windows(queries: DataFrame, query_genes: DataFrame, windows: DataFrame, k: int = 11, w: int = 3) -> DataFrame:
+    """Seeds (as minimiser_seeds) of each gene's queries in the windows of that gene alone, for words that are too short to seed a genome.
+
+    queries: (query_id, sequence), unique; query_genes: (query_id, gene); windows: (gene, contig, contig_length, window_start, sequence).  Where
+    windows of several genes overlap, a pair of places is one row.
+    """
+    asked = minimisers(queries, "query_id", "sequence", k, w).join(query_genes.select("query_id", "gene").distinct(), "query_id")
+    named = written(windows.select(F.monotonically_increasing_id().alias("window"), "gene", "contig", "contig_length", "window_start", "sequence"), "windows")
+    found = minimisers(named, "window", "sequence", k, w).select("window", "code", "at", F.col("reverse").alias("_t")).join(named.drop("sequence"), "window")
+    one = asked.select("gene", "code", "query_id", F.col("length").alias("query_length"), F.col("at").alias("query_at"), F.col("reverse").alias("_q"))
+    met = found.join(one, ["gene", "code"])
+    place = (F.col("window_start") + F.col("at")).alias("target_at")
+    return met.select("query_id", "query_length", "query_at", "contig", F.col("contig_length").alias("target_length"), place, (F.col("_q") != F.col("_t")).alias("reverse")).distinct()
+
+
 def best_chain(q: np.ndarray, t: np.ndarray, k: int, max_gap: int, band: int) -> tuple[np.ndarray, int]:
     """(places, score) of the best chain of anchors sorted by (t, q): q and t rise, by max_gap at most and alike to within band.
 

@@ -1,7 +1,7 @@
 """From an annotation, its genome and sample genomes to call tables, in one call.
 
 The annotation's exons become search queries (exon_database), minimisers seed them on all samples at once, chains along diagonals say where they may lie,
-gapped realignment in those windows gives alignments, which are cut to exons and called.  Samples are a column of the contigs' names, so that one plan
+a second search with shorter words looks for all exons of a gene around those that were found, gapped realignment in those windows gives alignments, which are cut to exons and called.  Samples are a column of the contigs' names, so that one plan
 serves any number of them.
 """
 
@@ -20,8 +20,8 @@ from lociweave.plans import reports
 from lociweave.plans.evidence import select_alignments
 from lociweave.plans.exon_database import anchored, collapse_exons, query_sequences, union_queries
 from lociweave.plans.realign import evalue, realigned
-from lociweave.plans.search import projected
-from lociweave.plans.seeding import minimiser_seeds, seed_chains
+from lociweave.plans.search import projected, seed_windows, window_sequences
+from lociweave.plans.seeding import minimiser_seeds, seed_chains, seeds_in_windows
 from lociweave.sources import readers
 from lociweave.sources.fasta_ranges import fasta_chunks
 from lociweave.storage import written
@@ -32,7 +32,10 @@ MARK = "\t"
 
 @dataclass(frozen=True)
 class Search:
-    """Minimisers (k, w, most), chains (max_gap, drift, least_anchors, least_score), realignment (band) and the least that an alignment must have."""
+    """Minimisers (k, w, most), chains (max_gap, drift, least_anchors, least_score), realignment (band) and the least that an alignment must have.
+
+    local_k, local_w, local_anchors and local_score are for the second search, in the windows of genes that the first has found; local_k of 0 leaves it out.
+    """
 
     k: int = 15
     w: int = 5
@@ -42,14 +45,19 @@ class Search:
     least_anchors: int = 3
     least_score: int = 40
     band: int = 64
+    local_k: int = 11
+    local_w: int = 3
+    local_anchors: int = 2
+    local_score: int = 22
     least_as: float = 50.0
     least_identity: float = 95.0
     least_coverage: float = 90.0
 
     def __post_init__(self):
         checks = {
-            "k is 1 to 31": 1 <= self.k <= 31, "w, most, max_gap and least_anchors are at least 1": min(self.w, self.most, self.max_gap, self.least_anchors) >= 1,
-            "drift, least_score and band are not below 0": min(self.drift, self.least_score, self.band) >= 0,
+            "k is 1 to 31, local_k 0 to 31": 1 <= self.k <= 31 and 0 <= self.local_k <= 31,
+            "w, most, max_gap and least anchors are at least 1": min(self.w, self.local_w, self.most, self.max_gap, self.least_anchors, self.local_anchors) >= 1,
+            "drift, least scores and band are not below 0": min(self.drift, self.least_score, self.local_score, self.band) >= 0,
             "identity and coverage are 0 to 100": all(0 <= x <= 100 for x in (self.least_identity, self.least_coverage)),
         }
         if failed := [rule for rule, held in checks.items() if not held]:
@@ -75,6 +83,8 @@ def exon_alignments(exons: DataFrame, genome: DataFrame, targets: DataFrame, sea
     queries = written(query_sequences(aliases, genome), "queries")
     seeds, _ = minimiser_seeds(queries.withColumnRenamed("sequence", "piece"), "query_id", targets, "contig", "piece", search.k, search.w, search.most)
     chained = written(seed_chains(seeds, "query_id", "contig", search.k, search.max_gap, search.drift, search.least_anchors, search.least_score), "chains")
+    if search.local_k:
+        chained = written(chained.unionByName(_chains_in_windows(chained, aliases, queries, targets, search)), "chains")
     found = realigned(chained, queries.withColumnRenamed("sequence", "piece"), "query_id", targets, "contig", "piece", search.band)
     lengths = queries.select(F.col("query_id").alias("_q"), F.length("sequence").cast("long").alias("qlen"))
     total = targets.agg(F.sum(F.length("piece")).cast("double")).first()[0] or 0.0
@@ -94,6 +104,20 @@ def exon_alignments(exons: DataFrame, genome: DataFrame, targets: DataFrame, sea
     )
 
 
+def _chains_in_windows(chained: DataFrame, aliases: DataFrame, queries: DataFrame, targets: DataFrame, search: Search) -> DataFrame:
+    """Chains of shorter words of all queries of a gene in the windows around those that were found."""
+    owners = aliases.select("query_id", F.explode("gene_ids").alias("gene"), "start0", "end0")
+    genes = owners.groupBy("gene").agg((F.max("end0") - F.min("start0")).alias("span"))
+    query_genes = owners.select("query_id", "gene").distinct()
+    seeds = chained.select(F.col("query_id").alias("query"), "contig", F.col("target_length").alias("contig_length"), F.col("target_start").alias("start"), F.col("target_end").alias("end"))
+    windows = seed_windows(seeds, genes, query_genes.withColumnRenamed("query_id", "query"))
+    cut = written(window_sequences(windows, targets), "windows")
+    lengths = chained.select("contig", "target_length").distinct()
+    cut = cut.join(lengths, "contig").withColumnRenamed("target_length", "contig_length")
+    near = seeds_in_windows(queries, query_genes, cut, search.local_k, search.local_w)
+    return seed_chains(near, "query_id", "contig", search.local_k, search.max_gap, search.drift, search.local_anchors, search.local_score)
+
+
 def annotate_samples(
     spark: SparkSession, annotation: str, genome: str, samples: DataFrame, out: str | None = None, options: C.Options = C.Options(), search: Search = Search()
 ) -> DataFrame:

@@ -34,6 +34,11 @@ def files(tmp_path_factory):
     two = dna(2000) + genome[5900:6100] + genome[6103:7100] + dna(1000)
     (folder / "one.fa").write_text(f">c1 first\n{one}\n")
     (folder / "two.fa").write_text(">c1\n" + "\n".join(two[i : i + 60] for i in range(0, len(two), 60)) + "\n")
+    # sample three: GA with an exon in which every fifteenth base differs, so that no word of fifteen is left of it
+    worn = list(genome[500:3000])
+    for at in range(1000, 1200, 15):
+        worn[at] = "ACGT"[("ACGT".index(worn[at]) + 1) % 4]
+    (folder / "three.fa").write_text(f">c1\n{''.join(worn)}\n")
     return folder
 
 
@@ -50,6 +55,14 @@ def test_genes_are_found_on_every_sample(spark, files):
     assert written.groupBy("sample").count().count() == 2 and written.count() == sum(not r["is_fragment"] for r in rows)
 
 
+@pytest.mark.parametrize("local_k", [11, 0])
+def test_worn_exons_are_found_in_the_windows_of_their_gene(spark, files, local_k):
+    samples = spark.createDataFrame([("three", str(files / "three.fa"))], "name string, fasta string")
+    table = annotate_samples(spark, str(files / "a.gff3"), str(files / "g.fa"), samples, search=Search(local_k=local_k, least_identity=90.0))
+    (row,) = [r for r in table.collect() if r["model_type"] != "full_gene"]
+    assert (row["query_start"], row["query_end"]) == ("500", "1850") and row["call_status"] == ("complete" if local_k else "partial")
+
+
 def test_options_are_checked():
     for bad in ({"k": 32}, {"w": 0}, {"band": -1}, {"least_identity": 101.0}):
         with pytest.raises(ValueError, match="is|are"):
