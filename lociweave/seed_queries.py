@@ -15,7 +15,7 @@ from lociweave.storage import read_table, written
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 BASES = "ACGTACGTACGTACGTACGTACGTACACGTACGTACGTACGTACGTACGTAC"
-K, W, MOST = 15, 5, 40
+K, W, MOST = 15, 5, 4
 
 _DNA = f"translate(regexp_replace(text, '[^A-Za-z]', '', 'g'), '{LETTERS}', '{BASES}')"
 #: Texts as bases: documents as they are, every other item of the benchmark as its reverse complement.
