@@ -23,14 +23,17 @@ def equal_triplets(digits: np.ndarray, window: int) -> np.ndarray:
 
     By lags: pairs of places d apart are counted for all windows at once, from running sums.
     """
-    triplet = digits[:-2].astype(np.int64) * 25 + digits[1:-1] * 5 + digits[2:]
+    triplet = digits[:-2] * np.uint8(25) + digits[1:-1] * np.uint8(5) + digits[2:]
     known = (digits[:-2] < 4) & (digits[1:-1] < 4) & (digits[2:] < 4)
+    whole = bool(known.all())
     n = window - 2
-    pairs = np.zeros(max(0, len(triplet) - n + 1), np.int64)
+    pairs = np.zeros(max(0, len(triplet) - n + 1), np.int32)
     for d in range(1, n):
-        same = (triplet[d:] == triplet[:-d]) & known[d:]
-        total = np.concatenate([[0], np.cumsum(same)])
-        pairs += total[n - d :][: len(pairs)] - total[: len(pairs)]
+        same = triplet[d:] == triplet[:-d]
+        total = np.zeros(len(same) + 1, np.int32)
+        np.cumsum(same if whole else same & known[d:], dtype=np.int32, out=total[1:])
+        pairs += total[n - d :][: len(pairs)]
+        pairs -= total[: len(pairs)]
     return pairs
 
 
