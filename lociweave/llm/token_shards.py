@@ -1,14 +1,15 @@
 """Token-ID / binary output in training order.
 
-Documents are tokenised whole with a public vocabulary, joined by an end-of-text id and cut into sequences of
-`seq_len` ids.  A keyed Feistel permutation over the next even power of two, walked on until it lands below the number of
+Documents are tokenised whole with a public vocabulary, joined in one defined order by an end-of-text id and cut into
+sequences of `seq_len` ids, across the tasks that hold them.  A keyed Feistel permutation over the next even power of two, walked on until it lands below the number of
 sequences, gives every sequence its own global slot.  Slots are cut into ranges; each range is one file of fixed stride,
 so sequence `slot` stands in file slot // per_shard at byte (slot % per_shard) * stride, and a reader that stopped after
 any number of sequences goes on from there.
 
-The sequences are tokenised once into the shared folder and then dealt by slot range, in two waves of which each is a
-shuffle whose partitions are runs of whole shards, so that local disks hold half of them at a time; a task writes its
-shards in order.  A shard is written under a draft name and renamed when whole.
+Texts are tokenised once, on their way to the tasks that order them, and written with their place.  One sum a task gives
+every text its place among all ids, so that texts are cut into pieces of sequences by themselves; the pieces are dealt by
+slot range, in two waves of which each is a shuffle whose partitions are runs of whole shards, so that local disks hold
+half of them at a time; a task writes its shards in order.  A shard is written under a draft name and renamed when whole.
 """
 
 from __future__ import annotations
@@ -21,12 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociweave.llm.files import Publish, open_file
-from lociweave.storage import shared_path, written
+from lociweave.storage import shared_path, shuffle_width, written
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END_OF_TEXT = 50256
@@ -36,7 +36,9 @@ PER_SHARD, LEAST_PER_SHARD, LEAST_SHARDS = 4096, 64, 64
 #: Tasks that write; beyond as many shards a task writes several.
 MOST_TASKS = 20_000
 WAVES = 2
-ROWS_AT_ONCE = 64
+ROWS_AT_ONCE, PIECES_AT_ONCE = 64, 4096
+#: Bytes of text for each task that orders, and the least number of equal rows that are dealt over many tasks.
+TASK_BYTES, LEAST_HOT = 64 << 20, 10_000
 ROUNDS = 6
 #: The public pre-tokenisation pattern of this vocabulary (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -88,118 +90,166 @@ class Feistel:
         return self._walk(x, self.keys[::-1], True)
 
 
-def _slot_of(permutation: Feistel, ordinal: Column) -> Column:
-    @F.arrow_udf("long")
-    def slot(x: pa.Array) -> pa.Array:
-        return pa.array(permutation.forward(x.to_numpy(zero_copy_only=False)))
+def _in_order(docs: DataFrame, doc_id: str, text: str, order: str) -> tuple[DataFrame, int]:
+    """(part, key, tie, doc_id, text): rows with a text in an order that does not depend on how the table is split.
 
-    return slot(ordinal)
+    Tasks are ranges of `key`, their number follows from the bytes of all texts.  Returns it too.
+    """
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *([F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")] if order == "files" else []))
+    rows, size, width = rows.where("text != ''"), F.sum(F.octet_length("text")).alias("size"), shuffle_width(docs.sparkSession)
+    if order == "files":
+        files = rows.groupBy("file").agg(F.max("row").alias("last"), size).collect()
+        bases, n = [], 0
+        for r in sorted(files, key=lambda r: r["file"]):
+            bases.append((r["file"], n))
+            n += r["last"] + 1
+        tasks = max(width, -(-sum(r["size"] for r in files) // TASK_BYTES))
+        base = F.broadcast(docs.sparkSession.createDataFrame(bases, "file string, base long"))  # one row a file
+        keyed = rows.join(base, "file").select((F.col("base") + F.col("row")).alias("key"), F.lit(0).cast("long").alias("tie"), "doc_id", "text")
+        return keyed.select(F.expr(f"cast(key * {tasks} div {max(n, 1)} AS int)").alias("part"), "*"), tasks
+    keyed = rows.select(F.xxhash64("doc_id", "text").alias("key"), F.xxhash64("text", "doc_id").alias("tie"), "doc_id", "text")
+    counts = written(keyed.groupBy("key", "tie").agg(F.count("*").alias("n"), size), "keys")
+    n, total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    tasks = max(width, -(-total // TASK_BYTES))
+    many = [tuple(r) for r in counts.where(F.col("n") > max(LEAST_HOT, n // (2 * tasks))).select("key", "tie", "n").collect()]  # at most 2 * tasks rows
+    if many:
+        # rows that are equal in id and text are alike: one is kept with its count, and its copies get keys of their own
+        hot = F.broadcast(docs.sparkSession.createDataFrame(many, "key long, tie long, n long"))
+        one = keyed.join(hot, ["key", "tie"]).groupBy("key", "tie", "n").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+        lots = written(one, "hot").withColumn("lot", F.explode(F.expr("sequence(0L, (n - 1) div 256)"))).repartition(tasks)
+        each = lots.withColumn("i", F.explode(F.expr("sequence(lot * 256, least(n, lot * 256 + 256) - 1)")))
+        copies = each.select(F.xxhash64("key", "i").alias("key"), F.xxhash64("tie", "i").alias("tie"), "doc_id", "text")
+        keyed = keyed.join(hot, ["key", "tie"], "left_anti").unionByName(copies)
+    place = F.least(F.floor((F.col("key").cast("double") / 2.0**64 + 0.5) * tasks), F.lit(tasks - 1)).cast("int")
+    return keyed.select(place.alias("part"), "*"), tasks
+
+
+def token_table(docs: DataFrame, doc_id: str, text: str, vocabulary: str, end: int, order: str) -> DataFrame:
+    """(part, at, n, doc_id, ids): the ids of each text, `end` behind them, as little-endian uint16; n of them begin at `at` of those of part."""
+    source, path = open_file(vocabulary)
+    with source.open_input_stream(path) as stream:
+        raw = docs.sparkSession.sparkContext.broadcast(stream.read())
+    if max(end, _encoding(raw.value).max_token_value) > 0xFFFF:
+        raise ValueError("ids must fit into 16 bits")
+    rows, tasks = _in_order(docs, doc_id, text, order)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding = _encoding(raw.value)
+        names = ["part", "key", "tie", "doc_id", "n", "ids"]
+        for batch in (b.slice(k, ROWS_AT_ONCE) for b in batches for k in range(0, b.num_rows, ROWS_AT_ONCE)):
+            ids = [np.array([*encoding.encode_ordinary(t), end], "<u2") for t in batch.column(4).to_pylist()]
+            counts = pa.array([len(x) for x in ids], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], counts, pa.array([x.tobytes() for x in ids], pa.binary())], names=names)
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, int] = {}
+        for batch in batches:
+            at = []
+            for part, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                at.append(held.get(part, 0))
+                held[part] = at[-1] + n
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(at, pa.int64()), *batch.columns[1:]], names=["part", "at", "n", "doc_id", "ids"])
 
+    encoded = rows.mapInArrow(encode, "part int, key long, tie long, doc_id long, n long, ids binary")
+    dealt = encoded.repartitionById(tasks, F.col("part")).sortWithinPartitions("part", "key", "tie", "doc_id").select("part", "n", "doc_id", "ids")
+    return written(dealt.mapInArrow(begin, "part int, at long, n long, doc_id long, ids binary"), "tokens")
 
-def sequences(docs: DataFrame, doc_id: str, text: str, vocabulary: str, seq_len: int, end: int) -> DataFrame:
-    """(part, at, doc_ids, n_tokens, ids): the sequences of each task's documents, in the order they come in.
 
-    ids: seq_len little-endian uint16; the last sequence of a task is filled up with the end-of-text id.
-    """
-    spark = docs.sparkSession
-    raw = spark.sparkContext.broadcast(b"\n".join(r["value"].encode() for r in spark.read.text(f"file://{vocabulary}").collect()))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    names = ["part", "at", "doc_ids", "n_tokens", "ids"]
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, part = _encoding(raw.value), TaskContext.get().partitionId()
-        held: list[np.ndarray] = []
-        owners: list[tuple[int | None, int]] = []  # document, end of its ids in `held`
-        total, at = 0, 0
-
-        def cut(n: int) -> pa.RecordBatch:
-            """The first n sequences of what is held."""
-            nonlocal held, owners, total, at
-            flat = np.concatenate(held)
-            ids, counts, lists, k = [], [], [], 0
-            for i in range(n):
-                own = flat[i * seq_len : (i + 1) * seq_len]
-                counts.append(len(own))
-                ids.append(np.pad(own, (0, seq_len - len(own)), constant_values=end).tobytes())
-                first = k
-                while k < len(owners) - 1 and owners[k][1] <= (i + 1) * seq_len:
-                    k += 1
-                last = k + 1 if owners[k][1] <= (i + 1) * seq_len or (owners[k - 1][1] if k else 0) < (i + 1) * seq_len else k
-                lists.append([d for d, _ in owners[first:last]])
-            used = min(n * seq_len, len(flat))
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([part] * n, pa.int32()), pa.array(range(at, at + n), pa.int64()), pa.array(lists, pa.list_(pa.int64())),
-                 pa.array(counts, pa.int32()), pa.array(ids, pa.binary())], names=names
-            )
-            held, total, at = [flat[used:]], len(flat) - used, at + n
-            owners = [(d, e - used) for d, e in owners if e > used]
-            return batch
-
-        pieces = (batch.slice(k, ROWS_AT_ONCE) for batch in batches for k in range(0, batch.num_rows, ROWS_AT_ONCE))
-        for piece in pieces:
-            for number, body in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
-                if body:
-                    held.append(np.array([*encoding.encode_ordinary(body), end], np.uint16))
-                    total += len(held[-1])
-                    owners.append((number, total))
-                    if total >= 256 * seq_len:
-                        yield cut(total // seq_len)
-        if total:
-            yield cut(-(-total // seq_len))
-
-    return rows.mapInArrow(pack, "part int, at long, doc_ids array<long>, n_tokens int, ids binary")
+def pieces_of(tokens: DataFrame, permutation: Feistel, seq_len: int, slots: tuple[int, int]) -> DataFrame:
+    """(slot, at, doc_id, ids): what tokens (start, doc_id, ids) give to the sequences of slots[0] <= slot < slots[1], from id `at` on."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            start = batch.column(0).to_numpy(zero_copy_only=False)
+            doc_ids, ids = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            stop = start + np.array([len(x) // 2 for x in ids], np.int64)
+            first = start // seq_len
+            counts = (stop - 1) // seq_len - first + 1
+            row = np.repeat(np.arange(len(ids)), counts)
+            number = first[row] + np.arange(len(row)) - np.repeat(counts.cumsum() - counts, counts)
+            slot = permutation.forward(number)
+            own = np.flatnonzero((slot >= slots[0]) & (slot < slots[1]))
+            for k in range(0, len(own), PIECES_AT_ONCE):
+                some = own[k : k + PIECES_AT_ONCE]
+                which, begin = row[some], number[some] * seq_len
+                low, high = np.maximum(start[which], begin), np.minimum(stop[which], begin + seq_len)
+                body = [ids[i][2 * a : 2 * b] for i, a, b in zip(which.tolist(), (low - start[which]).tolist(), (high - start[which]).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(slot[some]), pa.array(low - begin), pa.array([doc_ids[i] for i in which], pa.int64()), pa.array(body, pa.binary())], names=["slot", "at", "doc_id", "ids"]
+                )
+
+    return tokens.select("start", "doc_id", "ids").mapInArrow(cut, "slot long, at long, doc_id long, ids binary")
 
 
 def write_shards(
     docs: DataFrame, out: str | None = None, key: int = 20240229, doc_id: str = "doc_id", text: str = "text",
-    vocabulary: str = VOCABULARY, end: int = END_OF_TEXT, seq_len: int = SEQ_LEN, per_shard: int | None = None,
+    vocabulary: str = VOCABULARY, end: int = END_OF_TEXT, seq_len: int = SEQ_LEN, per_shard: int | None = None, order: str = "content",
 ) -> DataFrame:
     """Write the shards and their manifest under `out`; returns slot, shard, offset, n_tokens, doc_ids, ids_sha256.
 
+    order: "content" joins texts in the order of a hash of id and text, whatever the table's partitions are; "files" in
+    the order of the rows in the files that docs is read from, by path.  Rows equal in id and text are alike, so either
+    way the same rows give the same bytes on any cluster.  Only the last sequence of all is filled up.
     doc_ids: documents with ids in the sequence, in order (a document longer than a sequence is in several; a null doc_id
     is listed as null).  Null and empty texts have no ids; repeated rows are tokenised again; an empty table writes the
     manifest alone.  ids_sha256: of the sequence's bytes as they stand in the file.  per_shard: by default a power of two
-    that follows from the number of sequences.
+    that follows from the number of sequences.  vocabulary: a path or address that the driver can read, with ids below 65,536.
     """
     spark = docs.sparkSession
     out = out or shared_path(spark, "tokens")
-    table = written(sequences(docs, doc_id, text, vocabulary, seq_len, end), "sequences")
-    parts = sorted((r["part"], r["count"]) for r in table.groupBy("part").count().collect())
-    bases, n = [], 0
-    for part, count in parts:
-        bases.append((part, n))
-        n += count
-    stride = 2 * seq_len
+    table = token_table(docs, doc_id, text, vocabulary, end, order)
+    bases, total = [], 0
+    for part, count in sorted(map(tuple, table.groupBy("part").agg(F.sum("n")).collect())):
+        bases.append((part, total))
+        total += count
+    n, stride = -(-total // seq_len), 2 * seq_len
     per_shard = per_shard or min(PER_SHARD, max(LEAST_PER_SHARD, 1 << max(0, (n // LEAST_SHARDS).bit_length() - 1)))
     with Publish(f"{out}/manifest.json") as put:
         put.write(json.dumps({"sequences": n, "seq_len": seq_len, "per_shard": per_shard, "dtype": "<u2", "key": key}).encode())
     base = F.broadcast(spark.createDataFrame(bases, "part int, base long"))  # one row a task
+    tokens = table.join(base, "part").withColumn("start", F.col("base") + F.col("at"))
     permutation = Feistel(n, key)
-    ordinal = table.join(base, "part").withColumn("slot", _slot_of(permutation, F.col("base") + F.col("at")))
-    placed = ordinal.select("slot", F.expr(f"cast(slot div {per_shard} AS int)").alias("shard"), "doc_ids", "n_tokens", "ids")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, put, done = None, None, []
+        """Pieces in the order of slot and place; a shard's file is open while its slots come."""
+        shard, put, slot, held, owners, done = None, None, None, [], [], []
         names = ["slot", "shard", "offset", "n_tokens", "doc_ids", "ids_sha256"]
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.string()]
 
+        def finish() -> None:
+            nonlocal shard, put
+            if slot // per_shard != shard:
+                if put:
+                    put.__exit__(None)
+                shard = slot // per_shard
+                put = Publish(f"{out}/shard-{shard:06d}.bin")
+                put.__enter__()
+            body = b"".join(held)
+            count = len(body) // 2
+            body += np.full(seq_len - count, end, "<u2").tobytes()
+            put.stream.write(body)
+            done.append((slot, shard, slot % per_shard * stride, count, owners[:], hashlib.sha256(body).hexdigest()))
+            held.clear()
+            owners.clear()
+
         def flush() -> pa.RecordBatch:
             rows = list(zip(*done, strict=True)) or [()] * len(types)
             done.clear()
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=names)
 
         for batch in batches:
-            for slot, own, ids_of, count, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if own != shard:
-                    if put:
-                        put.__exit__(None)
-                    put = Publish(f"{out}/shard-{own:06d}.bin")
-                    stream, shard = put.__enter__(), own
-                stream.write(ids)
-                done.append((slot, own, slot % per_shard * stride, count, ids_of, hashlib.sha256(ids).hexdigest()))
+            for own, number, ids in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)), strict=True):
+                if own != slot and held:
+                    finish()
+                slot = own
+                held.append(ids)
+                owners.append(number)
             yield flush()
+        if held:
+            finish()
         if put:
             put.__exit__(None)
+        yield flush()
 
     shards = -(-n // per_shard)
     schema = "slot long, shard int, offset long, n_tokens int, doc_ids array<long>, ids_sha256 string"
@@ -209,9 +259,9 @@ def write_shards(
         if low == high and made is not None:
             continue
         tasks = max(1, min(MOST_TASKS, high - low))
-        task = F.expr(f"cast((cast(shard AS long) - {low}) * {tasks} div {max(1, high - low)} AS int)")
-        own = placed.where(f"shard >= {low} AND shard < {high}").withColumn("task", task)
-        ranged = own.repartitionById(tasks, F.col("task")).sortWithinPartitions("slot").drop("task")
+        task = F.expr(f"cast((slot div {per_shard} - {low}) * {tasks} div {max(1, high - low)} AS int)")
+        own = pieces_of(tokens, permutation, seq_len, (low * per_shard, high * per_shard)).withColumn("task", task)
+        ranged = own.repartitionById(tasks, F.col("task")).sortWithinPartitions("slot", "at").drop("task")
         rows = written(ranged.mapInArrow(write, schema), "shards")
         made = rows if made is None else made.unionByName(rows)
     return made
