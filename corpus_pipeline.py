@@ -37,8 +37,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard files of token ids in a permuted training order; one row a sequence."""
-    return write_shards(docs)
+    """Shard files of token ids in a permuted training order; one row a sequence.
+
+    Texts are joined in the order of the mixture, which is that of the files which the stage before wrote.
+    """
+    return write_shards(docs, order="files" if docs.inputFiles() else "content")
 
 
 STAGES = [
