@@ -2,8 +2,8 @@
 
 Pass 1 hashes every normalised text to two bits of one 64-bit filter word and finds the bits that two rows or more set.
 The hashes are written in lots, bucketed by lot, so that each lot is folded into two planes of the filter, bits set at
-least once and bits set at least twice, without an exchange; only planes are exchanged, a word of a lot at most once, and
-merged.  Bits set twice make the filter of possibly repeated hashes.  Pass 2 tests every row: a row with a bit of its own
+least once and bits set at least twice, without an exchange; only planes are exchanged, a block of BLOCK_WORDS words of a
+lot as one row of 16-bit places, and merged.  Bits set twice make the filter of possibly repeated hashes.  Pass 2 tests every row: a row with a bit of its own
 is certainly the only one and passes straight through; only the others are shuffled by their hash and compared exactly.
 
 The filter has ROWS_PER_WORD rows a word and at most FILTER_WORDS words of 8 bytes, packed into arrays, so what is
@@ -22,6 +22,8 @@ from lociweave.storage import shared_path, shuffle_width, written
 
 FILTER_WORDS = 1 << 23
 ROWS_PER_WORD = 4
+#: Words of a block, whose 65,536 bits have places of 16 bits.
+BLOCK_WORDS = 1024
 WHITE_SPACE = "[\\x20\\x09-\\x0D]"
 
 
@@ -40,25 +42,27 @@ def written_in_lots(rows: DataFrame) -> DataFrame:
         spark.sql(f"DROP TABLE {name}")  # the files stay, and the frame knows them
 
 
+def lot_planes(keys: DataFrame) -> DataFrame:
+    """(block, once, twice): the bits of a block of the filter that a lot of keys (lot, word, bit_a, bit_b) sets, and those set by two rows or more.
+
+    Bits are 16-bit places in the block, so a row of the table costs its lot four bytes at most, and a bit that many rows
+    set two or four in all.  There is a row for each lot and block at most, however many rows the lot has.
+    """
+    at = lambda bit: (F.col("word") % BLOCK_WORDS * 64 + F.col(bit)).cast("int")
+    bits = keys.select("lot", F.expr(f"word div {BLOCK_WORDS}").alias("block"), F.explode(F.array_distinct(F.array(at("bit_a"), at("bit_b")))).alias("bit"))
+    counted = bits.groupBy("lot", "block", "bit").agg(F.count("*").alias("n"))
+    place = (F.col("bit") - 32768).cast("short")
+    return counted.groupBy("lot", "block").agg(F.collect_list(place).alias("once"), F.collect_list(F.when(F.col("n") > 1, place)).alias("twice")).drop("lot")
+
+
 def repeated_filter(keys: DataFrame) -> DataFrame:
     """(block, packed): PACKED words of the bits that at least two rows of keys (lot, word, bit_a, bit_b) set."""
-    bits = keys.select("lot", "word", F.explode(F.array_distinct(F.array("bit_a", "bit_b"))).alias("bit"))
-    bit = F.expr("shiftleft(1L, bit)")
-    planes = bits.groupBy("lot", "word", "bit").agg(F.count("*").alias("n")).groupBy("lot", "word")
-    planes = planes.agg(F.bit_or(bit).alias("once"), F.bit_or(F.when(F.col("n") > 1, bit).otherwise(0)).alias("twice"))
-    # one entry for each lot at most
-    held = planes.groupBy("word").agg(F.collect_list(F.struct("once", "twice")).alias("planes"))
-    merged = F.aggregate(
-        "planes",
-        F.struct(F.lit(0).cast("long").alias("once"), F.lit(0).cast("long").alias("twice")),
-        lambda a, p: F.struct(
-            a["once"].bitwiseOR(p["once"]).alias("once"),
-            a["twice"].bitwiseOR(p["twice"]).bitwiseOR(a["once"].bitwiseAND(p["once"])).alias("twice"),
-        ),
-        lambda a: a["twice"],
-    )
-    words = held.select("word", merged.alias("bits")).where("bits <> 0")
-    return packed_words(words)
+    # a bit set twice in a lot is in both lists, one set in two lots in two lists; all of a block are then in one task
+    met = lot_planes(keys).repartition("block")
+    bits = met.select("block", F.explode(F.concat("once", "twice")).alias("place")).groupBy("block", "place").agg(F.count("*").alias("n")).where("n > 1")
+    bits = bits.select("block", (F.col("place").cast("int") + 32768).alias("bit"))
+    each = bits.groupBy("block", F.expr("bit div 64").alias("part")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 AS int)))").alias("bits"))
+    return packed_words(each.select((F.col("block") * BLOCK_WORDS + F.col("part")).alias("word"), "bits"))
 
 
 def _judged(docs: DataFrame, doc_id: str, text: str, filter_words: int) -> DataFrame:
