@@ -1,16 +1,23 @@
 """Why calls came out as they did: blocks and who scores them, exons and their alignments, chains, transcripts.
 
 All tables are reports over what calling made: hits (scored_hits), candidates (chains), calls (call_genes) and the
-annotation they were made with; none collects rows to the driver.
+annotation they were made with; none collects rows to the driver.  write_audit writes them all, with a JSON record a chain.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import asdict
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lociweave.operators.ranking import gapless_index
 from lociweave.plans.annotation import Annotation
+from lociweave.plans.calls import Options
+from lociweave.plans.reports import VERSION
+from lociweave.sources.manifests import identity, write_json
+from lociweave.storage import written
 
 LOCUS = ["query_id", "strand"]
 BLOCK = [*LOCUS, "block_start", "block_end"]
@@ -91,16 +98,24 @@ def chain_report(candidates: DataFrame, calls: DataFrame, keys: tuple[str, ...]
     return joined.withColumns({"outcome": outcome, "chain_hits": F.size("hits"), "selected_hits": F.coalesce("_held", F.lit(0))}).drop("_held", "_chain")
 
 
+def _by_number(hits: str) -> Column:
+    """The hits of a chain by exon number and place, as `h` of structs."""
+    return F.array_sort(F.transform(hits, lambda h: F.struct(h["number"].alias("n"), h["start"].alias("s"), h.alias("h"))))
+
+
+def _scored(ordered: str) -> Column:
+    """(h, again) of the hits that are not inserted; again: an earlier one lies in the same block."""
+    block = lambda x: F.struct(x["h"]["block_start"], x["h"]["block_end"])
+    plain = F.filter(F.col(ordered), lambda x: ~x["h"]["inserted"])
+    return F.transform(plain, lambda x, i: F.struct(x["h"].alias("h"), F.exists(F.slice(plain, F.lit(1), i), lambda y: block(y) == block(x)).alias("again")))
+
+
 def contributions(candidates: DataFrame) -> DataFrame:
     """One row a hit of each candidate, by exon number: what it adds to the chain's raw score.
 
     A block counts once, with the hit of the smallest number in it; inserted hits count nothing.
     """
-    order = F.array_sort(F.transform("hits", lambda h: F.struct(h["number"].alias("n"), h["start"].alias("s"), h.alias("h"))))
-    block = lambda x: F.struct(x["h"]["block_start"], x["h"]["block_end"])
-    plain = F.filter(F.col("_o"), lambda x: ~x["h"]["inserted"])
-    marked = F.transform(plain, lambda x, i: F.struct(x["h"].alias("h"), F.exists(F.slice(plain, F.lit(1), i), lambda y: block(y) == block(x)).alias("again")))
-    rows = candidates.withColumn("_o", order).select("gene", "gene_name", "tid", "mane", *LOCUS, "raw", F.explode(marked).alias("x"))
+    rows = candidates.withColumn("_o", _by_number("hits")).select("gene", "gene_name", "tid", "mane", *LOCUS, "raw", F.explode(_scored("_o")).alias("x"))
     h = lambda c, name: F.col(f"x.h.{c}").alias(name)
     return rows.select(
         "gene", "gene_name", "tid", "mane", *LOCUS, "raw", h("number", "exon_number"), h("exon_id", "exon_id"), h("start", "query_start"), h("end", "query_end"), h("length", "length"),
@@ -118,3 +133,51 @@ def transcript_inventory(a: Annotation, expected: DataFrame, candidates: DataFra
     for df, name in ((candidates, "chains"), (calls, "selected")):
         rows = rows.join(count(df, name), "tid", "left")
     return rows.na.fill(0, ["exons", "expected", "chains", "selected"])
+
+
+def chain_records(report: DataFrame) -> DataFrame:
+    """(query_id, strand, tid, record): each row of chain_report as one JSON text, its exons with what they add to the raw score."""
+    h = lambda x, c, name: x["h"][c].alias(name)
+    exons = F.transform(_scored("_o"), lambda x: F.struct(
+        h(x, "number", "exon_number"), h(x, "exon_id", "exon_id"), h(x, "start", "query_start"), h(x, "end", "query_end"), h(x, "length", "length"), h(x, "exon_score", "exon_score"),
+        h(x, "block_start", "block_start"), h(x, "block_end", "block_end"), h(x, "supplier_exon_id", "supplier_exon"), h(x, "score", "block_score"),
+        F.when(x["again"], 0.0).otherwise(x["h"]["score"]).alias("contribution"),
+    ))
+    inserted = F.transform(F.filter("_o", lambda x: x["h"]["inserted"]), lambda x: x["h"]["exon_id"])
+    facts = F.struct(*[c for c in report.columns if c != "hits"], exons.alias("exons"), inserted.alias("inserted_exons"))
+    return report.withColumn("_o", _by_number("hits")).select(*LOCUS, "tid", F.to_json(facts).alias("record"))
+
+
+def flat(table: DataFrame) -> DataFrame:
+    """table for a text file: lists of plain values joined by commas, lists of structs left out."""
+    kept = []
+    for field in table.schema:
+        listed = isinstance(field.dataType, T.ArrayType)
+        if listed and not isinstance(field.dataType.elementType, T.StructType):
+            kept.append(F.array_join(F.col(field.name).cast("array<string>"), ",").alias(field.name))
+        elif not listed:
+            kept.append(F.col(field.name))
+    return table.select(*kept)
+
+
+def write_audit(
+    spark: SparkSession, out: str, a: Annotation, hits: DataFrame, expected: DataFrame, candidates: DataFrame, calls: DataFrame,
+    options: Options = Options(), eligible: DataFrame | None = None, inputs: tuple[str, ...] = (),
+) -> dict:
+    """Write blocks, exons, chains, contributions and transcripts as tab-separated tables under `out`, chains.jsonl with a
+    JSON record a chain, and provenance.json, which is returned: version, options, inputs (path, bytes, time) and rows of each table.
+    """
+    names = written(block_names(hits), "names")
+    report = written(chain_report(candidates, calls), "chains")
+    tables = {
+        "blocks": block_report(hits, names), "exons": exon_report(a, hits, calls, names, eligible), "chains": report, "contributions": contributions(candidates),
+        "transcripts": transcript_inventory(a, expected, candidates, calls),
+    }
+    counts = {}
+    for name, table in tables.items():
+        flat(table).write.csv(f"{out}/{name}", sep="\t", header=True, quote="", emptyValue="", mode="overwrite")
+        counts[name] = spark.read.csv(f"{out}/{name}", sep="\t", header=True, quote="").count()
+    chain_records(report).select("record").write.mode("overwrite").text(f"{out}/chains.jsonl")
+    facts = {"version": VERSION, "coordinates": "0-based half-open", "options": asdict(options), "inputs": [identity(spark, p) for p in inputs], "rows": counts}
+    write_json(spark, f"{out}/provenance.json", facts)
+    return facts

@@ -49,6 +49,15 @@ class Options:
     max_chains: int = 10
     shared_bases: int = 100
 
+    def __post_init__(self):
+        checks = {
+            "bonuses are finite and above 0": all(0 < x < float("inf") for x in (self.coding_bonus, self.complete_bonus, self.mane_bonus)),
+            "max_chains is at least 1": self.max_chains >= 1,
+            "shared_bases is not below 0": self.shared_bases >= 0,
+        }
+        if failed := [rule for rule, held in checks.items() if not held]:
+            raise ValueError("; ".join(failed))
+
 
 def _map_rows(df: DataFrame, f: Callable[[dict], list[dict]], schema: str) -> DataFrame:
     """Rows made by f from each row of df, both as dicts."""

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from test_calls import HEAD, aligned, exon_line
@@ -62,6 +64,35 @@ def test_a_part_of_a_chain_is_its_residual(made):
     assert (row.outcome, row.chain_hits, row.selected_hits) == ("selected residual", 2, 1)
 
 
+def test_an_audit_is_written_whole(spark, made, tmp_path):
+    a, eligible, hits, expected, candidates, calls = made
+    (tmp_path / "in.txt").write_text("x")
+    out = (tmp_path / "audit").as_uri()
+    facts = audit.write_audit(spark, out, a, hits, expected, candidates, calls, C.Options(two_stage=False), eligible, (str(tmp_path / "in.txt"),))
+    assert facts["rows"] == {"blocks": 3, "exons": 6, "chains": 2, "contributions": 3, "transcripts": 2}
+    assert facts["inputs"][0]["size"] == 1 and facts["options"]["max_chains"] == 10 and not facts["options"]["two_stage"]
+    assert M.read_json(spark, f"{out}/provenance.json") == facts
+    records = {r["tid"]: r for r in (json.loads(x.value) for x in spark.read.text(f"{out}/chains.jsonl").collect())}
+    assert {t: r["outcome"] for t, r in records.items()} == {"TA": "selected whole", "TB": "lost"}
+    for r in records.values():
+        assert sum(e["contribution"] for e in r["exons"]) == pytest.approx(r["raw"]) and not r["inserted_exons"]
+    assert [e["exon_id"] for e in records["TA"]["exons"]] == ["E1", "E2"]
+    chains = spark.read.csv(f"{out}/chains", sep="\t", header=True)
+    assert "hits" not in chains.columns and {r.tid: r.found for r in chains.collect()} == {"TA": "1,2", "TB": "1"}
+
+
+def test_an_audit_of_nothing(spark, made, tmp_path):
+    a, eligible, hits, expected, candidates, calls = made
+    facts = audit.write_audit(spark, (tmp_path / "none").as_uri(), a, hits.limit(0), expected, candidates.limit(0), calls.limit(0))
+    assert facts["rows"] == {"blocks": 0, "exons": 0, "chains": 0, "contributions": 0, "transcripts": 2}
+
+
+def test_options_out_of_range_are_refused():
+    for wrong in ({"max_chains": 0}, {"shared_bases": -1}, {"coding_bonus": 0.0}, {"mane_bonus": float("inf")}, {"complete_bonus": float("nan")}):
+        with pytest.raises(ValueError):
+            C.Options(**wrong)
+
+
 def test_manifests(spark, tmp_path):
     folder, reference, genes = tmp_path / "db", tmp_path / "r.fa", tmp_path / "g.gff3"
     folder.mkdir()
