@@ -59,14 +59,26 @@ class Options:
             raise ValueError("; ".join(failed))
 
 
+#: Arrow bytes that become Python objects at a time, which take some twenty times as much.
+SLICE_BYTES = 1 << 20
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about SLICE_BYTES."""
+    rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def _map_rows(df: DataFrame, f: Callable[[dict], list[dict]], schema: str) -> DataFrame:
-    """Rows made by f from each row of df, both as dicts."""
+    """Rows made by f from each row of df, both as dicts; a batch of any size becomes Python objects a slice at a time."""
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [{n: x.get(n) for n in arrow.names} for row in batch.to_pylist() for x in f(row)]
-            yield pa.RecordBatch.from_pylist(made, schema=arrow)
+            for part in _slices(batch):
+                made = [{n: x.get(n) for n in arrow.names} for row in part.to_pylist() for x in f(row)]
+                yield pa.RecordBatch.from_pylist(made, schema=arrow)
 
     return df.mapInArrow(run, schema)
 
@@ -150,7 +162,8 @@ def chains(groups: DataFrame, coding_bonus: float, o: Options) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _chained(batch, facts, arrow, coding_bonus, o)
+            for part in _slices(batch):
+                yield _chained(part, facts, arrow, coding_bonus, o)
 
     several = groups.where("size(hits) > 1").repartition(shuffle_width(groups.sparkSession)).mapInArrow(run, CALLS)
     parent = F.col("parent") if "parent" in groups.columns else F.lit(None).cast("string")
@@ -216,6 +229,7 @@ def resolved(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("quer
         return [{**c, "_left": [h["at"] for h in c["hits"]]} for c in resolve(row["calls"], prefer_mane)]
 
     kept = _map_rows(gathered.select(F.col("c.call").alias("calls")), one, _KEPT)
+    kept = written(kept, "kept")
     if crowded:
         kept = kept.unionByName(_from_rounds(placed.join(crowds, in_crowd, "left_semi").drop("_from", "_until"), prefer_mane, island))
     won = calls.drop("raw", "weighted", "found", "runs").join(kept, "_id").withColumn("hits", F.transform("_left", lambda i: F.get("hits", i)))
