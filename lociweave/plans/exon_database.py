@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lociweave.functions import scalars as S
 from lociweave.operators.intervals import islands
 from lociweave.operators.stretches import with_length, with_stretch
+from lociweave.storage import dealt, input_width
 
 
 def collapse_exons(exons: DataFrame) -> DataFrame:
@@ -73,7 +74,8 @@ def union_queries(exons: DataFrame) -> DataFrame:
     )
     name = S.identifier_of(F.col("chrom"), F.col("strand"), F.col("core_start0").cast("string"), F.col("core_end0").cast("string"), F.col("_key"))
     union = union.withColumn("query_id", F.when(F.col("members") > 1, name).otherwise(F.col("_only"))).drop("_only", "core_start0", "core_end0")
-    met = spans.join(union, [*keys, "_island"])
+    width, by = input_width(exons), [*keys, "_island"]
+    met = dealt(spans, width, by).join(dealt(union, width, by), by)
     minus = F.col("strand") == "-"
     offset = lambda a, b: (F.when(minus, F.col("query_end0") - b).otherwise(a - F.col("query_start0")), F.when(minus, F.col("query_end0") - a).otherwise(b - F.col("query_start0")))
     core, anchor = offset(F.col("start0"), F.col("end0")), offset(F.col("_low"), F.col("_high"))
