@@ -134,85 +134,129 @@ class BlockEnds:
         return self.best[k - 1] if k else None
 
 
-def gene_chain(hits: list[dict], free: list[int], strand: str, max_gap: int | None) -> list[tuple[int, bool]]:
-    """Best gene chain as (hit, inserted): block scores less INSERTION_COST for every distinct label in a skipped run.
+class GeneChains:
+    """The gene chains of one group, the best first: block scores less INSERTION_COST for every distinct label in a skipped run.
 
     A block's label is the number of its leading hit.  Runs of more than MAX_RUN labels, gaps of more than max_gap and
     blocks that are no longer free cannot be crossed.  Skipped blocks come back as inserted hits.
 
     Blocks are gone through in order; a hit looks at the blocks within reach and, in each, at the best end of a smaller number (BlockEnds).
+    A chain takes all blocks from its first to its last one, and what lies before them stays as it was, so after a chain only
+    the blocks behind it, up to the next that cannot be crossed, are gone through again.
     """
-    blocks = sorted({_block(h) for h in hits}, reverse=strand == "-")
-    rank = {b: i for i, b in enumerate(blocks)}
-    leader: dict[int, int] = {}
-    for i, hit in enumerate(hits):
-        b = rank[_block(hit)]
-        if b not in leader or (supplier_key(hit), hit["number"]) < (supplier_key(hits[leader[b]]), hits[leader[b]]["number"]):
-            leader[b] = i
-    order = sorted(free, key=lambda i: (*_place(hits[i], strand), hits[i]["number"]))
-    present = sorted({rank[_block(hits[i])] for i in order})
-    segment: dict[int, int] = {}
-    for before, b in zip([None, *present], present, strict=False):
-        apart = before is None or b != before + 1
-        if not apart and max_gap is not None:
-            apart = max(blocks[before][0], blocks[b][0]) - min(blocks[before][1], blocks[b][1]) > max_gap
-        segment[b] = b if apart else segment[before]
-    members: dict[int, list[int]] = {}
-    for at, h in enumerate(order):
-        members.setdefault(rank[_block(hits[h])], []).append(at)
-    best: dict[int, tuple[float, int, int, int | None]] = {}
-    ended: dict[int, BlockEnds] = {}
-    for block in present:
-        # (block, distinct labels between it and this one) of the blocks within reach, nearest first
+
+    def __init__(self, hits: list[dict], free: list[int], strand: str, max_gap: int | None):
+        self.hits = hits
+        blocks = sorted({_block(h) for h in hits}, reverse=strand == "-")
+        rank = {b: i for i, b in enumerate(blocks)}
+        self.of = [rank[_block(h)] for h in hits]
+        leader: dict[int, int] = {}
+        speaks: dict[int, tuple] = {}
+        for i, hit in enumerate(hits):
+            b, key = self.of[i], (supplier_key(hit), hit["number"])
+            if b not in leader or key < speaks[b]:
+                leader[b], speaks[b] = i, key
+        self.leader, self.label = leader, {b: hits[i]["number"] for b, i in leader.items()}
+        self.places = [_place(h, strand) for h in hits]
+        self.order = sorted(free, key=lambda i: (*self.places[i], hits[i]["number"]))
+        self.members: dict[int, list[int]] = {}
+        for at, h in enumerate(self.order):
+            self.members.setdefault(self.of[h], []).append(at)
+        self.best: dict[int, tuple[float, int, int, int | None]] = {}
+        self.ended: dict[int, BlockEnds] = {}
+        self.segments: list[tuple[tuple, int, int]] = []  # the best end in it, its first and last block
+        first = before = None
+        for b in sorted(self.members):
+            apart = before is None or b != before + 1
+            if not apart and max_gap is not None:
+                apart = max(blocks[before][0], blocks[b][0]) - min(blocks[before][1], blocks[b][1]) > max_gap
+            if apart:
+                if before is not None:
+                    self._open(first, before, first)
+                first = b
+            before = b
+        if before is not None:
+            self._open(first, before, first)
+
+    def _open(self, first: int, last: int, since: int) -> None:
+        """A segment of blocks, whose chain ends from block `since` on are to be found."""
+        for block in range(since, last + 1):
+            self._end(block, first)
+        ends = [(*self.best[h][:2], -self.best[h][2], self.hits[h]["bases"], -at) for b in range(first, last + 1) for at in self.members[b] for h in [self.order[at]]]
+        self.segments.append((max(ends), first, last))
+
+    def _end(self, block: int, first: int) -> None:
+        # (ends, distinct labels between it and this one) of the blocks within reach, nearest first
         reach, labels = [], set()
-        for b in range(block - 1, segment[block] - 1, -1):
-            reach.append((b, len(labels)))
-            labels.add(hits[leader[b]]["number"])
+        for b in range(block - 1, first - 1, -1):
+            reach.append((self.ended[b], len(labels)))
+            labels.add(self.label[b])
             if len(labels) > MAX_RUN:
                 break
         own: list[tuple] = []
-        for at in members[block]:
-            h = order[at]
-            number, start, score = hits[h]["number"], _place(hits[h], strand)[0], hits[h]["score"]
+        for at in self.members[block]:
+            h = self.order[at]
+            number, score = self.hits[h]["number"], self.hits[h]["score"]
             pick: dict[int, tuple] = {}
-            for b, cost in reach:
-                end = ended[b].below(number)
+            for ends, cost in reach:
+                end = ends.below(number)
                 if end and (cost not in pick or end > pick[cost]):
                     pick[cost] = end
-            inside = [(key, p) for n, key, p in own if n < number and _place(hits[p], strand)[1] <= start]
             top: tuple[float, int, int, int | None] = (score, 1, 0, None)
-            for cost, (key, p) in [*sorted(pick.items()), *([(0, max(inside))] if inside else [])]:
-                gain = 0.0 if _block(hits[p]) == _block(hits[h]) else score
-                made = (best[p][0] + gain - INSERTION_COST * cost, best[p][1] + 1, best[p][2] + cost)
+            for cost, (_, p) in pick.items():  # nearest first, so by cost
+                was = self.best[p]
+                made = (was[0] + score - INSERTION_COST * cost, was[1] + 1, was[2] + cost)
+                if (made[0], made[1], -made[2]) > (top[0], top[1], -top[2]):
+                    top = (*made, p)
+            inside = [(key, p) for n, key, p in own if n < number and self.places[p][1] <= self.places[h][0]]
+            if inside:
+                p = max(inside)[1]
+                made = (self.best[p][0], self.best[p][1] + 1, self.best[p][2])
                 if (made[0], made[1], -made[2]) > (top[0], top[1], -top[2]):
                     top = (*made, p)
-            best[h] = top
+            self.best[h] = top
             own.append((number, (top[0], top[1], -top[2], -at), h))
-        ended[block] = BlockEnds(own)
-    last: int | None = max(order, key=lambda i: (best[i][0], best[i][1], -best[i][2], hits[i]["bases"]))
-    chain = []
-    while last is not None:
-        chain.append(last)
-        last = best[last][3]
-    chain.reverse()
-    out: list[tuple[int, bool]] = []
-    for k, i in enumerate(chain):
-        if k:
-            out += [(leader[b], True) for b in range(rank[_block(hits[chain[k - 1]])] + 1, rank[_block(hits[i])])]
-        out.append((i, False))
-    return out
+        self.ended[block] = BlockEnds(own)
+
+    def take(self) -> list[tuple[int, bool]]:
+        """The best chain that is left, as (hit, inserted); its blocks are gone."""
+        k = max(range(len(self.segments)), key=lambda i: self.segments[i][0])
+        (*_, at), first, last = self.segments.pop(k)
+        end: int | None = self.order[-at]
+        chain = []
+        while end is not None:
+            chain.append(end)
+            end = self.best[end][3]
+        chain.reverse()
+        out: list[tuple[int, bool]] = []
+        for k, i in enumerate(chain):
+            if k:
+                out += [(self.leader[b], True) for b in range(self.of[chain[k - 1]] + 1, self.of[i])]
+            out.append((i, False))
+        low, high = self.of[chain[0]], self.of[chain[-1]]
+        if low > first:
+            self._open(first, low - 1, low)
+        if high < last:
+            self._open(high + 1, last, high + 1)
+        return out
+
+
+def gene_chain(hits: list[dict], free: list[int], strand: str, max_gap: int | None) -> list[tuple[int, bool]]:
+    """The best gene chain as (hit, inserted)."""
+    return GeneChains(hits, free, strand, max_gap).take()
 
 
 def chain_places(hits: list[dict], strand: str, model_type: str, max_gap: int | None, most: int = MAX_CHAINS) -> list[list[tuple[int, bool]]]:
     """Up to `most` chains of one model as (place in hits, inserted); each takes its blocks, inserted ones too, from those that follow."""
-    free = list(range(len(hits)))
-    walls = barriers(hits, strand) if model_type != "full_gene" else {}
     out = []
+    if model_type == "full_gene":
+        genes = GeneChains(hits, list(range(len(hits))), strand, max_gap)
+        while genes.segments and len(out) < most:
+            out.append(genes.take())
+        return out
+    free, walls = list(range(len(hits))), barriers(hits, strand)
     while free and len(out) < most:
-        if model_type == "full_gene":
-            found = gene_chain(hits, free, strand, max_gap)
-        else:
-            found = [(i, False) for i in transcript_chain(hits, free, strand, walls)]
+        found = [(i, False) for i in transcript_chain(hits, free, strand, walls)]
         out.append(found)
         used = {_block(hits[i]) for i, _ in found}
         free = [i for i in free if _block(hits[i]) not in used]

@@ -6,7 +6,9 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -16,10 +18,11 @@ from lociweave.functions.scalars import exon_score, gap_limit
 from lociweave.operators.chains import chain_places, resolve, scored, tie_name
 from lociweave.operators.intervals import islands
 from lociweave.operators.ranking import gapless_index
+from lociweave.operators.transcript_chains import MOST_WIDE, transcript_chains
 from lociweave.plans.annotation import Annotation, with_full_genes
 from lociweave.plans.evidence import block_scores, expected_exons, hits_of, known_exons, non_overlapping, with_blocks
 from lociweave.plans.resolution import resolved_in_rounds
-from lociweave.storage import shuffle_width, written
+from lociweave.storage import written
 
 HIT = (
     "struct<number: int, exon_id: string, start: long, end: long, block_start: long, block_end: long, score: double, length: long, exon_score: double, "
@@ -63,9 +66,9 @@ class Options:
 SLICE_BYTES = 1 << 20
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of about SLICE_BYTES."""
-    rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+def _slices(batch: pa.RecordBatch, size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about `size` bytes, SLICE_BYTES by default."""
+    rows = max(1, batch.num_rows * (size or SLICE_BYTES) // max(1, batch.nbytes))
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
 
@@ -120,63 +123,98 @@ def chain_groups(hits: DataFrame, a: Annotation, expected: DataFrame, extra: lis
 
 #: What chaining and its score read of a hit and of a group; all else passes as Arrow columns.
 _READ = ("number", "exon_id", "start", "end", "block_start", "block_end", "score", "length", "exon_score", "bases")
+_WIDE = ("number", "start", "end", "block_start", "block_end", "score", "bases")
 _ASKED = ("strand", "model_type", "max_gap", "coding", "mane", "expected")
+#: Arrow bytes of the groups that are chained together.
+CHAINED_BYTES = 8 << 20
+
+
+def _widths(batch: pa.RecordBatch, starts: np.ndarray) -> dict[int, np.ndarray]:
+    """Rows of transcript groups by number of hits, where as many have it that they are chained together: few hits, none empty, no cell null."""
+    values, sizes = batch.column("hits").values, np.diff(starts)
+    own = slice(int(starts[0]), int(starts[-1]))
+    if any(values.field(n)[own].null_count for n in _WIDE) or any(batch.column(n).null_count for n in ("strand", "model_type")):
+        return {}
+    empty = np.flatnonzero(values.field("end")[own].to_numpy() <= values.field("start")[own].to_numpy()) + own.start
+    fit = (sizes > 0) & (sizes <= MOST_WIDE) & pc.not_equal(batch.column("model_type"), "full_gene").to_numpy(zero_copy_only=False)
+    fit[np.searchsorted(starts, empty, "right") - 1] = False
+    of = {n: np.flatnonzero(fit & (sizes == n)) for n in np.unique(sizes[fit]).tolist()}
+    return {n: rows for n, rows in of.items() if len(rows) >= 2 * n or n < 3}
 
 
 def _chained(batch: pa.RecordBatch, facts: list[str], arrow: pa.Schema, coding_bonus: float, o: Options) -> pa.RecordBatch:
-    """The chains of a batch of groups: rows of facts and hits are taken by place, so that they never become Python objects."""
+    """The chains of a batch of groups: rows of facts and hits are taken by place, so that they never become Python objects.
+
+    Groups of one number of hits are chained together; genes and what is left over become lists, one group at a time.
+    """
     hits = batch.column("hits")
     base, fields = hits.values, [f.name for f in hits.type.value_type]
-    starts = hits.offsets.to_pylist()
-    first = starts[0] if starts else 0
-    read = {n: base.field(n).slice(first, starts[-1] - first).to_pylist() for n in _READ}
-    asked = {n: batch.column(n).to_pylist() for n in _ASKED}
-    rows, places, inserted, ends, made = [], [], [], [0], []
-    for row in range(batch.num_rows):
-        a, b = starts[row] - first, starts[row + 1] - first
-        own = [dict(zip(_READ, values, strict=True)) for values in zip(*[read[n][a:b] for n in _READ], strict=True)]
-        call = {n: asked[n][row] for n in _ASKED} | {"coding_x": coding_bonus, "complete_x": o.complete_bonus, "mane_x": o.mane_bonus}
-        for found in chain_places(own, call["strand"], call["model_type"], call["max_gap"], o.max_chains):
-            score = scored(call, [{**own[i], "inserted": extra} for i, extra in found])
+    starts = hits.offsets.to_numpy().astype(np.int64)
+    asked = {n: batch.column(n) for n in _ASKED}
+    parts: list[tuple[np.ndarray, ...]] = []  # group, sizes, places, inserted, raw, found sizes, found, runs sizes, runs
+    wide, done = _widths(batch, starts), np.zeros(batch.num_rows, bool)
+    if wide:
+        read = {n: base.field(n).to_numpy(zero_copy_only=False) for n in _WIDE}
+        plus = pc.equal(asked["strand"], "+").to_numpy(zero_copy_only=False)
+    for width, rows in wide.items():
+        at = starts[rows][:, None] + np.arange(width)
+        x, forward = {n: read[n][at] for n in _WIDE}, plus[rows][:, None]
+        low, high = np.where(forward, x["start"], -x["end"]), np.where(forward, x["end"], -x["start"])
+        c = transcript_chains(x["number"], low, high, x["block_start"], x["block_end"], x["score"], x["bases"], o.max_chains)
+        group = rows[c.group]
+        places = np.repeat(starts[group], c.sizes) + c.places
+        # numbers rise along a chain, so those found are its own, in order
+        parts.append((group, c.sizes, places, np.zeros(len(places), bool), c.raw, c.sizes, read["number"][places], np.zeros(len(group), np.int64), np.zeros(0, np.int64)))
+        done[rows] = True
+    rows, sizes, places, inserted, raws, found, runs = [], [], [], [], [], [], []
+    for row in np.flatnonzero(~done).tolist():
+        a, b = int(starts[row]), int(starts[row + 1])
+        own = [dict(zip(_READ, values, strict=True)) for values in zip(*[base.field(n).slice(a, b - a).to_pylist() for n in _READ], strict=True)]
+        call = {n: asked[n][row].as_py() for n in _ASKED} | {"coding_x": coding_bonus, "complete_x": o.complete_bonus, "mane_x": o.mane_bonus}
+        for chain in chain_places(own, call["strand"], call["model_type"], call["max_gap"], o.max_chains):
+            score = scored(call, [{**own[i], "inserted": extra} for i, extra in chain])
             rows.append(row)
-            places += [starts[row] + i for i, _ in found]
-            inserted += [extra for _, extra in found]
-            ends.append(len(places))
-            made.append((coding_bonus, o.complete_bonus, o.mane_bonus, score["raw"], score["weighted"], score["found"], score["runs"]))
-    taken, kept = base.take(pa.array(places, pa.int64())), pa.array(rows, pa.int64())
+            sizes.append(len(chain))
+            places += [a + i for i, _ in chain]
+            inserted += [extra for _, extra in chain]
+            raws.append(score["raw"])
+            found.append(score["found"])
+            runs.append(score["runs"])
+    flat = lambda lists: (np.array([len(v) for v in lists], np.int64), np.array([n for v in lists for n in v], np.int64))
+    parts.append((np.array(rows, np.int64), np.array(sizes, np.int64), np.array(places, np.int64), np.array(inserted, bool), np.array(raws, float), *flat(found), *flat(runs)))
+    group, sizes, places, inserted, raw, n_found, found, n_runs, runs = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    ends = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+    listed = lambda n, values, name: pa.ListArray.from_arrays(ends(n), pa.array(values, arrow.field(name).type.value_type))
+    kept = pa.array(group, pa.int64())
+    flag = lambda n: pc.fill_null(asked[n], False).to_numpy(zero_copy_only=False)[group]
+    expected = pc.fill_null(asked["expected"], 0).to_numpy(zero_copy_only=False)[group]
+    weighted = raw
+    for on, times in ((flag("coding"), coding_bonus), ((expected > 0) & (expected <= n_found), o.complete_bonus), (flag("mane"), o.mane_bonus)):
+        weighted = weighted * np.where(on, times, 1.0)
+    taken = base.take(pa.array(places, pa.int64()))
     types = arrow.field("hits").type.value_type
     items = pa.StructArray.from_arrays([taken.field(n) for n in fields] + [pa.array(inserted, pa.bool_())], fields=list(types))
-    columns = {n: batch.column(n).take(kept) for n in facts} | {"hits": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)}
-    scores = list(zip(*made, strict=True)) or [()] * 7
-    columns |= {n: pa.array(c, arrow.field(n).type) for n, c in zip(("coding_x", "complete_x", "mane_x", "raw", "weighted", "found", "runs"), scores, strict=True)}
-    columns.setdefault("parent", pa.nulls(len(rows), pa.string()))
+    same = lambda v: pa.array(np.full(len(group), v), pa.float64())
+    columns = {n: batch.column(n).take(kept) for n in facts} | {
+        "hits": pa.ListArray.from_arrays(ends(sizes), items), "coding_x": same(coding_bonus), "complete_x": same(o.complete_bonus), "mane_x": same(o.mane_bonus),
+        "raw": pa.array(raw), "weighted": pa.array(weighted), "found": listed(n_found, found, "found"), "runs": listed(n_runs, runs, "runs"),
+    }
+    columns.setdefault("parent", pa.nulls(len(group), pa.string()))
     return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in arrow], schema=arrow)
 
 
 def chains(groups: DataFrame, coding_bonus: float, o: Options) -> DataFrame:
-    """All chains of every group, scored.  A lone hit is its group's one chain and stays in the plan."""
+    """All chains of every group, scored; groups are read once, where they were made."""
 
     arrow = to_arrow_schema(_parse_datatype_string(CALLS))
-    groups = written(groups, "groups")
     facts = [f.name for f in arrow if f.name in groups.columns and f.name != "hits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch):
+            for part in _slices(batch, CHAINED_BYTES):
                 yield _chained(part, facts, arrow, coding_bonus, o)
 
-    several = groups.where("size(hits) > 1").repartition(shuffle_width(groups.sparkSession)).mapInArrow(run, CALLS)
-    parent = F.col("parent") if "parent" in groups.columns else F.lit(None).cast("string")
-    raw = F.col("hits")[0]["score"]
-    weighted = raw
-    for flag, times in ((F.col("coding"), coding_bonus), (F.col("expected") == 1, o.complete_bonus), (F.col("mane"), o.mane_bonus)):
-        weighted = F.when(flag, weighted * times).otherwise(weighted)
-    alone = groups.where("size(hits) = 1").withColumns({
-        "parent": parent, "coding_x": F.lit(coding_bonus), "complete_x": F.lit(o.complete_bonus), "mane_x": F.lit(o.mane_bonus),
-        "hits": F.transform("hits", lambda h: h.withField("inserted", F.lit(False))), "raw": raw, "weighted": weighted,
-        "found": F.transform("hits", lambda h: h["number"]), "runs": F.array().cast("array<int>"),
-    })
-    return several.unionByName(alone.select(several.columns).to(several.schema))
+    return groups.mapInArrow(run, CALLS)
 
 
 #: What resolution reads of a hit, and what it gives back for a call.

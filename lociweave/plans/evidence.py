@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociweave.functions.scalars import exon_score
 from lociweave.operators.intervals import islands, overlap_length
+from lociweave.storage import dealt, input_width
 
 
 def select_alignments(rows: DataFrame, least_score: float = 50.0, least_identity: float = 95.0, least_coverage: float = 90.0) -> DataFrame:
@@ -56,7 +59,20 @@ def hits_of(alignments: DataFrame, assoc: DataFrame, expected: DataFrame) -> Dat
 
 
 def with_blocks(hits: DataFrame, start: str, end: str, keys: tuple[str, ...] = ("query_id", "strand"), bin_size: int | None = None) -> DataFrame:
-    """Hits with block_id, block_start, block_end: islands over all genes of one query and strand (touching keeps apart)."""
+    """Hits with block_id, block_start, block_end: islands over all genes of one query and strand (touching keeps apart).
+
+    Without bins, hits are dealt by their keys once, and blocks are found beside them; hits without a key or a bound get no rows.
+    """
+    if bin_size is None:
+        held = hits.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, start, end)]))
+        order = Window.partitionBy(*keys).orderBy(start, end)
+        last = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        again = (F.lag(start).over(order) == F.col(start)) & (F.lag(end).over(order) == F.col(end))
+        fresh = F.when(again, 0).when(last.isNull() | (F.col(start) >= last), 1).otherwise(0).cast("long")
+        numbered = dealt(held, input_width(hits), list(keys)).withColumn("_new", fresh)
+        numbered = numbered.withColumn("block_id", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+        block = Window.partitionBy(*keys, "block_id")
+        return numbered.withColumns({"block_start": F.min(start).over(block), "block_end": F.max(end).over(block)})
     places = hits.select(*keys, start, end).distinct()
     blocks = islands(places, list(keys), start, end, name="block_id", bin_size=bin_size)
     hull = blocks.groupBy(*keys, "block_id").agg(F.min(start).alias("block_start"), F.max(end).alias("block_end"))
@@ -72,3 +88,14 @@ def block_scores(hits: DataFrame, gene: str, length: str, identical: str, tiebre
     best = F.min(F.struct((-F.col(length)).alias("_l"), (-score).alias("_s"), *tiebreak)).alias("best")
     rows = hits.groupBy(*keys, "block_id", gene).agg(best)
     return rows.select(*keys, "block_id", gene, (-F.col("best._s")).alias("score"), (-F.col("best._l")).alias("supplier_length"), *[F.col(f"best.{t}").alias(f"supplier_{t}") for t in tiebreak])
+
+
+def with_block_scores(hits: DataFrame, gene: str, length: str, identical: str, tiebreak: list[str], keys: tuple[str, ...] = ("query_id", "strand")) -> DataFrame:
+    """hits with score, supplier_length and supplier_... of their block and gene, as block_scores has them; hits without a gene get no rows.
+
+    Hits that lie together by their keys, as with_blocks leaves them, are not dealt again.
+    """
+    score = exon_score(F.col(length), F.col(identical))
+    best = F.min(F.struct((-F.col(length)).alias("_l"), (-score).alias("_s"), *tiebreak)).over(Window.partitionBy(*keys, "block_id", gene))
+    made = hits.where(F.col(gene).isNotNull()).withColumn("_best", best)
+    return made.withColumns({"score": -F.col("_best._s"), "supplier_length": -F.col("_best._l")} | {f"supplier_{t}": F.col(f"_best.{t}") for t in tiebreak}).drop("_best")
