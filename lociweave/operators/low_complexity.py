@@ -10,12 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lociweave.operators.intervals import merged
+from lociweave.operators.intervals import bins_for, merged
 from lociweave.operators.minimisers import digits_of
 from lociweave.operators.stretches import overlapping
+from lociweave.storage import written
 
 #: Bases of a contig whose masked runs are merged by one task.
 BIN = 1_000_000
+#: Bases that are read together.
+TOGETHER = 1 << 16
 
 
 def equal_triplets(digits: np.ndarray, window: int) -> np.ndarray:
@@ -49,26 +52,41 @@ def masked_runs(rows: DataFrame, name: str, seq: str, window: int = 64, threshol
     parts = overlapping(rows.where(F.col(name).isNotNull()).select(F.col(name).alias("name"), F.col(seq).alias("seq")), 0, window - 1)
     kind = rows.schema[name].dataType
 
+    def scored(pieces: list[str], size: int) -> np.ndarray:
+        """Pairs of all windows of the pieces, one after another; those that begin in one piece and end in the next mean nothing."""
+        return equal_triplets(np.concatenate([digits_of(p, False) for p in pieces]), size)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             which, starts, ends = [], [], []
             at, until = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("start", "until"))
-            for row, piece in enumerate(batch.column("piece").to_pylist()):
-                size = window if at[row] or len(piece) >= window else len(piece)
-                if size < 4 or len(piece) < size:
-                    continue
-                pairs = equal_triplets(digits_of(piece, False), size)[: until[row] - at[row]]
-                high = np.concatenate([[0], (pairs > threshold * (size - 3)).astype(np.int8), [0]])
-                edge = np.flatnonzero(np.diff(high))
-                which.append(np.full(len(edge) // 2, row))
-                starts.append(edge[::2] + at[row])
-                ends.append(edge[1::2] + at[row] + size - 1)
+            pieces = batch.column("piece").to_pylist()
+            sizes = [window if at[row] or len(piece) >= window else len(piece) for row, piece in enumerate(pieces)]
+            # pieces of one size of window are read together, so many bases at a time
+            runs, last = [], None
+            for row in sorted((row for row, piece in enumerate(pieces) if sizes[row] >= 4 and len(piece) >= sizes[row]), key=sizes.__getitem__):
+                if last is None or last[0] != sizes[row] or last[1] > TOGETHER:
+                    last = [sizes[row], 0, []]
+                    runs.append(last)
+                last[1] += len(pieces[row])
+                last[2].append(row)
+            for size, _, rows_ in runs:
+                pairs, begin = scored([pieces[row] for row in rows_], size), 0
+                for row in rows_:
+                    own = pairs[begin : begin + len(pieces[row]) - size + 1][: until[row] - at[row]]
+                    begin += len(pieces[row])
+                    high = np.concatenate([[0], (own > threshold * (size - 3)).astype(np.int8), [0]])
+                    edge = np.flatnonzero(np.diff(high))
+                    which.append(np.full(len(edge) // 2, row))
+                    starts.append(edge[::2] + at[row])
+                    ends.append(edge[1::2] + at[row] + size - 1)
             if which:
                 ids = batch.column("contig").take(pa.array(np.concatenate(which).astype(np.int64))).cast(to_arrow_type(kind))
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array(np.concatenate(x).astype(np.int64)) for x in (starts, ends)]], names=["id", "start", "end"])
 
-    runs = parts.mapInArrow(read, f"id {kind.simpleString()}, start long, end long")
-    return merged(runs, ["id"], "start", "end", touching=True, bin_size=BIN).select(F.col("id").alias(name), "start", "end")
+    runs = written(parts.mapInArrow(read, f"id {kind.simpleString()}, start long, end long"), "runs")
+    bin_size = bins_for(runs, ["id"], BIN)
+    return merged(runs, ["id"], "start", "end", touching=True, bin_size=bin_size).select(F.col("id").alias(name), "start", "end")
 
 
 def soft_masked(rows: DataFrame, name: str, seq: str, runs: DataFrame) -> DataFrame:
