@@ -5,31 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lociweave.storage import input_width, together
 
-def with_barriers(hits: DataFrame, keys: list[str], number: str, start: str, end: str) -> DataFrame:
+
+def with_barriers(hits: DataFrame, keys: list[str], number: str, start: str, end: str, beside: list[str] | None = None) -> DataFrame:
     """hits with later_end and earlier_start of each: where the nearest further copy of its number ends, and where the nearest one before starts.
 
     start and end are along the strand; copies must lie wholly behind a hit or before it, those that only touch count.  A copy is a hit of the same
     keys (nulls are equal) and number.  Null where there is none.
 
     Two sweeps: every hit is there as a copy, at its start with its end, and as a question, at its end; the smallest end of all copies from a
-    question's place on is its answer.  The other way round for what lies before.
+    question's place on is its answer.  The other way round for what lies before.  Hits are dealt once, by keys and number, or by the columns
+    `beside`, some of keys, where rows of these are to meet in the end.
     """
     by = [*keys, number]
-    row = F.struct(*hits.columns).alias("_row")
 
     def swept(df: DataFrame, copy_at: str, copy_value: str, ask_at: str, answer, ahead: bool, name: str) -> DataFrame:
-        none = F.lit(None).cast(df.schema["_row"].dataType).alias("_row")
-        carried = [c for c in ("later_end",) if c in df.columns]
-        copies = df.select(*[F.col(f"_row.{k}").alias(f"_by{i}") for i, k in enumerate(by)], F.col(f"_row.{copy_at}").alias("_at"), F.col(f"_row.{copy_value}").alias("_value"), none, *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in carried])
-        asked = df.select(*[F.col(f"_row.{k}").alias(f"_by{i}") for i, k in enumerate(by)], F.col(f"_row.{ask_at}").alias("_at"), F.lit(None).cast(copies.schema["_value"].dataType).alias("_value"), "_row", *carried)
-        order = Window.partitionBy(*[f"_by{i}" for i in range(len(by))]).orderBy("_at")
+        both = df.withColumn("_asks", F.explode(F.array(F.lit(False), F.lit(True))))
+        both = both.withColumns({"_at": F.when(F.col("_asks"), F.col(ask_at)).otherwise(F.col(copy_at)), "_value": F.when(~F.col("_asks"), F.col(copy_value))})
+        order = Window.partitionBy(*by).orderBy("_at")
         frame = order.rangeBetween(0, Window.unboundedFollowing) if ahead else order.rangeBetween(Window.unboundedPreceding, 0)
-        return copies.unionByName(asked).withColumn(name, answer("_value").over(frame)).where("_row IS NOT NULL").select("_row", *carried, name)
+        return both.withColumn(name, answer("_value").over(frame)).where("_asks").drop("_asks", "_at", "_value")
 
-    rows = swept(hits.select(row), start, end, end, F.min, True, "later_end")
-    both = swept(rows, end, start, start, F.max, False, "earlier_start")
-    return both.select("_row.*", "later_end", "earlier_start")
+    rows = swept(together(hits, input_width(hits), beside or by), start, end, end, F.min, True, "later_end")
+    return swept(rows, end, start, start, F.max, False, "earlier_start")
 
 
 def may_follow(one, other):
