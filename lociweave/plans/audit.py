@@ -17,7 +17,7 @@ from lociweave.plans.annotation import Annotation
 from lociweave.plans.calls import Options
 from lociweave.plans.reports import VERSION
 from lociweave.sources.manifests import identity, write_json
-from lociweave.storage import written
+from lociweave.storage import input_width, together, written
 
 LOCUS = ["query_id", "strand"]
 BLOCK = [*LOCUS, "block_start", "block_end"]
@@ -39,14 +39,15 @@ def block_report(hits: DataFrame, names: DataFrame) -> DataFrame:
     The supplier is the longest exon, then the best scored, then the first by id and place.  An alignment counts once,
     however many transcripts it serves.
     """
-    rows = hits.select(*BLOCK, "gene", "exon_id", "query_start", "query_end", "exon_length", "identical_bases", "_score").distinct()
+    rows, width = hits.select(*BLOCK, "gene", "exon_id", "query_start", "query_end", "exon_length", "identical_bases", "_score"), input_width(hits)
+    rows = together(rows, width, LOCUS).distinct()  # so that groups are made, and meet their names, where they lie
     first = F.struct((-F.col("exon_length")).alias("l"), (-F.col("_score")).alias("s"), "exon_id", "query_start", "query_end")
     best = lambda c, name: F.min_by(c, first).alias(name)
     made = rows.groupBy(*BLOCK, "gene").agg(
         best("exon_id", "supplier_exon"), best("exon_length", "supplier_length"), best("identical_bases", "supplier_identical_bases"), best("_score", "supplier_score"),
         F.max("_score").alias("best_score"), F.count("*").alias("alignments"), _listed("exon_id").alias("exon_ids"),
     )
-    return made.join(names, BLOCK)
+    return made.join(together(names, width, LOCUS), BLOCK)
 
 
 def exon_report(a: Annotation, hits: DataFrame, calls: DataFrame, names: DataFrame, eligible: DataFrame | None = None) -> DataFrame:

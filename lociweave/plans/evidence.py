@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociweave.functions.scalars import exon_score
-from lociweave.operators.intervals import islands, overlap_length
-from lociweave.storage import dealt, input_width
+from lociweave.operators.intervals import bins_for, islands, overlap_length
+from lociweave.storage import dealt, input_width, written
 
 
 def select_alignments(rows: DataFrame, least_score: float = 50.0, least_identity: float = 95.0, least_coverage: float = 90.0) -> DataFrame:
@@ -61,9 +61,12 @@ def hits_of(alignments: DataFrame, assoc: DataFrame, expected: DataFrame) -> Dat
 def with_blocks(hits: DataFrame, start: str, end: str, keys: tuple[str, ...] = ("query_id", "strand"), bin_size: int | None = None) -> DataFrame:
     """Hits with block_id, block_start, block_end: islands over all genes of one query and strand (touching keeps apart).
 
-    Without bins, hits are dealt by their keys once, and blocks are found beside them; hits without a key or a bound get no rows.
+    Hits are dealt by their keys once, and blocks are found beside them; hits without a key or a bound get no rows.  Where bin_size is given
+    hits are written and counted first, and keys of many hits (intervals.KEY_ROWS) are cut into bins.
     """
-    if bin_size is None:
+    if bin_size is not None:
+        hits = written(hits, "unplaced")
+    if bins_for(hits, list(keys), bin_size) is None:
         held = hits.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, start, end)]))
         order = Window.partitionBy(*keys).orderBy(start, end)
         last = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))

@@ -13,7 +13,7 @@ from lociweave.plans.derived import HITS, hits, spans
 from lociweave.plans.evidence import with_blocks
 from lociweave.queries import _BLOCKS, _SCORE, SQL, query
 from lociweave.sources.readers import ALIGNMENT
-from lociweave.storage import read_table, written
+from lociweave.storage import input_width, read_table, together, written
 
 
 @query(
@@ -101,7 +101,7 @@ def audited_blocks(spark, sf_dir):
         "query_id", "strand", "gene", F.col("exon_id").cast("string").alias("exon_id"), F.col("qs").alias("query_start"), F.col("qe").alias("query_end"),
         F.col("exon_len").alias("exon_length"), F.col("ident").alias("identical_bases"), exon_score(F.col("exon_len"), F.col("ident")).alias("_score"),
     )
-    placed = written(with_blocks(rows.distinct(), "query_start", "query_end", bin_size=2000), "placed")
+    placed = written(with_blocks(together(rows, input_width(rows), ["query_id", "strand"]).distinct(), "query_start", "query_end", bin_size=2000), "placed")
     made = audit.block_report(placed, audit.block_names(placed))
     return made.withColumns({"supplier_score": F.round("supplier_score", 6), "best_score": F.round("best_score", 6)})
 
