@@ -150,7 +150,7 @@ def full_gene_models(a: Annotation) -> tuple[DataFrame, DataFrame, DataFrame]:
     model = F.concat(F.col("gene_id"), F.lit("_full_gene"), F.when(many, F.concat(F.lit("_"), F.row_number().over(order).cast("string"))).otherwise(""))
     loci = loci.withColumn("model", model)
     number = F.when(F.col("strand") == "-", F.col("blocks") + 1 - F.col("block")).otherwise(F.col("block")).cast("int")
-    placed = numbered.join(loci, keys).withColumn("exon_number", number)
+    placed = numbered.join(F.broadcast(loci), keys).withColumn("exon_number", number)
     unique = placed.groupBy("model", *keys, "exon_number", "start0", "end0", "exon_id").agg(
         F.min_by(F.struct("exon_id_full", "gene_id_full", "gene_name", "transcript_type"), "ord").alias("x"), F.min("ord").alias("ord"), F.collect_set("tid").alias("tids"),
         F.collect_set("transcript_type").alias("types"),
@@ -159,10 +159,12 @@ def full_gene_models(a: Annotation) -> tuple[DataFrame, DataFrame, DataFrame]:
         "ord", "chrom", "start0", "end0", "strand", F.col("x.exon_id_full").alias("exon_id_full"), F.col("model").alias("transcript_id_full"), F.col("x.gene_id_full").alias("gene_id_full"),
         "exon_number", F.col("x.gene_name").alias("gene_name"), F.col("x.transcript_type").alias("transcript_type"), F.lit(False).alias("own_mane"), "exon_id", "gene_id", F.col("model").alias("tid"),
     )
-    blocks = unique.groupBy("model", *keys, "exon_number").agg(
-        F.min("start0").alias("start"), F.max("end0").alias("end"), F.array_join(F.array_sort(F.collect_set("exon_id")), ",").alias("source_exon_ids"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("tids")))), ",").alias("source_transcript_ids"),
-        F.min_by("x", F.struct("start0", "end0", "exon_id")).alias("x"), F.array_distinct(F.flatten(F.collect_list("types"))).alias("types"),
+    # blocks are made of the rows where islands numbered them, so that the lists of single exons need not be dealt for a report
+    fact = F.min_by(F.struct("exon_id_full", "gene_id_full", "gene_name", "transcript_type"), F.struct("start0", "end0", "exon_id", "ord")).alias("x")
+    listed = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
+    blocks = placed.groupBy("model", *keys, "exon_number").agg(
+        F.min("start0").alias("start"), F.max("end0").alias("end"), listed("exon_id").alias("source_exon_ids"), listed("tid").alias("source_transcript_ids"),
+        fact, F.collect_set("transcript_type").alias("types"),
     )
     types = F.array_distinct(F.flatten(F.collect_list("types")))
     heads = blocks.groupBy("model", *keys).agg(F.sum(F.col("end") - F.col("start")).alias("exon_length"), F.min_by("x", "start").alias("x"), types.alias("types"))

@@ -71,3 +71,9 @@ def test_ranks_need_no_join_where_keys_are_small(spark, monkeypatch):
     want = rows(small, ["id", "_rank._level"])
     monkeypatch.setattr(intervals, "KEY_ROWS", 0)
     assert rows(with_rank(calls, ["q"], F.lit(False), "score"), ["id", "_rank._level"]) == want
+
+
+def test_report_of_full_genes_makes_blocks_of_rows(spark):
+    plan = queries.queries()["full_gene_report"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    # one aggregate of lists (in part and in whole), not one of single exons before it
+    assert plan.count("ObjectHashAggregate") == 2
