@@ -7,7 +7,8 @@ labels in a span say how many tokens of either are in its group.  All pairs of a
 Texts are cut into units first, before a space between two characters that are no spaces, where a token of neither tokenizer
 reaches across: A splits words there before it merges, and B has no piece with a space behind another character.  Both are read off the
 tokenizers when they are loaded; where either does not hold, a text is one unit.  A unit's tokens and groups are kept by
-the worker, up to MOST_BYTES of units, so that common words are encoded and scanned once and not at each place.
+the worker, up to MOST_BYTES of units, so that common words are encoded and scanned once and not at each place.  New units are
+encoded JOINED at a time, as a text that would be cut into them.
 
 A text leaves the task as one row with its distinct linked id pairs and their numbers.  Document counts of pairs are added up in the tasks before
 they are shuffled.  The HOT most frequent pairs are broadcast to sum each row's counts; pairs beyond these, which few documents have, are joined by a shuffle.
@@ -22,7 +23,7 @@ import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -39,10 +40,14 @@ TOKENIZER_A, TOKENIZER_B = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers
 HOT = 1 << 18
 #: Units that a worker keeps, and texts that it takes at once.
 MOST_BYTES, TEXT_BYTES = 1 << 26, 1 << 21
+#: New units that are encoded as one text.
+JOINED = 256
 #: Groups with more links than this have their pairs counted by distinct ids.
 MOST_LINKS = 1 << 12
 #: Before these a text may be cut at a space: no white space, whatever the Unicode version, is among them.
 _CUT = re.compile("(?<=[^ ]) (?=[!-~À-ᙿぁ-﫿])")
+#: A unit that may stand between two cuts.
+_INNER = re.compile("[!-~À-ᙿぁ-﫿](?:.*[^ ])?", re.DOTALL).fullmatch
 _SPACE = "▁"
 _GROUP = re.compile(rb"[^x]*x", re.DOTALL)
 _LABELS = np.frombuffer(b"nabx", np.uint8)
@@ -67,8 +72,10 @@ def aligned(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     marks[a_ends - 1] += 1
     marks[b_ends - 1] += 2
     spans = _GROUP.findall(_LABELS[marks].tobytes())
-    counted = [np.fromiter((s.count(label) for s in spans), np.int64, len(spans)) + 1 for label in (b"a", b"b")]
-    return *counted, np.cumsum(np.fromiter(map(len, spans), np.int64, len(spans)))
+    stops = np.cumsum(np.fromiter(map(len, spans), np.int64, len(spans)))
+    # a label's number in a span: those up to its end less those up to the end before
+    counted = [np.diff(np.searchsorted(ends, stops, "right"), prepend=0) for ends in (a_ends, b_ends)]
+    return *counted, stops
 
 
 class Aligner:
@@ -92,11 +99,13 @@ class Aligner:
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in spelling], np.int64) for spelling in (self.a_bytes, self.b_bytes))
         #: Each id as text with what may follow it: "," or "|" behind one of A, "," or ";" behind one of B.
         self.marked = [f"{k}{mark}".encode() for n, marks in ((len(self.a_bytes), ",|"), (self.n_b, ",;")) for k in range(n) for mark in marks]
+        self.marked_sizes = np.array([len(m) for m in self.marked], np.int64)
         made = json.loads(a)
         split = made["pre_tokenizer"] or {}
         words = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not made["normalizer"]
         plain = all(t["special"] for t in made["added_tokens"])
-        self.cut = _CUT.split if words and plain and not any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in pieces) else lambda text: [text]
+        self.cuts = words and plain and not any(re.search(f"[^{_SPACE}]{_SPACE}", p) for p in pieces)
+        self.cut = _CUT.split if self.cuts else lambda text: [text]
         self.forget()
 
     def forget(self) -> None:
@@ -111,35 +120,45 @@ class Aligner:
         new = [u for u in units if u not in self.index]
         if not new:
             return
-        texts = [f" {u}".encode() for u in new]
-        ids = [e.ids for e in self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False)], self.b.encode(new, num_threads=1)
-        spelled = self._spelled(texts, ids[0], self.a_bytes) & self._spelled(texts, ids[1], self.b_bytes)
-        good = np.flatnonzero(spelled)
-        n_a, n_b = (np.fromiter(map(len, own), np.int64, len(new)) for own in ids)
-        a, b = (np.fromiter(chain.from_iterable(own[k] for k in good), np.int64) for own in ids)
-        until = np.cumsum(np.fromiter((len(texts[k]) for k in good), np.int64, len(good)))
-        ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
-        in_a, in_b, stops = aligned(*ends)
+        inner, lone = [], []
+        for u in new:
+            (inner if self.cuts and _INNER(u) else lone).append(u)
+        good, bad, a, b = self._encoded([inner[k : k + JOINED] for k in range(0, len(inner), JOINED)] + [[u] for u in lone])
+        until = np.cumsum(np.fromiter((len(u.encode()) + 1 for u in good), np.int64, len(good)))
+        in_a, in_b, stops = aligned(np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]))
         unit = np.searchsorted(until, stops)  # of each group, among the good ones
         pair, links, owner = self._linked(a, b, in_a, in_b, unit)
-        width, n_links = np.bincount(owner, minlength=len(good)), np.bincount(owner, links, len(good)).astype(np.int64)
         facts = np.zeros((len(new), 5), np.int64)
-        facts[:, 0], facts[:, 1], facts[:, 4] = n_a, n_b, spelled
-        facts[good, 2], facts[good, 3] = np.bincount(unit, minlength=len(good)), n_links
-        every = np.zeros(len(new), np.int64)
-        every[good] = width
-        shown = iter(self._shown(a, b, in_a, in_b, unit, len(good)))
-        self.groups.extend(next(shown) if ok else b"" for ok in spelled.tolist())
-        self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+        for k, each in enumerate((in_a, in_b, np.ones(len(unit)))):
+            facts[: len(good), k] = np.bincount(unit, each, len(good))
+        facts[: len(good), 3], facts[: len(good), 4] = np.bincount(owner, links, len(good)), 1
+        self.groups += self._shown(a, b, in_a, in_b, unit, len(good)) + [b""] * len(bad)
+        self.index.update(zip(chain(good, bad), range(len(self.index), len(self.index) + len(new)), strict=True))
         self.counts.frombytes(facts.tobytes())
-        self.begins.frombytes((np.cumsum(every) + len(self.pairs)).tobytes())
+        self.begins.frombytes((np.cumsum(np.bincount(owner, minlength=len(new))) + len(self.pairs)).tobytes())
         self.pairs.frombytes(pair.tobytes())
         self.links.frombytes(links.tobytes())
-        self.size += sum(map(len, texts)) + 128 * len(new) + 16 * len(pair) + 10 * len(a)
-
-    @staticmethod
-    def _spelled(texts: list[bytes], ids: list[list[int]], spelling: list[bytes]) -> np.ndarray:
-        return np.fromiter((b"".join([spelling[k] for k in own]) == text for own, text in zip(ids, texts, strict=True)), bool, len(texts))
+        self.size += (int(until[-1]) if good else 0) + sum(len(u.encode()) for u in bad) + 128 * len(new) + 16 * len(pair) + 10 * len(a)
+
+    def _encoded(self, chunks: list[list[str]]) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
+        """(good, bad, ids of A, ids of B): units that their tokens spell, those that they do not, and the tokens of the good ones in their order.
+
+        The units of a chunk are encoded as one text; where its tokens do not spell it, each unit is encoded by itself.
+        """
+        texts = [" ".join(own) for own in chunks]
+        ids = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], self.b.encode(texts, num_threads=1)
+        spells = lambda own, spelling, text: b"".join(map(spelling.__getitem__, own)) == text
+        raw = (f" {t}".encode() for t in texts)
+        spelled = [spells(x, self.a_bytes, t) and spells(y, self.b_bytes, t) for x, y, t in zip(*ids, raw, strict=True)]
+        good = list(chain.from_iterable(own for own, ok in zip(chunks, spelled, strict=True) if ok))
+        a, b = (np.fromiter(chain.from_iterable(x for x, ok in zip(own, spelled, strict=True) if ok), np.int64) for own in ids)
+        failed = [own for own, ok in zip(chunks, spelled, strict=True) if not ok]
+        bad = [own[0] for own in failed if len(own) == 1]
+        again = [[u] for own in failed if len(own) > 1 for u in own]
+        if again:
+            more, worse, *rest = self._encoded(again)
+            good, bad, a, b = good + more, bad + worse, np.concatenate([a, rest[0]]), np.concatenate([b, rest[1]])
+        return good, bad, a, b
 
     def _linked(self, a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(pair, links, unit): the distinct linked pairs of each unit, units in their order; in_a, in_b: how many tokens a group has."""
@@ -168,19 +187,19 @@ class Aligner:
         own_a, own_b = np.repeat(np.arange(len(in_a)), in_a), np.repeat(np.arange(len(in_b)), in_b)
         codes[np.arange(len(a)) + (last_b - in_b + 1)[own_a]] = 2 * a + (np.arange(len(a)) == last_a[own_a])
         codes[np.arange(len(b)) + (last_a + 1)[own_b]] = 2 * (len(self.a_bytes) + b) + (np.arange(len(b)) == last_b[own_b])
-        parts = [self.marked[k] for k in codes.tolist()]
-        tokens = np.bincount(unit, in_a + in_b, n).astype(np.int64)
-        ends = np.cumsum(tokens)
-        return [b"".join(parts[e - k : e])[:-1] for e, k in zip(ends.tolist(), tokens.tolist(), strict=True)]
+        shown = b"".join(map(self.marked.__getitem__, codes.tolist()))
+        ends = np.concatenate([[0], np.cumsum(self.marked_sizes[codes])])[np.cumsum(np.bincount(unit, in_a + in_b, n).astype(np.int64))].tolist()
+        return [shown[begin : end - 1] for begin, end in pairwise([0, *ends])]
 
     def rows(self, ids: list, texts: list[str]) -> pa.RecordBatch:
         """A row (FIELDS) for each text."""
         if self.size > MOST_BYTES:
             self.forget()
         units = [self.cut(t) if t else [] for t in texts]
-        self.learn({u for own in units for u in own})
+        flat = list(chain.from_iterable(units))
+        self.learn(set(flat))
         n = np.fromiter(map(len, units), np.int64, len(units))
-        at = np.fromiter((self.index[u] for own in units for u in own), np.int64, int(n.sum()))
+        at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
         doc = np.repeat(np.arange(len(texts)), n)
         counts = np.array(self.counts, np.int64).reshape(-1, 5)
         spelled = np.bincount(doc, counts[at, 4] == 0, len(texts)) == 0
@@ -195,7 +214,8 @@ class Aligner:
         key, back = np.unique(np.repeat(own, width) * span + np.array(self.pairs, np.int64)[place], return_inverse=True)
         links = np.bincount(back, np.array(self.links, np.int64)[place] * np.repeat(times, width), len(key)).astype(np.int64)
         offsets = pa.array(np.searchsorted(key, np.arange(len(texts) + 1) * span).astype(np.int32))
-        groups = [b";".join([self.groups[self.index[u]] for u in own]) if ok else b"" for own, ok in zip(units, spelled.tolist(), strict=True)]
+        shown = list(map(self.groups.__getitem__, at.tolist()))
+        groups = [b";".join(shown[end - k : end]) if ok else b"" for end, k, ok in zip(np.cumsum(n).tolist(), n.tolist(), spelled.tolist(), strict=True)]
         listed = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (key % span, links)]
         return pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), *map(pa.array, sums), pa.array(groups, pa.binary()).cast(pa.string()), *listed], names=list(FIELDS)

@@ -6,6 +6,7 @@ from bisect import bisect_right
 from collections import Counter
 from itertools import accumulate
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -128,3 +129,15 @@ def test_long_groups_are_counted_by_ids(spark, monkeypatch):
         want = Counter(x * B.get_piece_size() + y for a, b in groups_of(text) for x in a for y in b)
         assert dict(zip(row["pairs"], row["links"], strict=True)) == want
     assert got(df) == plain(rows)
+
+
+def test_new_units_are_encoded_together():
+    made = Aligner(Path(TOKENIZER_A).read_bytes(), Path(TOKENIZER_B).read_bytes())
+    asked, real = [], made.a
+    made.a = SimpleNamespace(encode_batch_fast=lambda texts, **options: asked.append(len(texts)) or real.encode_batch_fast(texts, **options))
+    words = [f"{w}{k}" for k in range(300) for w in ("word", "été\n", "не")]
+    # the first ends and starts with spaces and is encoded by itself; one unit is not spelled, so those beside it are encoded again
+    texts = ["  " + " ".join(words) + "  ", "a▁b", "plain words"]
+    for row, text in zip(made.rows([1, 2, 3], texts).to_pylist(), texts, strict=True):
+        assert row["groups"] == ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups_of(text))
+    assert len(made.index) == 903 and asked[0] <= 6 and sum(asked) <= 6 + tokenizer_alignment.JOINED
