@@ -13,11 +13,11 @@ from pyspark.sql.types import _parse_datatype_string
 
 from lociweave.functions.scalars import window_padding
 from lociweave.operators.bit_filter import code_bits, passing
-from lociweave.operators.intervals import equal_copy_counts, merged, range_join
+from lociweave.operators.intervals import copy_counts, merged, range_join
 from lociweave.operators.ranking import running_total
 from lociweave.operators.stretches import with_length, with_stretch
 from lociweave.plans.calls import _map_rows
-from lociweave.storage import written
+from lociweave.storage import input_width, together, written
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -110,13 +110,21 @@ def window_balance(windows: DataFrame, hits: DataFrame, expected: DataFrame, bin
     """windows with `balanced`: every expected exon of the gene has the same number of copies, at least one, in the window.
 
     hits: gene, contig, exon, strand, start, end, of expected exons, counted where they lie wholly in the window; hits of an
-    exon and strand that overlap are one copy.  expected: (gene, exon), unique.  A gene with no expected exon is not balanced.
+    exon and strand that overlap are one copy.  expected: (gene, exon), unique; a row a gene, with its exons, is broadcast.  A gene
+    with no expected exon is not balanced.  A window's hits are counted and joined to it in one of so many partitions as the input's
+    files ask for, and a window is not repeated for each exon that it should have.
     """
     place = ["gene", "contig", "window_start", "window_end"]
     met = range_join(hits, windows.select(*place), ["gene", "contig"], bin_size, ("start", "end"), ("window_start", "window_end"), contained=True)
-    inside = met.join(expected, ["gene", "exon"], "left_semi")
-    equal = equal_copy_counts(inside, place, windows.select(*place).join(expected, "gene"), "exon", "strand", "start", "end")
-    return windows.join(equal, place, "left").withColumn("balanced", F.coalesce("balanced", F.lit(False)))
+    wanted = expected.distinct().groupBy("gene").agg(F.collect_set("exon").alias("_exons"), F.count("*").alias("_wanted"))
+    inside = met.join(F.broadcast(wanted), "gene").where(F.array_contains("_exons", F.col("exon"))).drop("_exons")
+    # sorted, counted and joined in one task, hence half as much in each
+    width, counted = 2 * input_width(hits, windows), [*place, "_wanted"]
+    counts = copy_counts(together(inside, width, place), counted, "exon", "strand", "start", "end", placed=True)
+    # every exon found has a copy at least, so all are there where as many are found as are expected
+    equal = counts.groupBy(*counted).agg(F.count("*").alias("_found"), F.min("n").alias("_least"), F.max("n").alias("_most"))
+    equal = equal.select(*place, ((F.col("_found") == F.col("_wanted")) & (F.col("_least") == F.col("_most"))).alias("balanced"))
+    return together(windows, width, place).join(equal, place, "left").withColumn("balanced", F.coalesce("balanced", F.lit(False)))
 
 
 def search_counters(seeds: DataFrame, genes: DataFrame, query_genes: DataFrame, balance: DataFrame) -> DataFrame:

@@ -76,7 +76,8 @@ def window_balance(spark, sf_dir):
     """Windows in which the even and the odd exons of a gene have as many copies."""
     rows = hits(spark, sf_dir)
     start = (F.floor(F.col("qs") / 5000) * 5000).cast("long")
-    windows = rows.select("gene", F.col("query_id").alias("contig"), start.alias("window_start"), (start + 5000).alias("window_end")).distinct()
+    windows = rows.select("gene", F.col("query_id").alias("contig"), start.alias("window_start"), (start + 5000).alias("window_end"))
+    windows = together(windows, input_width(rows), windows.columns).distinct()
     found = rows.select("gene", F.col("query_id").alias("contig"), (F.col("exon_id") % 2).cast("long").alias("exon"), "strand", F.col("qs").alias("start"), F.col("qe").alias("end"))
     expected = rows.select("gene").distinct().select("gene", F.explode(F.array(F.lit(0), F.lit(1)).cast("array<bigint>")).alias("exon"))
     return search.window_balance(windows, found, expected, 5000)
