@@ -295,7 +295,7 @@ def scored(call: dict, hits: list[dict]) -> dict:
     return {**call, "hits": hits, "raw": raw, "weighted": weighted, "found": found, "runs": runs}
 
 
-def _tied(calls: list[dict]) -> list[list[int]]:
+def tied_places(calls: list[dict]) -> list[list[int]]:
     """Places of the calls in groups that share blocks, directly or through others."""
     group = list(range(len(calls)))
     seen: dict[tuple[int, int], int] = {}
@@ -394,7 +394,7 @@ def resolve(calls: list[dict], prefer_mane: bool, log: list[dict] | None = None)
             batch.append(heapq.heappop(heap)[3])
             settle()
         kept = []
-        for places in _tied(batch):
+        for places in tied_places(batch):
             by_gene: dict[str, list[dict]] = {}
             for i in places:
                 by_gene.setdefault(batch[i]["gene"], []).append(batch[i])
@@ -404,7 +404,7 @@ def resolve(calls: list[dict], prefer_mane: bool, log: list[dict] | None = None)
                 for loser in own[1:]:
                     note("isoform_tiebreak", loser)
                     push(loser)
-        for places in _tied(kept):
+        for places in tied_places(kept):
             members = [kept[i] for i in places]
             name = tie_name(members) if len(members) > 1 else ""
             for call in members:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,14 +16,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from lociweave.functions.scalars import exon_score, gap_limit
-from lociweave.operators.chains import chain_places, resolve, scored, tie_name
-from lociweave.operators.intervals import islands
+from lociweave.operators.chains import chain_places, resolve, scored, tie_name, tied_places
+from lociweave.operators.intervals import bins_for, islands
 from lociweave.operators.ranking import gapless_index
 from lociweave.operators.transcript_chains import MOST_WIDE, transcript_chains
 from lociweave.plans.annotation import Annotation, with_full_genes
 from lociweave.plans.evidence import block_scores, expected_exons, hits_of, known_exons, non_overlapping, with_blocks
 from lociweave.plans.resolution import resolved_in_rounds
-from lociweave.storage import written
+from lociweave.storage import input_width, together, written
 
 HIT = (
     "struct<number: int, exon_id: string, start: long, end: long, block_start: long, block_end: long, score: double, length: long, exon_score: double, "
@@ -217,9 +218,84 @@ def chains(groups: DataFrame, coding_bonus: float, o: Options) -> DataFrame:
     return groups.mapInArrow(run, CALLS)
 
 
-#: What resolution reads of a hit, and what it gives back for a call.
-_LEAN = ("number", "exon_id", "start", "end", "block_start", "block_end", "score", "inserted")
+#: What resolution reads of a hit and of a call, besides its keys, and what it gives back for a call.
+LEAN = ("number", "exon_id", "start", "end", "block_start", "block_end", "score", "inserted")
+READ = ("tid", "transcript_id_full", "gene", "gene_id_full", "mane", "coding", "exon_length", "expected", "coding_x", "complete_x", "mane_x", "raw", "weighted", "found", "runs")
 _KEPT = "_id long, _left array<int>, raw double, weighted double, found array<int>, runs array<int>, tie_group_id string, tie_count int"
+_MADE = ("raw", "weighted", "found", "runs", "tie_group_id", "tie_count")
+
+
+def lean(calls: DataFrame) -> DataFrame:
+    """calls with no more than resolution reads."""
+    return calls.select("query_id", "strand", *READ, F.transform("hits", lambda h: F.struct(*[h[n].alias(n) for n in LEAN])).alias("hits"))
+
+
+def _contested(key: np.ndarray, sizes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each call whether it has a block with another call of its key; sizes: hits of each call, starts and ends: the blocks of these hits."""
+    call = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((call, ends, starts, key[call]))
+    call, starts, ends = call[order], starts[order], ends[order]
+    place = np.cumsum((np.diff(key[call], prepend=-1) != 0) | (np.diff(starts, prepend=0) != 0) | (np.diff(ends, prepend=0) != 0))
+    first, last = np.searchsorted(place, place, "left"), np.searchsorted(place, place, "right") - 1
+    met = np.zeros(len(sizes), bool)
+    met[call[call[first] != call[last]]] = True
+    return met
+
+
+def _competed(batch: pa.RecordBatch, keys: list[str], arrow: pa.Schema, prefer_mane: bool) -> pa.RecordBatch:
+    """The selected calls of a batch of keys, each with all its calls: rows and hits are taken by place, only calls that others contest become Python objects.
+
+    Calls compete with those that they share blocks with, directly or through others, in the order of their names and places.
+    """
+    base, starts = batch.column("calls").values, batch.column("calls").offsets.to_numpy().astype(np.int64)
+    base = base.slice(int(starts[0]), int(starts[-1] - starts[0]))
+    key = np.repeat(np.arange(batch.num_rows), np.diff(starts))
+    column = lambda n, at: batch.column(n).take(pa.array(key[at])) if n in keys else base.field(n).take(pa.array(at))
+    hits, offsets = base.field("hits").values, base.field("hits").offsets.to_numpy().astype(np.int64)
+    sizes = np.diff(offsets)
+    blocks = [hits.field(n).slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_numpy(zero_copy_only=False) for n in ("block_start", "block_end")]
+    met = _contested(key, sizes, *blocks)
+    places = lambda at: np.repeat(offsets[at], sizes[at]) + np.arange(sizes[at].sum()) - np.repeat(np.cumsum(sizes[at]) - sizes[at], sizes[at])
+    alone, open_ = np.flatnonzero(~met & (sizes > 0)), np.flatnonzero(met)
+    taken = hits.take(pa.array(places(open_)))
+    own = iter(zip(places(open_).tolist(), *[taken.field(n).to_pylist() for n in LEAN], strict=True))
+    facts = dict.fromkeys(["query_id", "strand", "_id", *READ])
+    of: dict[int, list[dict]] = {}
+    for at, k, n, *values in zip(open_.tolist(), key[open_].tolist(), sizes[open_].tolist(), *[column(n, open_).to_pylist() for n in facts], strict=True):
+        listed = [{"at": place, **dict(zip(LEAN, cells, strict=True))} for place, *cells in islice(own, n)]
+        of.setdefault(k, []).append(dict(zip(facts, values, strict=True)) | {"_at": at, "hits": listed})
+    won: list[dict] = []
+    for calls in of.values():
+        calls.sort(key=lambda c: (c["tid"] or "", [h["start"] for h in c["hits"]], c["_id"]))
+        for rivals in tied_places(calls):
+            won += resolve([calls[i] for i in rivals], prefer_mane)
+    kept = np.concatenate([alone, np.array([c["_at"] for c in won], np.int64)])
+    left = np.concatenate([places(alone), np.array([h["at"] for c in won for h in c["hits"]], np.int64)])
+    ends = np.concatenate([[0], np.cumsum(np.concatenate([sizes[alone], np.array([len(c["hits"]) for c in won], np.int64)]))])
+    calm = {"tie_group_id": pa.array([""] * len(alone)), "tie_count": pa.array([1] * len(alone), pa.int32())}
+    columns = {"hits": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), hits.take(pa.array(left)))}
+    for f in arrow:
+        if f.name in _MADE:
+            same = calm[f.name] if f.name in calm else column(f.name, alone)
+            columns[f.name] = pa.concat_arrays([same.cast(f.type), pa.array([c[f.name] for c in won], f.type)])
+        elif f.name != "hits":
+            columns[f.name] = column(f.name, kept)
+    return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in arrow], schema=arrow)
+
+
+def _resolved_by_key(calls: DataFrame, width: int, prefer_mane: bool, keys: list[str]) -> DataFrame:
+    """The selected calls, where no key has more of them than a task can hold: calls are dealt once, by their keys."""
+    schema = StructType([f for f in calls.schema if f.name != "_id"] + list(_parse_datatype_string("tie_group_id string, tie_count int")))
+    arrow = to_arrow_schema(schema)
+    own = F.struct(*[c for c in calls.columns if c not in keys])
+    gathered = together(calls, width, keys).groupBy(*keys).agg(F.collect_list(own).alias("calls"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch):
+                yield _competed(part, keys, arrow, prefer_mane)
+
+    return written(gathered.mapInArrow(run, schema), "competed")
 
 
 def _from_rounds(calls: DataFrame, prefer_mane: bool, keys: list[str]) -> DataFrame:
@@ -237,11 +313,25 @@ def _from_rounds(calls: DataFrame, prefer_mane: bool, keys: list[str]) -> DataFr
 def resolved(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("query_id", "strand"), bin_size: int = 1_000_000, most_at_once: int = 5000) -> DataFrame:
     """Selected calls of each query and strand (and parent), with tie_group_id and tie_count.
 
+    The calls of a key of at most most_at_once calls meet in one task; larger keys are cut into islands of overlapping calls (_resolved_by_island).
+    """
+    calls = written(calls.withColumn("_id", F.monotonically_increasing_id()), "candidates")
+    width = input_width(calls)
+    large = written(calls.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > most_at_once).drop("_n"), "large")
+    if large.isEmpty():
+        return _resolved_by_key(calls, width, prefer_mane, list(keys))
+    is_large = reduce(lambda x, y: x & y, [calls[k].eqNullSafe(large[k]) for k in keys])
+    few = _resolved_by_key(calls.join(F.broadcast(large), is_large, "left_anti"), width, prefer_mane, list(keys))
+    return few.unionByName(_resolved_by_island(written(calls.join(F.broadcast(large), is_large, "left_semi"), "crowded"), prefer_mane, keys, bin_size, most_at_once))
+
+
+def _resolved_by_island(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...], bin_size: int, most_at_once: int) -> DataFrame:
+    """The selected calls of keys of any size.
+
     A call none of whose blocks is in another call is selected as it is and stays in the plan.  The others compete within
     islands of overlapping calls, since calls that share a block overlap; only what competition needs travels there.  An island of more than
     most_at_once calls is resolved in rounds of joins (plans.resolution), unless it has inserted hits or scores below zero, whose calls can rise.
     """
-    calls = written(calls.withColumn("_id", F.monotonically_increasing_id()), "candidates")
     blocks = calls.select("_id", *keys, F.explode(F.array_distinct(F.transform("hits", lambda h: F.struct(h["block_start"].alias("s"), h["block_end"].alias("e"))))).alias("b"))
     shared = blocks.groupBy(*keys, "b").agg(F.count("*").alias("n"), F.min("_id").alias("_one")).where("n > 1")
     same = [blocks[k].eqNullSafe(shared[k]) for k in keys]
@@ -249,10 +339,9 @@ def resolved(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("quer
     contested = written(contested, "contested")
     alone = calls.join(contested, "_id", "left_anti").where("size(hits) > 0")
     alone = alone.withColumns({"tie_group_id": F.lit(""), "tie_count": F.lit(1)})
-    hits = F.transform("hits", lambda h, i: F.struct(*[h[n].alias(n) for n in _LEAN], i.alias("at")))
-    facts = ("tid", "transcript_id_full", "gene", "gene_id_full", "mane", "coding", "exon_length", "expected", "coding_x", "complete_x", "mane_x", "raw", "weighted", "found", "runs")
-    lean = calls.join(contested, "_id").select("_id", *keys, *facts, hits.alias("hits"), F.array_min("hits.block_start").alias("_from"), F.array_max("hits.block_end").alias("_until"))
-    placed = islands(lean, list(keys), "_from", "_until", name="_island", bin_size=bin_size)
+    hits = F.transform("hits", lambda h, i: F.struct(*[h[n].alias(n) for n in LEAN], i.alias("at")))
+    rivals = calls.join(contested, "_id").select("_id", *keys, *READ, hits.alias("hits"), F.array_min("hits.block_start").alias("_from"), F.array_max("hits.block_end").alias("_until"))
+    placed = islands(rivals, list(keys), "_from", "_until", name="_island", bin_size=bins_for(calls, list(keys), bin_size))
     island = [*keys, "_island"]
     placed = written(placed, "placed")
     odd = F.exists("hits", lambda h: h["inserted"] | (h["score"] < 0))
@@ -260,7 +349,7 @@ def resolved(calls: DataFrame, prefer_mane: bool, keys: tuple[str, ...] = ("quer
     crowded = not crowds.isEmpty()
     in_crowd = reduce(lambda x, y: x & y, [placed[k].eqNullSafe(crowds[k]) for k in island])
     few = placed.join(crowds, in_crowd, "left_anti") if crowded else placed
-    call = F.struct("tid", F.col("hits.start").alias("starts"), "_id", F.struct("_id", "query_id", "strand", *facts, "hits").alias("call"))
+    call = F.struct("tid", F.col("hits.start").alias("starts"), "_id", F.struct("_id", "query_id", "strand", *READ, "hits").alias("call"))
     gathered = few.groupBy(*island).agg(F.array_sort(F.collect_list(call)).alias("c"))
 
     def one(row: dict) -> list[dict]:

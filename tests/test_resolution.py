@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lociweave.operators import chains
 from lociweave.plans import calls as C
 from lociweave.plans.resolution import resolved_in_rounds, tie_components, with_rank
+from lociweave.storage import written
 
 HIT = "struct<number: int, exon_id: string, start: long, end: long, block_start: long, block_end: long, score: double, inserted: boolean, at: int>"
 CALL = (
@@ -116,3 +117,28 @@ def test_ties_by_rank_and_block(spark):
 
 def test_no_calls(spark):
     assert resolved_in_rounds(spark.createDataFrame([], CALL), True, ["query_id", "strand"]).count() == 0
+
+
+def test_small_and_large_keys_are_resolved_alike(spark, monkeypatch):
+    rng = random.Random(105)
+    groups = [random_calls(rng, n, f"q{g}", first=100 * g, inserted=g % 2 == 1) for g, n in enumerate((1, 3, 6, 12))]
+    idle = {**groups[0][0], "tid": "without", "hits": []}
+    full = spark.createDataFrame([c for g in groups for c in g] + [idle], CALL).drop("_id").withColumn("parent", F.when(F.col("query_id") != "q3", F.col("query_id"))).repartition(3)
+    keys = ("parent", "query_id", "strand")
+    rows = lambda most: sorted(
+        (r["query_id"], r["tid"], tuple(h["at"] for h in r["hits"]), round(r["weighted"], 6), r["tie_group_id"], r["tie_count"]) for r in C.resolved(full, True, keys, most_at_once=most).collect()
+    )
+    want = [c for g in groups for c in chains.resolve([dict(c) for c in g], True)]
+    want = sorted((c["query_id"], c["tid"], tuple(h["at"] for h in c["hits"]), round(c["weighted"], 6), c["tie_group_id"], c["tie_count"]) for c in want)
+    assert rows(5000) == rows(7) == want and any(r[4] for r in want)
+    monkeypatch.setattr(C, "SLICE_BYTES", 1)
+    assert rows(5000) == want
+
+
+def test_calls_of_small_keys_are_dealt_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(C, "written", lambda df, name="table": (seen.append(df), written(df, name))[1])
+    calls = spark.createDataFrame(random_calls(random.Random(35), 12), CALL).drop("_id")
+    made = C.resolved(C.lean(calls), True)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (*seen, made) if "hits" in df.columns]
+    assert made.count() and sum(plan.count("Exchange") for plan in plans) == 1
