@@ -17,11 +17,11 @@ def collapse_exons(exons: DataFrame) -> DataFrame:
     full = lambda name, bare: F.col(name if name in exons.columns else bare).alias(name)
     cells = F.struct("ord", "tid", full("transcript_id_full", "tid"), "exon_number", "gene_id", full("gene_id_full", "gene_id"), "gene_name", "transcript_type")
     rows = F.array_sort(F.collect_list(cells))
-    made = exons.groupBy(*keys).agg(rows.alias("r"), F.bool_or("own_mane").alias("any_mane"))
+    made = exons.groupBy(*keys).agg(rows.alias("r"), F.bool_or("own_mane").alias("any_mane"), F.bool_or(F.col("transcript_type") == "protein_coding").alias("coding"))
     pairs = F.array_distinct(F.transform("r", lambda x: F.struct(x["transcript_id_full"].alias("tid"), x["exon_number"].alias("n"))))
     return made.select(
         *keys, F.array_distinct("r.tid").alias("transcript_ids"), F.transform(pairs, lambda p: p["n"]).alias("transcript_indices"), F.array_distinct("r.gene_id").alias("gene_ids"),
-        F.array_distinct("r.gene_name").alias("gene_names"), F.array_contains("r.transcript_type", "protein_coding").alias("coding"), "any_mane",
+        F.array_distinct("r.gene_name").alias("gene_names"), "coding", "any_mane",
         F.array_distinct("r.transcript_id_full").alias("transcript_ids_full"), F.array_distinct("r.gene_id_full").alias("gene_ids_full"), pairs.alias("transcript_numbers"),
     )
 

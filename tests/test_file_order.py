@@ -28,3 +28,17 @@ def test_collapsed_exons_with_equal_order_follow_the_files(spark, tmp_path, monk
     wanted = rows_of(con.sql(queries.oracle_sql()["collapsed_exons"]).df())
     assert len(wanted) == 20 and max(row[-1].count(",") for row in wanted) > 3
     assert rows_of(queries.queries()["collapsed_exons"](spark, str(tmp_path)).toPandas()) == wanted
+
+
+def test_collapsed_exons_with_nulls_equal_the_sql(spark, tmp_path):
+    con = duckdb.connect()
+    con.sql("SET threads = 1")
+    gaps = lambda key, names: ", ".join(f"CASE WHEN ({key} * {k + 3}) % {31 + k} = 0 THEN NULL ELSE {n} END AS {n}" for k, n in enumerate(names))
+    con.sql(f"COPY (SELECT * REPLACE ({gaps('p_partkey', ['p_brand', 'p_type', 'p_size'])}) FROM '{SF}/part.parquet') TO '{tmp_path}/part.parquet'")
+    con.sql(f"""COPY (SELECT * EXCLUDE (n) REPLACE ({gaps('n', ['l_orderkey', 'l_partkey', 'l_linenumber', 'l_quantity', 'l_shipdate'])})
+                FROM (SELECT * EXCLUDE (file_row_number) REPLACE (date_trunc('year', l_shipdate) AS l_shipdate), file_row_number AS n FROM read_parquet('{SF}/lineitem.parquet', file_row_number = true)) ORDER BY n)
+                TO '{tmp_path}/lineitem.parquet'""")
+    for name in ("lineitem", "part"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    wanted = rows_of(con.sql(queries.oracle_sql()["collapsed_exons"]).df())
+    assert rows_of(queries.queries()["collapsed_exons"](spark, str(tmp_path)).toPandas()) == wanted
